@@ -87,7 +87,23 @@ def enrich_sales(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                          "l_returnflag")
     return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
             .join(dims, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount"))))
+            .withColumn("revenue", revenue_expr()))
+
+
+def revenue_expr() -> Column:
+    """Line revenue in exact decimal arithmetic.
+
+    Money arrives as double with two decimals; summing doubles depends on the
+    order of addition, so a rounded total could differ between runs and
+    engines.  Decimal(15,2) inputs make every sum exact.
+    """
+    return (F.col("l_extendedprice").cast("decimal(15,2)")
+            * (1 - F.col("l_discount").cast("decimal(15,2)")))
+
+
+def money(c) -> Column:
+    """An exact decimal total, rounded to cents, as double."""
+    return F.round(c, 2).cast("double")
 
 
 def sales_rollup(enriched: DataFrame) -> DataFrame:
@@ -96,7 +112,7 @@ def sales_rollup(enriched: DataFrame) -> DataFrame:
     ``level`` is 0 for detail rows, 1 for region totals, 3 for the grand total.
     """
     return (enriched.rollup("r_name", "n_name")
-            .agg(F.round(F.sum("revenue"), 2).alias("revenue"),
+            .agg(money(F.sum("revenue")).alias("revenue"),
                  F.count(F.lit(1)).alias("lines"),
                  F.grouping_id().alias("level")))
 
@@ -105,6 +121,6 @@ def monthly_sales(enriched: DataFrame, dims: Sequence[str] = ("r_name",)) -> Dat
     """Time-bucketed gold (month x dimension): sum, average, count."""
     month = F.date_format(F.date_trunc("month", F.col("o_orderdate")), "yyyy-MM").alias("month")
     return (enriched.groupBy(month, *dims)
-            .agg(F.round(F.sum("revenue"), 2).alias("revenue"),
+            .agg(money(F.sum("revenue")).alias("revenue"),
                  F.round(F.avg("l_quantity"), 6).alias("avg_qty"),
                  F.count(F.lit(1)).alias("lines")))

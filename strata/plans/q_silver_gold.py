@@ -1,17 +1,22 @@
-"""Catalogue entries: silver cleaning / dedup and gold aggregates."""
+"""Catalogue entries: silver cleaning / dedup, gold aggregates, quality,
+incremental loads and history."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators import gold, silver
+from strata.functions.scalar import not_blank, ts_text
+from strata.operators import gold, incremental, quality, silver
 from strata.plans import fixtures as fx
-from strata.plans.queries import F1_SILVER_SQL, f1_layers, register
+from strata.plans.queries import AS_OF, F1_SILVER_SQL, f1_layers, register
 from strata.sources.tables import table
 
 W = fx.with_ctes
+TS = "'%Y-%m-%d %H:%M:%S'"
 
 
+# ---------------------------------------------------------------- medallion (M1 slice)
+
 @register("medallion_gold", W(F1_SILVER_SQL) + """
 SELECT coalesce(prio, 'unknown') AS prio, count(*) AS "count" FROM silver GROUP BY 1""")
 def medallion_gold(spark, sf_dir):
@@ -30,3 +35,462 @@ def medallion_gold_members(spark, sf_dir):
 def silver_keep_first(spark, sf_dir):
     """P4 + D1: non-blank key, first row per key in file order."""
     return f1_layers(spark, sf_dir).silver
+
+
+# ---------------------------------------------------------------- silver
+
+_LI_COLS = ("l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, "
+            "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus")
+
+
+@register("silver_keep_latest", f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+           l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""")
+def silver_keep_latest(spark, sf_dir):
+    """Latest line per (order, line number), ties broken on every column."""
+    li = table(spark, sf_dir, "lineitem")
+    return silver.keep_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register("silver_distinct_rows", W(fx.F1_SQL) + "SELECT DISTINCT id, prio, price FROM f1")
+def silver_distinct_rows(spark, sf_dir):
+    """Whole-row distinct over the data columns (the ordinal is provenance)."""
+    b = fx.messy_orders(spark, sf_dir).select(F.col("ord").alias("_ord"), "id", "prio", "price")
+    return silver.distinct_rows(b).drop("_ord")
+
+
+@register("silver_drop_any_null", W(fx.F1_SQL) + """
+SELECT * FROM f1 WHERE ord IS NOT NULL AND id IS NOT NULL AND prio IS NOT NULL
+  AND status IS NOT NULL AND price IS NOT NULL""")
+def silver_drop_any_null(spark, sf_dir):
+    """Drop rows with a null in any column."""
+    return silver.drop_nulls(fx.messy_orders(spark, sf_dir))
+
+
+@register("silver_required_cols", W(fx.F2_SQL) + """
+SELECT * FROM f2 WHERE email IS NOT NULL AND phone IS NOT NULL""")
+def silver_required_cols(spark, sf_dir):
+    """Drop rows with a null in the required columns."""
+    return silver.drop_nulls(fx.messy_contacts(spark, sf_dir), ["email", "phone"])
+
+
+_NORMALISED_SQL = """
+SELECT customer_id, trim(upper(customer_name)) AS customer_name, lower(trim(email)) AS email,
+       regexp_replace(phone, '[^0-9]', '', 'g') AS phone_normalized,
+       CASE WHEN status IN ('active', 'inactive', 'suspended') THEN status ELSE 'unknown' END AS status,
+       source_system,
+       CASE WHEN email IS NULL OR email = '' THEN 1 ELSE 0 END AS missing_email_flag,
+       CASE WHEN email NOT LIKE '%@%' THEN 1 ELSE 0 END AS invalid_email_flag,
+       CASE WHEN phone IS NULL OR length(regexp_replace(phone, '[^0-9]', '', 'g')) < 10 THEN 1 ELSE 0 END
+         AS invalid_phone_flag
+FROM f2 WHERE customer_id IS NOT NULL AND customer_name IS NOT NULL"""
+
+
+def _normalised(spark, sf_dir):
+    c = fx.messy_contacts(spark, sf_dir).drop("segment", "nation_key")
+    return silver.normalise_contacts(c, key="customer_id")
+
+
+@register("silver_normalised_contacts", W(fx.F2_SQL) + _NORMALISED_SQL)
+def silver_normalised_contacts(spark, sf_dir):
+    """P15 + P11 + P12 + P7: the silver contact model in one projection."""
+    return _normalised(spark, sf_dir)
+
+
+@register("conformed_orders", W(fx.F1_SQL) + """
+SELECT ord, TRY_CAST(id AS BIGINT) AS order_id, prio AS priority, status,
+       CASE WHEN id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL THEN 'id' ELSE '' END AS cast_errors
+FROM f1""")
+def conformed_orders(spark, sf_dir):
+    """Typed columns and standard names; unconvertible values listed."""
+    b = fx.messy_orders(spark, sf_dir).select("ord", "id", "prio", "status")
+    out = silver.conform_types(b, {"id": "bigint"}, {"id": "order_id", "prio": "priority"})
+    return out.withColumn("cast_errors", F.array_join("_cast_errors", ";")).drop("_cast_errors")
+
+
+# ---------------------------------------------------------------- gold
+
+@register("gold_count", W(F1_SILVER_SQL) + 'SELECT status, count(*) AS "count" FROM silver GROUP BY 1')
+def gold_count(spark, sf_dir):
+    """A2: group count on the silver layer."""
+    return gold.group_count(f1_layers(spark, sf_dir).silver, "status", missing=None)
+
+
+@register("gold_count_desc_topk", W(F1_SILVER_SQL) + """
+SELECT prio, count(*) AS "count" FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""")
+def gold_count_desc_topk(spark, sf_dir):
+    """A3 + L3: the three largest groups (ties by key)."""
+    return gold.top_groups(f1_layers(spark, sf_dir).silver, "prio", 3)
+
+
+_STAR_SQL = """star AS (
+  SELECT l.l_orderkey, l.l_quantity,
+         CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(15,2))) AS revenue,
+         o.o_orderdate, n.n_name, r.r_name
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def _star(spark, sf_dir):
+    t = lambda n: table(spark, sf_dir, n)
+    return gold.enrich_sales(t("lineitem"), t("orders"), t("customer"), t("nation"), t("region"))
+
+
+@register("star_enriched_sales", W(_STAR_SQL) + """
+SELECT r_name, n_name, count(*) AS lines, CAST(round(sum(revenue), 2) AS DOUBLE) AS revenue,
+       CAST(sum(l_quantity) AS DOUBLE) AS quantity
+FROM star GROUP BY 1, 2""")
+def star_enriched_sales(spark, sf_dir):
+    """Fact joined to its customer / nation / region dimensions, by nation."""
+    return (_star(spark, sf_dir).groupBy("r_name", "n_name")
+            .agg(F.count(F.lit(1)).alias("lines"), gold.money(F.sum("revenue")).alias("revenue"),
+                 F.sum("l_quantity").alias("quantity")))
+
+
+@register("sales_rollup", W(_STAR_SQL) + """
+SELECT r_name, n_name, CAST(round(sum(revenue), 2) AS DOUBLE) AS revenue, count(*) AS lines,
+       CAST(grouping(r_name, n_name) AS INTEGER) AS level
+FROM star GROUP BY ROLLUP (r_name, n_name)""")
+def sales_rollup(spark, sf_dir):
+    """Region / nation hierarchy with subtotals and a grand total."""
+    return gold.sales_rollup(_star(spark, sf_dir)).withColumn("level", F.col("level").cast("int"))
+
+
+@register("monthly_sales", W(_STAR_SQL) + """
+SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, r_name,
+       CAST(round(sum(revenue), 2) AS DOUBLE) AS revenue, round(avg(l_quantity), 6) AS avg_qty, count(*) AS lines
+FROM star GROUP BY 1, 2""")
+def monthly_sales(spark, sf_dir):
+    """Month x region revenue, average quantity and line count."""
+    return gold.monthly_sales(_star(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- quality
+
+@register("layer_retention", W(fx.F1_SQL) + """
+SELECT count(*) AS bronze_rows,
+       count(*) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')) AS ids_present,
+       count(*) FILTER (WHERE NOT (id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))) AS ids_blank,
+       count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')) AS silver_rows,
+       count(*) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))
+         - count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')) AS duplicates,
+       round(CASE WHEN count(*) = 0 THEN 0.0 ELSE count(DISTINCT id) FILTER (
+         WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')) / count(*) END, 6) AS retention
+FROM f1""")
+def layer_retention(spark, sf_dir):
+    """A4 + A6 + A7: bronze rows, key presence, silver rows, retention: one pass."""
+    return quality.retention_report(fx.messy_orders(spark, sf_dir), "id")
+
+
+_F1_COLS = ("ord", "id", "prio", "status", "price")
+
+
+@register("null_profile", W(fx.F1_SQL) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS null_rate FROM f1" for c in _F1_COLS))
+def null_profile(spark, sf_dir):
+    """A5 / Q3: null counts of every column from one scan."""
+    return quality.null_profile(fx.messy_orders(spark, sf_dir))
+
+
+@register("column_profile")
+def column_profile(spark, sf_dir):
+    """Q12: nulls, min, max and approximate distinct counts of every column
+    (approximate, so checked for shape only)."""
+    return quality.column_profile(fx.messy_orders(spark, sf_dir))
+
+
+@register("null_rate_gate", W(fx.F1_SQL) + """
+SELECT 'id' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE id IS NULL) AS null_count,
+       round(count(*) FILTER (WHERE id IS NULL) / count(*), 6) AS null_rate, CAST(0.05 AS DOUBLE) AS threshold,
+       round(count(*) FILTER (WHERE id IS NULL) / count(*), 6) <= 0.05 AS passed
+FROM f1""")
+def null_rate_gate(spark, sf_dir):
+    """A8 + Q4: null share of the key against the 0.05 limit."""
+    return quality.null_rate_gate(fx.messy_orders(spark, sf_dir), "id")
+
+
+@register("score_gate", W(fx.F1_SQL) + """
+SELECT round(count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))
+             / count(*), 6) AS score, CAST(0.85 AS DOUBLE) AS threshold,
+       round(count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))
+             / count(*), 6) >= 0.85 AS passed
+FROM f1""")
+def score_gate(spark, sf_dir):
+    """A7 + Q5: silver/bronze retention against the 0.85 minimum score."""
+    return quality.score_gate(quality.retention_report(fx.messy_orders(spark, sf_dir), "id"))
+
+
+def _check_sql(name, ctype, passed, failed, status):
+    return (f"SELECT {passed} AS passed_count, {failed} AS failed_count, '{name}' AS check_name, "
+            f"'{ctype}' AS check_type, {status} AS status")
+
+
+_QUALITY_SQL = W(fx.F1_SQL, fx.F2_SQL) + """,
+checks AS (
+  SELECT 'bronze.orders' AS table_name, 'id_completeness' AS check_name, 'completeness' AS check_type,
+         count(*) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')) AS p,
+         count(*) FILTER (WHERE NOT coalesce(regexp_matches(id, '[^[:space:]]'), false)) AS f,
+         NULL AS st FROM f1
+  UNION ALL
+  SELECT 'bronze.orders', 'deduplication', 'uniqueness',
+         count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
+         count(*) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))
+           - count(DISTINCT id) FILTER (WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
+         'passed' FROM f1
+  UNION ALL
+  SELECT 'bronze.contacts', 'email_format', 'validity',
+         count(*) FILTER (WHERE regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$')),
+         count(*) FILTER (WHERE NOT coalesce(
+           regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'), false)),
+         NULL FROM f2
+  UNION ALL
+  SELECT 'bronze.contacts', 'status_accepted_values', 'accepted_values',
+         count(*) FILTER (WHERE status IN ('active', 'inactive', 'suspended')),
+         count(*) FILTER (WHERE NOT coalesce(status IN ('active', 'inactive', 'suspended'), false)),
+         NULL FROM f2
+  UNION ALL
+  SELECT 'bronze.contacts', 'source_system_accepted_values', 'accepted_values',
+         count(*) FILTER (WHERE source_system IN ('crm', 'erp', 'website')),
+         count(*) FILTER (WHERE NOT coalesce(source_system IN ('crm', 'erp', 'website'), false)),
+         NULL FROM f2)
+SELECT table_name, check_name, check_type,
+       coalesce(st, CASE WHEN f = 0 THEN 'passed'
+                         WHEN check_type = 'completeness' THEN 'warning' ELSE 'failed' END) AS status,
+       p AS passed_count, f AS failed_count,
+       round(CASE WHEN p + f = 0 THEN 0.0 ELSE f / (p + f) END, 6) AS error_rate
+FROM checks"""
+
+
+@register("quality_results", _QUALITY_SQL)
+def quality_results(spark, sf_dir):
+    """Check-result rows as appended to the quality log."""
+    b = fx.messy_orders(spark, sf_dir)
+    c = fx.messy_contacts(spark, sf_dir)
+    parts = [quality.completeness_check(b, "id", "bronze.orders"),
+             quality.uniqueness_check(b, "id", "bronze.orders"),
+             quality.pattern_check(c, "email", "bronze.contacts", check_name="email_format"),
+             quality.accepted_values_check(c, "status", silver.ACCEPTED_STATUS, "bronze.contacts"),
+             quality.accepted_values_check(c, "source_system", ("crm", "erp", "website"),
+                                           "bronze.contacts")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("quality_flag_rates", W(fx.F2_SQL) + """,
+n AS (""" + _NORMALISED_SQL + """)
+SELECT count(*) AS row_count, round(avg(missing_email_flag), 6) AS missing_email_flag_rate,
+       round(avg(invalid_email_flag), 6) AS invalid_email_flag_rate,
+       round(avg(invalid_phone_flag), 6) AS invalid_phone_flag_rate FROM n""")
+def quality_flag_rates(spark, sf_dir):
+    """Q14: share of silver rows raising each data-quality flag."""
+    return quality.flag_rates(_normalised(spark, sf_dir),
+                              ["missing_email_flag", "invalid_email_flag", "invalid_phone_flag"])
+
+
+@register("quarantine_rows", W(fx.F2_SQL) + """,
+r AS (
+  SELECT customer_id, list_filter([
+    CASE WHEN email NOT LIKE '%@%' THEN 'invalid_email' END,
+    CASE WHEN phone IS NULL OR length(regexp_replace(phone, '[^0-9]', '', 'g')) < 10 THEN 'invalid_phone' END,
+    CASE WHEN email IS NULL OR email = '' THEN 'missing_email' END,
+    CASE WHEN NOT coalesce(status IN ('active', 'inactive', 'suspended'), false) THEN 'status_domain' END
+  ], lambda x: x IS NOT NULL) AS rules FROM f2)
+SELECT customer_id, array_to_string(rules, ';') AS failed_rules FROM r WHERE len(rules) > 0""")
+def quarantine_rows(spark, sf_dir):
+    """Q9: rows that break a rule, with the sorted names of the rules broken."""
+    c = fx.messy_contacts(spark, sf_dir)
+    e, p, s = F.col("email"), F.col("phone"), F.col("status")
+    rules = {"missing_email": e.isNull() | (e == ""),
+             "invalid_email": ~e.like("%@%"),
+             "invalid_phone": p.isNull() | (F.length(F.regexp_replace(p, "[^0-9]", "")) < 10),
+             "status_domain": ~F.coalesce(s.isin(list(silver.ACCEPTED_STATUS)), F.lit(False))}
+    _, bad = quality.quarantine(c, rules)
+    return bad.select("customer_id", F.array_join("failed_rules", ";").alias("failed_rules"))
+
+
+@register("layer_reconcile", W(F1_SILVER_SQL) + """
+SELECT (SELECT count(*) FROM f1) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM silver) AS gold_total,
+       (SELECT count(DISTINCT coalesce(prio, 'unknown')) FROM silver) AS gold_groups,
+       (SELECT count(*) FROM silver) AS member_rows, 0 AS missing_in_gold, 0 AS extra_in_gold,
+       true AS conserved""")
+def layer_reconcile(spark, sf_dir):
+    """U3 + U4 + Q10: the layer invariants of one medallion run."""
+    L = f1_layers(spark, sf_dir)
+    return quality.reconcile(L.bronze, L.silver, L.gold, L.members, key="id")
+
+
+# ---------------------------------------------------------------- incremental, history
+
+_EVENTS_WM = "2024-01-20 00:00:00"
+
+
+@register("incremental_append", f"""
+SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '{_EVENTS_WM}'""")
+def incremental_append(spark, sf_dir):
+    """I1 + P10 + U1: the batch appended after the stored watermark."""
+    ev = table(spark, sf_dir, "events").drop("props")
+    state = spark.createDataFrame([("events", _EVENTS_WM)], "table_name string, watermark string") \
+        .withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))
+    return incremental.new_rows(ev, "ts", incremental.watermark_of(state, "events"))
+
+
+@register("incremental_state", f"""
+SELECT 'events' AS table_name, strftime(coalesce(max(ts), TIMESTAMP '{_EVENTS_WM}'), {TS}) AS watermark
+FROM events WHERE ts > TIMESTAMP '{_EVENTS_WM}'""")
+def incremental_state(spark, sf_dir):
+    """The state row after the append: the newest timestamp processed."""
+    ev = table(spark, sf_dir, "events")
+    batch = incremental.new_rows(ev, "ts", _EVENTS_WM)
+    st = incremental.next_state(batch, "events", "ts", _EVENTS_WM)
+    return st.select("table_name", ts_text("watermark").alias("watermark"))
+
+
+_MERGE_SQL = W(fx.F1_SQL) + """,
+base AS (SELECT * FROM f1 WHERE ord < 1000000000 AND id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
+tgt AS (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
+src AS (SELECT ord, id, prio, status, 'replay' AS channel FROM f1
+        WHERE ord >= 1000000000 AND id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')
+          AND ord > (SELECT coalesce(max(ord), 0) FROM tgt)),
+upd AS (SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1)
+SELECT ord, id, prio, status, channel FROM upd
+UNION ALL
+SELECT ord, id, prio, status, NULL FROM tgt WHERE id NOT IN (SELECT id FROM upd)"""
+
+
+@register("incremental_merge", _MERGE_SQL)
+def incremental_merge(spark, sf_dir):
+    """I2 + J4 + D3 + D4 + D5: incremental model merged on its unique key.
+
+    Target = first load (original rows); source = replayed rows.  Only source
+    rows newer than the target's newest ordinal are taken (scalar subquery),
+    reduced to the latest per key and merged; the source's schema wins
+    (``channel`` added, ``price`` dropped).
+    """
+    b = silver.require_keys(fx.messy_orders(spark, sf_dir), "id")
+    first = b.filter(F.col("ord") < 1_000_000_000)
+    target = silver.keep_latest(first, "id", ["ord"], tiebreak=[])
+    src = (b.filter(F.col("ord") >= 1_000_000_000).drop("price")
+           .withColumn("channel", F.lit("replay")))
+    return incremental.incremental_model(src, target, "id", "ord").select(
+        "ord", "id", "prio", "status", "channel")
+
+
+_CDC_SQL = W(fx.F1_SQL) + """,
+ch AS (SELECT ord AS seq, id, prio, price,
+              CASE WHEN ord < 1000000000 THEN 'I' WHEN ord % 2 = 0 THEN 'D' ELSE 'U' END AS op
+       FROM f1 WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
+latest AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+SELECT seq, id, prio, price FROM latest WHERE op <> 'D'"""
+
+
+@register("cdc_apply", _CDC_SQL)
+def cdc_apply(spark, sf_dir):
+    """Insert / update / delete feed applied per key (latest change wins)."""
+    b = silver.require_keys(fx.messy_orders(spark, sf_dir), "id")
+    ch = b.select(F.col("ord").alias("seq"), "id", "prio", "price",
+                  F.when(F.col("ord") < 1_000_000_000, "I").when(F.col("ord") % 2 == 0, "D")
+                  .otherwise("U").alias("op"))
+    return incremental.cdc_apply(None, ch, "id", op_col="op", order_col="seq")
+
+
+@register("snapshot_history", f"""
+SELECT o_custkey, o_orderkey, o_orderstatus, strftime(o_orderdate, {TS}) AS valid_from,
+       strftime(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), {TS})
+         AS valid_to,
+       lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current
+FROM orders""")
+def snapshot_history(spark, sf_dir):
+    """D6 + W4: SCD-2 history of each customer's order state."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
+    h = incremental.snapshot_history(o, "o_custkey", "o_orderdate", ["o_orderkey"], bucket="month")
+    return h.select("o_custkey", "o_orderkey", "o_orderstatus",
+                    ts_text("valid_from").alias("valid_from"), ts_text("valid_to").alias("valid_to"),
+                    "is_current")
+
+
+_RETENTION_DAYS = {"bronze": 7, "silver": 14, "gold": 21}
+_EV_LAYER = F.element_at(F.array(*[F.lit(x) for x in fx.LAYERS]), (F.col("event_id") % 3 + 1).cast("int"))
+_EV_LAYER_SQL = "CASE event_id % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END"
+_EV_DAYS_SQL = "CASE event_id % 3 WHEN 0 THEN 7 WHEN 1 THEN 14 ELSE 21 END"
+
+
+def _layered_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("layer", _EV_LAYER)
+
+
+@register("retention_report", f"""
+SELECT {_EV_LAYER_SQL} AS layer,
+       count(*) FILTER (WHERE ts >= TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})) AS kept_rows,
+       count(*) FILTER (WHERE ts < TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})) AS expired_rows,
+       min({_EV_DAYS_SQL}) AS retention_days
+FROM events GROUP BY 1""")
+def retention_report(spark, sf_dir):
+    """I4: rows kept / expired per layer at the pinned ``as_of`` (7/14/21 days)."""
+    return incremental.retention_report(_layered_events(spark, sf_dir), "layer", "ts",
+                                        _RETENTION_DAYS, as_of=AS_OF)
+
+
+@register("retention_keep", f"""
+SELECT event_id, ts, user_id, event_type, {_EV_LAYER_SQL} AS layer FROM events
+WHERE ts >= TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})""")
+def retention_keep(spark, sf_dir):
+    """The rows that survive expiry (the rest is archived)."""
+    ev = _layered_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "layer")
+    days = F.element_at(F.create_map(*[x for k, v in _RETENTION_DAYS.items() for x in (F.lit(k), F.lit(v))]),
+                        F.col("layer"))
+    kept, _ = incremental.retention_split(ev, "ts", days, as_of=AS_OF)
+    return kept
+
+
+@register("erase_subject", """
+SELECT event_id, user_id, event_type FROM events
+WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 90)""")
+def erase_subject(spark, sf_dir):
+    """Remove every row of the subjects who asked to be erased (anti join)."""
+    ev = table(spark, sf_dir, "events")
+    subjects = ev.filter((F.col("event_type") == "signup") & (F.col("value") >= 90)).select("user_id")
+    return incremental.erase_subjects(ev.select("event_id", "user_id", "event_type"), subjects, "user_id")
+
+
+# ---------------------------------------------------------------- privacy
+
+_SALT = "strata-salt"
+
+
+@register("masked_customers", f"""
+SELECT sha256('{_SALT}' || CAST(c_custkey AS VARCHAR)) AS customer_token,
+       regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'),
+                      '[0-9]', 'n', 'g') AS masked_name,
+       c_nationkey, c_mktsegment FROM customer""")
+def masked_customers(spark, sf_dir):
+    """Masking (``mask``) and salted tokenising (``sha2``) of personal columns."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.sha2(F.concat(F.lit(_SALT), F.col("c_custkey").cast("string")), 256)
+                    .alias("customer_token"),
+                    F.mask("c_name").alias("masked_name"), "c_nationkey", "c_mktsegment")
+
+
+# Patterns for personal data detection (find anywhere in the text).
+PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "phone": r"[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}",
+}
+
+
+@register("pii_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS pii_type, count(*) AS row_count, "
+    f"count(*) FILTER (WHERE regexp_matches({c}, '{v}')) AS matching_rows, "
+    f"round(count(*) FILTER (WHERE regexp_matches({c}, '{v}')) / count(*), 6) AS match_rate FROM documents"
+    for c in ("text", "source") for k, v in PII_PATTERNS.items()))
+def pii_columns(spark, sf_dir):
+    """Q13: share of rows of each text column that contain personal data."""
+    d = table(spark, sf_dir, "documents").select("text", "source")
+    return quality.pii_scan(d, ["text", "source"], PII_PATTERNS)
