@@ -144,3 +144,19 @@ def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFr
     return (base.join(upstream_counts, "table_name", "left")
             .join(acc, "table_name", "left").join(chk, "table_name", "left")
             .withColumn("upstream_edges", F.coalesce("upstream_edges", F.lit(0)).cast("long")))
+
+
+QUALITY_SCHEMA = T.StructType([
+    T.StructField("timestamp", T.TimestampNTZType()), T.StructField("table_name", T.StringType()),
+    T.StructField("check_name", T.StringType()), T.StructField("check_type", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("passed_count", T.LongType()),
+    T.StructField("failed_count", T.LongType()), T.StructField("error_rate", T.DoubleType()),
+])
+
+
+def log_quality(results: DataFrame, root: str, as_of: _dt.datetime | None = None) -> None:
+    """G13 quality side: append check-result rows (Q11 shape) to the log."""
+    ts = F.lit(as_of or _dt.datetime.now()).cast("timestamp_ntz")
+    results.select(ts.alias("timestamp"), "table_name", "check_name", "check_type", "status",
+                   "passed_count", "failed_count", "error_rate") \
+        .write.mode("append").parquet(f"{root}/quality_log")

@@ -164,3 +164,63 @@ def flow_access_rows(flows: DataFrame, user: str = "system") -> DataFrame:
     x = flows.select("run_id", "timestamp", ms.alias("duration_ms"), F.inline(pairs))
     return (x.filter(F.coalesce(F.col("rows_affected"), F.lit(0)) != 0)
             .withColumn("user", F.lit(user)).withColumn("status", F.lit("success")))
+
+
+# ---------------------------------------------------------------- write side
+
+RUN_EVENT_SCHEMA = T.StructType([
+    T.StructField("run_id", T.LongType()), T.StructField("pipeline_name", T.StringType()),
+    T.StructField("run_type", T.StringType()), T.StructField("status", T.StringType()),
+    T.StructField("event_ts", T.TimestampNTZType()), T.StructField("error_message", T.StringType()),
+    T.StructField("metadata", T.StringType()),
+])
+FLOW_SCHEMA = T.StructType([
+    T.StructField("run_id", T.LongType()), T.StructField("source_table", T.StringType()),
+    T.StructField("target_table", T.StringType()), T.StructField("records_read", T.LongType()),
+    T.StructField("records_written", T.LongType()), T.StructField("bytes_read", T.LongType()),
+    T.StructField("bytes_written", T.LongType()), T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("timestamp", T.TimestampNTZType()),
+])
+# Run statuses of the reference.
+RUN_STATUS = ("running", "success", "failed", "partial")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from strata.sinks.writers import _fs
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
+def start_run(spark: SparkSession, root: str, pipeline_name: str, run_type: str = "batch",
+              metadata: dict | None = None, as_of: _dt.datetime | None = None) -> int:
+    """Append a ``running`` event; the run id is max + 1 (single writer)."""
+    path = f"{root}/run_events"
+    last = (spark.read.schema(RUN_EVENT_SCHEMA).parquet(path).agg(F.max("run_id")).first()[0]
+            if _exists(spark, path) else None)
+    run_id = (last or 0) + 1
+    row = (run_id, pipeline_name, run_type, "running", as_of or _dt.datetime.now(), None,
+           json.dumps(metadata) if metadata else None)
+    spark.createDataFrame([row], RUN_EVENT_SCHEMA).write.mode("append").parquet(path)
+    return run_id
+
+
+def complete_run(spark: SparkSession, root: str, run_id: int, pipeline_name: str, status: str = "success",
+                 error_message: str | None = None, run_type: str = "batch",
+                 as_of: _dt.datetime | None = None) -> None:
+    """Append the final event of a run (success / failed / partial)."""
+    if status not in RUN_STATUS:
+        raise ValueError(status)
+    row = (run_id, pipeline_name, run_type, status, as_of or _dt.datetime.now(), error_message, None)
+    spark.createDataFrame([row], RUN_EVENT_SCHEMA).write.mode("append").parquet(f"{root}/run_events")
+
+
+def record_flow(spark: SparkSession, root: str, run_id: int, source: str, target: str,
+                records_read: int | None, records_written: int | None, bytes_read: int | None = None,
+                bytes_written: int | None = None, duration_seconds: float | None = None,
+                user: str = "system", as_of: _dt.datetime | None = None) -> None:
+    """Append a flow and the access rows it implies (non-zero counts only)."""
+    row = (run_id, source, target, records_read, records_written, bytes_read, bytes_written,
+           duration_seconds, as_of or _dt.datetime.now())
+    flow = spark.createDataFrame([row], FLOW_SCHEMA)
+    flow.write.mode("append").parquet(f"{root}/data_flows")
+    flow_access_rows(flow, user).write.mode("append").parquet(f"{root}/data_access_log")

@@ -417,13 +417,14 @@ def snapshot_history(spark, sf_dir):
 
 
 _RETENTION_DAYS = {"bronze": 7, "silver": 14, "gold": 21}
-_EV_LAYER = F.element_at(F.array(*[F.lit(x) for x in fx.LAYERS]), (F.col("event_id") % 3 + 1).cast("int"))
+def _ev_layer():
+    return F.element_at(F.array(*[F.lit(x) for x in fx.LAYERS]), (F.col("event_id") % 3 + 1).cast("int"))
 _EV_LAYER_SQL = "CASE event_id % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END"
 _EV_DAYS_SQL = "CASE event_id % 3 WHEN 0 THEN 7 WHEN 1 THEN 14 ELSE 21 END"
 
 
 def _layered_events(spark, sf_dir):
-    return table(spark, sf_dir, "events").withColumn("layer", _EV_LAYER)
+    return table(spark, sf_dir, "events").withColumn("layer", _ev_layer())
 
 
 @register("retention_report", f"""
