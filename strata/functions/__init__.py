@@ -4,6 +4,7 @@ from strata.functions.scalar import (  # noqa: F401
     as_of_ts,
     blank,
     digits_only,
+    epoch_seconds,
     file_stem,
     fqn,
     not_blank,

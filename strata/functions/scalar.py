@@ -72,3 +72,10 @@ def as_of_ts(as_of) -> Column:
     if isinstance(as_of, (_dt.datetime, _dt.date)):
         return F.lit(as_of).cast("timestamp_ntz")
     return F.lit(str(as_of)).cast("timestamp_ntz")
+
+
+def epoch_seconds(c) -> Column:
+    """Whole seconds since 1970-01-01 of a ``timestamp_ntz`` (floor for
+    positive instants), independent of the session time zone."""
+    c = _c(c).cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)

@@ -43,6 +43,11 @@ def register_transformation(spark: SparkSession, root: str, source: str, target:
 
 # ---------------------------------------------------------------- walk
 
+# A frontier of at most this many node names (tens of bytes each) is
+# broadcast; the count is known exactly because each frontier is checkpointed.
+BROADCAST_FRONTIER_ROWS = 1_000_000
+
+
 def walk(edges: DataFrame, start: str, direction: str = "upstream", *,
          max_depth: int = DEFAULT_MAX_DEPTH, limit: int | None = None) -> DataFrame:
     """Every edge reachable from ``start``, with the BFS depth of the node
@@ -52,27 +57,44 @@ def walk(edges: DataFrame, start: str, direction: str = "upstream", *,
     * all parallel edges of an expanded node are emitted;
     * edges of nodes at depth ``0..max_depth`` are emitted;
     * ``limit`` (L4) optionally cuts the result, ordered by depth then newest.
+
+    The edge projection is checkpointed once.  Per level: the level's edges
+    (edges ⋈ frontier) and the next frontier (their far ends minus visited)
+    are checkpointed, and the frontier is counted.  A frontier under
+    ``BROADCAST_FRONTIER_ROWS`` is broadcast (size proven by the count);
+    a larger one is hash-partitioned and joined with the edges, which are
+    then partitioned once on the join key and reused by every later level.
     """
     up = direction == "upstream"
     near, far = ("target_table", "source_table") if up else ("source_table", "target_table")
     spark = edges.sparkSession
     e = edges.select("source_table", "target_table", "transformation_type", "pipeline_name",
                      "created_at")
-    frontier = spark.createDataFrame([(start,)], "node string")
-    visited = frontier
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The edge list is read once per level: materialise its projection once.
+    e = cut_lineage(e)
+    e_by_near = None
+    frontier, f_rows = spark.createDataFrame([(start,)], "node string"), 1
+    visited = [frontier]
     levels = []
     for depth in range(max_depth + 1):
-        hits = e.join(frontier, e[near] == frontier["node"], "left_semi")
+        if f_rows <= BROADCAST_FRONTIER_ROWS:
+            hits = e.join(F.broadcast(frontier), e[near] == frontier["node"], "left_semi")
+        else:
+            if e_by_near is None:
+                e_by_near = cut_lineage(e.repartition(n_parts, near))
+            fr = frontier.repartition(n_parts, "node")
+            hits = e_by_near.join(fr, e_by_near[near] == fr["node"], "left_semi")
         hits = cut_lineage(hits.withColumn("depth", F.lit(depth)))
         levels.append(hits)
         if depth == max_depth:
             break
-        nxt = (hits.select(F.col(far).alias("node")).distinct()
-               .join(visited, "node", "left_anti"))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        seen = reduce(DataFrame.unionByName, visited)
+        nxt = cut_lineage(hits.select(F.col(far).alias("node")).distinct().join(seen, "node", "left_anti"))
+        f_rows = nxt.count()
+        if f_rows == 0:
             break
-        visited = cut_lineage(visited.unionByName(nxt))
+        visited.append(nxt)
         frontier = nxt
     out = reduce(DataFrame.unionByName, levels)
     if limit is not None:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.scalar import as_of_ts
+from strata.functions.scalar import as_of_ts, epoch_seconds
 from strata.operators.sequence import next_in_sequence, previous_in_sequence
 
 # Thresholds of the reference's alert rules.
@@ -69,7 +69,7 @@ def bucket_index(bucket_col: str = "bucket", seconds: int | None = None) -> Colu
     b = F.col(bucket_col)
     if seconds is None:
         return F.year(b) * 12 + F.month(b)
-    return F.floor(F.unix_micros(b.cast("timestamp")) / F.lit(seconds * 1_000_000))
+    return F.floor(epoch_seconds(b) / F.lit(seconds))
 
 
 def sustained(summary: DataFrame, labels: Sequence[str], cond: Column, seconds: int | None,
@@ -124,7 +124,7 @@ def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold:
     trans = s.filter(F.col("_prev_bad").isNull() | (F.col("_prev_bad") != F.col("_bad")))
     trans = next_in_sequence(trans, [label], ts, tiebreak, out_col="_next_ts", bucket=bucket_unit)
     end = F.coalesce(F.col("_next_ts"), as_of_ts(as_of))
-    dur = F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(F.col(ts).cast("timestamp"))
+    dur = epoch_seconds(end) - epoch_seconds(F.col(ts))
     return (trans.filter(F.col("_bad"))
             .select(label, F.col(ts).alias("start"), F.col("_next_ts").alias("end"),
                     dur.alias("duration_s"))
@@ -149,6 +149,5 @@ def freshness(df: DataFrame, label: str, ts: str, as_of=None,
               max_age_s: int = STALE_AFTER_SECONDS) -> DataFrame:
     """Last update per dataset and its age at ``as_of``."""
     last = df.groupBy(label).agg(F.max(ts).alias("last_update"))
-    age = (F.unix_seconds(as_of_ts(as_of).cast("timestamp"))
-           - F.unix_seconds(F.col("last_update").cast("timestamp")))
+    age = epoch_seconds(as_of_ts(as_of)) - epoch_seconds(F.col("last_update"))
     return last.withColumn("age_s", age).withColumn("stale", F.col("age_s") > max_age_s)

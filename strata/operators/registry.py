@@ -172,15 +172,19 @@ def governance_summary(current: DataFrame, layers: Sequence[str] = ("bronze", "s
     Table names are listed by :func:`list_tables`, not packed into one row.
     """
     spark = current.sparkSession
-    base = spark.createDataFrame([(x,) for x in layers], "schema_name string")
-    # a layer without tables joins to one all-null row: count(_t) is then 0
-    per = (base.join(current.select("schema_name", "row_count", F.lit(1).alias("_t")),
-                     "schema_name", "left")
-           .rollup("schema_name")
-           .agg(F.count("_t").alias("table_count"),
+    # Aggregate first (partial aggregation: a layer holding most tables costs
+    # one row per map task), then attach the fixed list of layers so empty
+    # layers appear with zeros, then add the total over that small result.
+    per = (current.filter(F.col("schema_name").isin(list(layers))).groupBy("schema_name")
+           .agg(F.count(F.lit(1)).alias("table_count"),
                 F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("total_records")))
-    return per.select(F.coalesce("schema_name", F.lit("_total")).alias("layer"), "table_count",
-                      "total_records")
+    base = spark.createDataFrame([(x,) for x in layers], "schema_name string")
+    full = base.join(per, "schema_name", "left").fillna(0, ["table_count", "total_records"])
+    return (full.rollup("schema_name")
+            .agg(F.sum("table_count").cast("long").alias("table_count"),
+                 F.sum("total_records").cast("long").alias("total_records"))
+            .select(F.coalesce("schema_name", F.lit("_total")).alias("layer"), "table_count",
+                    "total_records"))
 
 
 def export_rows(current: DataFrame, columns: DataFrame) -> DataFrame:

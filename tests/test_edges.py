@@ -150,3 +150,13 @@ def test_sustained_islands(spark):
                                "label string, bucket timestamp_ntz, amount int")
     isl = monitoring.sustained(df, ["label"], F.col("amount") >= 4, 3600, 3).orderBy("start").collect()
     assert [(r["buckets"], r["amount"]) for r in isl] == [(3, 15), (4, 20)]
+
+
+def test_lineage_large_frontier_path(spark, monkeypatch):
+    rows = [(f"t{n}", f"t{n // 3}", "derive") for n in range(1, 400)]
+    rows += [(f"t{n}", f"t{n // 2}", "join") for n in range(5, 400, 5)]
+    e = _edges(spark, rows)
+    a = sorted(tuple(r) for r in lineage.walk(e, "t1", "upstream", max_depth=4).collect())
+    monkeypatch.setattr(lineage, "BROADCAST_FRONTIER_ROWS", 0)
+    b = sorted(tuple(r) for r in lineage.walk(e, "t1", "upstream", max_depth=4).collect())
+    assert a == b and len(a) > 100
