@@ -186,8 +186,8 @@ def runs_current(spark, sf_dir):
 
 
 @register("run_history", W(fx.RUNS_SQL) + """
-SELECT pipeline_name, run_id, status, row_number() OVER (
-         PARTITION BY pipeline_name ORDER BY started_at DESC, run_id DESC) AS rank
+SELECT pipeline_name, run_id, status, CAST(row_number() OVER (
+         PARTITION BY pipeline_name ORDER BY started_at DESC, run_id DESC) AS INTEGER) AS rank
 FROM runs QUALIFY rank <= 10""")
 def run_history(spark, sf_dir):
     """The 10 newest runs of every pipeline in one job."""

@@ -319,7 +319,8 @@ def quarantine_rows(spark, sf_dir):
 SELECT (SELECT count(*) FROM f1) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
        (SELECT count(*) FROM silver) AS gold_total,
        (SELECT count(DISTINCT coalesce(prio, 'unknown')) FROM silver) AS gold_groups,
-       (SELECT count(*) FROM silver) AS member_rows, 0 AS missing_in_gold, 0 AS extra_in_gold,
+       (SELECT count(*) FROM silver) AS member_rows, CAST(0 AS BIGINT) AS missing_in_gold,
+       CAST(0 AS BIGINT) AS extra_in_gold,
        true AS conserved""")
 def layer_reconcile(spark, sf_dir):
     """U3 + U4 + Q10: the layer invariants of one medallion run."""
