@@ -6,13 +6,17 @@ Here the window runs per ``(key, time bucket)`` instead, and the rows at
 bucket edges are completed from a per-bucket summary:
 
 1. window per (key, bucket): neighbour inside the bucket;
-2. summary per (key, bucket) by partial aggregation (first / last row of the
-   bucket) - its size is the number of buckets, not rows;
+2. summary per (key, bucket) by partial aggregation (the bucket's first or
+   last value) - the shuffle carries one row per (key, bucket) per map task;
 3. ``lag``/``lead`` over the summary per key gives the neighbouring bucket's
    edge row (one row per bucket per key: small even for a hot key);
 4. join the summary back on (key, bucket) - the same partitioning the window
    already produced, so only the small side moves.
 
+The summary re-reads the input (a pruned scan) instead of sharing the
+window's shuffle: the pre-aggregated second shuffle is far smaller than the
+first, which is what matters when one key holds most rows.
+
 ``bucket=None`` gives the plain window (small data, or keys known to be
 evenly spread).  The bucket must be a ``date_trunc`` unit (``'hour'``,
 ``'day'``, ``'month'``...), fine enough that one key's bucket fits a task.
@@ -37,15 +41,21 @@ def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[s
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out_col, shift(F.col(value), 1).over(w))
 
-    b = F.date_trunc(bucket, F.col(ts))
-    x = df.withColumn(_B, b)
+    x = df.withColumn(_B, F.date_trunc(bucket, F.col(ts)))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     x = (x.withColumn("_seq_in", shift(F.col(value), 1).over(w))
          .withColumn("_seq_edge", shift(F.lit(1), 1).over(w).isNull()))
-    # Edge row of each bucket: first (for lead from the previous bucket) or last.
-    rank = F.struct(*order)
-    edge = (F.min_by(F.col(value), rank) if forward else F.max_by(F.col(value), rank))
-    summary = x.groupBy(*keys, _B).agg(edge.alias("_seq_edge_val"))
+    # The row each bucket hands to its neighbour: the first row (for lead) or
+    # the last row (for lag).  A partial aggregate, so the shuffle carries one
+    # row per (key, bucket) per map task.  For the timestamp itself a plain
+    # min / max suffices (fixed-width buffer: hash aggregation).
+    if value == ts:
+        edge = F.min(ts) if forward else F.max(ts)
+    else:
+        rank = F.struct(*order)
+        edge = F.min_by(F.col(value), rank) if forward else F.max_by(F.col(value), rank)
+    summary = df.withColumn(_B, F.date_trunc(bucket, F.col(ts))).groupBy(*keys, _B).agg(
+        edge.alias("_seq_edge_val"))
     ws = Window.partitionBy(*keys).orderBy(_B)
     summary = summary.select(*keys, _B, shift(F.col("_seq_edge_val"), 1).over(ws).alias("_seq_nb"))
     joined = x.join(summary, [*keys, _B], "left")
