@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (dedup keys, open windows / sessions) lives in RocksDB:
+    # off the JVM heap and spilled to local disk, checkpointed with the query.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -27,9 +27,11 @@ from strata.session import scratch_path
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet",
-               glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of the files arriving in ``path`` (explicit schema)."""
-    r = spark.readStream.schema(schema).format(fmt)
+               glob: str | None = None, max_files_per_trigger: int | None = None,
+               recursive: bool = False) -> DataFrame:
+    """A stream of the files arriving in ``path`` (explicit schema);
+    ``max_files_per_trigger`` bounds each micro-batch."""
+    r = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", recursive)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
