@@ -205,24 +205,35 @@ def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame, members: Da
     """U3 + U4: one row of layer invariants.
 
     * ``missing_in_gold`` / ``extra_in_gold``: silver keys not in the gold
-      member table and vice versa (multiset ``exceptAll`` both ways);
+      member table and vice versa, as multisets;
     * ``conserved``: sum(gold.count) = silver rows = member rows <= bronze rows.
+
+    The key comparison is one shuffle: silver keys tagged (1, 0) and member
+    keys tagged (0, 1) are summed per key (partially aggregated, so a key
+    repeated many times costs one row per map task); the surplus on either
+    side counts as missing or extra.  Row counts fall out of the same pass.
     """
-    s_ids = silver.select(F.col(key).alias("_k"))
-    m_ids = members.select(F.col(key).alias("_k"))
-    missing = s_ids.exceptAll(m_ids).agg(F.count(F.lit(1)).alias("missing_in_gold"))
-    extra = m_ids.exceptAll(s_ids).agg(F.count(F.lit(1)).alias("extra_in_gold"))
+    tagged = (silver.select(F.col(key).alias("_k"), F.lit(1).alias("_s"), F.lit(0).alias("_m"))
+              .unionByName(members.select(F.col(key).alias("_k"), F.lit(0).alias("_s"),
+                                          F.lit(1).alias("_m"))))
+    per_key = tagged.groupBy("_k").agg(F.sum("_s").alias("_s"), F.sum("_m").alias("_m"))
+    ids = per_key.agg(F.sum("_s").cast("long").alias("silver_rows"),
+                      F.sum("_m").cast("long").alias("member_rows"),
+                      F.sum(F.greatest(F.col("_s") - F.col("_m"), F.lit(0))).cast("long").alias("missing_in_gold"),
+                      F.sum(F.greatest(F.col("_m") - F.col("_s"), F.lit(0))).cast("long").alias("extra_in_gold"))
     counts = [bronze.agg(F.count(F.lit(1)).alias("bronze_rows")),
-              silver.agg(F.count(F.lit(1)).alias("silver_rows")),
               gold.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("long").alias("gold_total"),
                        F.count(F.lit(1)).alias("gold_groups")),
-              members.agg(F.count(F.lit(1)).alias("member_rows")),
-              missing, extra]
+              ids]
     # Each side is a global aggregate of exactly one row: zip them on a constant.
     out = counts[0].withColumn("_one", F.lit(1))
     for c in counts[1:]:
         out = out.join(c.withColumn("_one", F.lit(1)), "_one")
-    out = out.drop("_one")
+    out = out.drop("_one").select("bronze_rows", F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"),
+                                  "gold_total", "gold_groups",
+                                  F.coalesce("member_rows", F.lit(0)).alias("member_rows"),
+                                  F.coalesce("missing_in_gold", F.lit(0)).alias("missing_in_gold"),
+                                  F.coalesce("extra_in_gold", F.lit(0)).alias("extra_in_gold"))
     ok = ((F.col("gold_total") == F.col("silver_rows")) & (F.col("member_rows") == F.col("silver_rows"))
           & (F.col("silver_rows") <= F.col("bronze_rows")) & (F.col("missing_in_gold") == 0)
           & (F.col("extra_in_gold") == 0))

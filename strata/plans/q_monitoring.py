@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import ts_text
-from strata.operators import gold, lineage, monitoring as mon, quality, silver
+from strata.operators import gold, lineage, monitoring as mon, quality
 from strata.plans import fixtures as fx
 from strata.plans.queries import AS_OF, f1_layers, register
 from strata.sources.files import list_files
