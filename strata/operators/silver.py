@@ -49,6 +49,21 @@ def filter_since(df: DataFrame, ts_col: str, watermark, inclusive: bool = False)
 # ---------------------------------------------------------------- dedup
 
 
+def _pick(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> DataFrame:
+    """Per key, the row with the smallest / largest ``order`` tuple.
+
+    ``min``/``max`` over one struct that starts with the ordering columns and
+    carries the rest of the row: the struct order is the row order, and the
+    partial aggregate collapses each key on the map side before the shuffle.
+    Remaining ties are broken by the other columns, so the pick is
+    deterministic.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    row = F.struct(*[F.col(c) for c in order + rest])
+    picked = df.groupBy(*keys).agg((F.max(row) if largest else F.min(row)).alias("_row"))
+    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in order + rest]).select(*df.columns)
+
+
 def keep_first(df: DataFrame, key: str | Sequence[str], order_col: str = "_ord") -> DataFrame:
     """First row per key in ``order_col`` order (the key is not trimmed).
 
@@ -56,40 +71,33 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order_col: str = "_ord")
     callers drop them first with :func:`require_keys`.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_row")))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    return _pick(df, keys, [order_col], largest=False)
 
 
 def keep_first_with_count(df: DataFrame, key: str | Sequence[str],
                           order_col: str = "_ord") -> DataFrame:
     """D1 plus ``_copies``: how many rows shared the key (duplicates + 1)."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_row"),
-                   F.count(F.lit(1)).alias("_copies")))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest], "_copies")
+    rest = [c for c in df.columns if c not in keys and c != order_col]
+    row = F.struct(F.col(order_col), *[F.col(c) for c in rest])
+    picked = df.groupBy(*keys).agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in [order_col] + rest], "_copies")
 
 
 def keep_latest(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str],
                 tiebreak: Sequence[str] | str = "all") -> DataFrame:
     """The latest row per key: greatest ``order_by`` tuple.
 
-    Ties are broken by the remaining columns (``'all'``) or the given ones, so
-    the answer is deterministic even when rows share the timestamp.  Equal to
-    ``row_number() over (partition by key order by .. desc) = 1`` without a
-    per-key sort of the whole group.
+    Ties are broken by the remaining columns (``'all'``) or the given ones
+    first, so the answer is deterministic even when rows share the
+    timestamp.  Equal to ``row_number() over (partition by key order by ..
+    desc) = 1`` without sorting a whole key group in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order_by = list(order_by)
     if tiebreak == "all":
         tiebreak = [c for c in df.columns if c not in keys and c not in order_by]
-    rank = F.struct(*[F.col(c) for c in order_by + list(tiebreak)])
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    return _pick(df, keys, order_by + [c for c in tiebreak if c not in order_by], largest=True)
 
 
 def distinct_rows(df: DataFrame, exclude_prefix: str = "_") -> DataFrame:

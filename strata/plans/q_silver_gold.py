@@ -491,4 +491,4 @@ PII_PATTERNS = {
 def pii_columns(spark, sf_dir):
     """Q13: share of rows of each text column that contain personal data."""
     d = table(spark, sf_dir, "documents").select("text", "source")
-    return quality.pii_scan(d, ["text", "source"], PII_PATTERNS)
+    return quality.pii_scan(d, ["text", "source"], PII_PATTERNS, required={"email": "@"})
