@@ -47,10 +47,13 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int | None:
 
 def save_table(df: DataFrame, name: str, *, fmt: str = "parquet", mode: str = "overwrite",
                partition_by: Sequence[str] | None = None,
-               bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
-    """K6: a named table in the session catalog, optionally bucketed so later
-    joins on the bucket key co-locate without a shuffle."""
+               bucket_by: tuple[int, Sequence[str]] | None = None, path: str | None = None) -> None:
+    """A named table in the session catalog, optionally bucketed so
+    later joins on the bucket key co-locate without a shuffle; ``path`` makes
+    it an external table at that location."""
     w = df.write.format(fmt).mode(mode)
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:

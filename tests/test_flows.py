@@ -86,3 +86,20 @@ def test_partitioned_and_dynamic_overwrite(spark, tmp):
     write(fix, path, partition_by=["region", "date"], dynamic_partitions=True)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("region", F.col("date").cast("string"), "v").collect())
     assert got == [("N", "2024-01-01", 1), ("N", "2024-01-02", 30), ("S", "2024-01-01", 2)]
+
+
+def test_save_bucketed_table_and_join_without_shuffle(spark, tmp):
+    from strata.sinks.writers import save_table
+    a = spark.range(1000).withColumn("v", F.col("id") % 7)
+    save_table(a, "strata_t_a", bucket_by=(4, ["id"]), path=os.path.join(tmp, "a"))
+    save_table(a, "strata_t_b", bucket_by=(4, ["id"]), path=os.path.join(tmp, "b"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = spark.table("strata_t_a").join(spark.table("strata_t_b"), "id")
+        assert j.count() == 1000
+        p = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in p                  # co-located by bucketing
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS strata_t_a")
+        spark.sql("DROP TABLE IF EXISTS strata_t_b")
