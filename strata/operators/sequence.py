@@ -17,8 +17,11 @@ The summary re-reads the input (a pruned scan) instead of sharing the
 window's shuffle: the pre-aggregated second shuffle is far smaller than the
 first, which is what matters when one key holds most rows.
 
-``bucket=None`` gives the plain window (small data, or keys known to be
-evenly spread).  The bucket must be a ``date_trunc`` unit (``'hour'``,
+Only hot keys need this: keys above ``HOT_KEY_ROWS`` rows are found with a
+partial-aggregate count (at most rows / ``HOT_KEY_ROWS`` of them; their count
+is checked before they are broadcast), take the bucketed path, and every
+other key takes the plain window, which is cheapest when no key is large.
+``bucket=None`` gives the plain window for all keys.  The bucket must be a ``date_trunc`` unit (``'hour'``,
 ``'day'``, ``'month'``...), fine enough that one key's bucket fits a task.
 """
 
@@ -32,15 +35,27 @@ from pyspark.sql import functions as F
 _B = "_seq_bucket"
 
 
-def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
-               value: str, out_col: str, bucket: str | None, forward: bool) -> DataFrame:
-    keys, tiebreak = list(keys), list(tiebreak)
-    order = [F.col(ts)] + [F.col(c) for c in tiebreak]
-    shift = F.lead if forward else F.lag
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out_col, shift(F.col(value), 1).over(w))
+# A key with more rows than this is "hot": its rows are spread over
+# (key, time bucket) groups instead of one task.
+HOT_KEY_ROWS = 2_000_000
+# At most this many hot keys are broadcast (their count is checked first);
+# with more, every key takes the bucketed path.
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys holding more than ``min_rows`` rows (partial aggregation; the
+    result has at most ``rows / min_rows`` entries)."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > min_rows).select(*keys))
+
+
+def _plain(df, keys, order, value, out_col, shift):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(out_col, shift(F.col(value), 1).over(w))
 
+
+def _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift):
     x = df.withColumn(_B, F.date_trunc(bucket, F.col(ts)))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     x = (x.withColumn("_seq_in", shift(F.col(value), 1).over(w))
@@ -64,15 +79,43 @@ def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[s
             .drop(_B, "_seq_in", "_seq_edge", "_seq_nb"))
 
 
+def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
+               value: str, out_col: str, bucket: str | None, forward: bool,
+               hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    keys, tiebreak = list(keys), list(tiebreak)
+    order = [F.col(ts)] + [F.col(c) for c in tiebreak]
+    shift = F.lead if forward else F.lag
+    if bucket is None:
+        return _plain(df, keys, order, value, out_col, shift)
+    if hot_rows is None:
+        return _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift)
+    hot = hot_keys(df, keys, hot_rows)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _plain(df, keys, order, value, out_col, shift)
+    if n_hot > MAX_HOT_KEYS:
+        return _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift)
+    hot = F.broadcast(hot)           # size proven by the count above
+    cold_rows = df.join(hot, keys, "left_anti")
+    hot_rows_df = df.join(hot, keys, "left_semi")
+    return _plain(cold_rows, keys, order, value, out_col, shift).unionByName(
+        _bucketed(hot_rows_df, keys, ts, order, value, out_col, bucket, forward, shift))
+
+
 def next_in_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),
                      *, value: str | None = None, out_col: str = "next_ts",
-                     bucket: str | None = "day") -> DataFrame:
-    """``lead(value)`` per key in ``(ts, tiebreak)`` order (value defaults to ts)."""
-    return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=True)
+                     bucket: str | None = "day", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """``lead(value)`` per key in ``(ts, tiebreak)`` order (value defaults to ts).
+
+    ``hot_rows``: keys above this many rows take the bucketed path, the rest
+    a plain window (``None``: every key bucketed; ``bucket=None``: plain)."""
+    return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=True,
+                      hot_rows=hot_rows)
 
 
 def previous_in_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),
                          *, value: str | None = None, out_col: str = "prev_value",
-                         bucket: str | None = "day") -> DataFrame:
-    """``lag(value)`` per key in ``(ts, tiebreak)`` order."""
-    return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=False)
+                         bucket: str | None = "day", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """``lag(value)`` per key in ``(ts, tiebreak)`` order (see ``next_in_sequence``)."""
+    return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=False,
+                      hot_rows=hot_rows)

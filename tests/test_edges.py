@@ -129,8 +129,8 @@ def test_gates(spark):
         quality.enforce(quality.score_gate(spark.createDataFrame([(0.5,)], "retention double")))
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", None])
-def test_sequence_helpers_match_window(spark, bucket):
+@pytest.mark.parametrize("bucket,hot_rows", [("hour", None), ("day", None), ("day", 200), (None, None)])
+def test_sequence_helpers_match_window(spark, bucket, hot_rows):
     rnd = random.Random(7)
     base = dt.datetime(2024, 1, 1)
     rows = [(rnd.choice([0, 0, 0, 1, 2]), base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 5)), i,
@@ -138,8 +138,10 @@ def test_sequence_helpers_match_window(spark, bucket):
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, v int")
     w = Window.partitionBy("k").orderBy("ts", "id")
     ref = df.select("id", F.lead("ts").over(w).alias("n"), F.lag("v").over(w).alias("p"))
-    got = next_in_sequence(df, ["k"], "ts", ["id"], out_col="n", bucket=bucket)
-    got = previous_in_sequence(got, ["k"], "ts", ["id"], value="v", out_col="p", bucket=bucket)
+    # hot_rows=200: key 0 (~60 % of rows) takes the bucketed path, keys 1-2 the plain window
+    got = next_in_sequence(df, ["k"], "ts", ["id"], out_col="n", bucket=bucket, hot_rows=hot_rows)
+    got = previous_in_sequence(got, ["k"], "ts", ["id"], value="v", out_col="p", bucket=bucket,
+                               hot_rows=hot_rows)
     assert sorted(tuple(r) for r in ref.collect()) == sorted(tuple(r) for r in got.select("id", "n", "p").collect())
 
 
