@@ -65,18 +65,20 @@ def run_medallion(spark: SparkSession, source: str, dataset: str, group_by: str,
 
 def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str, root: str,
                  gov_root: str, *, key: str = "id", user: str = "system", fmt: str = "json",
-                 as_of: _dt.datetime | None = None) -> FlowResult:
+                 if_exists: str = "error", as_of: _dt.datetime | None = None) -> FlowResult:
     """M2: M1 with registration, lineage, run tracking, flows, access rows
     and quality checks.  A failure is recorded on the run and re-raised.
 
-    Registration is validated *before* any data is written, so a second run
-    of the same dataset fails without touching the existing layers.
+    With ``if_exists='error'`` registration is validated *before* any data is
+    written, so a second run of the same dataset fails without touching the
+    existing layers.  ``'replace'`` re-runs (for instance after a failed run)
+    and registers new versions of the tables.
     """
     name = "governed_pipeline"
     layers = {"bronze": dataset, "silver": dataset, "gold": f"{dataset}_by_{group_by}"}
     current = registry.current_tables(registry.registry_tables(spark, gov_root))
     clash = current.filter(F.col("full_name").isin([registry.full_name(k, v) for k, v in layers.items()]))
-    if not clash.isEmpty():
+    if if_exists == "error" and not clash.isEmpty():
         raise ValueError(f"already registered: {[r.full_name for r in clash.select('full_name').collect()]}")
     run_id = lineage.start_run(spark, gov_root, name, metadata={"dataset": dataset}, as_of=as_of)
     audit.log_action(spark, gov_root, user, "start_pipeline", "pipeline", name, as_of=as_of)
@@ -89,7 +91,7 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
             path = res.paths[layer]
             registry.register_table(spark, gov_root, layer, tname, location=path, schema=res.schemas[layer],
                                     fmt=fmt, row_count=res.counts[layer], size_bytes=_size(spark, path),
-                                    as_of=as_of)
+                                    if_exists=if_exists, as_of=as_of)
             audit.log_action(spark, gov_root, user, "create_table", "table", fq[layer], as_of=as_of)
         for a, b, kind in (("bronze", "silver", "cleaning_and_deduplication"),
                            ("silver", "gold", "aggregation")):

@@ -330,3 +330,21 @@ def table_card(spark, sf_dir):
                             fx.quality_log(spark, sf_dir))
     return card.select("table_name", "schema_name", "row_count", "columns", "upstream_edges",
                        "latest_access", "latest_checks")
+
+
+@register("run_history_one", W(fx.RUNS_SQL) + f"""
+SELECT run_id, status, strftime(started_at, {TS}) AS started_at FROM runs
+WHERE pipeline_name = 'p_3' ORDER BY runs.started_at DESC, run_id DESC LIMIT 10""")
+def run_history_one(spark, sf_dir):
+    """G11 as the reference calls it: one pipeline's 10 newest runs."""
+    h = lineage.pipeline_history(lineage.current_runs(fx.run_events(spark, sf_dir)), "p_3", 10)
+    return h.select("run_id", "status", ts_text("started_at").alias("started_at"))
+
+
+@register("audit_by_user", W(fx.AUDIT_SQL) + f"""
+SELECT audit_id, strftime("timestamp", {TS}) AS "timestamp", action, resource_name, status FROM audit
+WHERE "user" = 'user_7' ORDER BY audit."timestamp" DESC, audit_id DESC LIMIT 100""")
+def audit_by_user(spark, sf_dir):
+    """G15 + P9: one user's newest 100 actions over every resource."""
+    t = audit.audit_trail(fx.audit_log(spark, sf_dir), user="user_7", limit=100)
+    return t.select("audit_id", ts_text("timestamp").alias("timestamp"), "action", "resource_name", "status")

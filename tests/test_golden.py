@@ -122,3 +122,13 @@ def test_failed_run_is_recorded(spark, tmp):
     assert runs[0]["status"] == "failed" and runs[0]["error_message"]
     trail = audit.audit_trail(spark.read.parquet(f"{gov}/audit_log").withColumn("audit_id", F.lit(1)))
     assert {r["status"] for r in trail.collect()} == {"success", "failed"}
+
+
+def test_governed_rerun_with_replace_adds_versions(spark, sample, tmp):
+    gov, lake = os.path.join(tmp, "gov"), os.path.join(tmp, "lake")
+    run_governed(spark, sample, "customers", "region", lake, gov, as_of=AS_OF)
+    res = run_governed(spark, sample, "customers", "region", lake, gov, if_exists="replace", as_of=AS_OF)
+    assert res.run_id == 2
+    cur = registry.current_tables(registry.registry_tables(spark, gov))
+    assert {r["version"] for r in cur.collect()} == {2}
+    assert {r["layer"]: r["total_records"] for r in registry.governance_summary(cur).collect()}["_total"] == 30
