@@ -91,19 +91,28 @@ def enrich_sales(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
 
 
 def revenue_expr() -> Column:
-    """Line revenue in exact decimal arithmetic.
+    """Line revenue, exactly, as a long count of 1e-4 currency units.
 
-    Money arrives as double with two decimals; summing doubles depends on the
-    order of addition, so a rounded total could differ between runs and
-    engines.  Decimal(15,2) inputs make every sum exact.
+    Money arrives as double with two decimals.  Summing doubles depends on the
+    order of addition, so rounded totals could differ between runs and
+    engines.  Cents and discount percent are exact integers, so their product
+    is exact.  Totals are summed as ``decimal(38,0)`` (see :func:`money`),
+    which cannot overflow and stays on Spark's long-backed decimal path.
     """
-    return (F.col("l_extendedprice").cast("decimal(15,2)")
-            * (1 - F.col("l_discount").cast("decimal(15,2)")))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    pct = F.round(F.col("l_discount") * 100).cast("long")
+    return cents * (F.lit(100) - pct)
 
 
-def money(c) -> Column:
-    """An exact decimal total, rounded to cents, as double."""
-    return F.round(c, 2).cast("double")
+def money(units_sum: Column, scale: int = 10000) -> Column:
+    """An exact total of integer ``units`` (``1 / scale`` of a currency unit),
+    rounded to cents (half up), as double."""
+    return F.round(units_sum / F.lit(scale).cast("decimal(10,0)"), 2).cast("double")
+
+
+def units_sum(c) -> Column:
+    """``sum`` of integer units as ``decimal(38,0)`` (no overflow)."""
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast("decimal(38,0)"))
 
 
 def sales_rollup(enriched: DataFrame) -> DataFrame:
@@ -112,7 +121,7 @@ def sales_rollup(enriched: DataFrame) -> DataFrame:
     ``level`` is 0 for detail rows, 1 for region totals, 3 for the grand total.
     """
     return (enriched.rollup("r_name", "n_name")
-            .agg(money(F.sum("revenue")).alias("revenue"),
+            .agg(money(units_sum("revenue")).alias("revenue"),
                  F.count(F.lit(1)).alias("lines"),
                  F.grouping_id().alias("level")))
 
@@ -121,6 +130,6 @@ def monthly_sales(enriched: DataFrame, dims: Sequence[str] = ("r_name",)) -> Dat
     """Time-bucketed gold (month x dimension): sum, average, count."""
     month = F.date_format(F.date_trunc("month", F.col("o_orderdate")), "yyyy-MM").alias("month")
     return (enriched.groupBy(month, *dims)
-            .agg(money(F.sum("revenue")).alias("revenue"),
+            .agg(money(units_sum("revenue")).alias("revenue"),
                  F.round(F.avg("l_quantity"), 6).alias("avg_qty"),
                  F.count(F.lit(1)).alias("lines")))

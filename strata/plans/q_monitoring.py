@@ -178,7 +178,8 @@ def dashboard_gold(spark, sf_dir):
                  F.count_if(F.col("event_type") == "purchase").alias("purchases"),
                  F.round(F.count_if(F.col("event_type") == "error") / F.lit(86400.0), 9)
                  .alias("error_rate_per_s"),
-                 gold.money(F.sum(F.col("value").cast("decimal(15,2)"))).alias("total_value"),
+                 gold.money(gold.units_sum(F.round(F.col("value") * 100).cast("long")), 100)
+                 .alias("total_value"),
                  F.count_distinct("user_id").alias("active_users")))
 
 

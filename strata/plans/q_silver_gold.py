@@ -143,7 +143,7 @@ FROM star GROUP BY 1, 2""")
 def star_enriched_sales(spark, sf_dir):
     """Fact joined to its customer / nation / region dimensions, by nation."""
     return (_star(spark, sf_dir).groupBy("r_name", "n_name")
-            .agg(F.count(F.lit(1)).alias("lines"), gold.money(F.sum("revenue")).alias("revenue"),
+            .agg(F.count(F.lit(1)).alias("lines"), gold.money(gold.units_sum("revenue")).alias("revenue"),
                  F.sum("l_quantity").alias("quantity")))
 
 
