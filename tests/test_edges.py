@@ -162,3 +162,42 @@ def test_lineage_large_frontier_path(spark, monkeypatch):
     monkeypatch.setattr(lineage, "BROADCAST_FRONTIER_ROWS", 0)
     b = sorted(tuple(r) for r in lineage.walk(e, "t1", "upstream", max_depth=4).collect())
     assert a == b and len(a) > 100
+
+
+def test_missing_group_is_unknown_and_empty_group_stays(spark, tmp):
+    from strata.operators import gold
+    p = os.path.join(tmp, "g.csv")
+    with open(p, "w") as f:
+        f.write(EDGE_CSV)
+    df = silver.keep_first(silver.require_keys(read_csv_strings(spark, p), "id"), "id")
+    groups = {r["region"]: r["count"] for r in gold.group_count(df, "region").collect()}
+    assert groups["unknown"] == 1          # short row: field absent
+    assert groups[""] == 1                 # row 6: field present but empty
+
+
+def test_empty_input(spark):
+    from strata.operators import gold
+    empty = spark.createDataFrame([], "id string, region string")
+    r = quality.retention_report(empty, "id").first()
+    assert (r["bronze_rows"], r["silver_rows"], r["retention"]) == (0, 0, 0.0)
+    assert gold.group_count(empty, "region").count() == 0
+    assert silver.keep_first(empty.withColumn("_ord", F.lit(1)), "id").count() == 0
+
+
+def test_merge_and_incremental_are_idempotent(spark):
+    tgt = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, ts int")
+    upd = spark.createDataFrame([(2, "B", 30), (3, "c", 31)], "k int, v string, ts int")
+    once = incremental.merge_upsert(tgt, upd, "k")
+    twice = incremental.merge_upsert(once, upd, "k")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    # incremental model: re-running with the same source adds nothing new
+    src = tgt.unionByName(upd)
+    first = incremental.incremental_model(src, None, "k", "ts")
+    again = incremental.incremental_model(src, first, "k", "ts")
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
+    # watermark state: the second batch after advancing is empty
+    ev = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))],
+                               "id int, ts timestamp_ntz")
+    st = incremental.next_state(incremental.new_rows(ev, "ts", "2023-12-31 00:00:00"), "ev", "ts",
+                                "2023-12-31 00:00:00")
+    assert incremental.new_rows(ev, "ts", incremental.watermark_of(st, "ev")).count() == 0
