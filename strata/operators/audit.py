@@ -31,15 +31,28 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+def action_row(user: str, action: str, resource_type: str, resource_name: str,
+               status: str = "success", details: dict | None = None,
+               as_of: _dt.datetime | None = None) -> tuple:
+    """One audit row (G13) for :func:`log_actions`."""
+    ts = as_of or _dt.datetime.now()
+    return (ts, user, action, resource_type, resource_name, status,
+            json.dumps(details) if details is not None else None, ts.date())
+
+
+def log_actions(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """Append audit rows in one write (one file per date, not per row)."""
+    if rows:
+        (spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
+         .partitionBy("date").parquet(f"{root}/audit_log"))
+
+
 def log_action(spark: SparkSession, root: str, user: str, action: str, resource_type: str,
                resource_name: str, status: str = "success", details: dict | None = None,
                as_of: _dt.datetime | None = None) -> None:
     """Append one audit row (date-partitioned)."""
-    ts = as_of or _dt.datetime.now()
-    row = (ts, user, action, resource_type, resource_name, status,
-           json.dumps(details) if details is not None else None, ts.date())
-    (spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("append").partitionBy("date")
-     .parquet(f"{root}/audit_log"))
+    log_actions(spark, root, [action_row(user, action, resource_type, resource_name, status,
+                                         details, as_of)])
 
 
 def _optional_filters(df: DataFrame, eq: dict, ts_col: str = "timestamp", start=None,

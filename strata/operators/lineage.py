@@ -236,13 +236,28 @@ def complete_run(spark: SparkSession, root: str, run_id: int, pipeline_name: str
     spark.createDataFrame([row], RUN_EVENT_SCHEMA).write.mode("append").parquet(f"{root}/run_events")
 
 
+def flow_row(run_id: int, source: str, target: str, records_read: int | None,
+             records_written: int | None, bytes_read: int | None = None, bytes_written: int | None = None,
+             duration_seconds: float | None = None, as_of: _dt.datetime | None = None) -> tuple:
+    """One data-flow row (G8) for :func:`record_flows`."""
+    return (run_id, source, target, records_read, records_written, bytes_read, bytes_written,
+            duration_seconds, as_of or _dt.datetime.now())
+
+
+def record_flows(spark: SparkSession, root: str, rows: list[tuple], user: str = "system") -> None:
+    """Append flows and the access rows they imply (non-zero counts only),
+    one write each."""
+    if not rows:
+        return
+    flows = spark.createDataFrame(rows, FLOW_SCHEMA).coalesce(1)
+    flows.write.mode("append").parquet(f"{root}/data_flows")
+    flow_access_rows(flows, user).coalesce(1).write.mode("append").parquet(f"{root}/data_access_log")
+
+
 def record_flow(spark: SparkSession, root: str, run_id: int, source: str, target: str,
                 records_read: int | None, records_written: int | None, bytes_read: int | None = None,
                 bytes_written: int | None = None, duration_seconds: float | None = None,
                 user: str = "system", as_of: _dt.datetime | None = None) -> None:
-    """Append a flow and the access rows it implies (non-zero counts only)."""
-    row = (run_id, source, target, records_read, records_written, bytes_read, bytes_written,
-           duration_seconds, as_of or _dt.datetime.now())
-    flow = spark.createDataFrame([row], FLOW_SCHEMA)
-    flow.write.mode("append").parquet(f"{root}/data_flows")
-    flow_access_rows(flow, user).write.mode("append").parquet(f"{root}/data_access_log")
+    """Append one flow and its access rows."""
+    record_flows(spark, root, [flow_row(run_id, source, target, records_read, records_written,
+                                        bytes_read, bytes_written, duration_seconds, as_of)], user)

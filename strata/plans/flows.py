@@ -40,7 +40,7 @@ def _size(spark: SparkSession, path: str) -> int:
 # ---------------------------------------------------------------- M1
 
 def run_medallion(spark: SparkSession, source: str, dataset: str, group_by: str, root: str, *,
-                  key: str = "id", fmt: str = "json", as_of: _dt.datetime | None = None) -> FlowResult:
+                  key: str = "id", fmt: str = "parquet", as_of: _dt.datetime | None = None) -> FlowResult:
     """M1: CSV -> bronze (stamped) -> silver (key present, first per key) ->
     gold (count per group + member table)."""
     root = root.rstrip("/")
@@ -64,7 +64,7 @@ def run_medallion(spark: SparkSession, source: str, dataset: str, group_by: str,
 # ---------------------------------------------------------------- M2
 
 def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str, root: str,
-                 gov_root: str, *, key: str = "id", user: str = "system", fmt: str = "json",
+                 gov_root: str, *, key: str = "id", user: str = "system", fmt: str = "parquet",
                  if_exists: str = "error", as_of: _dt.datetime | None = None) -> FlowResult:
     """M2: M1 with registration, lineage, run tracking, flows, access rows
     and quality checks.  A failure is recorded on the run and re-raised.
@@ -81,7 +81,8 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
     if if_exists == "error" and not clash.isEmpty():
         raise ValueError(f"already registered: {[r.full_name for r in clash.select('full_name').collect()]}")
     run_id = lineage.start_run(spark, gov_root, name, metadata={"dataset": dataset}, as_of=as_of)
-    audit.log_action(spark, gov_root, user, "start_pipeline", "pipeline", name, as_of=as_of)
+    # Audit rows are buffered and written once per run (success or failure).
+    actions = [audit.action_row(user, "start_pipeline", "pipeline", name, as_of=as_of)]
     try:
         t0 = time.time()
         res = run_medallion(spark, source, dataset, group_by, root, key=key, fmt=fmt, as_of=as_of)
@@ -92,33 +93,34 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
             registry.register_table(spark, gov_root, layer, tname, location=path, schema=res.schemas[layer],
                                     fmt=fmt, row_count=res.counts[layer], size_bytes=_size(spark, path),
                                     if_exists=if_exists, as_of=as_of)
-            audit.log_action(spark, gov_root, user, "create_table", "table", fq[layer], as_of=as_of)
+            actions.append(audit.action_row(user, "create_table", "table", fq[layer], as_of=as_of))
         for a, b, kind in (("bronze", "silver", "cleaning_and_deduplication"),
                            ("silver", "gold", "aggregation")):
             lineage.register_transformation(spark, gov_root, fq[a], fq[b], kind, name, as_of=as_of)
-            audit.log_action(spark, gov_root, user, "register_lineage", "transformation",
-                             f"{fq[a]} -> {fq[b]}", as_of=as_of)
+            actions.append(audit.action_row(user, "register_lineage", "transformation",
+                                            f"{fq[a]} -> {fq[b]}", as_of=as_of))
         src_fq = f"lakehouse.external.{source.rstrip('/').split('/')[-1].rsplit('.', 1)[0]}"
         flows = [(src_fq, fq["bronze"], res.counts["bronze"], res.counts["bronze"]),
                  (fq["bronze"], fq["silver"], res.counts["bronze"], res.counts["silver"]),
                  (fq["silver"], fq["gold"], res.counts["silver"], res.counts["gold"])]
-        for s, t, r, w in flows:
-            lineage.record_flow(spark, gov_root, run_id, s, t, r, w, duration_seconds=dur / 3,
-                                user=user, as_of=as_of)
+        lineage.record_flows(spark, gov_root, [lineage.flow_row(run_id, s, t, r, w, duration_seconds=dur / 3,
+                                                                as_of=as_of) for s, t, r, w in flows], user)
         bronze = spark.read.schema(res.schemas["bronze"]).format(fmt).load(res.paths["bronze"])
         checks = (quality.completeness_check(bronze, key, fq["silver"])
                   .unionByName(quality.uniqueness_check(bronze, key, fq["silver"])))
-        audit.log_quality(checks, gov_root, as_of=as_of)
+        res.checks = [r.asDict() for r in checks.collect()]  # two rows
+        audit.log_quality(spark.createDataFrame(res.checks, checks.schema), gov_root, as_of=as_of)
         lineage.complete_run(spark, gov_root, run_id, name, "success", as_of=as_of)
-        audit.log_action(spark, gov_root, user, "complete_pipeline", "pipeline", name, as_of=as_of)
+        actions.append(audit.action_row(user, "complete_pipeline", "pipeline", name, as_of=as_of))
+        audit.log_actions(spark, gov_root, actions)
         res.run_id = run_id
-        res.checks = [r.asDict() for r in checks.collect()]  # two rows
         return res
     except Exception as e:
         lineage.complete_run(spark, gov_root, run_id, name, "failed", error_message=str(e)[:1000],
                              as_of=as_of)
-        audit.log_action(spark, gov_root, user, "complete_pipeline", "pipeline", name, status="failed",
-                         as_of=as_of)
+        actions.append(audit.action_row(user, "complete_pipeline", "pipeline", name, status="failed",
+                                        as_of=as_of))
+        audit.log_actions(spark, gov_root, actions)
         raise
 
 

@@ -44,7 +44,8 @@ def sample(tmp):
 
 
 def test_medallion_layers(spark, sample, tmp):
-    res = run_medallion(spark, sample, "customers", "region", os.path.join(tmp, "lake"), as_of=AS_OF)
+    res = run_medallion(spark, sample, "customers", "region", os.path.join(tmp, "lake"), fmt="json",
+                        as_of=AS_OF)
     assert res.counts == {"bronze": 14, "silver": 12, "gold": 4}
     g = {r["region"]: r["count"] for r in spark.read.json(res.paths["gold"]).collect()}
     assert g == {"North": 4, "South": 3, "East": 3, "West": 2}
@@ -65,7 +66,7 @@ def test_medallion_layers(spark, sample, tmp):
 
 
 def test_members_array_refuses_large_groups(spark, sample, tmp):
-    res = run_medallion(spark, sample, "c", "region", os.path.join(tmp, "lake"), as_of=AS_OF)
+    res = run_medallion(spark, sample, "c", "region", os.path.join(tmp, "lake"), fmt="json", as_of=AS_OF)
     silver = spark.read.schema(res.schemas["silver"]).json(res.paths["silver"])
     with pytest.raises(ValueError):
         gold.members_array(silver, "region", "id", max_members=3)
