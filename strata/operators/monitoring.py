@@ -151,3 +151,28 @@ def freshness(df: DataFrame, label: str, ts: str, as_of=None,
     last = df.groupBy(label).agg(F.max(ts).alias("last_update"))
     age = epoch_seconds(as_of_ts(as_of)) - epoch_seconds(F.col("last_update"))
     return last.withColumn("age_s", age).withColumn("stale", F.col("age_s") > max_age_s)
+
+
+# Metric names the reference exports.
+INGESTED_RECORDS = "lakehouse_ingestion_records_total"
+INGESTED_BYTES = "lakehouse_ingestion_bytes_total"
+PROCESSING_SECONDS = "lakehouse_processing_duration_seconds"
+
+
+def flow_metrics(flows: DataFrame) -> DataFrame:
+    """R8 / A13 input: the metric samples each data flow emits, long format
+    ``(metric, layer, source, ts, value)``; ``layer`` is the target's layer,
+    ``source`` the source table."""
+    layer = F.split(F.col("target_table"), r"\.").getItem(1)
+    samples = F.array(
+        F.struct(F.lit(INGESTED_RECORDS).alias("metric"), F.col("records_written").cast("double").alias("value")),
+        F.struct(F.lit(INGESTED_BYTES).alias("metric"), F.col("bytes_written").cast("double").alias("value")),
+        F.struct(F.lit(PROCESSING_SECONDS).alias("metric"), F.col("duration_seconds").alias("value")))
+    return flows.select(layer.alias("layer"), F.col("source_table").alias("source"),
+                        F.col("timestamp").alias("ts"), F.inline(samples))
+
+
+def accumulate(metrics: DataFrame, labels: Sequence[str] = ("metric", "layer", "source")) -> DataFrame:
+    """Counters and durations accumulated per label set."""
+    return metrics.groupBy(*labels).agg(F.count(F.lit(1)).alias("samples"),
+                                        F.round(F.sum("value"), 6).alias("total"))

@@ -254,3 +254,17 @@ def layer_sizes(spark, sf_dir):
     return (f.groupBy(F.col("table").alias("table_name"))
             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
             .withColumn("size_mb", F.round(F.col("bytes") / F.lit(1048576.0), 2)))
+
+
+@register("layer_source_metrics", W(fx.FLOWS_SQL) + f""",
+m AS (SELECT split_part(target_table, '.', 2) AS layer, source_table AS source, '{mon.INGESTED_RECORDS}' AS metric,
+             CAST(records_written AS DOUBLE) AS value FROM flows
+      UNION ALL
+      SELECT split_part(target_table, '.', 2), source_table, '{mon.INGESTED_BYTES}', CAST(bytes_written AS DOUBLE)
+      FROM flows
+      UNION ALL
+      SELECT split_part(target_table, '.', 2), source_table, '{mon.PROCESSING_SECONDS}', duration_seconds FROM flows)
+SELECT metric, layer, source, count(*) AS samples, round(sum(value), 6) AS total FROM m GROUP BY ALL""")
+def layer_source_metrics(spark, sf_dir):
+    """A13 + R8: ingestion records, bytes and processing time per layer and source."""
+    return mon.accumulate(mon.flow_metrics(fx.data_flows(spark, sf_dir)))
