@@ -113,7 +113,7 @@ def cdc_apply(target: DataFrame | None, changes: DataFrame, key: str | Sequence[
 # ---------------------------------------------------------------- history
 
 def snapshot_history(df: DataFrame, key: str | Sequence[str], updated_at: str,
-                     tiebreak: Sequence[str] = (), *, bucket: str | None = "1 day") -> DataFrame:
+                     tiebreak: Sequence[str] = (), *, bucket: str | None = "auto") -> DataFrame:
     """SCD type 2 from versions: ``valid_from``, ``valid_to`` (the next
     version's start, null for the current one) and ``is_current``.
 

@@ -108,7 +108,7 @@ def percentile_by(df: DataFrame, labels: Sequence[str], col: str, q: float = 0.9
 
 def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold: float,
                 min_seconds: int, tiebreak: Sequence[str] = (), as_of=None,
-                bucket_unit: str | None = "day") -> DataFrame:
+                bucket_unit: str | None = "auto") -> DataFrame:
     """Periods in which a gauge stayed below ``threshold`` for at least
     ``min_seconds``.
 
@@ -132,7 +132,7 @@ def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold:
 
 
 def counter_increase(samples: DataFrame, label: str, ts: str, value: str,
-                     tiebreak: Sequence[str] = (), bucket_unit: str | None = "day") -> DataFrame:
+                     tiebreak: Sequence[str] = (), bucket_unit: str | None = "auto") -> DataFrame:
     """Per-sample increase of a counter that may reset: a drop means the
     counter restarted from zero, so the increase is the new value itself.
     The first sample of a series has no increase (null)."""

@@ -19,10 +19,6 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 MIN_QUALITY_SCORE = 0.85
 MAX_NULL_RATE = 0.05
 
-RESULT_COLS = ["table_name", "check_name", "check_type", "status", "passed_count",
-               "failed_count", "error_rate"]
-
-
 class QualityGateError(ValueError):
     """Raised by a gate; the pipeline records the failure and re-raises."""
 

@@ -21,8 +21,11 @@ Only hot keys need this: keys above ``HOT_KEY_ROWS`` rows are found with a
 partial-aggregate count (at most rows / ``HOT_KEY_ROWS`` of them; their count
 is checked before they are broadcast), take the bucketed path, and every
 other key takes the plain window, which is cheapest when no key is large.
-``bucket=None`` gives the plain window for all keys.  The bucket must be a ``date_trunc`` unit (``'hour'``,
-``'day'``, ``'month'``...), fine enough that one key's bucket fits a task.
+The time unit adapts (``bucket='auto'``): the coarsest of day / hour /
+minute / second whose largest (key, bucket) group stays under the threshold,
+so a burst of one key inside one day is split further.  A fixed unit may be
+given instead (any ``date_trunc`` unit: ``'hour'``, ``'day'``, ``'month'``...);
+``bucket=None`` gives the plain window for all keys.
 """
 
 from __future__ import annotations
@@ -50,6 +53,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
             .filter(F.col("_n") > min_rows).select(*keys))
 
 
+_UNITS = ("day", "hour", "minute", "second")
+
+
+def choose_unit(hot: DataFrame, keys: Sequence[str], ts: str, max_rows: int) -> str:
+    """The coarsest ``date_trunc`` unit whose largest (key, bucket) group has
+    at most ``max_rows`` rows, so no bucket of a hot key is itself hot.
+
+    One aggregate of the hot rows per (key, minute); hour and day counts are
+    re-aggregated from that small table.  A key with more than ``max_rows``
+    rows in one second falls back to ``'second'`` (identical timestamps cannot
+    be split by time).
+    """
+    per_min = (hot.groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias("_m"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    per_hour = per_min.groupBy(*keys, F.date_trunc("hour", "_m").alias("_h")).agg(F.sum("_n").alias("_n"))
+    per_day = per_hour.groupBy(*keys, F.date_trunc("day", "_h").alias("_d")).agg(F.sum("_n").alias("_n"))
+    worst = {u: d.agg(F.max("_n")).first()[0] or 0
+             for u, d in (("day", per_day), ("hour", per_hour), ("minute", per_min))}
+    for u in ("day", "hour", "minute"):
+        if worst[u] <= max_rows:
+            return u
+    return "second"
+
+
 def _plain(df, keys, order, value, out_col, shift):
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(out_col, shift(F.col(value), 1).over(w))
@@ -88,34 +115,39 @@ def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[s
     if bucket is None:
         return _plain(df, keys, order, value, out_col, shift)
     if hot_rows is None:
-        return _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift)
+        unit = "day" if bucket == "auto" else bucket
+        return _bucketed(df, keys, ts, order, value, out_col, unit, forward, shift)
     hot = hot_keys(df, keys, hot_rows)
     n_hot = hot.count()
     if n_hot == 0:
         return _plain(df, keys, order, value, out_col, shift)
     if n_hot > MAX_HOT_KEYS:
-        return _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift)
+        unit = choose_unit(df, keys, ts, hot_rows) if bucket == "auto" else bucket
+        return _bucketed(df, keys, ts, order, value, out_col, unit, forward, shift)
     hot = F.broadcast(hot)           # size proven by the count above
     cold_rows = df.join(hot, keys, "left_anti")
     hot_rows_df = df.join(hot, keys, "left_semi")
+    if bucket == "auto":
+        bucket = choose_unit(hot_rows_df, keys, ts, hot_rows)
     return _plain(cold_rows, keys, order, value, out_col, shift).unionByName(
         _bucketed(hot_rows_df, keys, ts, order, value, out_col, bucket, forward, shift))
 
 
 def next_in_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),
                      *, value: str | None = None, out_col: str = "next_ts",
-                     bucket: str | None = "day", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                     bucket: str | None = "auto", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``lead(value)`` per key in ``(ts, tiebreak)`` order (value defaults to ts).
 
     ``hot_rows``: keys above this many rows take the bucketed path, the rest
-    a plain window (``None``: every key bucketed; ``bucket=None``: plain)."""
+    a plain window (``None``: every key bucketed; ``bucket=None``: plain).
+    ``bucket='auto'`` picks the coarsest unit that leaves no hot bucket."""
     return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=True,
                       hot_rows=hot_rows)
 
 
 def previous_in_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),
                          *, value: str | None = None, out_col: str = "prev_value",
-                         bucket: str | None = "day", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                         bucket: str | None = "auto", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """``lag(value)`` per key in ``(ts, tiebreak)`` order (see ``next_in_sequence``)."""
     return _neighbour(df, keys, ts, tiebreak, value or ts, out_col, bucket, forward=False,
                       hot_rows=hot_rows)

@@ -407,7 +407,7 @@ FROM orders""")
 def snapshot_history(spark, sf_dir):
     """D6 + W4: SCD-2 history of each customer's order state."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    h = incremental.snapshot_history(o, "o_custkey", "o_orderdate", ["o_orderkey"], bucket="month")
+    h = incremental.snapshot_history(o, "o_custkey", "o_orderdate", ["o_orderkey"])
     return h.select("o_custkey", "o_orderkey", "o_orderstatus",
                     ts_text("valid_from").alias("valid_from"), ts_text("valid_to").alias("valid_to"),
                     "is_current")

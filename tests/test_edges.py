@@ -201,3 +201,17 @@ def test_merge_and_incremental_are_idempotent(spark):
     st = incremental.next_state(incremental.new_rows(ev, "ts", "2023-12-31 00:00:00"), "ev", "ts",
                                 "2023-12-31 00:00:00")
     assert incremental.new_rows(ev, "ts", incremental.watermark_of(st, "ev")).count() == 0
+
+
+def test_auto_unit_splits_a_hot_day(spark):
+    from strata.operators.sequence import choose_unit
+    base = dt.datetime(2024, 1, 1)
+    rows = [(0, base + dt.timedelta(minutes=i % 300), i) for i in range(900)]      # a burst inside one day
+    rows += [(0, base + dt.timedelta(days=d), 10_000 + d) for d in range(1, 5)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int")
+    assert choose_unit(df, ["k"], "ts", 1000) == "day"
+    assert choose_unit(df, ["k"], "ts", 500) == "hour"       # 900 rows in one day, <= 180 per hour
+    assert choose_unit(df, ["k"], "ts", 100) == "minute"
+    ref = df.withColumn("n", F.lead("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
+    got = next_in_sequence(df, ["k"], "ts", ["id"], out_col="n", hot_rows=100)
+    assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, got.select(*ref.columns).collect()))
