@@ -89,3 +89,33 @@ def test_sustained_matches_model(spark, hours, amounts, min_buckets):
             model.append((run[0], len(run), sum(vals[x] for x in run)))
         run = []
     assert got == sorted(model)
+
+
+samples_st = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 200), st.floats(0, 1)),
+                      min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(samples=samples_st, min_minutes=st.integers(1, 30))
+def test_gauge_below_matches_model(spark, samples, min_minutes):
+    base = dt.datetime(2024, 1, 1)
+    as_of = base + dt.timedelta(minutes=300)
+    rows = [(f"t{k}", base + dt.timedelta(minutes=m), i, v) for i, (k, m, v) in enumerate(samples)]
+    df = spark.createDataFrame(rows, "label string, ts timestamp_ntz, id int, score double")
+    got = sorted((r["label"], r["start"], r["end"], r["duration_s"]) for r in monitoring.gauge_below(
+        df, "label", "ts", "score", 0.5, min_minutes * 60, tiebreak=["id"], as_of=as_of).collect())
+    model = []
+    for label in {r[0] for r in rows}:
+        seq = sorted((r for r in rows if r[0] == label), key=lambda r: (r[1], r[2]))
+        i = 0
+        while i < len(seq):
+            if seq[i][3] < 0.5 and (i == 0 or seq[i - 1][3] >= 0.5):
+                j = i + 1
+                while j < len(seq) and seq[j][3] < 0.5:
+                    j += 1
+                end = seq[j][1] if j < len(seq) else None
+                dur = int(((end or as_of) - seq[i][1]).total_seconds())
+                if dur >= min_minutes * 60:
+                    model.append((label, seq[i][1], end, dur))
+            i += 1
+    assert got == sorted(model, key=lambda t: (t[0], t[1], t[2] or as_of, t[3]))
