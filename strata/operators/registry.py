@@ -67,6 +67,11 @@ def registry_columns(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "columns", COLUMNS_SCHEMA)
 
 
+def _append_tables(rows: DataFrame, root: str) -> None:
+    # Partitioned by layer: per-layer listings and summaries prune folders.
+    rows.write.mode("append").partitionBy("schema_name").parquet(f"{root}/tables")
+
+
 def schema_rows(schema: T.StructType) -> list[dict]:
     """G2 input from ``df.schema``: position = field index."""
     return [{"column_name": f.name, "data_type": f.dataType.simpleString(),
@@ -96,7 +101,7 @@ def register_table(spark: SparkSession, root: str, layer: str, table_name: str,
     props = {k: (v if isinstance(v, str) else json.dumps(v)) for k, v in (properties or {}).items()}
     row = (fq, CATALOG, layer, table_name, TABLE_KIND.get(layer, "table"), location, fmt,
            description, owner, version, row_count, size_bytes, props, ts)
-    spark.createDataFrame([row], TABLES_SCHEMA).write.mode("append").parquet(f"{root}/tables")
+    _append_tables(spark.createDataFrame([row], TABLES_SCHEMA), root)
     cols = list(columns or (schema_rows(schema) if schema is not None else []))
     if cols:
         rows = [(fq, version, c["column_name"], c.get("data_type", "string"), c.get("nullable", True),
@@ -118,8 +123,8 @@ def update_table_stats(spark: SparkSession, root: str, layer: str, table_name: s
     d.update(version=d["version"] + 1, updated_at=ts,
              row_count=row_count if row_count is not None else d["row_count"],
              size_bytes=size_bytes if size_bytes is not None else d["size_bytes"])
-    spark.createDataFrame([tuple(d[f.name] for f in TABLES_SCHEMA.fields)], TABLES_SCHEMA) \
-        .write.mode("append").parquet(f"{root}/tables")
+    _append_tables(spark.createDataFrame([tuple(d[f.name] for f in TABLES_SCHEMA.fields)], TABLES_SCHEMA),
+                   root)
     cols = registry_columns(spark, root).filter(
         (F.col("full_name") == fq) & (F.col("version") == cur["version"]))
     cols.withColumn("version", F.lit(d["version"])).write.mode("append").parquet(f"{root}/columns")
