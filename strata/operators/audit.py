@@ -142,8 +142,9 @@ def quality_trend(qlog: DataFrame, bucket: str = "day") -> DataFrame:
 
 def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFrame,
                access: DataFrame, qlog: DataFrame, n: int = 5) -> DataFrame:
-    """One row per table: metadata, column list, lineage fan-in and its
-    ``n`` latest accesses and checks (as ordered text lists)."""
+    """One row per table: metadata, column list, direct lineage (edge
+    counts per table, from ``upstream_counts``) and its ``n`` latest
+    accesses and checks (as ordered text lists)."""
     acc = (latest_per_entity(access, "table_name", n, "access_id")
            .groupBy("table_name").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
                F.struct("rank", F.concat_ws(":", "access_type", "user").alias("v")))),
@@ -154,9 +155,12 @@ def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFr
                lambda x: x["v"]), ",").alias("latest_checks")))
     base = current.select(F.col("full_name").alias("table_name"), "schema_name", "row_count",
                           columns_text.alias("columns"))
-    return (base.join(upstream_counts, "table_name", "left")
-            .join(acc, "table_name", "left").join(chk, "table_name", "left")
-            .withColumn("upstream_edges", F.coalesce("upstream_edges", F.lit(0)).cast("long")))
+    out = (base.join(upstream_counts, "table_name", "left")
+           .join(acc, "table_name", "left").join(chk, "table_name", "left"))
+    for c in ("upstream_edges", "downstream_edges"):
+        if c in out.columns:
+            out = out.withColumn(c, F.coalesce(c, F.lit(0)).cast("long"))
+    return out
 
 
 QUALITY_SCHEMA = T.StructType([

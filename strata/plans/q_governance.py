@@ -310,6 +310,7 @@ def quality_trend(spark, sf_dir):
 cc AS (SELECT c.full_name, string_agg(c.column_name || ':' || c.data_type, ',' ORDER BY c.position) AS columns
        FROM regcols c JOIN cur USING (full_name, version) GROUP BY c.full_name),
 up AS (SELECT target_table AS table_name, count(*) AS upstream_edges FROM edges GROUP BY 1),
+dn AS (SELECT source_table AS table_name, count(*) AS downstream_edges FROM edges GROUP BY 1),
 acc AS (SELECT table_name, string_agg(access_type || ':' || "user", ',' ORDER BY rk) AS latest_access
         FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY "timestamp" DESC, access_id DESC) AS rk
               FROM access) WHERE rk <= 5 GROUP BY 1),
@@ -317,19 +318,23 @@ chk AS (SELECT table_name, string_agg(check_name || ':' || status, ',' ORDER BY
         FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY "timestamp" DESC, quality_id DESC) AS rk
               FROM qlog) WHERE rk <= 5 GROUP BY 1)
 SELECT cur.full_name AS table_name, schema_name, row_count, columns,
-       CAST(coalesce(up.upstream_edges, 0) AS BIGINT) AS upstream_edges, latest_access, latest_checks
+       CAST(coalesce(up.upstream_edges, 0) AS BIGINT) AS upstream_edges,
+       CAST(coalesce(dn.downstream_edges, 0) AS BIGINT) AS downstream_edges, latest_access, latest_checks
 FROM cur LEFT JOIN cc USING (full_name) LEFT JOIN up ON up.table_name = cur.full_name
+LEFT JOIN dn ON dn.table_name = cur.full_name
 LEFT JOIN acc ON acc.table_name = cur.full_name LEFT JOIN chk ON chk.table_name = cur.full_name""")
 def table_card(spark, sf_dir):
     """G21 + W5: per table its metadata, columns, fan-in, 5 latest accesses and checks."""
     cur = _current(spark, sf_dir)
     info = registry.table_info(cur, fx.registry_columns(spark, sf_dir))
-    up = (fx.lineage_edges(spark, sf_dir).groupBy(F.col("target_table").alias("table_name"))
-          .agg(F.count(F.lit(1)).alias("upstream_edges")))
+    edges = fx.lineage_edges(spark, sf_dir)
+    up = (edges.groupBy(F.col("target_table").alias("table_name")).agg(F.count(F.lit(1)).alias("upstream_edges"))
+          .join(edges.groupBy(F.col("source_table").alias("table_name"))
+                .agg(F.count(F.lit(1)).alias("downstream_edges")), "table_name", "full_outer"))
     card = audit.table_card(info, registry.columns_text(), up, fx.access_log(spark, sf_dir),
                             fx.quality_log(spark, sf_dir))
     return card.select("table_name", "schema_name", "row_count", "columns", "upstream_edges",
-                       "latest_access", "latest_checks")
+                       "downstream_edges", "latest_access", "latest_checks")
 
 
 @register("run_history_one", W(fx.RUNS_SQL) + f"""
@@ -348,3 +353,16 @@ def audit_by_user(spark, sf_dir):
     """G15 + P9: one user's newest 100 actions over every resource."""
     t = audit.audit_trail(fx.audit_log(spark, sf_dir), user="user_7", limit=100)
     return t.select("audit_id", ts_text("timestamp").alias("timestamp"), "action", "resource_name", "status")
+
+
+@register("referential_results", W(fx.RUNS_SQL, fx.FLOWS_SQL) + """,
+c AS (SELECT count(*) FILTER (WHERE r.run_id IS NOT NULL) AS p, count(*) FILTER (WHERE r.run_id IS NULL) AS f
+      FROM flows fl LEFT JOIN (SELECT DISTINCT run_id FROM runs) r ON fl.run_id = r.run_id)
+SELECT 'data_flows' AS table_name, 'run_id_references_run_id' AS check_name, 'referential' AS check_type,
+       CASE WHEN f = 0 THEN 'passed' ELSE 'failed' END AS status, p AS passed_count, f AS failed_count,
+       round(CASE WHEN p + f = 0 THEN 0.0 ELSE f / (p + f) END, 6) AS error_rate
+FROM c""")
+def referential_results(spark, sf_dir):
+    """Q8 + Q11: the referential-integrity check row (flows -> runs)."""
+    return quality.referential_check(fx.data_flows(spark, sf_dir), fx.pipeline_runs(spark, sf_dir),
+                                     "run_id", "run_id", "data_flows")
