@@ -163,6 +163,24 @@ def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFr
     return out
 
 
+ACCESS_SCHEMA = T.StructType([
+    T.StructField("timestamp", T.TimestampNTZType()), T.StructField("user", T.StringType()),
+    T.StructField("table_name", T.StringType()), T.StructField("access_type", T.StringType()),
+    T.StructField("rows_affected", T.LongType()), T.StructField("query", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("duration_ms", T.LongType()),
+    T.StructField("details", T.StringType()),
+])
+
+
+def log_access(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """Append data-access rows ``(timestamp, user, table_name,
+    access_type, rows_affected, query, status, duration_ms, details)`` in one
+    write."""
+    if rows:
+        spark.createDataFrame(rows, ACCESS_SCHEMA).coalesce(1).write.mode("append") \
+            .parquet(f"{root}/data_access_log")
+
+
 QUALITY_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()), T.StructField("table_name", T.StringType()),
     T.StructField("check_name", T.StringType()), T.StructField("check_type", T.StringType()),

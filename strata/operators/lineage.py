@@ -251,7 +251,11 @@ def record_flows(spark: SparkSession, root: str, rows: list[tuple], user: str =
         return
     flows = spark.createDataFrame(rows, FLOW_SCHEMA).coalesce(1)
     flows.write.mode("append").parquet(f"{root}/data_flows")
-    flow_access_rows(flows, user).coalesce(1).write.mode("append").parquet(f"{root}/data_access_log")
+    acc = flow_access_rows(flows, user).select(
+        "timestamp", "user", "table_name", "access_type", "rows_affected",
+        F.lit(None).cast("string").alias("query"), "status", "duration_ms",
+        F.to_json(F.struct("run_id")).alias("details"))
+    acc.coalesce(1).write.mode("append").parquet(f"{root}/data_access_log")
 
 
 def record_flow(spark: SparkSession, root: str, run_id: int, source: str, target: str,

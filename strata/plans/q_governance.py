@@ -366,3 +366,13 @@ def referential_results(spark, sf_dir):
     """Q8 + Q11: the referential-integrity check row (flows -> runs)."""
     return quality.referential_check(fx.data_flows(spark, sf_dir), fx.pipeline_runs(spark, sf_dir),
                                      "run_id", "run_id", "data_flows")
+
+
+@register("run_flows_one", W(fx.FLOWS_SQL) + f"""
+SELECT source_table, target_table, records_read, records_written, strftime("timestamp", {TS}) AS "timestamp"
+FROM flows WHERE run_id = 7""")
+def run_flows_one(spark, sf_dir):
+    """G12 as the reference calls it: the flows of one run, by time."""
+    f = fx.data_flows(spark, sf_dir).filter(F.col("run_id") == 7).orderBy("timestamp", "source_table")
+    return f.select("source_table", "target_table", "records_read", "records_written",
+                    ts_text("timestamp").alias("timestamp"))

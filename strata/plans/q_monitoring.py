@@ -80,17 +80,18 @@ def _runs(spark, sf_dir):
     return lineage.current_runs(fx.run_events(spark, sf_dir))
 
 
-@register("success_rate", W(fx.RUNS_SQL) + """
-SELECT strftime(started_at, '%Y-%m-%d') AS day, count(*) AS runs,
+@register("success_rate", W(fx.RUNS_SQL) + f"""
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, started_at), {TS}) AS bucket, count(*) AS runs,
        count(*) FILTER (WHERE status = 'success') AS successes,
        round(100.0 * count(*) FILTER (WHERE status = 'success') / count(*), 6) AS success_pct
 FROM runs GROUP BY 1""")
 def success_rate(spark, sf_dir):
-    """Share of successful runs per day, in percent."""
+    """Share of successful runs per 1-hour window, in percent."""
     r = _runs(spark, sf_dir)
-    return (r.groupBy(F.date_format("started_at", "yyyy-MM-dd").alias("day"))
+    return (r.groupBy(mon.bucket("started_at", 3600).alias("b"))
             .agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "success").alias("successes"))
-            .withColumn("success_pct", F.round(F.col("successes") * 100.0 / F.col("runs"), 6)))
+            .select(ts_text("b").alias("bucket"), "runs", "successes",
+                    F.round(F.col("successes") * 100.0 / F.col("runs"), 6).alias("success_pct")))
 
 
 @register("failed_pipelines", W(fx.RUNS_SQL) + f"""

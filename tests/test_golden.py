@@ -133,3 +133,13 @@ def test_governed_rerun_with_replace_adds_versions(spark, sample, tmp):
     cur = registry.current_tables(registry.registry_tables(spark, gov))
     assert {r["version"] for r in cur.collect()} == {2}
     assert {r["layer"]: r["total_records"] for r in registry.governance_summary(cur).collect()}["_total"] == 30
+
+
+def test_access_log_writers_share_one_schema(spark, sample, tmp):
+    gov = os.path.join(tmp, "gov")
+    run_governed(spark, sample, "customers", "region", os.path.join(tmp, "lake"), gov, as_of=AS_OF)
+    audit.log_access(spark, gov, [(dt.datetime(2024, 1, 31), "ann", "lakehouse.gold.customers_by_region",
+                                   "read", 4, "select *", "success", 12, None)])
+    log = spark.read.schema(audit.ACCESS_SCHEMA).parquet(f"{gov}/data_access_log")
+    assert log.count() == 7
+    assert log.filter(F.col("details").contains("run_id")).count() == 6
