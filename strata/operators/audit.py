@@ -177,8 +177,14 @@ def log_access(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     access_type, rows_affected, query, status, duration_ms, details)`` in one
     write."""
     if rows:
-        spark.createDataFrame(rows, ACCESS_SCHEMA).coalesce(1).write.mode("append") \
-            .parquet(f"{root}/data_access_log")
+        append_log(spark.createDataFrame(rows, ACCESS_SCHEMA), f"{root}/data_access_log")
+
+
+def append_log(rows: DataFrame, path: str) -> None:
+    """Append log rows partitioned by ``date`` (from ``timestamp``): time-range
+    readers prune whole folders; one file per date per write."""
+    (rows.withColumn("date", F.to_date("timestamp")).repartition("date").write.mode("append")
+     .partitionBy("date").parquet(path))
 
 
 QUALITY_SCHEMA = T.StructType([
@@ -192,6 +198,5 @@ QUALITY_SCHEMA = T.StructType([
 def log_quality(results: DataFrame, root: str, as_of: _dt.datetime | None = None) -> None:
     """G13 quality side: append check-result rows (Q11 shape) to the log."""
     ts = F.lit(as_of or _dt.datetime.now()).cast("timestamp_ntz")
-    results.select(ts.alias("timestamp"), "table_name", "check_name", "check_type", "status",
-                   "passed_count", "failed_count", "error_rate") \
-        .write.mode("append").parquet(f"{root}/quality_log")
+    append_log(results.select(ts.alias("timestamp"), "table_name", "check_name", "check_type", "status",
+                              "passed_count", "failed_count", "error_rate"), f"{root}/quality_log")

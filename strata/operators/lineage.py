@@ -255,7 +255,8 @@ def record_flows(spark: SparkSession, root: str, rows: list[tuple], user: str =
         "timestamp", "user", "table_name", "access_type", "rows_affected",
         F.lit(None).cast("string").alias("query"), "status", "duration_ms",
         F.to_json(F.struct("run_id")).alias("details"))
-    acc.coalesce(1).write.mode("append").parquet(f"{root}/data_access_log")
+    from strata.operators.audit import append_log
+    append_log(acc, f"{root}/data_access_log")
 
 
 def record_flow(spark: SparkSession, root: str, run_id: int, source: str, target: str,
