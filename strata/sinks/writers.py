@@ -109,3 +109,31 @@ def write_version(df: DataFrame, base: str, *, fmt: str = "parquet",
     path = f"{base.rstrip('/')}/v={nxt:08d}"
     rows = write(df, path, fmt=fmt, mode="errorifexists", partition_by=partition_by)
     return path, rows
+
+
+def compact_partition(spark: SparkSession, path: str, column: str, value, *,
+                      target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Rewrite one partition of an append-only, partitioned dataset (a log
+    ``date``) as few files of about ``target_bytes``; returns the file count.
+
+    The partition's rows are first copied to a scratch folder, then the
+    partition is replaced from that copy with a dynamic partition overwrite,
+    so no job reads and writes the same files.  Compact only *closed*
+    partitions (rows appended between the two steps would be lost).
+    """
+    import math
+
+    from strata.session import scratch_path
+    fs, p, jvm = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
+    if not fs.exists(p):
+        return 0
+    size = int(fs.getContentSummary(p).getLength())
+    n = max(1, math.ceil(size / target_bytes))
+    stage = scratch_path(spark, "compact")
+    part = spark.read.parquet(path).filter(F.col(column) == F.lit(value))
+    part.coalesce(n).write.parquet(stage)
+    (spark.read.parquet(stage).repartition(n).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    sfs, sp, _ = _fs(spark, stage)
+    sfs.delete(sp, True)
+    return n

@@ -103,3 +103,21 @@ def test_save_bucketed_table_and_join_without_shuffle(spark, tmp):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS strata_t_a")
         spark.sql("DROP TABLE IF EXISTS strata_t_b")
+
+
+def test_compact_log_partition(spark, tmp):
+    from strata.operators import audit
+    from strata.sinks.writers import compact_partition
+    root = os.path.join(tmp, "gov")
+    for i in range(5):
+        audit.log_action(spark, root, f"u{i}", "create_table", "table", f"t{i}",
+                         as_of=dt.datetime(2024, 1, 2, 10, i))
+    audit.log_action(spark, root, "x", "create_table", "table", "other", as_of=dt.datetime(2024, 1, 3))
+    part = os.path.join(root, "audit_log", "date=2024-01-02")
+    files = lambda: [f for f in os.listdir(part) if f.endswith(".parquet")]
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{root}/audit_log").drop("date").collect())
+    assert len(files()) == 5
+    assert compact_partition(spark, f"{root}/audit_log", "date", "2024-01-02") == 1
+    assert len(files()) == 1
+    after = sorted(tuple(r) for r in spark.read.parquet(f"{root}/audit_log").drop("date").collect())
+    assert before == after                     # same rows, other dates untouched
