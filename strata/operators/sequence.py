@@ -53,9 +53,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
             .filter(F.col("_n") > min_rows).select(*keys))
 
 
-_UNITS = ("day", "hour", "minute", "second")
-
-
 def choose_unit(hot: DataFrame, keys: Sequence[str], ts: str, max_rows: int) -> str:
     """The coarsest ``date_trunc`` unit whose largest (key, bucket) group has
     at most ``max_rows`` rows, so no bucket of a hot key is itself hot.
@@ -65,14 +62,17 @@ def choose_unit(hot: DataFrame, keys: Sequence[str], ts: str, max_rows: int) ->
     rows in one second falls back to ``'second'`` (identical timestamps cannot
     be split by time).
     """
-    per_min = (hot.groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias("_m"))
+    per_min = (hot.groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias("_b"))
                .agg(F.count(F.lit(1)).alias("_n")))
-    per_hour = per_min.groupBy(*keys, F.date_trunc("hour", "_m").alias("_h")).agg(F.sum("_n").alias("_n"))
-    per_day = per_hour.groupBy(*keys, F.date_trunc("day", "_h").alias("_d")).agg(F.sum("_n").alias("_n"))
-    worst = {u: d.agg(F.max("_n")).first()[0] or 0
-             for u, d in (("day", per_day), ("hour", per_hour), ("minute", per_min))}
+    per_hour = per_min.groupBy(*keys, F.date_trunc("hour", "_b").alias("_b")).agg(F.sum("_n").alias("_n"))
+    per_day = per_hour.groupBy(*keys, F.date_trunc("day", "_b").alias("_b")).agg(F.sum("_n").alias("_n"))
+    # one job: the three branches share the per-minute exchange
+    tagged = (per_min.select(F.lit("minute").alias("_u"), "_n")
+              .unionByName(per_hour.select(F.lit("hour").alias("_u"), "_n"))
+              .unionByName(per_day.select(F.lit("day").alias("_u"), "_n")))
+    worst = {r["_u"]: r["_max"] for r in tagged.groupBy("_u").agg(F.max("_n").alias("_max")).collect()}
     for u in ("day", "hour", "minute"):
-        if worst[u] <= max_rows:
+        if (worst.get(u) or 0) <= max_rows:
             return u
     return "second"
 

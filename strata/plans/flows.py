@@ -166,10 +166,12 @@ def silver_contacts_model(source: DataFrame, target: DataFrame | None, *, key: s
                           ts_col: str = "ingestion_timestamp") -> DataFrame:
     """M4: the incremental silver contact model: new rows since the target's
     newest, latest per key, cleaned and flagged, merged on the key."""
-    fresh = incremental.incremental_model(source, None, key, ts_col) if target is None else None
     if target is None:
-        return silver.normalise_contacts(fresh, key=key, processed_ts=F.localtimestamp())
-    wm = target.agg(F.max(ts_col)).scalar()
-    new = silver.keep_latest(source.filter(wm.isNull() | (F.col(ts_col) > wm)), key, [ts_col])
+        new = silver.keep_latest(source, key, [ts_col])
+    else:
+        # Only rows newer than the target's newest (all of them when the
+        # target is empty - a plain ``>`` against NULL would select none)
+        wm = target.agg(F.max(ts_col)).scalar()
+        new = silver.keep_latest(source.filter(wm.isNull() | (F.col(ts_col) > wm)), key, [ts_col])
     clean = silver.normalise_contacts(new, key=key, processed_ts=F.localtimestamp())
-    return incremental.merge_upsert(target, clean, key)
+    return clean if target is None else incremental.merge_upsert(target, clean, key)
