@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +49,11 @@ def register_transformation(spark: SparkSession, root: str, source: str, target:
 BROADCAST_FRONTIER_ROWS = 1_000_000
 
 
-def walk(edges: DataFrame, start: str, direction: str = "upstream", *,
+def walk(edges: DataFrame, start: str | Sequence[str], direction: str = "upstream", *,
          max_depth: int = DEFAULT_MAX_DEPTH, limit: int | None = None) -> DataFrame:
     """Every edge reachable from ``start``, with the BFS depth of the node
-    it was reached from (direct edges have depth 0).
+    it was reached from (direct edges have depth 0).  ``start`` may be several
+    tables: one walk from the set, depth counted from the nearest of them.
 
     * a node is expanded once, at its smallest depth (cycles terminate);
     * all parallel edges of an expanded node are emitted;
@@ -74,7 +76,8 @@ def walk(edges: DataFrame, start: str, direction: str = "upstream", *,
     # The edge list is read once per level: materialise its projection once.
     e = cut_lineage(e)
     e_by_near = None
-    frontier, f_rows = spark.createDataFrame([(start,)], "node string"), 1
+    starts = [start] if isinstance(start, str) else sorted(set(start))
+    frontier, f_rows = spark.createDataFrame([(x,) for x in starts], "node string"), len(starts)
     visited = [frontier]
     levels = []
     for depth in range(max_depth + 1):
@@ -109,8 +112,9 @@ def lineage_graph(edges: DataFrame, table: str, max_depth: int = DEFAULT_MAX_DEP
     return up.unionByName(down)
 
 
-def impact(edges: DataFrame, table: str, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
-    """Every table affected by ``table`` with its nearest distance."""
+def impact(edges: DataFrame, table: str | Sequence[str], max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+    """Every table affected by ``table`` (or a set of tables) with its
+    nearest distance."""
     down = walk(edges, table, "downstream", max_depth=max_depth)
     return (down.groupBy(F.col("target_table").alias("affected_table"))
             .agg((F.min("depth") + 1).alias("distance")))

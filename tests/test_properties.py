@@ -35,10 +35,10 @@ def test_keep_first_and_latest_match_model(spark, rows):
     assert latest == model_latest
 
 
-def _bfs(edges, start, max_depth, upstream=True):
+def _bfs(edges, starts, max_depth, upstream=True):
     """Breadth-first walk: each node expanded once at its smallest depth."""
     near, far = (1, 0) if upstream else (0, 1)
-    out, seen, queue = [], set(), collections.deque([(start, 0)])
+    out, seen, queue = [], set(), collections.deque([(s, 0) for s in sorted(set(starts))])
     while queue:
         node, d = queue.popleft()
         if node in seen or d > max_depth:
@@ -57,15 +57,17 @@ edges_st = st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.sampled_f
 
 
 @SETTINGS
-@given(edges=edges_st, start=st.integers(0, 7), depth=st.integers(0, 4), up=st.booleans())
-def test_lineage_walk_matches_bfs(spark, edges, start, depth, up):
+@given(edges=edges_st, starts=st.lists(st.integers(0, 7), min_size=1, max_size=3),
+       depth=st.integers(0, 4), up=st.booleans())
+def test_lineage_walk_matches_bfs(spark, edges, starts, depth, up):
     rows = [(f"n{s}", f"n{t}", k) for s, t, k in edges]
     ts = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([(s, t, k, "p", ts, None) for s, t, k in rows], lineage.EDGE_SCHEMA)
+    names = [f"n{x}" for x in starts]
     got = sorted((r["source_table"], r["target_table"], r["transformation_type"], r["depth"])
-                 for r in lineage.walk(df, f"n{start}", "upstream" if up else "downstream",
-                                       max_depth=depth).collect())
-    assert got == _bfs(rows, f"n{start}", depth, up)
+                 for r in lineage.walk(df, names if len(names) > 1 else names[0],
+                                       "upstream" if up else "downstream", max_depth=depth).collect())
+    assert got == _bfs(rows, names, depth, up)
 
 
 @SETTINGS
