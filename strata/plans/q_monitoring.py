@@ -94,11 +94,11 @@ def success_rate(spark, sf_dir):
                     F.round(F.col("successes") * 100.0 / F.col("runs"), 6).alias("success_pct")))
 
 
-@register("failed_pipelines", W(fx.RUNS_SQL) + f"""
+@register("failed_latest_runs", W(fx.RUNS_SQL) + f"""
 SELECT pipeline_name, run_id, strftime(started_at, {TS}) AS started_at FROM (
   SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY started_at DESC, run_id DESC) = 1)
 WHERE status = 'failed'""")
-def failed_pipelines(spark, sf_dir):
+def failed_latest_runs(spark, sf_dir):
     """R2: pipelines whose latest run failed."""
     ls = lineage.latest_status(_runs(spark, sf_dir))
     return ls.filter(F.col("status") == "failed").select(
