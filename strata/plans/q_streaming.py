@@ -24,6 +24,10 @@ def _events_stream(spark, sf_dir):
     return st.read_files(spark, sf_dir, schema, glob="events.parquet")
 
 
+def _parts(spark, sf_dir):
+    return st.state_partitions_for(spark, sf_dir, "events.parquet")
+
+
 @register("stream_bronze", """
 SELECT event_id, user_id, event_type, value, 'events' AS _source_file FROM events""")
 def stream_bronze(spark, sf_dir):
@@ -37,7 +41,8 @@ def stream_bronze(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """T2 + D7: state-bounded dedup of (user, event type) within the watermark."""
     s = st.event_time(_events_stream(spark, sf_dir), "ts")
-    out = st.run_available_now(st.dedup(s, ["user_id", "event_type"], "ts", "30 days"), name="stream-dedup")
+    out = st.run_available_now(st.dedup(s, ["user_id", "event_type"], "ts", "30 days"), name="stream-dedup",
+                               state_partitions=_parts(spark, sf_dir))
     return spark.read.parquet(f"{out}/data").select("user_id", "event_type")
 
 
@@ -54,7 +59,7 @@ def stream_windows(spark, sf_dir):
     """Hourly counts per event type, written once each window closes."""
     s = st.event_time(_events_stream(spark, sf_dir), "ts")
     out = st.run_available_now(st.window_counts(s, "ts", "1 hour", ["event_type"], DELAY),
-                               name="stream-windows")
+                               name="stream-windows", state_partitions=_parts(spark, sf_dir))
     r = spark.read.parquet(f"{out}/data")
     return r.select(ts_text("window_start").alias("window_start"), ts_text("window_end").alias("window_end"),
                     "event_type", "events")
@@ -73,7 +78,8 @@ HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}""")
 def stream_sessions(spark, sf_dir):
     """T4: per-user sessions (30-minute gap), written once closed."""
     s = st.event_time(_events_stream(spark, sf_dir), "ts")
-    out = st.run_available_now(st.sessions(s, "ts", "30 minutes", ["user_id"], DELAY), name="stream-sessions")
+    out = st.run_available_now(st.sessions(s, "ts", "30 minutes", ["user_id"], DELAY), name="stream-sessions",
+                               state_partitions=_parts(spark, sf_dir))
     r = spark.read.parquet(f"{out}/data")
     return r.select("user_id", ts_text("session_start").alias("session_start"),
                     ts_text("session_end").alias("session_end"), "events")

@@ -110,10 +110,30 @@ def quality_into(base: str, checks: Callable[[DataFrame], DataFrame]) -> Callabl
     return apply
 
 
+def state_partitions_for(spark: SparkSession, path: str, glob: str = "*",
+                         bytes_per_partition: int = 128 * 1024 * 1024,
+                         lo: int = 8, hi: int = 2000) -> int:
+    """A state partition count proportional to the input size (driver-side
+    file listing only), clamped to ``[lo, hi]``."""
+    import math
+
+    from strata.sinks.writers import _fs
+    fs, _, jvm = _fs(spark, path)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")) or []
+    size = sum(int(fs.getContentSummary(st.getPath()).getLength()) for st in found)
+    return max(lo, min(hi, math.ceil(size / bytes_per_partition)))
+
+
 def run_available_now(df: DataFrame, *, name: str, sink: str | Callable = "parquet",
-                      output_mode: str = "append", path: str | None = None) -> str:
+                      output_mode: str = "append", path: str | None = None,
+                      state_partitions: int | None = None) -> str:
     """Run a stream over everything available now, then stop; returns the
-    output folder (under the shared checkpoint folder unless given)."""
+    output folder (under the shared checkpoint folder unless given).
+
+    ``state_partitions`` sets the stream's shuffle / state partition count,
+    which a stream fixes at its first start; the session's own setting is
+    restored right after the start.
+    """
     spark = df.sparkSession
     root = path or scratch_path(spark, name)
     w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", f"{root}/_checkpoint")
@@ -122,5 +142,13 @@ def run_available_now(df: DataFrame, *, name: str, sink: str | Callable = "parqu
         w = w.foreachBatch(sink)
     else:
         w = w.format(sink).option("path", f"{root}/data")
-    w.start().awaitTermination()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
+    q.awaitTermination()
     return root
