@@ -492,3 +492,13 @@ def pii_columns(spark, sf_dir):
     """Q13: share of rows of each text column that contain personal data."""
     d = table(spark, sf_dir, "documents").select("text", "source")
     return quality.pii_scan(d, ["text", "source"], PII_PATTERNS, required={"email": "@"})
+
+
+@register("silver_keep_first_counts", W(fx.F1_SQL) + """,
+ok AS (SELECT * FROM f1 WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]'))
+SELECT id, min(ord) AS ord, count(*) AS _copies FROM ok GROUP BY id""")
+def silver_keep_first_counts(spark, sf_dir):
+    """D1 with the duplicate count: the kept row's ordinal and how many rows
+    shared its key (one aggregate: the row pick and the count together)."""
+    b = silver.require_keys(fx.messy_orders(spark, sf_dir), "id")
+    return silver.keep_first_with_count(b, "id", "ord").select("id", "ord", "_copies")
