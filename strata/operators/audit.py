@@ -96,8 +96,9 @@ def quality_history(log: DataFrame, table_name=None, check_type=None, status=Non
 
 
 def access_summary(log: DataFrame, days: int = 30, as_of=None, table_name: str | None = None) -> DataFrame:
-    """G18 / A9 for every table at once: per (table, access type) the count and
-    rows, with the table's distinct users and total accesses.
+    """G18 / A9 for every table at once: per (table, access type) the count,
+    rows and distinct users, with the table's distinct users and total
+    accesses.
 
     Distinct users are counted per table with a separate aggregate (an exact
     ``count(distinct)`` shuffles on (table, user) pairs, not on rows).
@@ -107,7 +108,8 @@ def access_summary(log: DataFrame, days: int = 30, as_of=None, table_name: str |
     if table_name is not None:
         recent = recent.filter(F.col("table_name") == table_name)
     by_type = recent.groupBy("table_name", "access_type").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("rows_affected").alias("total_rows"))
+        F.count(F.lit(1)).alias("count"), F.sum("rows_affected").alias("total_rows"),
+        F.count_distinct("user").alias("type_users"))
     per_table = recent.groupBy("table_name").agg(
         F.count_distinct("user").alias("unique_users"), F.count(F.lit(1)).alias("total_accesses"))
     return by_type.join(per_table, "table_name")

@@ -271,7 +271,8 @@ def quality_history(spark, sf_dir):
 
 @register("access_summary", W(fx.ACCESS_SQL) + f""",
 recent AS (SELECT * FROM access WHERE "timestamp" >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY),
-t AS (SELECT table_name, access_type, count(*) AS "count", CAST(sum(rows_affected) AS BIGINT) AS total_rows
+t AS (SELECT table_name, access_type, count(*) AS "count", CAST(sum(rows_affected) AS BIGINT) AS total_rows,
+             count(DISTINCT "user") AS type_users
       FROM recent GROUP BY 1, 2),
 u AS (SELECT table_name, count(DISTINCT "user") AS unique_users, count(*) AS total_accesses
       FROM recent GROUP BY 1)
