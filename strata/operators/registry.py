@@ -92,7 +92,8 @@ def register_table(spark: SparkSession, root: str, layer: str, table_name: str,
     new version instead.
     """
     fq = full_name(layer, table_name)
-    cur = (registry_tables(spark, root).filter(F.col("full_name") == fq)
+    cur = (registry_tables(spark, root)
+           .filter((F.col("schema_name") == layer) & (F.col("full_name") == fq))  # prunes to the layer
            .agg(F.max("version")).first()[0])
     if cur is not None and if_exists == "error":
         raise ValueError(f"table {fq} is already registered")

@@ -46,7 +46,7 @@ def event_time(stream: DataFrame, ts: str) -> DataFrame:
 
 def bronze(stream: DataFrame, source_system: str | None = None) -> DataFrame:
     """Provenance stamps on every arriving row."""
-    out = stream.withColumns({"_ingestion_timestamp": F.current_timestamp(),
+    out = stream.withColumns({"_ingestion_timestamp": F.localtimestamp(),  # same type as batch bronze
                               "_source_file": file_stem(F.col("_metadata.file_path"))})
     return out.withColumn("source_system", F.lit(source_system)) if source_system else out
 
