@@ -270,3 +270,12 @@ def record_flow(spark: SparkSession, root: str, run_id: int, source: str, target
     """Append one flow and its access rows."""
     record_flows(spark, root, [flow_row(run_id, source, target, records_read, records_written,
                                         bytes_read, bytes_written, duration_seconds, as_of)], user)
+
+
+def open_runs(runs: DataFrame, as_of=None, max_minutes: int = 60) -> DataFrame:
+    """Runs still ``running`` (no completion event) longer than
+    ``max_minutes`` at ``as_of`` - typically runs whose driver was lost."""
+    from strata.functions.scalar import as_of_ts, epoch_seconds
+    age = epoch_seconds(as_of_ts(as_of)) - epoch_seconds(F.col("started_at"))
+    return (runs.filter(F.col("status") == "running").withColumn("age_s", age)
+            .filter(F.col("age_s") > max_minutes * 60))

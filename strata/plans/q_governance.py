@@ -377,3 +377,14 @@ def run_flows_one(spark, sf_dir):
     f = fx.data_flows(spark, sf_dir).filter(F.col("run_id") == 7).orderBy("timestamp", "source_table")
     return f.select("source_table", "target_table", "records_read", "records_written",
                     ts_text("timestamp").alias("timestamp"))
+
+
+@register("open_runs", W(fx.RUNS_SQL) + f"""
+SELECT run_id, pipeline_name, strftime(started_at, {TS}) AS started_at,
+       CAST(floor(epoch(TIMESTAMP '{AS_OF}')) AS BIGINT) - CAST(floor(epoch(started_at)) AS BIGINT) AS age_s
+FROM runs WHERE status = 'running'
+  AND CAST(floor(epoch(TIMESTAMP '{AS_OF}')) AS BIGINT) - CAST(floor(epoch(started_at)) AS BIGINT) > 3600""")
+def open_runs(spark, sf_dir):
+    """Runs without a completion event after the 60-minute limit."""
+    o = lineage.open_runs(lineage.current_runs(fx.run_events(spark, sf_dir)), as_of=AS_OF, max_minutes=60)
+    return o.select("run_id", "pipeline_name", ts_text("started_at").alias("started_at"), "age_s")
