@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import canon, duck  # noqa: E402
+from check_oracle import DUCK_TYPE, canon, duck  # noqa: E402
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
 NAMES = sorted(E.queries())
@@ -29,6 +29,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_documented():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == {"column_profile", "layer_sizes"}
+    assert not set(E.oracle_sql()) - set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -42,4 +43,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: DUCK_TYPE.get(t, t.upper()) for c, t in stypes.items()} == otypes
     assert canon(df.columns, rows) == canon(ocols, res.fetchall())
