@@ -153,6 +153,20 @@ def list_tables(current: DataFrame, layer: str | None = None) -> DataFrame:
     return df.orderBy("schema_name", "table_name")
 
 
+def list_schemas(current: DataFrame) -> DataFrame:
+    """Schemas (layers) with their table counts, ordered by name."""
+    return (current.groupBy("catalog_name", "schema_name").agg(F.count(F.lit(1)).alias("table_count"))
+            .orderBy("catalog_name", "schema_name"))
+
+
+def list_catalogs(current: DataFrame) -> DataFrame:
+    """Catalogs with their schema and table counts."""
+    return (current.groupBy("catalog_name")
+            .agg(F.count_distinct("schema_name").alias("schema_count"),
+                 F.count(F.lit(1)).alias("table_count"))
+            .orderBy("catalog_name"))
+
+
 def table_info(current: DataFrame, columns: DataFrame) -> DataFrame:
     """G3 + J1 + J2: each table with its ordered column list.
 

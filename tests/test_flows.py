@@ -121,3 +121,12 @@ def test_compact_log_partition(spark, tmp):
     assert len(files()) == 1
     after = sorted(tuple(r) for r in spark.read.parquet(f"{root}/audit_log").drop("date").collect())
     assert before == after                     # same rows, other dates untouched
+
+
+def test_list_schemas_and_catalogs(spark):
+    from strata.plans import fixtures as fx
+    cur = registry.current_tables(fx.registry_versions(spark, "/root/testdata/sf0.001"))
+    schemas = {r["schema_name"]: r["table_count"] for r in registry.list_schemas(cur).collect()}
+    assert set(schemas) == {"bronze", "silver", "gold"} and sum(schemas.values()) == cur.count()
+    cats = registry.list_catalogs(cur).collect()
+    assert [(r["catalog_name"], r["schema_count"]) for r in cats] == [("lakehouse", 3)]
