@@ -41,3 +41,10 @@ def op1(spark, sf_dir):
     """Near-duplicate classes of ``documents`` over 4-word shingles, similarity 0.8."""
     from strata.llm.near_dup import near_duplicates
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    """Toxicity score of every document."""
+    from strata.llm.toxicity import toxicity
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
