@@ -48,3 +48,10 @@ def op10(spark, sf_dir):
     """Toxicity score of every document."""
     from strata.llm.toxicity import toxicity
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@register("op2_secret_scan")
+def op2(spark, sf_dir):
+    """Secret spans of every document."""
+    from strata.llm.secrets import digests, scan
+    return digests(scan(_read(spark, sf_dir, "documents")))
