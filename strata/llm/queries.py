@@ -55,3 +55,10 @@ def op2(spark, sf_dir):
     """Secret spans of every document."""
     from strata.llm.secrets import digests, scan
     return digests(scan(_read(spark, sf_dir, "documents")))
+
+
+@register("op7_sentencepiece_sampling")
+def op7(spark, sf_dir):
+    """Sampled pieces of every document and the round trip."""
+    from strata.llm.sentencepieces import round_trip
+    return round_trip(_read(spark, sf_dir, "documents"))
