@@ -62,3 +62,10 @@ def op7(spark, sf_dir):
     """Sampled pieces of every document and the round trip."""
     from strata.llm.sentencepieces import round_trip
     return round_trip(_read(spark, sf_dir, "documents"))
+
+
+@register("op4_language_id")
+def op4(spark, sf_dir):
+    """Predicted language of every document."""
+    from strata.llm.langid import language
+    return language(_read(spark, sf_dir, "documents"))
