@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm import quality_rules
 from strata.llm.common import ship_package
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,9 @@ def op4(spark, sf_dir):
     """Predicted language of every document."""
     from strata.llm.langid import language
     return language(_read(spark, sf_dir, "documents"))
+
+
+@register("op5_quality_rules", quality_rules.ORACLE)
+def op5(spark, sf_dir):
+    """Counts and adaptive verdict of every document."""
+    return quality_rules.quality(_read(spark, sf_dir, "documents"))
