@@ -76,3 +76,11 @@ def op4(spark, sf_dir):
 def op5(spark, sf_dir):
     """Counts and adaptive verdict of every document."""
     return quality_rules.quality(_read(spark, sf_dir, "documents"))
+
+
+@register("op3_source_mixing")
+def op3(spark, sf_dir):
+    """Domain posterior and fitted rate of every document."""
+    from strata.llm.mixing import labelled_domains, mix
+    docs = _read(spark, sf_dir, "documents")
+    return mix(docs, labelled_domains(docs, _read(spark, sf_dir, "labels")))
