@@ -84,3 +84,22 @@ def op3(spark, sf_dir):
     from strata.llm.mixing import labelled_domains, mix
     docs = _read(spark, sf_dir, "documents")
     return mix(docs, labelled_domains(docs, _read(spark, sf_dir, "labels")))
+
+
+@register("op8_warc_round_trip", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+f AS (SELECT b, min(page_id) AS first_id FROM p WHERE page_id IS NOT NULL GROUP BY b)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM (SELECT p.*, f.first_id,
+             list_aggregate(list_transform(range(0, 32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_aggregate(list_transform(range(0, 5), lambda k: ((('0x' || substr(sha1(p.b), 1 + (g * 5 + k) // 4, 1))::INTEGER
+                 >> (3 - (g * 5 + k) % 4)) & 1) << (4 - k)), 'sum')::INTEGER, 1)), 'string_agg', '') AS digest
+      FROM p LEFT JOIN f ON p.b = f.b)""")
+def op8(spark, sf_dir):
+    """Pages written as archives and read back."""
+    from strata.llm.warc import archive_folder, read_archives, write_archives
+    folder = archive_folder(spark)
+    manifest = write_archives(_read(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
