@@ -103,3 +103,10 @@ def op8(spark, sf_dir):
     folder = archive_folder(spark)
     manifest = write_archives(_read(spark, sf_dir, "pages"), folder, min_bytes=0)
     return read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op6_hmm_language_model")
+def op6(spark, sf_dir):
+    """Unigram and hidden Markov log-probabilities of every document."""
+    from strata.llm.lm import language_model
+    return language_model(_read(spark, sf_dir, "documents"))
