@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm.common import docs_of, keep_table, ship_package
 from strata.llm.mixing import apply_rates, labelled_domains
 from strata.llm.near_dup import drop_near_duplicates
-from strata.llm.secrets import redact
+from strata.llm.secret_scan import redact
 from strata.llm.sentencepieces import round_trip
 from strata.llm.toxicity import drop_toxic
 

@@ -54,7 +54,7 @@ def op10(spark, sf_dir):
 @register("op2_secret_scan")
 def op2(spark, sf_dir):
     """Secret spans of every document."""
-    from strata.llm.secrets import digests, scan
+    from strata.llm.secret_scan import digests, scan
     return digests(scan(_read(spark, sf_dir, "documents")))
 
 
@@ -110,3 +110,10 @@ def op6(spark, sf_dir):
     """Unigram and hidden Markov log-probabilities of every document."""
     from strata.llm.lm import language_model
     return language_model(_read(spark, sf_dir, "documents"))
+
+
+@register("op9_nearest_neighbours")
+def op9(spark, sf_dir):
+    """The 20 nearest others of every 20th row of ``embeddings``."""
+    from strata.llm.neighbours import nearest
+    return nearest(_read(spark, sf_dir, "embeddings"), k=20, every=20)
