@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import keep_table
 
-DEGREE, BEAM, EXPAND = 20, 128, 32
-PROJECTIONS, STRETCH, DESCENTS, MAX_ROUNDS = 3, 64, 4, 30
+DEGREE, BEAM, EXPAND = 24, 320, 64
+PROJECTIONS, STRETCH, DESCENTS, MAX_ROUNDS = 4, 64, 5, 30
 #: Best partners that a node takes from one middle node in a round.
 PER_MIDDLE = 6
 BLOCK_NODES, LEAST_BLOCKS, BLOCK_QUERIES = 50_000, 24, 20_000
@@ -64,7 +64,7 @@ def _matrix(column) -> np.ndarray:
 
 def _best_pairs(ids: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int):
     """For each row its ``keep`` best partners in the group that beat ``least``."""
-    s = x @ x.T
+    s = np.round(x @ x.T * 65536) / 65536  # so that a pair has one score in all its groups
     np.fill_diagonal(s, -np.inf)
     s[s <= least[:, None]] = -np.inf
     keep = min(keep, len(ids) - 1)
@@ -147,7 +147,8 @@ def _merge(edges: DataFrame, degree: int) -> DataFrame:
 
 
 def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
-    """``(v, m)``: each node's neighbours and up to ``degree`` of those it is a neighbour of."""
+    """``(v, m)``: each node's neighbours and a sample of up to twice
+    ``degree`` of those it is a neighbour of."""
     order = Window.partitionBy("c").orderBy(F.xxhash64("a", "c", F.lit(salt)))
     back = (graph.withColumn("r", F.row_number().over(order)).where(F.col("r") <= 2 * degree)
             .select(F.col("c").alias("v"), F.col("a").alias("m")))
