@@ -235,7 +235,7 @@ def cover(candidates: list[tuple[str, set, float]], size: int) -> list[bytes]:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE,
         landmarks: int = LANDMARKS, candidates: int = CANDIDATES) -> Model:
-    """Train on at most ``sample`` labelled documents, taken in the order of a hash
+    """Train on about ``sample`` labelled documents (all, if fewer), drawn by a hash
     of their ids.  Null ids, labels and texts are left out.  With no label of a
     class the model gives every text the share of label 1 (0 without labels)."""
     from pyspark.ml.classification import LinearSVC, LogisticRegression
@@ -244,9 +244,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: in
     from strata.llm.common import keep_table
 
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-           .where("doc_id IS NOT NULL AND label IN (0, 1)")
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample))
-    ids = keep_table(ids, "labelled")  # at most `sample` narrow rows: bounded, so it is broadcast
+           .where("doc_id IS NOT NULL AND label IN (0, 1)"))
+    share = min(1.0, sample / max(1, ids.count()))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / (1 << 30)
+    ids = keep_table(ids.where(draw < share), "labelled")  # about `sample` narrow rows: bounded, so broadcast
     texts = keep_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
                        .join(F.broadcast(ids), "doc_id")
                        .select("label", "text", F.monotonically_increasing_id().alias("n"))
