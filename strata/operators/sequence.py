@@ -77,6 +77,18 @@ def choose_unit(hot: DataFrame, keys: Sequence[str], ts: str, max_rows: int) ->
     return "second"
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """An equi-join in which null keys (and null times) match each other, as
+    they do in a window."""
+    names = {k: f"_seq_k{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(names)
+    on = F.lit(True)
+    for k, n in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    joined = left.join(right, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
+
+
 def _plain(df, keys, order, value, out_col, shift):
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(out_col, shift(F.col(value), 1).over(w))
@@ -100,7 +112,7 @@ def _bucketed(df, keys, ts, order, value, out_col, bucket, forward, shift):
         edge.alias("_seq_edge_val"))
     ws = Window.partitionBy(*keys).orderBy(_B)
     summary = summary.select(*keys, _B, shift(F.col("_seq_edge_val"), 1).over(ws).alias("_seq_nb"))
-    joined = x.join(summary, [*keys, _B], "left")
+    joined = _null_safe(x, summary, [*keys, _B], "left")
     return (joined.withColumn(out_col, F.when(F.col("_seq_edge"), F.col("_seq_nb"))
                               .otherwise(F.col("_seq_in")))
             .drop(_B, "_seq_in", "_seq_edge", "_seq_nb"))
@@ -125,8 +137,8 @@ def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[s
         unit = choose_unit(df, keys, ts, hot_rows) if bucket == "auto" else bucket
         return _bucketed(df, keys, ts, order, value, out_col, unit, forward, shift)
     hot = F.broadcast(hot)           # size proven by the count above
-    cold_rows = df.join(hot, keys, "left_anti")
-    hot_rows_df = df.join(hot, keys, "left_semi")
+    cold_rows = _null_safe(df, hot, keys, "left_anti")
+    hot_rows_df = _null_safe(df, hot, keys, "left_semi")
     if bucket == "auto":
         bucket = choose_unit(hot_rows_df, keys, ts, hot_rows)
     return _plain(cold_rows, keys, order, value, out_col, shift).unionByName(

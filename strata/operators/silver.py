@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.scalar import digits_only, not_blank
 
@@ -49,6 +50,26 @@ def filter_since(df: DataFrame, ts_col: str, watermark, inclusive: bool = False)
 # ---------------------------------------------------------------- dedup
 
 
+def _orderable(t: T.DataType) -> bool:
+    """Maps (and what holds them) have no order."""
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def _best_row(df: DataFrame, order: list[str], rest: list[str], largest: bool) -> Column:
+    """The row with the smallest / largest ``order`` tuple, as an aggregate.
+    Columns without an order ride along and break no ties."""
+    row = F.struct(*[F.col(c) for c in order + rest])
+    plain = [c for c in rest if _orderable(df.schema[c].dataType)]
+    if len(plain) == len(rest):
+        return F.max(row) if largest else F.min(row)
+    rank = F.struct(*[F.col(c) for c in order + plain])
+    return F.max_by(row, rank) if largest else F.min_by(row, rank)
+
+
 def _pick(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> DataFrame:
     """Per key, the row with the smallest / largest ``order`` tuple.
 
@@ -59,8 +80,7 @@ def _pick(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> Da
     deterministic.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(*[F.col(c) for c in order + rest])
-    picked = df.groupBy(*keys).agg((F.max(row) if largest else F.min(row)).alias("_row"))
+    picked = df.groupBy(*keys).agg(_best_row(df, order, rest, largest).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in order + rest]).select(*df.columns)
 
 
@@ -79,8 +99,8 @@ def keep_first_with_count(df: DataFrame, key: str | Sequence[str],
     """D1 plus ``_copies``: how many rows shared the key (duplicates + 1)."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys and c != order_col]
-    row = F.struct(F.col(order_col), *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+    picked = df.groupBy(*keys).agg(_best_row(df, [order_col], rest, largest=False).alias("_row"),
+                                   F.count(F.lit(1)).alias("_copies"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in [order_col] + rest], "_copies")
 
 
@@ -95,8 +115,8 @@ def keep_latest(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]
     """
     keys = [key] if isinstance(key, str) else list(key)
     order_by = list(order_by)
-    if tiebreak == "all":
-        tiebreak = [c for c in df.columns if c not in keys and c not in order_by]
+    if tiebreak == "all":  # the columns that _pick falls back to
+        tiebreak = []
     return _pick(df, keys, order_by + [c for c in tiebreak if c not in order_by], largest=True)
 
 
