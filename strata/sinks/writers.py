@@ -21,14 +21,15 @@ def write(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwr
     """K1-K5, K8: write a dataset; returns the row count written.
 
     The count comes from an ``Observation`` on the write itself (one pass, no
-    second job).  With ``partition_by`` the data is first hash-partitioned on
-    the same keys so each task writes few files.  ``dynamic_partitions``
+    second job).  With ``partition_by`` the data is rebalanced on the same
+    keys: few files per folder, and adaptive execution splits a folder that
+    holds most rows over several tasks.  ``dynamic_partitions``
     replaces only the partitions present in ``df`` (re-runnable date slices).
     """
     obs = Observation("write") if count else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     w = out.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -70,9 +71,13 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def committed_versions(spark: SparkSession, base: str) -> list[int]:
-    """Version numbers under ``base`` whose write committed (driver metadata
-    listing only; no data is read)."""
+def _number(folder: str) -> int:
+    return int(folder[2:].split("-")[0])
+
+
+def committed_folders(spark: SparkSession, base: str) -> list[str]:
+    """Version folders ``v=<n>[-<tag>]`` under ``base`` whose write committed, by
+    number (driver metadata listing only; no data is read)."""
     fs, p, jvm = _fs(spark, base)
     if not fs.exists(p):
         return []
@@ -81,13 +86,18 @@ def committed_versions(spark: SparkSession, base: str) -> list[int]:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v="):
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+                out.append(name)
+    return sorted(out, key=_number)
+
+
+def committed_versions(spark: SparkSession, base: str) -> list[int]:
+    """Version numbers under ``base`` whose write committed."""
+    return [_number(name) for name in committed_folders(spark, base)]
 
 
 def current_path(spark: SparkSession, base: str) -> str | None:
-    v = committed_versions(spark, base)
-    return f"{base.rstrip('/')}/v={v[-1]:08d}" if v else None
+    v = committed_folders(spark, base)
+    return f"{base.rstrip('/')}/{v[-1]}" if v else None
 
 
 def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
@@ -96,17 +106,21 @@ def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFr
 
 
 def write_version(df: DataFrame, base: str, *, fmt: str = "parquet",
-                  partition_by: Sequence[str] | None = None) -> tuple[str, int | None]:
-    """Write ``df`` as the next version of ``base``; returns (path, rows)."""
+                  partition_by: Sequence[str] | None = None,
+                  tag: str | None = None) -> tuple[str, int | None]:
+    """Write ``df`` as the next version of ``base``; returns (path, rows).  A
+    ``tag`` (of letters, digits and dashes) becomes part of the folder's name and
+    so commits together with the data."""
     spark = df.sparkSession
     v = committed_versions(spark, base)
     fs, p, jvm = _fs(spark, base)
     nxt = (v[-1] + 1) if v else 1
     if fs.exists(p):  # skip numbers left by failed attempts
-        names = {st.getPath().getName() for st in fs.listStatus(p)}
-        while f"v={nxt:08d}" in names:
+        used = {_number(st.getPath().getName()) for st in fs.listStatus(p)
+                if st.getPath().getName().startswith("v=")}
+        while nxt in used:
             nxt += 1
-    path = f"{base.rstrip('/')}/v={nxt:08d}"
+    path = f"{base.rstrip('/')}/v={nxt:08d}" + (f"-{tag}" if tag else "")
     rows = write(df, path, fmt=fmt, mode="errorifexists", partition_by=partition_by)
     return path, rows
 

@@ -6,8 +6,8 @@
 * gold: event-time windows and sessions in append mode - a window is written
   once, when the watermark passes its end, so nothing is rewritten;
 * merge / quality: ``foreachBatch`` running the batch operators on each
-  micro-batch, idempotent by batch id so a replayed batch after a failure
-  does not apply twice.
+  micro-batch, idempotent by query and batch id so a replayed batch after a
+  failure does not apply twice.
 
 Checkpoints and outputs live under the shared checkpoint folder.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from strata.functions.scalar import file_stem
 from strata.operators.silver import keep_latest
-from strata.sinks.writers import committed_versions, read_current, write
+from strata.sinks.writers import committed_folders, read_current, write_version
 from strata.session import scratch_path
 
 
@@ -82,46 +82,53 @@ def merge_into(base: str, key: Sequence[str] | str, order_by: Sequence[str]) ->
     """T5: a ``foreachBatch`` function keeping the latest row per key in a
     versioned Parquet table at ``base``.
 
-    Each batch writes version ``batch_id + 1`` = latest-per-key over (current
-    version ∪ batch), so an older late row never overwrites a newer one.  A
-    batch whose version already committed is skipped (replay after failure).
+    Each batch writes the next free version = latest-per-key over (current
+    version ∪ batch), so an older late row never overwrites a newer one.  The
+    version's folder names the query and batch that wrote it; only a batch
+    that this query has already committed is skipped (replay after failure),
+    so a seeded table or a new checkpoint loses nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if (batch_id + 1) in committed_versions(spark, base):
+        tag = f"{_query_id(batch)}-b{batch_id}"
+        if any(name.endswith(f"-{tag}") for name in committed_folders(spark, base)):
             return
         cur = read_current(spark, base)
         rows = batch if cur is None else cur.unionByName(batch)
-        merged = keep_latest(rows, keys, list(order_by))
-        path = f"{base.rstrip('/')}/v={batch_id + 1:08d}"
-        write(merged, path, mode="overwrite", count=False)
+        write_version(keep_latest(rows, keys, list(order_by)), base, tag=tag)
 
     return apply
 
 
+def _query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to: kept in its
+    checkpoint, so the same after a restart; ``batch`` outside a stream."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def quality_into(base: str, checks: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """Run the check operators on each micro-batch and write the result
-    rows to ``base/batch_id=<n>`` (overwritten on replay, so idempotent)."""
+    rows to ``base/query_id=<id>/batch_id=<n>`` (overwritten on replay, so
+    idempotent; another query or checkpoint has folders of its own)."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        out = checks(batch).withColumn("batch_id", F.lit(batch_id))
-        out.write.mode("overwrite").parquet(f"{base.rstrip('/')}/batch_id={batch_id}")
+        checks(batch).write.mode("overwrite").parquet(
+            f"{base.rstrip('/')}/query_id={_query_id(batch)}/batch_id={batch_id}")
     return apply
 
 
 def state_partitions_for(spark: SparkSession, path: str, glob: str = "*",
-                         bytes_per_partition: int = 128 * 1024 * 1024,
-                         lo: int = 8, hi: int = 2000) -> int:
+                         bytes_per_partition: int = 128 * 1024 * 1024, lo: int = 8) -> int:
     """A state partition count proportional to the input size (driver-side
-    file listing only), clamped to ``[lo, hi]``."""
+    file listing only), at least ``lo``."""
     import math
 
     from strata.sinks.writers import _fs
     fs, _, jvm = _fs(spark, path)
     found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")) or []
     size = sum(int(fs.getContentSummary(st.getPath()).getLength()) for st in found)
-    return max(lo, min(hi, math.ceil(size / bytes_per_partition)))
+    return max(lo, math.ceil(size / bytes_per_partition))
 
 
 def run_available_now(df: DataFrame, *, name: str, sink: str | Callable = "parquet",

@@ -52,6 +52,34 @@ def test_merge_into_replay_is_skipped(spark, tmp):
     assert cur == {1: "c", 2: "b"}   # the older late row did not overwrite user 2
 
 
+def test_merge_into_seeded_table_and_new_checkpoint(spark, tmp):
+    """A seeded target and a second query with a fresh checkpoint: no batch is lost."""
+    from strata.sinks.writers import write_version
+    base, t = os.path.join(tmp, "silver"), dt.datetime(2024, 1, 1)
+    write_version(spark.createDataFrame([(1, t, 1, "seed"), (2, t, 2, "seed")], SCHEMA), base)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i, (rows, want) in enumerate([([(3, t + dt.timedelta(1), 1, "new")], {1: "new", 2: "seed"}),
+                                      ([(4, t + dt.timedelta(2), 2, "newer")], {1: "new", 2: "newer"})]):
+        src = os.path.join(tmp, f"in{i}")
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(os.path.join(src, "a"))
+        s = st.read_files(spark, src, schema, recursive=True)
+        st.run_available_now(s, name="m", sink=st.merge_into(base, "user_id", ["ts", "event_id"]),
+                             path=os.path.join(tmp, f"q{i}"))
+        assert {r["user_id"]: r["event_type"] for r in read_current(spark, base).collect()} == want
+
+
+def test_quality_log_survives_a_new_checkpoint(spark, tmp):
+    base, t = os.path.join(tmp, "log"), dt.datetime(2024, 1, 1)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    src = os.path.join(tmp, "in")
+    spark.createDataFrame([(1, t, 1, "a"), (2, t, 2, "b")], SCHEMA).coalesce(1).write.parquet(os.path.join(src, "a"))
+    for i in range(2):
+        s = st.read_files(spark, src, schema, recursive=True)
+        st.run_available_now(s, name="q", sink=st.quality_into(base, lambda b: b.groupBy().count()),
+                             path=os.path.join(tmp, f"q{i}"))
+    assert [r["count"] for r in spark.read.parquet(base).collect()] == [2, 2]
+
+
 def test_merge_over_many_batches_equals_batch(spark, tmp):
     """Events split over four files (one micro-batch each, rows of a user
     spread across batches out of time order): the merged silver equals the
