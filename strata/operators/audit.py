@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,20 +26,28 @@ ACTION_STATUS = ("success", "failed", "denied")
 CHECK_STATUS = ("passed", "failed", "warning")
 
 AUDIT_SCHEMA = T.StructType([
+    T.StructField("audit_id", T.StringType()),
     T.StructField("timestamp", T.TimestampNTZType()), T.StructField("user", T.StringType()),
     T.StructField("action", T.StringType()), T.StructField("resource_type", T.StringType()),
     T.StructField("resource_name", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("details", T.StringType()), T.StructField("date", T.DateType()),
+    T.StructField("details", T.StringType()), T.StructField("ip_address", T.StringType()),
+    T.StructField("session_id", T.StringType()), T.StructField("date", T.DateType()),
 ])
 
 
+def new_id() -> str:
+    """A unique log id that sorts by the time it was made."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+
+
 def action_row(user: str, action: str, resource_type: str, resource_name: str,
                status: str = "success", details: dict | None = None,
-               as_of: _dt.datetime | None = None) -> tuple:
+               as_of: _dt.datetime | None = None, ip_address: str | None = None,
+               session_id: str | None = None) -> tuple:
     """One audit row (G13) for :func:`log_actions`."""
     ts = as_of or _dt.datetime.now()
-    return (ts, user, action, resource_type, resource_name, status,
-            json.dumps(details) if details is not None else None, ts.date())
+    return (new_id(), ts, user, action, resource_type, resource_name, status,
+            json.dumps(details) if details is not None else None, ip_address, session_id, ts.date())
 
 
 def log_actions(spark: SparkSession, root: str, rows: list[tuple]) -> None:
@@ -166,7 +176,7 @@ def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFr
 
 
 ACCESS_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()), T.StructField("user", T.StringType()),
+    T.StructField("access_id", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("user", T.StringType()),
     T.StructField("table_name", T.StringType()), T.StructField("access_type", T.StringType()),
     T.StructField("rows_affected", T.LongType()), T.StructField("query", T.StringType()),
     T.StructField("status", T.StringType()), T.StructField("duration_ms", T.LongType()),
@@ -177,28 +187,39 @@ ACCESS_SCHEMA = T.StructType([
 def log_access(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     """Append data-access rows ``(timestamp, user, table_name,
     access_type, rows_affected, query, status, duration_ms, details)`` in one
-    write."""
+    write; each row gets an ``access_id``."""
     if rows:
-        append_log(spark.createDataFrame(rows, ACCESS_SCHEMA), f"{root}/data_access_log")
+        append_log(spark.createDataFrame([(new_id(), *r) for r in rows], ACCESS_SCHEMA),
+                   f"{root}/data_access_log")
+
+
+def row_id() -> Column:
+    """A unique id per row of a DataFrame, sorting by the time of the write."""
+    return F.concat(F.lit(f"{time.time_ns():020d}-"), F.uuid())
 
 
 def append_log(rows: DataFrame, path: str) -> None:
     """Append log rows partitioned by ``date`` (from ``timestamp``): time-range
-    readers prune whole folders; one file per date per write."""
-    (rows.withColumn("date", F.to_date("timestamp")).repartition("date").write.mode("append")
-     .partitionBy("date").parquet(path))
+    readers prune whole folders; few files per date per write, and a date that
+    holds most rows is split over several tasks."""
+    (rows.withColumn("date", F.to_date("timestamp")).hint("rebalance", F.col("date")).write
+     .mode("append").partitionBy("date").parquet(path))
 
 
 QUALITY_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()), T.StructField("table_name", T.StringType()),
+    T.StructField("quality_id", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("table_name", T.StringType()),
     T.StructField("check_name", T.StringType()), T.StructField("check_type", T.StringType()),
     T.StructField("status", T.StringType()), T.StructField("passed_count", T.LongType()),
     T.StructField("failed_count", T.LongType()), T.StructField("error_rate", T.DoubleType()),
+    T.StructField("details", T.StringType()),
 ])
 
 
 def log_quality(results: DataFrame, root: str, as_of: _dt.datetime | None = None) -> None:
-    """G13 quality side: append check-result rows (Q11 shape) to the log."""
+    """G13 quality side: append check-result rows (Q11 shape, with ``details``
+    where the check gives them) to the log; each row gets a ``quality_id``."""
     ts = F.lit(as_of or _dt.datetime.now()).cast("timestamp_ntz")
-    append_log(results.select(ts.alias("timestamp"), "table_name", "check_name", "check_type", "status",
-                              "passed_count", "failed_count", "error_rate"), f"{root}/quality_log")
+    details = F.col("details") if "details" in results.columns else F.lit(None)
+    append_log(results.select(row_id().alias("quality_id"), ts.alias("timestamp"), "table_name", "check_name",
+                              "check_type", "status", "passed_count", "failed_count", "error_rate",
+                              details.cast("string").alias("details")), f"{root}/quality_log")

@@ -255,11 +255,11 @@ def record_flows(spark: SparkSession, root: str, rows: list[tuple], user: str =
         return
     flows = spark.createDataFrame(rows, FLOW_SCHEMA).coalesce(1)
     flows.write.mode("append").parquet(f"{root}/data_flows")
+    from strata.operators.audit import append_log, row_id
     acc = flow_access_rows(flows, user).select(
-        "timestamp", "user", "table_name", "access_type", "rows_affected",
+        row_id().alias("access_id"), "timestamp", "user", "table_name", "access_type", "rows_affected",
         F.lit(None).cast("string").alias("query"), "status", "duration_ms",
         F.to_json(F.struct("run_id")).alias("details"))
-    from strata.operators.audit import append_log
     append_log(acc, f"{root}/data_access_log")
 
 

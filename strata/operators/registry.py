@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.scalar import ts_text
-
 CATALOG = "lakehouse"
 # Layer -> table kind, as the reference names them.
 TABLE_KIND = {"bronze": "raw", "silver": "cleaned", "gold": "aggregate"}
@@ -98,8 +96,8 @@ def register_table(spark: SparkSession, root: str, layer: str, table_name: str,
     if cur is not None and if_exists == "error":
         raise ValueError(f"table {fq} is already registered")
     version = (cur or 0) + 1
-    ts = (as_of or _dt.datetime.now()).replace(microsecond=0)
-    props = {k: (v if isinstance(v, str) else json.dumps(v)) for k, v in (properties or {}).items()}
+    ts = as_of or _dt.datetime.now()
+    props ={k: (v if isinstance(v, str) else json.dumps(v)) for k, v in (properties or {}).items()}
     row = (fq, CATALOG, layer, table_name, TABLE_KIND.get(layer, "table"), location, fmt,
            description, owner, version, row_count, size_bytes, props, ts)
     _append_tables(spark.createDataFrame([row], TABLES_SCHEMA), root)
@@ -120,7 +118,7 @@ def update_table_stats(spark: SparkSession, root: str, layer: str, table_name: s
     if cur is None:
         raise KeyError(fq)
     d = cur.asDict()
-    ts = (as_of or _dt.datetime.now()).replace(microsecond=0)
+    ts = as_of or _dt.datetime.now()
     d.update(version=d["version"] + 1, updated_at=ts,
              row_count=row_count if row_count is not None else d["row_count"],
              size_bytes=size_bytes if size_bytes is not None else d["size_bytes"])
@@ -210,9 +208,11 @@ def governance_summary(current: DataFrame, layers: Sequence[str] = ("bronze", "s
 def export_rows(current: DataFrame, columns: DataFrame) -> DataFrame:
     """One nested row per table (layer, metadata, ordered columns)."""
     info = table_info(current, columns)
-    meta = [c for c in ("schema_name", "table_name", "full_name", "table_type", "location", "format",
-                        "version", "row_count", "size_bytes") if c in info.columns]
-    return info.select(*meta, ts_text("updated_at").alias("updated_at"), "columns")
+    meta = [c for c in ("schema_name", "table_name", "full_name", "catalog_name", "table_type", "location",
+                        "format", "description", "owner", "version", "row_count", "size_bytes",
+                        "properties") if c in info.columns]
+    return info.select(*meta, F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"),
+                       "columns")
 
 
 def export_catalog(current: DataFrame, columns: DataFrame, path: str) -> int | None:
@@ -225,9 +225,12 @@ def restore_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     """(tables, columns) back from an export."""
     schema = T.StructType([
         T.StructField("table_name", T.StringType()), T.StructField("full_name", T.StringType()),
+        T.StructField("catalog_name", T.StringType()),
         T.StructField("table_type", T.StringType()), T.StructField("location", T.StringType()),
-        T.StructField("format", T.StringType()), T.StructField("version", T.IntegerType()),
+        T.StructField("format", T.StringType()), T.StructField("description", T.StringType()),
+        T.StructField("owner", T.StringType()), T.StructField("version", T.IntegerType()),
         T.StructField("row_count", T.LongType()), T.StructField("size_bytes", T.LongType()),
+        T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
         T.StructField("updated_at", T.StringType()),
         T.StructField("columns", T.ArrayType(T.StructType([
             T.StructField("position", T.IntegerType()), T.StructField("column_name", T.StringType()),
@@ -245,9 +248,12 @@ def schema_diff(columns: DataFrame, old_version: int | str = "previous",
     """Per table, columns added, removed or retyped between its two
     newest versions (or the given version numbers)."""
     if old_version == "previous" and new_version == "current":
+        # The greatest two version numbers that have columns: there may be gaps.
         vs = columns.groupBy("full_name").agg(F.max("version").alias("_new"))
         new = columns.join(vs, "full_name").filter(F.col("version") == F.col("_new"))
-        old = columns.join(vs, "full_name").filter(F.col("version") == F.col("_new") - 1)
+        before = columns.join(vs, "full_name").filter(F.col("version") < F.col("_new")).drop("_new")
+        last = before.groupBy("full_name").agg(F.max("version").alias("_old"))
+        old = before.join(last, "full_name").filter(F.col("version") == F.col("_old"))
     else:
         new = columns.filter(F.col("version") == new_version)
         old = columns.filter(F.col("version") == old_version)

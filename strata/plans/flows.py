@@ -29,6 +29,7 @@ class FlowResult:
     run_id: int | None = None
     checks: list = field(default_factory=list)
     schemas: dict = field(default_factory=dict)
+    seconds: dict = field(default_factory=dict)  # wall-clock time of each layer's stage
 
 
 def _size(spark: SparkSession, path: str) -> int:
@@ -49,15 +50,20 @@ def run_medallion(spark: SparkSession, source: str, dataset: str, group_by: str,
          "gold_members": f"{root}/gold/{dataset}_by_{group_by}_members"}
     raw = read_csv_strings(spark, source)
     stamped = stamp_ingestion(raw, source, as_of=as_of)
+    at = [time.time()]
     n_bronze = write(stamped, p["bronze"], fmt=fmt)
+    at.append(time.time())
     bronze = spark.read.schema(stamped.schema).format(fmt).load(p["bronze"])
     s = stamp_time(silver.keep_first(silver.require_keys(bronze, key), key, ORD), PROCESSED, as_of=as_of)
     n_silver = write(s, p["silver"], fmt=fmt)
+    at.append(time.time())
     sil = spark.read.schema(s.schema).format(fmt).load(p["silver"])
     g = stamp_time(gold.group_count(sil, group_by), AGGREGATED, as_of=as_of)
     n_gold = write(g, p["gold"], fmt=fmt)
     write(gold.group_members(sil, group_by, key, ORD), p["gold_members"], fmt=fmt)
+    at.append(time.time())
     return FlowResult(paths=p, counts={"bronze": n_bronze, "silver": n_silver, "gold": n_gold},
+                      seconds={k: b - a for k, a, b in zip(("bronze", "silver", "gold"), at, at[1:])},
                       schemas={"bronze": stamped.schema, "silver": s.schema, "gold": g.schema})
 
 
@@ -84,9 +90,7 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
     # Audit rows are buffered and written once per run (success or failure).
     actions = [audit.action_row(user, "start_pipeline", "pipeline", name, as_of=as_of)]
     try:
-        t0 = time.time()
         res = run_medallion(spark, source, dataset, group_by, root, key=key, fmt=fmt, as_of=as_of)
-        dur = time.time() - t0
         fq = {k: registry.full_name(k, v) for k, v in layers.items()}
         for layer, tname in layers.items():
             path = res.paths[layer]
@@ -100,11 +104,14 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
             actions.append(audit.action_row(user, "register_lineage", "transformation",
                                             f"{fq[a]} -> {fq[b]}", as_of=as_of))
         src_fq = f"lakehouse.external.{source.rstrip('/').split('/')[-1].rsplit('.', 1)[0]}"
-        flows = [(src_fq, fq["bronze"], res.counts["bronze"], res.counts["bronze"]),
-                 (fq["bronze"], fq["silver"], res.counts["bronze"], res.counts["silver"]),
-                 (fq["silver"], fq["gold"], res.counts["silver"], res.counts["gold"])]
-        lineage.record_flows(spark, gov_root, [lineage.flow_row(run_id, s, t, r, w, duration_seconds=dur / 3,
-                                                                as_of=as_of) for s, t, r, w in flows], user)
+        # Each stage with the rows, bytes and seconds of its own write.
+        stages = [("external", "bronze"), ("bronze", "silver"), ("silver", "gold")]
+        names = fq | {"external": src_fq}
+        rows = res.counts | {"external": res.counts["bronze"]}
+        size = {k: _size(spark, res.paths[k]) for k in layers} | {"external": _size(spark, source)}
+        lineage.record_flows(spark, gov_root, [
+            lineage.flow_row(run_id, names[a], names[b], rows[a], rows[b], size[a], size[b],
+                             duration_seconds=res.seconds[b], as_of=as_of) for a, b in stages], user)
         bronze = spark.read.schema(res.schemas["bronze"]).format(fmt).load(res.paths["bronze"])
         checks = (quality.completeness_check(bronze, key, fq["silver"])
                   .unionByName(quality.uniqueness_check(bronze, key, fq["silver"])))
@@ -116,8 +123,7 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
         res.run_id = run_id
         return res
     except Exception as e:
-        lineage.complete_run(spark, gov_root, run_id, name, "failed", error_message=str(e)[:1000],
-                             as_of=as_of)
+        lineage.complete_run(spark, gov_root, run_id, name, "failed", error_message=str(e), as_of=as_of)
         actions.append(audit.action_row(user, "complete_pipeline", "pipeline", name, status="failed",
                                         as_of=as_of))
         audit.log_actions(spark, gov_root, actions)

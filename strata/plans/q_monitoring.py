@@ -62,16 +62,19 @@ def error_rate_alert(spark, sf_dir):
 @register("low_ingestion_alert", f"""
 WITH b AS (SELECT event_type, time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, count(*) AS amount
            FROM events GROUP BY ALL),
-r AS (SELECT event_type, min(bucket) AS lo, max(bucket) AS hi FROM b GROUP BY 1),
+r AS (SELECT event_type, min(bucket) AS lo, time_bucket(INTERVAL 15 MINUTE, TIMESTAMP '{AS_OF}') AS hi FROM b GROUP BY 1),
 g AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS bucket FROM r),
 f AS (SELECT g.event_type, g.bucket, coalesce(b.amount, 0) AS amount
       FROM g LEFT JOIN b ON g.event_type = b.event_type AND g.bucket = b.bucket)"""
           + _islands_sql("f", "event_type", 900, f"amount / 900.0 < {mon.MIN_INGESTION_PER_S}", 2))
 def low_ingestion_alert(spark, sf_dir):
     """R6 + W2: ingestion below 10 records/s over 15 minutes for 15 minutes;
-    empty buckets are generated, since silence is the lowest rate of all."""
+    empty buckets are generated up to ``as_of``, since silence is the lowest
+    rate of all: a source that has stopped stays in alert."""
     r = mon.rate_per_bucket(table(spark, sf_dir, "events"), "ts", 900, ["event_type"])
-    f = mon.fill_buckets(r.drop("rate"), ["event_type"], 900, fill={"amount": 0})
+    now = F.window(F.lit(AS_OF).cast("timestamp_ntz"), "900 seconds").start
+    r = r.drop("rate").filter(F.col("bucket") <= F.lit(AS_OF).cast("timestamp_ntz"))
+    f = mon.fill_buckets(r, ["event_type"], 900, end=now, fill={"amount": 0})
     cond = F.col("amount") / F.lit(900.0) < mon.MIN_INGESTION_PER_S
     return _islands_out(mon.sustained(f, ["event_type"], cond, 900, 2), "event_type")
 
