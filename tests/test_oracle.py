@@ -10,9 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import DUCK_TYPE, canon, duck  # noqa: E402
+from strata.plans import queries as catalogue  # noqa: E402
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(catalogue.queries())
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +28,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalogue.queries()) - set(catalogue.oracle_sql())
     assert missing == {"column_profile", "layer_sizes"}
+    assert set(NAMES) <= set(E.queries())
     assert not set(E.oracle_sql()) - set(E.queries())
 
 
