@@ -56,7 +56,7 @@ def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
     weights = [_U(_WEIGHTS[i % 12] + 48 * (i // 12)) for i in range(width)]
     n = len(h)
     acc = np.zeros(max(0, n - width + 1), _U)
-    for i, w in enumerate(weights):
+    for i, w in enumerate(weights if n >= width else []):
         acc += h[i:n - width + 1 + i] * w
     acc = mix(acc)
     out = []
