@@ -8,7 +8,7 @@ it is normalised to 1 for equal words and squared.  A word with inserted charact
 letters nor digits take a place but match nothing.  Runs of one-character words
 are read as one more word (``i d i o t``).
 
-Landmarks are words of labelled texts that are commoner in label 1, picked to
+Landmarks are words and word beginnings of labelled texts that are commoner in label 1, picked to
 cover those texts.  A text's kernel with a landmark is the largest over its
 words (values under ``FLOOR`` count as 0), and the Nystroem map multiplies these
 by the inverse square root of the landmarks' own kernel matrix.  A linear
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import BLANKS, Words, remainder, slices
 
-DECAY, SPAN, FLOOR, POWER = 0.8, 9, 0.45, 2
-LANDMARKS, LANDMARK_DOCS = 64, 8
+DECAY, SPAN, FLOOR, POWER = 0.8, 9, 0.4, 2
+LANDMARKS, LANDMARK_DOCS, STEM = 64, 5, 5
 COVERS, ALIKE = 4, 0.85
 #: Labelled texts fitted on, and words among which landmarks are chosen.
 SAMPLE, CANDIDATES = 20_000, 1_000
@@ -206,6 +206,11 @@ def _mapped(landmarks: Landmarks):
     return run
 
 
+def stems(words):
+    """Distinct words and their first ``STEM`` letters: word families with many endings."""
+    return F.array_distinct(F.concat(words, F.transform(words, lambda w: F.substring(w, 1, STEM))))
+
+
 def cover(candidates: list[tuple[str, set, float]], size: int) -> list[bytes]:
     """Words picked one by one for the label-1 texts they add less the (scaled)
     label-0 texts they are in.  A text counts until ``COVERS`` of its words are
@@ -259,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: in
         shift = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return Model(Landmarks.of([]), np.zeros(0), 0.0, 0.0, shift)
     plain = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\s]", "")
-    words = (texts.select("label", "n", F.explode(F.array_distinct(F.split(plain, BLANKS))).alias("w"))
+    words = (texts.select("label", "n", F.explode(stems(F.split(plain, BLANKS))).alias("w"))
              .where(f"length(w) >= 3 AND octet_length(w) <= {MAX_LANDMARK_BYTES}"))
     counts = (words.groupBy("w").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("q"))
               .where(f"p + q >= {LANDMARK_DOCS}"))
