@@ -112,12 +112,17 @@ def fences(sketch: DataFrame) -> DataFrame:
     wide = q.groupBy("level", "lang", "source").agg(
         F.max("n").alias("n"), *[F.max(F.when(F.col("rate") == k, value)).alias(k) for k in RATES])
     level = {i: wide.where(F.col("level") == i).drop("level") for i in range(3)}
-    a, b, c = level[0].alias("a"), level[1].drop("source").alias("b"), level[2].drop("lang", "source").alias("c")
-    joined = a.join(b, F.expr("a.lang <=> b.lang")).crossJoin(F.broadcast(c))  # c is one row
+    a, b = level[0].alias("a"), level[1].drop("source").alias("b")
+    joined = a.join(b, F.expr("a.lang <=> b.lang"))
+    whole = level[2].first()  # one row: the corpus
+
+    def of_corpus(rate):
+        q = whole[rate] if whole else None
+        return F.struct(*[F.lit(q[x] if q else None).cast("long").alias(x) for x in ("n", "q25", "q75")])
     columns = [F.col("a.lang").alias("lang"), F.col("a.source").alias("source")]
     for k, (_, _, _, slack, lower) in RATES.items():
         s = F.when(F.col("a.n") >= MIN_GROUP, F.col(f"a.{k}")).when(
-            F.col("b.n") >= MIN_GROUP, F.col(f"b.{k}")).otherwise(F.col(f"c.{k}"))
+            F.col("b.n") >= MIN_GROUP, F.col(f"b.{k}")).otherwise(of_corpus(k))
         spread = F.greatest(3 * (s["q75"] - s["q25"]), F.lit(slack))
         columns.append((s["q75"] + spread).alias(f"{k}_hi"))
         if lower:
