@@ -196,6 +196,14 @@ def flag_rates(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- reconciliation
 
+def one_row(parts: list[DataFrame]) -> DataFrame:
+    """Several one-row aggregates as one row with all their columns, without a join."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame, members: DataFrame,
               key: str = "id", count_col: str = "count") -> DataFrame:
     """U3 + U4: one row of layer invariants.
@@ -221,15 +229,11 @@ def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame, members: Da
               gold.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("long").alias("gold_total"),
                        F.count(F.lit(1)).alias("gold_groups")),
               ids]
-    # Each side is a global aggregate of exactly one row: zip them on a constant.
-    out = counts[0].withColumn("_one", F.lit(1))
-    for c in counts[1:]:
-        out = out.join(c.withColumn("_one", F.lit(1)), "_one")
-    out = out.drop("_one").select("bronze_rows", F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"),
-                                  "gold_total", "gold_groups",
-                                  F.coalesce("member_rows", F.lit(0)).alias("member_rows"),
-                                  F.coalesce("missing_in_gold", F.lit(0)).alias("missing_in_gold"),
-                                  F.coalesce("extra_in_gold", F.lit(0)).alias("extra_in_gold"))
+    out = one_row(counts).select("bronze_rows", F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"),
+                                 "gold_total", "gold_groups",
+                                 F.coalesce("member_rows", F.lit(0)).alias("member_rows"),
+                                 F.coalesce("missing_in_gold", F.lit(0)).alias("missing_in_gold"),
+                                 F.coalesce("extra_in_gold", F.lit(0)).alias("extra_in_gold"))
     ok = ((F.col("gold_total") == F.col("silver_rows")) & (F.col("member_rows") == F.col("silver_rows"))
           & (F.col("silver_rows") <= F.col("bronze_rows")) & (F.col("missing_in_gold") == 0)
           & (F.col("extra_in_gold") == 0))

@@ -138,11 +138,11 @@ def lineage_downstream(spark, sf_dir):
 up(node, depth) AS (
   SELECT '{_GRAPH_START}' AS node, 0 AS depth
   UNION
-  SELECT e.source_table, r.depth + 1 FROM up r JOIN edges e ON e.target_table = r.node WHERE r.depth < 2),
+  SELECT e.source_table, r.depth + 1 FROM up r JOIN edges e ON e.target_table = r.node WHERE r.depth < 10),
 down(node, depth) AS (
   SELECT '{_GRAPH_START}' AS node, 0 AS depth
   UNION
-  SELECT e.target_table, r.depth + 1 FROM down r JOIN edges e ON e.source_table = r.node WHERE r.depth < 2),
+  SELECT e.target_table, r.depth + 1 FROM down r JOIN edges e ON e.source_table = r.node WHERE r.depth < 10),
 nu AS (SELECT node, min(depth) AS depth FROM up GROUP BY node),
 nd AS (SELECT node, min(depth) AS depth FROM down GROUP BY node)
 SELECT e.source_table, e.target_table, e.transformation_type, e.pipeline_name,
@@ -153,8 +153,8 @@ SELECT e.source_table, e.target_table, e.transformation_type, e.pipeline_name,
        strftime(e.created_at, {TS}), n.depth, 'downstream'
 FROM nd n JOIN edges e ON e.source_table = n.node""")
 def lineage_graph(spark, sf_dir):
-    """Both directions of one table (depth 2), tagged with the direction."""
-    g = lineage.lineage_graph(fx.lineage_edges(spark, sf_dir), _GRAPH_START, max_depth=2)
+    """Both directions of one table (to depth 10), tagged with the direction."""
+    g = lineage.lineage_graph(fx.lineage_edges(spark, sf_dir), _GRAPH_START, max_depth=10)
     return g.select(
         "source_table", "target_table", "transformation_type", "pipeline_name",
         ts_text("created_at").alias("created_at"), "depth", "direction")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.scalar import ts_text
+from strata.functions.scalar import epoch_seconds, ts_text
 from strata.operators import gold, lineage, monitoring as mon, quality
 from strata.plans import fixtures as fx
 from strata.plans.queries import AS_OF, f1_layers, register
@@ -121,8 +121,8 @@ FROM h GROUP BY pipeline_name, isl HAVING count(*) >= 2""")
 def p95_duration_alert(spark, sf_dir):
     """A15 + R4 + W2: months where a pipeline's p95 run time exceeded 300 s,
     sustained for two consecutive months."""
-    r = _runs(spark, sf_dir).filter(F.col("status") != "running").join(
-        fx.pipeline_runs(spark, sf_dir).select("run_id", "duration_s"), "run_id")
+    r = _runs(spark, sf_dir).filter(F.col("status") != "running").withColumn(
+        "duration_s", epoch_seconds(F.col("completed_at")) - epoch_seconds(F.col("started_at")))
     p = mon.percentile_by(r.withColumn("bucket", F.date_trunc("month", "started_at")),
                           ["pipeline_name", "bucket"], "duration_s", 0.95)
     isl = mon.sustained(p, ["pipeline_name"], F.col("p95") > mon.SLOW_P95_SECONDS, None, 2,
@@ -234,9 +234,7 @@ def layer_metrics(spark, sf_dir):
     r = quality.retention_report(L.bronze, "id")
     nulls = L.bronze.agg(F.count_if(F.col("id").isNull()).alias("n"))
     g = L.gold.agg(F.count(F.lit(1)).alias("g"))
-    one = r.withColumn("_k", F.lit(1)).join(nulls.withColumn("_k", F.lit(1)), "_k") \
-        .join(g.withColumn("_k", F.lit(1)), "_k")
-    return one.selectExpr(
+    return quality.one_row([r, nulls, g]).selectExpr(
         "stack(6, 'bronze', 'record_count', bronze_rows, 'bronze', 'null_count', n, "
         "'silver', 'validation_failures', ids_blank, 'silver', 'duplicates_removed', duplicates, "
         "'silver', 'record_count', silver_rows, 'gold', 'record_count', g) AS (layer, metric, value)")

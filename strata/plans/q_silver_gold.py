@@ -330,10 +330,10 @@ _EVENTS_WM = "2024-01-20 00:00:00"
 
 
 @register("incremental_append", f"""
-SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '{_EVENTS_WM}'""")
+SELECT * FROM events WHERE ts > TIMESTAMP '{_EVENTS_WM}'""")
 def incremental_append(spark, sf_dir):
     """I1 + P10 + U1: the batch appended after the stored watermark."""
-    ev = table(spark, sf_dir, "events").drop("props")
+    ev = table(spark, sf_dir, "events")
     state = spark.createDataFrame([("events", _EVENTS_WM)], "table_name string, watermark string") \
         .withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))
     return incremental.new_rows(ev, "ts", incremental.watermark_of(state, "events"))
@@ -437,11 +437,11 @@ def retention_report(spark, sf_dir):
 
 
 @register("retention_keep", f"""
-SELECT event_id, ts, user_id, event_type, {_EV_LAYER_SQL} AS layer FROM events
+SELECT *, {_EV_LAYER_SQL} AS layer FROM events
 WHERE ts >= TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})""")
 def retention_keep(spark, sf_dir):
     """The rows that survive expiry (the rest is archived)."""
-    ev = _layered_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "layer")
+    ev = _layered_events(spark, sf_dir)
     days = F.element_at(F.create_map(*[x for k, v in _RETENTION_DAYS.items() for x in (F.lit(k), F.lit(v))]),
                         F.col("layer"))
     kept, _ = incremental.retention_split(ev, "ts", days, as_of=AS_OF)
@@ -449,13 +449,13 @@ def retention_keep(spark, sf_dir):
 
 
 @register("erase_subject", """
-SELECT event_id, user_id, event_type FROM events
+SELECT * FROM events
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 90)""")
 def erase_subject(spark, sf_dir):
     """Remove every row of the subjects who asked to be erased (anti join)."""
     ev = table(spark, sf_dir, "events")
     subjects = ev.filter((F.col("event_type") == "signup") & (F.col("value") >= 90)).select("user_id")
-    return incremental.erase_subjects(ev.select("event_id", "user_id", "event_type"), subjects, "user_id")
+    return incremental.erase_subjects(ev, subjects, "user_id")
 
 
 # ---------------------------------------------------------------- privacy

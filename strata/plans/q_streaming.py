@@ -29,12 +29,11 @@ def _parts(spark, sf_dir):
 
 
 @register("stream_bronze", """
-SELECT event_id, user_id, event_type, value, 'events' AS _source_file FROM events""")
+SELECT *, 'events' AS _source_file FROM events""")
 def stream_bronze(spark, sf_dir):
     """T1 + S8: arriving files -> provenance stamps -> appended bronze Parquet."""
     out = st.run_available_now(st.bronze(_events_stream(spark, sf_dir)), name="stream-bronze")
-    return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "event_type", "value",
-                                                    "_source_file")
+    return spark.read.parquet(f"{out}/data").drop("_ingestion_timestamp")
 
 
 @register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
