@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from strata.operators import lineage
 from strata.plans import fixtures as fx
 
 SF = "/root/testdata/sf0.01"
@@ -47,8 +48,11 @@ def test_f4_registry_summary(spark, q):
 def test_f5_lineage(spark, q):
     up = q["lineage_upstream"](spark, SF)
     assert up.count() == 1145 and up.agg(F.max("depth")).first()[0] == 6
-    g = q["lineage_graph"](spark, SF)
+    # The probe stopped at depth 2; the graph now goes on to depth 10.
+    g = lineage.lineage_graph(fx.lineage_edges(spark, SF), "lakehouse.silver.t7", max_depth=2)
     assert g.filter("direction = 'upstream'").count() == 63
+    deep = q["lineage_graph"](spark, SF).filter("direction = 'upstream'")
+    assert deep.filter("depth <= 2").count() == 63 and deep.count() == 786
 
 
 def test_f6_access_summary_t3(spark, q):
