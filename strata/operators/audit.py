@@ -110,19 +110,25 @@ def access_summary(log: DataFrame, days: int = 30, as_of=None, table_name: str |
     rows and distinct users, with the table's distinct users and total
     accesses.
 
-    Distinct users are counted per table with a separate aggregate (an exact
-    ``count(distinct)`` shuffles on (table, user) pairs, not on rows).
+    One scan: the log is first reduced to (table, type, user), then to both
+    levels at once; a table's totals reach its type rows by a window over that
+    summary.
     """
     since = as_of_ts(as_of) - F.make_dt_interval(days=F.lit(days))
     recent = log.filter(F.col("timestamp") >= since)
     if table_name is not None:
         recent = recent.filter(F.col("table_name") == table_name)
-    by_type = recent.groupBy("table_name", "access_type").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("rows_affected").alias("total_rows"),
+    per_user = recent.groupBy("table_name", "access_type", "user").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rows_affected").alias("r"))
+    levels = per_user.groupingSets([["table_name", "access_type"], ["table_name"]], "table_name", "access_type").agg(
+        F.grouping("access_type").alias("_whole"), F.sum("n").alias("count"), F.sum("r").alias("total_rows"),
         F.count_distinct("user").alias("type_users"))
-    per_table = recent.groupBy("table_name").agg(
-        F.count_distinct("user").alias("unique_users"), F.count(F.lit(1)).alias("total_accesses"))
-    return by_type.join(per_table, "table_name")
+    table = Window.partitionBy("table_name")
+
+    def whole(c):
+        return F.max(F.when(F.col("_whole") == 1, F.col(c))).over(table)
+    return (levels.withColumn("unique_users", whole("type_users")).withColumn("total_accesses", whole("count"))
+            .filter("_whole = 0").drop("_whole"))
 
 
 def latest_per_entity(log: DataFrame, entity: str, n: int = 5, id_col: str | None = None) -> DataFrame:

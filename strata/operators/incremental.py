@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import as_of_ts
+from strata.operators.audit import action_row, log_actions
 from strata.operators.sequence import next_in_sequence
 from strata.operators.silver import keep_latest
+from strata.sinks.writers import path_exists, read_current, write, write_version
 
 EPOCH = "1970-01-01 00:00:00"
+_STATE = "table_name string, watermark timestamp_ntz"
 
 
 # ---------------------------------------------------------------- watermarks
@@ -48,6 +51,37 @@ def next_state(batch: DataFrame, table_name: str, ts_col: str, previous) -> Data
         F.lit(table_name).alias("table_name"), F.coalesce(F.col("m"), prev).alias("watermark"))
 
 
+def load_increment(source: DataFrame, table_name: str, ts_col: str, root: str) -> int:
+    """I1 + U1 as one step: read the stored watermark, append the newer rows,
+    advance the watermark.  Returns the rows appended.
+
+    A batch is the folder ``data/after=<watermark>`` of the watermark it starts
+    from, and the state is written after it: a load repeated after a failure
+    overwrites its own rows, so no row is lost or doubled.  The new watermark
+    is the newest timestamp written, observed on the write itself; an empty
+    batch leaves the state as it is.
+    """
+    spark = source.sparkSession
+    state = spark.read.schema(_STATE).parquet(f"{root}/state") if path_exists(spark, f"{root}/state") else None
+    low = (state.filter(F.col("table_name") == table_name).agg(F.max("watermark")).first()[0]
+           if state is not None else None)
+    seen = Observation("increment")
+    batch = new_rows(source, ts_col, low or EPOCH).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.max(ts_col).cast("timestamp_ntz").alias("newest"))
+    after = (low.isoformat() if low else EPOCH.replace(" ", "T")).replace(":", "")
+    batch.write.mode("overwrite").parquet(f"{root}/data/{table_name}/after={after}")
+    got = seen.get
+    if got["newest"] is not None:
+        (spark.createDataFrame([(table_name, got["newest"])], _STATE).coalesce(1)
+         .write.mode("append").parquet(f"{root}/state"))
+    return got["rows"]
+
+
+def loaded(spark, table_name: str, root: str, schema) -> DataFrame:
+    """All rows that :func:`load_increment` appended for a table."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/data/{table_name}")
+
+
 # ---------------------------------------------------------------- merge
 
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str], *,
@@ -140,6 +174,17 @@ def retention_split(df: DataFrame, ts_col: str, days: int | Column, as_of=None)
     return df.filter(~e), df.filter(e)
 
 
+def archive_expired(df: DataFrame, ts_col: str, days: int | Column, path: str, as_of: str) -> int:
+    """Write the expired rows, whole, to the archive, in a folder per run
+    (``as_of``) and day; a day that holds most rows is split over several files.
+    A run that is repeated replaces its own days only, and nothing if its rows
+    have left the table since.  Returns the rows written."""
+    _, old = retention_split(df, ts_col, days, as_of)
+    run = str(as_of).replace(" ", "T").replace(":", "")
+    return write(old.withColumn("archive_date", F.to_date(ts_col)), f"{path}/run={run}",
+                 partition_by=["archive_date"], dynamic_partitions=True)
+
+
 def retention_report(df: DataFrame, layer_col: str, ts_col: str, days_by_layer: dict[str, int],
                      as_of=None) -> DataFrame:
     """I4 report: rows kept and expired per layer, before anything is rewritten."""
@@ -151,6 +196,19 @@ def retention_report(df: DataFrame, layer_col: str, ts_col: str, days_by_layer:
                  F.first(days).alias("retention_days")))
 
 
+def erase_in_layers(spark, layers: dict[str, tuple[str, str]], subjects: DataFrame, subject_key: str,
+                    gov_root: str, user: str = "system", as_of=None) -> dict[str, int]:
+    """I6 over every layer: ``layers`` maps a table name to its versioned folder
+    and subject column.  Each is rewritten as a new version without the subjects,
+    and one audit row per layer records the rows left.  Returns those counts."""
+    left = {}
+    for name, (path, key) in layers.items():
+        _, left[name] = write_version(erase_subjects(read_current(spark, path), subjects, key, subject_key), path)
+    log_actions(spark, gov_root, [action_row(user, "erase_subjects", "table", n, details={"rows_left": c}, as_of=as_of)
+                                  for n, c in left.items()])
+    return left
+
+
 def erase_subjects(df: DataFrame, subjects: DataFrame, key: str, subject_key: str | None = None) -> DataFrame:
     """Drop every row of the given subjects (anti join on the subject key)."""
     sk = subject_key or key

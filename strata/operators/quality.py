@@ -1,13 +1,14 @@
 """Data-quality checks, gates, quarantine and layer reconciliation
 (A4-A8, A11, Q1-Q14, U3, U4).
 
-Every check is one aggregate pass that returns a DataFrame; only the gates
+All checks of a table are one aggregate pass that returns a DataFrame; only the gates
 pull a single summary row to the driver to decide whether to raise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,49 +109,56 @@ def enforce(gate_report: DataFrame, what: str = "quality gate") -> dict:
 
 # ---------------------------------------------------------------- check rows
 
-def check_result(table_name: str, check_name: str, check_type: str, passed: Column,
-                 failed: Column, status: Column) -> list[Column]:
-    """One check-result row (error rate 0 when nothing was checked)."""
-    return [F.lit(table_name).alias("table_name"), F.lit(check_name).alias("check_name"),
-            F.lit(check_type).alias("check_type"), status.alias("status"),
-            passed.cast("long").alias("passed_count"), failed.cast("long").alias("failed_count"),
-            F.round(safe_ratio(failed, passed + failed), 6).alias("error_rate")]
-
-
-def completeness_check(df: DataFrame, key: str, table_name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Check:
+    """One check of a table: aggregates of the rows that pass and fail, and the
+    status when any fails."""
+    name: str
+    type: str
+    passed: Column
+    failed: Column
+    on_failure: str = "failed"
+
+
+def run_checks(df: DataFrame, table_name: str, checks: Sequence[Check]) -> DataFrame:
+    """One result row per check, all checks of a table in ONE scan
+    (error rate 0 when nothing was checked)."""
+    aggs = [c.alias(f"_{k}{i}") for i, x in enumerate(checks) for k, c in (("p", x.passed), ("f", x.failed))]
+    cells = [v for i, x in enumerate(checks)
+             for v in (F.lit(x.name), F.lit(x.type), F.lit(x.on_failure), F.col(f"_p{i}"), F.col(f"_f{i}"))]
+    rows = df.agg(*aggs).select(F.stack(F.lit(len(checks)), *cells).alias(
+        "check_name", "check_type", "on_failure", "p", "f"))
+    status = F.when(F.col("f") == 0, "passed").otherwise(F.col("on_failure"))
+    return rows.select(F.lit(table_name).alias("table_name"), "check_name", "check_type", status.alias("status"),
+                       F.col("p").cast("long").alias("passed_count"), F.col("f").cast("long").alias("failed_count"),
+                       F.round(safe_ratio("f", F.col("p") + F.col("f")), 6).alias("error_rate"))
+
+
+def _row_check(name: str, check_type: str, ok: Column, on_failure: str = "failed") -> Check:
+    ok = F.coalesce(ok, F.lit(False))
+    return Check(name, check_type, F.count_if(ok), F.count_if(~ok), on_failure)
+
+
+def completeness(key: str) -> Check:
     """Q1: rows with a usable key pass; any blank key makes it a *warning*."""
-    ok = F.coalesce(not_blank(key), F.lit(False))
-    a = df.agg(F.count_if(ok).alias("p"), F.count_if(~ok).alias("f"))
-    st = F.when(F.col("f") == 0, "passed").otherwise("warning")
-    return a.select(*check_result(table_name, f"{key}_completeness", "completeness",
-                                  F.col("p"), F.col("f"), st))
+    return _row_check(f"{key}_completeness", "completeness", not_blank(key), "warning")
 
 
-def uniqueness_check(df: DataFrame, key: str, table_name: str) -> DataFrame:
+def uniqueness(key: str) -> Check:
     """Q2: always *passed*; failed = duplicates removed by keep-first."""
     ok = not_blank(key)
-    a = df.agg(F.count_if(ok).alias("n"), F.count_distinct(F.when(ok, F.col(key))).alias("p"))
-    return a.select(*check_result(table_name, "deduplication", "uniqueness", F.col("p"),
-                                  F.col("n") - F.col("p"), F.lit("passed")))
+    keys = F.count_distinct(F.when(ok, F.col(key)))
+    return Check("deduplication", "uniqueness", keys, F.count_if(ok) - keys, "passed")
 
 
-def pattern_check(df: DataFrame, col: str, table_name: str, pattern: str = EMAIL_PATTERN,
-                  check_name: str | None = None) -> DataFrame:
+def pattern(col: str, regex: str = EMAIL_PATTERN, name: str | None = None) -> Check:
     """Q6: values matching the pattern pass; null or non-matching fail."""
-    ok = F.coalesce(F.col(col).rlike(pattern), F.lit(False))
-    a = df.agg(F.count_if(ok).alias("p"), F.count_if(~ok).alias("f"))
-    st = F.when(F.col("f") == 0, "passed").otherwise("failed")
-    return a.select(*check_result(table_name, check_name or f"{col}_format", "validity",
-                                  F.col("p"), F.col("f"), st))
+    return _row_check(name or f"{col}_format", "validity", F.col(col).rlike(regex))
 
 
-def accepted_values_check(df: DataFrame, col: str, accepted: Sequence[str], table_name: str) -> DataFrame:
+def accepted_values(col: str, accepted: Sequence[str]) -> Check:
     """Q7: values in the accepted set pass; null and others fail."""
-    ok = F.coalesce(F.col(col).isin(list(accepted)), F.lit(False))
-    a = df.agg(F.count_if(ok).alias("p"), F.count_if(~ok).alias("f"))
-    st = F.when(F.col("f") == 0, "passed").otherwise("failed")
-    return a.select(*check_result(table_name, f"{col}_accepted_values", "accepted_values",
-                                  F.col("p"), F.col("f"), st))
+    return _row_check(f"{col}_accepted_values", "accepted_values", F.col(col).isin(list(accepted)))
 
 
 def referential_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
@@ -161,11 +169,8 @@ def referential_check(child: DataFrame, parent: DataFrame, child_key: str, paren
     each row (parent keys are unique after ``distinct``, so no fan-out)."""
     pk = parent.select(F.col(parent_key).alias("_pk")).distinct()
     flagged = child.join(pk, child[child_key] == pk["_pk"], "left")
-    agg = flagged.agg(F.count_if(F.col("_pk").isNotNull()).alias("p"),
-                      F.count_if(F.col("_pk").isNull()).alias("f"))
-    st = F.when(F.col("f") == 0, "passed").otherwise("failed")
-    return agg.select(*check_result(table_name, f"{child_key}_references_{parent_key}",
-                                    "referential", F.col("p"), F.col("f"), st))
+    return run_checks(flagged, table_name, [_row_check(f"{child_key}_references_{parent_key}", "referential",
+                                                       F.col("_pk").isNotNull())])
 
 
 def orphans_of(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

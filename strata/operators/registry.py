@@ -205,6 +205,13 @@ def governance_summary(current: DataFrame, layers: Sequence[str] = ("bronze", "s
                     "total_records"))
 
 
+def layer_tables(current: DataFrame, layers: Sequence[str] = ("bronze", "silver", "gold")) -> DataFrame:
+    """The table names of each layer of the summary, one row per table
+    (a layer's list is not bounded, so it is not packed into one row)."""
+    return current.filter(F.col("schema_name").isin(list(layers))).select(
+        F.col("schema_name").alias("layer"), "table_name")
+
+
 def export_rows(current: DataFrame, columns: DataFrame) -> DataFrame:
     """One nested row per table (layer, metadata, ordered columns)."""
     info = table_info(current, columns)

@@ -113,8 +113,7 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
             lineage.flow_row(run_id, names[a], names[b], rows[a], rows[b], size[a], size[b],
                              duration_seconds=res.seconds[b], as_of=as_of) for a, b in stages], user)
         bronze = spark.read.schema(res.schemas["bronze"]).format(fmt).load(res.paths["bronze"])
-        checks = (quality.completeness_check(bronze, key, fq["silver"])
-                  .unionByName(quality.uniqueness_check(bronze, key, fq["silver"])))
+        checks = quality.run_checks(bronze, fq["silver"], [quality.completeness(key), quality.uniqueness(key)])
         res.checks = [r.asDict() for r in checks.collect()]  # two rows
         audit.log_quality(spark.createDataFrame(res.checks, checks.schema), gov_root, as_of=as_of)
         lineage.complete_run(spark, gov_root, run_id, name, "success", as_of=as_of)

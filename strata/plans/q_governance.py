@@ -84,6 +84,13 @@ def governance_summary(spark, sf_dir):
     return registry.governance_summary(_current(spark, sf_dir))
 
 
+@register("governance_tables", W(fx.REGISTRY_SQL) + _CUR_SQL + """
+SELECT schema_name AS layer, table_name FROM cur WHERE schema_name IN ('bronze', 'silver', 'gold')""")
+def governance_tables(spark, sf_dir):
+    """The names behind the summary's counts, one row per table."""
+    return registry.layer_tables(_current(spark, sf_dir))
+
+
 @register("schema_diff", W(fx.REG_COLUMNS_SQL) + """,
 o AS (SELECT full_name, column_name, data_type AS old_type FROM regcols WHERE version = 1),
 n AS (SELECT full_name, column_name, data_type AS new_type FROM regcols WHERE version = 2),

@@ -9,6 +9,8 @@ from strata.functions.scalar import ts_text
 from strata.operators import gold, incremental, quality, silver
 from strata.plans import fixtures as fx
 from strata.plans.queries import AS_OF, F1_SILVER_SQL, f1_layers, register
+from strata.session import scratch_path
+from strata.sinks.writers import read_current, write_version
 from strata.sources.tables import table
 
 W = fx.with_ctes
@@ -200,6 +202,18 @@ def column_profile(spark, sf_dir):
     return quality.column_profile(fx.messy_orders(spark, sf_dir))
 
 
+_PROFILED = ["ord", "id", "prio", "status"]
+
+
+@register("column_profile_exact", W(fx.F1_SQL) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM f1" for c in _PROFILED))
+def column_profile_exact(spark, sf_dir):
+    """Q12: the exact columns of the profile (all but the approximate distinct count)."""
+    p = quality.column_profile(fx.messy_orders(spark, sf_dir), _PROFILED)
+    return p.select("column_name", "row_count", "null_count", "min_value", "max_value")
+
+
 @register("null_rate_gate", W(fx.F1_SQL) + """
 SELECT 'id' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE id IS NULL) AS null_count,
        round(count(*) FILTER (WHERE id IS NULL) / count(*), 6) AS null_rate, CAST(0.05 AS DOUBLE) AS threshold,
@@ -267,16 +281,11 @@ def quality_results(spark, sf_dir):
     """Check-result rows as appended to the quality log."""
     b = fx.messy_orders(spark, sf_dir)
     c = fx.messy_contacts(spark, sf_dir)
-    parts = [quality.completeness_check(b, "id", "bronze.orders"),
-             quality.uniqueness_check(b, "id", "bronze.orders"),
-             quality.pattern_check(c, "email", "bronze.contacts", check_name="email_format"),
-             quality.accepted_values_check(c, "status", silver.ACCEPTED_STATUS, "bronze.contacts"),
-             quality.accepted_values_check(c, "source_system", ("crm", "erp", "website"),
-                                           "bronze.contacts")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.run_checks(b, "bronze.orders", [quality.completeness("id"), quality.uniqueness("id")]).unionByName(
+        quality.run_checks(c, "bronze.contacts", [
+            quality.pattern("email", name="email_format"),
+            quality.accepted_values("status", silver.ACCEPTED_STATUS),
+            quality.accepted_values("source_system", ("crm", "erp", "website"))]))
 
 
 @register("quality_flag_rates", W(fx.F2_SQL) + """,
@@ -350,6 +359,42 @@ def incremental_state(spark, sf_dir):
     return st.select("table_name", ts_text("watermark").alias("watermark"))
 
 
+@register("incremental_load", """
+SELECT *, CASE WHEN ts <= TIMESTAMP '2024-01-10' THEN 1 ELSE 2 END AS load FROM events""")
+def incremental_load(spark, sf_dir):
+    """I1 + U1 end to end: a first load, a second one from the stored watermark, a
+    third that finds nothing new; then everything that was appended."""
+    ev = table(spark, sf_dir, "events")
+    root = scratch_path(spark, "increment")
+    first = ev.filter(F.col("ts") <= F.lit("2024-01-10").cast("timestamp_ntz"))
+    incremental.load_increment(first.withColumn("load", F.lit(1)), "events", "ts", root)
+    for n in (2, 3):
+        incremental.load_increment(ev.withColumn("load", F.lit(n)), "events", "ts", root)
+    return incremental.loaded(spark, "events", root, ev.withColumn("load", F.lit(1)).schema)
+
+
+@register("incremental_lookback", """
+WITH tgt AS (SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-20' AND event_id % 5 <> 0),
+wm AS (SELECT max(ts) AS w FROM tgt)
+SELECT * FROM events WHERE ts > (SELECT w FROM wm) - INTERVAL 2 DAY
+UNION ALL
+SELECT * FROM tgt WHERE ts <= (SELECT w FROM wm) - INTERVAL 2 DAY""")
+def incremental_lookback(spark, sf_dir):
+    """Rows that arrived late (every fifth) are picked up as far as two days
+    behind the target's newest row."""
+    ev = table(spark, sf_dir, "events")
+    target = ev.filter((F.col("ts") <= F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("event_id") % 5 != 0))
+    return incremental.incremental_model(ev, target, "event_id", "ts", lookback="2 days")
+
+
+@register("rows_to_update", """
+SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+def rows_to_update(spark, sf_dir):
+    """Customers touched by a finished order (semi join; a key may change often)."""
+    changed = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return incremental.rows_to_update(table(spark, sf_dir, "customer"), changed, "c_custkey")
+
+
 _MERGE_SQL = W(fx.F1_SQL) + """,
 base AS (SELECT * FROM f1 WHERE ord < 1000000000 AND id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
 tgt AS (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
@@ -448,6 +493,40 @@ def retention_keep(spark, sf_dir):
     return kept
 
 
+@register("retention_archive", f"""
+SELECT *, {_EV_LAYER_SQL} AS layer, CAST(CAST(ts AS DATE) AS VARCHAR) AS archive_date FROM events
+WHERE ts < TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})""")
+def retention_archive(spark, sf_dir):
+    """The expired rows written to a dated archive (twice: a repeat replaces) and read back."""
+    ev = _layered_events(spark, sf_dir)
+    days = F.element_at(F.create_map(*[x for k, v in _RETENTION_DAYS.items() for x in (F.lit(k), F.lit(v))]),
+                        F.col("layer"))
+    path = scratch_path(spark, "archive")
+    for _ in range(2):
+        incremental.archive_expired(ev, "ts", days, path, as_of=AS_OF)
+    stored = ev.withColumn("archive_date", F.lit("").cast("string"))
+    return spark.read.schema(stored.schema).parquet(path).select(*stored.columns)
+
+
+@register("erase_layers", """
+WITH gone AS (SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 90)
+SELECT 'bronze' AS layer, event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM gone)
+UNION ALL
+SELECT 'silver', event_id, user_id FROM events
+WHERE event_type <> 'view' AND user_id NOT IN (SELECT user_id FROM gone)""")
+def erase_layers(spark, sf_dir):
+    """The subjects leave every layer; each erasure is audited."""
+    ev = table(spark, sf_dir, "events")
+    root = scratch_path(spark, "erase")
+    write_version(ev, f"{root}/bronze")
+    write_version(ev.filter("event_type <> 'view'"), f"{root}/silver")
+    subjects = ev.filter((F.col("event_type") == "signup") & (F.col("value") >= 90)).select("user_id")
+    layers = {k: (f"{root}/{k}", "user_id") for k in ("bronze", "silver")}
+    incremental.erase_in_layers(spark, layers, subjects, "user_id", f"{root}/governance")
+    parts = [read_current(spark, p).select(F.lit(k).alias("layer"), "event_id", "user_id") for k, (p, _) in layers.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @register("erase_subject", """
 SELECT * FROM events
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 90)""")

@@ -99,10 +99,8 @@ def stream_merge(spark, sf_dir):
 
 
 def _checks(batch):
-    return (quality.accepted_values_check(batch, "event_type", ("click", "view", "purchase", "signup"),
-                                          "bronze.events")
-            .unionByName(quality.completeness_check(batch.withColumn("user", F.col("user_id").cast("string")),
-                                                    "user", "bronze.events")))
+    return quality.run_checks(batch.withColumn("user", F.col("user_id").cast("string")), "bronze.events", [
+        quality.accepted_values("event_type", ("click", "view", "purchase", "signup")), quality.completeness("user")])
 
 
 @register("stream_quality", """

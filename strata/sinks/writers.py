@@ -71,6 +71,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def _number(folder: str) -> int:
     return int(folder[2:].split("-")[0])
 

@@ -49,3 +49,18 @@ def test_governance_summary_aggregates_before_joining_layers(spark):
     # the registry is reduced per layer before the 3-row layer list joins it
     agg_pos = p.find("partial_count")
     assert agg_pos != -1
+
+
+def test_checks_of_a_table_share_one_scan(spark):
+    p = plan(E.queries()["quality_results"](spark, SF))
+    # two tables of two arms each, whatever the number of checks
+    from strata.plans import fixtures as fx
+    once = sum(plan(f(spark, SF)).count("Scan parquet") for f in (fx.messy_orders, fx.messy_contacts))
+    assert p.count("Scan parquet") == once
+
+
+def test_access_summary_reads_the_log_once(spark):
+    from strata.plans import fixtures as fx
+    p = plan(E.queries()["access_summary"](spark, SF))
+    assert p.count("Scan parquet") == plan(fx.access_log(spark, SF)).count("Scan parquet")
+    assert "Join" not in p
