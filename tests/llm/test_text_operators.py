@@ -368,6 +368,13 @@ def test_training_raises_the_likelihood(documents):
     assert total(0) < total(1) < total(4)
 
 
+def test_states_predict_held_out_words(spark):
+    from strata.llm.lm import language_model
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = language_model(docs).where("held_out").agg((F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).alias("gain"))
+    assert r.first()["gain"] > 0.1   # log10 a token over unigrams
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_kernel_by_enumeration():
