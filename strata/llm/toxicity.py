@@ -39,6 +39,8 @@ COVERS, ALIKE = 4, 0.85
 #: Labelled texts fitted on, and words among which landmarks are chosen.
 SAMPLE, CANDIDATES = 20_000, 1_000
 MAX_LANDMARK_BYTES = 40
+#: Words compared with the landmarks at once (bounds a task's memory, not the words).
+WORD_BLOCK = 4_096
 
 _U = np.uint64
 _SYMBOL = np.zeros(256, np.int64)
@@ -124,6 +126,12 @@ class Landmarks:
     def of_words(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(word index, kernel with each landmark)`` of the words that reach
         FLOOR; the words stand one after the other in ``data``."""
+        at = np.concatenate([[0], np.cumsum(length)])
+        blocks = [(lo, *self._of_block(data[at[lo]:at[min(lo + WORD_BLOCK, len(length))]], length[lo:lo + WORD_BLOCK]))
+                  for lo in range(0, max(1, len(length)), WORD_BLOCK)]
+        return np.concatenate([lo + live for lo, live, _ in blocks]), np.concatenate([k for _, _, k in blocks])
+
+    def _of_block(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, m = len(length), len(self.words)
         none = np.zeros(0, np.int64), np.zeros((0, m))
         if not n or not m:
