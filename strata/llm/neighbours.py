@@ -13,8 +13,8 @@ name, so a vector that a third of all rows share is one node and one search.
 A middle node compares at most three times ``DEGREE`` members.  Candidates of a
 search travel as ids; scores are made where the vectors lie, in blocks of
 bounded size, and requests to a block are split when there are many queries.
-Graph and search use half-precision vectors; the answer is scored on the
-original vectors in double precision.
+Graph, search and answer score the original single-precision vectors in double
+precision: near copies and very small or large vectors keep their order.
 """
 
 from __future__ import annotations
@@ -53,18 +53,18 @@ def _pack(batches):
     for batch in batches:
         if batch.num_rows:
             col = batch.column("vec")
-            x = col.flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float16)
+            x = col.flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float32)
             yield pa.RecordBatch.from_arrays([batch.column("node"), col, pa.array([r.tobytes() for r in x], pa.binary())],
-                                             ["node", "vec", "half"])
+                                             ["node", "vec", "raw"])
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1).astype(np.float64)
 
 
 def _best_pairs(ids: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int):
     """For each row its ``keep`` best partners in the group that beat ``least``."""
-    s = np.round(x @ x.T * 65536) / 65536  # so that a pair has one score in all its groups
+    s = x @ x.T
     np.fill_diagonal(s, -np.inf)
     s[s <= least[:, None]] = -np.inf
     keep = min(keep, len(ids) - 1)
@@ -77,13 +77,13 @@ def _best_pairs(ids: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int):
 
 def _edge_batch(found):
     a, c, s = (np.concatenate(x) for x in zip(*found))
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(s.astype(np.float32))], ["a", "c", "s"])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(s)], ["a", "c", "s"])
 
 
 def _stretches(size: int, keep: int):
     def run(batches):
         for batch in batches:
-            ids, x = batch.column("node").to_numpy(), _matrix(batch.column("half")) if batch.num_rows else None
+            ids, x = batch.column("node").to_numpy(), _matrix(batch.column("raw")) if batch.num_rows else None
             found = []
             for at in range(0, len(ids), size // 2):  # half overlapping
                 part = slice(at, at + size)
@@ -115,7 +115,7 @@ def _middle_groups(t: pa.Table, keep: int):
         return
     t = t.combine_chunks()
     middle, ids = t.column("v").to_numpy(), t.column("m").to_numpy()
-    least, x = t.column("least").to_numpy(), _matrix(t.column("half"))
+    least, x = t.column("least").to_numpy(), _matrix(t.column("raw"))
     cuts = [0, *(np.flatnonzero(np.diff(middle)) + 1).tolist(), len(middle)]
     found = [_best_pairs(ids[a:b], x[a:b], least[a:b], keep) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
     if found:
@@ -123,27 +123,41 @@ def _middle_groups(t: pa.Table, keep: int):
 
 
 def _first_distinct(keep: int):
-    """The first ``keep`` distinct ``c`` of each ``a``; rows come sorted by a, falling s, c."""
+    """The ``keep`` best distinct ``c`` of each ``a`` by falling s, then c; rows come
+    sorted by a.  A pair's scores differ in the last bits between groups, so
+    pairs are told by their ids."""
+    def best(a, c, s):
+        order = np.lexsort((-s, c, a))
+        a, c, s = a[order], c[order], s[order]
+        fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
+        a, c, s = a[fresh], c[fresh], s[fresh]
+        order = np.lexsort((c, -s, a))
+        a, c, s = a[order], c[order], s[order]
+        start = np.concatenate([[True], a[1:] != a[:-1]])
+        place = np.arange(len(a)) - np.maximum.accumulate(np.where(start, np.arange(len(a)), 0))
+        return tuple(x[place < keep] for x in (a, c, s))
+
     def run(batches):
-        last_a = last_c = None
-        rank = 0
+        rest = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, c = batch.column("a").to_numpy(), batch.column("c").to_numpy()
-            new_a = np.concatenate([[a[0] != last_a], a[1:] != a[:-1]])
-            fresh = new_a | np.concatenate([[c[0] != last_c], c[1:] != c[:-1]])
-            count = np.cumsum(fresh)
-            start = np.maximum.accumulate(np.where(new_a, count - fresh, -1))
-            place = np.where(start < 0, count + rank, count - start)
-            last_a, last_c, rank = a[-1], c[-1], int(place[-1])
-            yield batch.take(pa.array(np.flatnonzero(fresh & (place <= keep))))
+            rows = [batch.column(x).to_numpy() for x in ("a", "c", "s")]
+            if rest is not None:
+                rows = [np.concatenate(x) for x in zip(rest, rows)]
+            rows = best(*rows)
+            end = int(np.searchsorted(rows[0], rows[0][-1]))
+            rest = [x[end:] for x in rows]  # a node's rows so far: at most ``keep``
+            if end:
+                yield pa.RecordBatch.from_arrays([pa.array(x[:end]) for x in rows], ["a", "c", "s"])
+        if rest is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rest], ["a", "c", "s"])
     return run
 
 
 def _merge(edges: DataFrame, degree: int) -> DataFrame:
-    rows = edges.repartition("a").sortWithinPartitions("a", F.desc("s"), "c")
-    return keep_table(rows.mapInArrow(_first_distinct(degree), "a long, c long, s float"), "graph")
+    rows = edges.repartition("a").sortWithinPartitions("a")
+    return keep_table(rows.mapInArrow(_first_distinct(degree), "a long, c long, s double"), "graph")
 
 
 def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
@@ -156,23 +170,23 @@ def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
 
 
 def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, descents: int = DESCENTS) -> DataFrame:
-    """NN-descent over ``nodes(node, vec, half)``: ``(a, c, s)``."""
+    """NN-descent over ``nodes(node, vec, raw)``: ``(a, c, s)``."""
     found = None
     for i in range(PROJECTIONS):
         # A random direction, by component: the hash of its place.
         line = F.aggregate(F.transform("vec", lambda x, k: x * (F.pmod(F.xxhash64(k, F.lit(i)), F.lit(2001)) - 1000)),
                            F.lit(0.0), lambda a, b: a + b)
-        rows = nodes.select("node", "half", line.alias("line")).repartitionByRange("line").sortWithinPartitions("line")
-        one = rows.select("node", "half").mapInArrow(_stretches(STRETCH, degree), "a long, c long, s float")
+        rows = nodes.select("node", "raw", line.alias("line")).repartitionByRange("line").sortWithinPartitions("line")
+        one = rows.select("node", "raw").mapInArrow(_stretches(STRETCH, degree), "a long, c long, s double")
         found = one if found is None else found.union(one)
     graph = _merge(found, degree)
     for i in range(descents):
         least = graph.groupBy("a").agg(F.min("s").alias("least"), F.count("*").alias("n"))
-        state = nodes.select(F.col("node").alias("m"), "half").join(
+        state = nodes.select(F.col("node").alias("m"), "raw").join(
             least.select(F.col("a").alias("m"), F.when(F.col("n") < degree, F.lit(float("-inf"))).otherwise(
-                F.col("least")).cast("float").alias("least")), "m")
-        rows = members(graph, degree, i).join(state, "m").select("v", "m", "half", "least")
-        pairs = rows.repartition("v").sortWithinPartitions("v").mapInArrow(_middles(PER_MIDDLE), "a long, c long, s float")
+                F.col("least")).cast("double").alias("least")), "m")
+        rows = members(graph, degree, i).join(state, "m").select("v", "m", "raw", "least")
+        pairs = rows.repartition("v").sortWithinPartitions("v", "m").mapInArrow(_middles(PER_MIDDLE), "a long, c long, s double")
         graph = _merge(graph.union(pairs), degree)
     return graph
 
@@ -180,17 +194,17 @@ def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, descents: int = DESC
 def _score_block(requests: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
     """Scores of requested candidates where their vectors lie."""
     if not len(requests) or not len(block):
-        return pd.DataFrame({"query": [], "id": [], "s": []}).astype({"query": "int64", "id": "int64", "s": "float32"})
+        return pd.DataFrame({"query": [], "id": [], "s": []}).astype({"query": "int64", "id": "int64", "s": "float64"})
     order = np.argsort(block["node"].to_numpy())
     ids = block["node"].to_numpy()[order]
-    x = np.frombuffer(b"".join(block["half"]), np.float16).reshape(len(ids), -1)[order].astype(np.float32)
+    x = np.frombuffer(b"".join(block["raw"]), np.float32).reshape(len(ids), -1)[order]
     out = []
-    for query, half, wanted in zip(requests["query"], requests["half"], requests["ids"]):
-        q = np.frombuffer(half, np.float16).astype(np.float32)
+    for query, raw, wanted in zip(requests["query"], requests["raw"], requests["ids"]):
+        q = np.frombuffer(raw, np.float32).astype(np.float64)
         at = np.searchsorted(ids, wanted)
         out.append((np.full(len(at), query), ids[at], (x[at] * q).sum(axis=1)))
     query, found, s = (np.concatenate(c) for c in zip(*out))
-    return pd.DataFrame({"query": query, "id": found, "s": s.astype(np.float32)})
+    return pd.DataFrame({"query": query, "id": found, "s": s})
 
 
 def _hold(beam: int, expand: int):
@@ -232,9 +246,9 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int =
     blocks = max(LEAST_BLOCKS, math.ceil(n / BLOCK_NODES))
     splits = max(1, math.ceil(q / BLOCK_QUERIES))
     near = keep_table(members(graph, degree, -1).groupBy("v").agg(F.collect_list("m").alias("near")), "adjacency")
-    halves = nodes.select(F.col("node").alias("query"), "half").join(queries, "query")
-    halves = keep_table(halves, "query-vectors")
-    stored = nodes.select(F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), "node", "half",
+    own = nodes.select(F.col("node").alias("query"), "raw").join(queries, "query")
+    own = keep_table(own, "query-vectors")
+    stored = nodes.select(F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), "node", "raw",
                           F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split"))
     state, wanted = None, queries.select("query", F.col("query").alias("id"))
     for _ in range(MAX_ROUNDS):
@@ -242,15 +256,15 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int =
         if state is None:
             asked = asked.union(wanted)
         packed = (asked.distinct().groupBy("query", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-                  .agg(F.sort_array(F.collect_list("id")).alias("ids")).join(halves, "query")
+                  .agg(F.sort_array(F.collect_list("id")).alias("ids")).join(own, "query")
                   .withColumn("split", F.pmod(F.xxhash64("query"), F.lit(splits)).cast("int")))
         fresh = (packed.groupBy("block", "split").cogroup(stored.groupBy("block", "split"))
-                 .applyInPandas(_score_block, "query long, id long, s float")
+                 .applyInPandas(_score_block, "query long, id long, s double")
                  .withColumn("done", F.lit(False)))
         if state is not None:
             fresh = fresh.union(state.select("query", "id", "s", F.expr("done OR pick")))
         rows = fresh.repartition("query").sortWithinPartitions("query", F.desc("s"), "id", F.desc("done"))
-        state = keep_table(rows.mapInArrow(_hold(beam, expand), "query long, id long, s float, done boolean, pick boolean"), "beam")
+        state = keep_table(rows.mapInArrow(_hold(beam, expand), "query long, id long, s double, done boolean, pick boolean"), "beam")
         wanted = state.where("pick").select("query", "id")
         if wanted.isEmpty():
             break
@@ -267,7 +281,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     first = alike.where("r = 1").select("key", F.col("vec_id").alias("node"))
     alike = keep_table(alike.select("key", "vec_id").join(first, "key").select("node", "vec_id"), "alike")
     nodes = rows.join(first.select("node"), F.col("vec_id") == F.col("node"), "left_semi").select(F.col("vec_id").alias("node"), "vec")
-    nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, half binary"), "nodes")
+    nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, raw binary"), "nodes")
     asked = keep_table(rows.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id"))
                        .join(first, "key").select("query_id", F.col("node").alias("query")), "queries")
     found = search(neighbour_graph(nodes), nodes, asked.select("query").distinct())

@@ -228,6 +228,22 @@ def test_copies_ties_and_odd_vectors(spark, documents):
     assert nearest(spark.createDataFrame(rows[:1], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("n, noise, scale", [(5000, 1e-5, 1.0), (1000, 1.0, 1e-9), (1000, 1.0, 1e6)])
+def test_recall_of_near_copies_and_odd_norms(spark, documents, n, noise, scale):
+    """Near copies of one unit vector, and vectors outside the range of half precision."""
+    from strata.llm.neighbours import nearest
+    rng = np.random.default_rng(7)
+    one = np.full(64, 0.125)
+    x = ((one + rng.uniform(-noise, noise, (n, 64))) * scale).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    want = brute_nearest(rows, 20, 100)
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=100).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(got[q] & {i for i, _ in want[q]}) for q in want)
+    assert hits / (20 * len(want)) >= 0.9
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_take_effect(spark, documents):
