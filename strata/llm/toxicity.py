@@ -6,7 +6,9 @@ words' weights for ``u``: the sum of ``DECAY ** span`` over all places where
 it is normalised to 1 for equal words and squared.  A word with inserted characters
 (``id-i.ot``) thus stays close to the plain one.  Characters that are neither
 letters nor digits take a place but match nothing.  Runs of one-character words
-are read as one more word (``i d i o t``).
+are read as one more word (``i d i o t``).  A word or run longer than a landmark
+is also compared window by window (``WINDOWS``), so that what stands around an
+insult does not hide it.
 
 Landmarks are words and word beginnings of labelled texts that are commoner in label 1, picked to
 cover those texts.  A text's kernel with a landmark is the largest over its
@@ -41,6 +43,10 @@ SAMPLE, CANDIDATES = 20_000, 1_000
 MAX_LANDMARK_BYTES = 40
 #: Words compared with the landmarks at once (bounds a task's memory, not the words).
 WORD_BLOCK = 4_096
+#: Window lengths for a landmark of length l, and bytes of a piece of a long word
+#: and of the pieces that are compared at once.
+WINDOWS = (lambda l: l + 1 if l > 4 else l + 3, lambda l: 2 * l + 1)
+PIECE, PIECE_BLOCK = 512, 16_384
 
 _U = np.uint64
 _SYMBOL = np.zeros(256, np.int64)
@@ -160,6 +166,72 @@ class Landmarks:
         k = dots[live] / norm[:, None]
         return live, np.where(k < FLOOR, 0, k) ** POWER
 
+    def of_windows(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``of_words``, by the best window of each word that is longer than the
+        window.  Long words are cut into pieces that overlap by a window."""
+        widths = [np.array([size(len(w)) for w in self.words], np.int64) for size in WINDOWS] if self.words else []
+        least = min((int(w.min()) for w in widths), default=0)
+        long = np.flatnonzero(length > least) if self.words else np.zeros(0, np.int64)
+        if not len(long):
+            return long, np.zeros((0, len(self.words)))
+        step = PIECE - max(int(w.max()) for w in widths) + 1
+        count = 1 + np.maximum(0, -(-(length[long] - PIECE) // step))
+        of = np.repeat(np.arange(len(long)), count)
+        at = (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)) * step
+        start = (np.cumsum(length) - length)[long[of]] + at
+        size = np.minimum(length[long[of]] - at, PIECE)
+        best = np.zeros((len(long), len(self.words)))
+        cuts = np.unique(np.searchsorted(np.cumsum(size), np.arange(0, int(size.sum()), PIECE_BLOCK)))
+        for lo, hi in zip(cuts, [*cuts[1:], len(size)]):
+            row, mark, k = self._of_pieces(gather(data, start[lo:hi], size[lo:hi]), size[lo:hi],
+                                           length[long[of[lo:hi]]], widths)
+            np.maximum.at(best, (of[lo:hi][row], mark), k)
+        live = np.flatnonzero(best.any(axis=1))
+        return long[live], best[live]
+
+    def _of_pieces(self, data: np.ndarray, size: np.ndarray, whole: np.ndarray, widths: list[np.ndarray]):
+        """``(piece, landmark, kernel)`` of the windows that reach FLOOR; ``whole`` is
+        the length of each piece's word."""
+        n, m = len(data), len(self.words)
+        end = np.cumsum(size)
+        left = np.repeat(end, size) - np.arange(n)
+        piece, begin = np.repeat(np.arange(len(size)), size), np.repeat(end - size, size)
+        square, hits = np.zeros((SPAN, n)), []
+        for at, code, ok, weight in _triples(_SYMBOL[data], left):
+            span = round(np.log(weight) / np.log(DECAY))
+            at, r = at[ok], self.row[code[ok]]
+            square[span - 1, at] += weight * weight
+            found = np.flatnonzero(r)
+            at, r = at[found], r[found]
+            many = self.first[r + 1] - self.first[r]
+            e = gather(np.arange(len(self.mark)), self.first[r], many)
+            hits.append((np.repeat(at, many), np.full(len(e), span), self.mark[e], self.weight[e] * weight))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if not hits:
+            return out[0]
+        at, span, mark, value = (np.concatenate(x) for x in zip(*hits))
+        total = np.concatenate([np.zeros((SPAN, 1)), np.cumsum(square, axis=1)], axis=1)
+        for width in widths:
+            # A triple is in the windows that start between its end less the width and its start.
+            fits = span <= width[mark]
+            a, j, v = at[fits], mark[fits], value[fits]
+            lo = np.maximum(a + span[fits] - width[j], begin[a])
+            dots = np.bincount(np.concatenate([lo * m + j, (a + 1) * m + j]), np.concatenate([v, -v]), (n + 1) * m)
+            dots = np.cumsum(dots.reshape(n + 1, m), axis=0)
+            for w in np.unique(width).tolist():
+                s = np.flatnonzero((left >= w) & (whole[piece] > w))
+                # The sum of squares is at most the norm's square, as in _of_block.
+                bound = sum(total[b, s + w - b] - total[b, s] for b in range(2, min(SPAN, w)))
+                marks = np.flatnonzero(width == w)
+                d = dots[np.ix_(s, marks)]
+                x, y = np.nonzero((d >= FLOOR * np.sqrt(np.maximum(bound, 0))[:, None] * 0.999999) & (d > 1e-6))
+                if len(x):
+                    norm = np.array([word_norm(data[i:i + w].tobytes()) for i in s[x].tolist()])
+                    k = d[x, y] / norm
+                    ok = k >= FLOOR
+                    out.append((piece[s[x[ok]]], marks[y[ok]], k[ok] ** POWER))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
     def of_texts(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The Nystroem-mapped kernel row of each text of a slice."""
         n = len(offsets) - 1
@@ -168,26 +240,29 @@ class Landmarks:
         if len(words.hash) and self.words:
             _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
             length = words.end[first] - words.start[first]
-            live, k = self.of_words(gather(buf, words.start[first], length), length)
+            data = gather(buf, words.start[first], length)
             text = np.repeat(np.arange(n), np.diff(words.first))
-            place = np.full(len(first), -1)
-            place[live] = np.arange(len(live))
-            at = place[inverse]
-            hit = np.flatnonzero(at >= 0)
-            np.maximum.at(best, text[hit], k[at[hit]])
-            # Runs of three or more one-byte words of a text.
-            single = (words.end - words.start == 1).astype(np.int8)
+            for live, k in (self.of_words(data, length), self.of_windows(data, length)):
+                place = np.full(len(first), -1)
+                place[live] = np.arange(len(live))
+                at = place[inverse]
+                hit = np.flatnonzero(at >= 0)
+                np.maximum.at(best, text[hit], k[at[hit]])
+            # Runs of three or more words of one character of a text.
+            chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+            single = (chars[words.end] - chars[words.start] == 1).astype(np.int8)
             step = np.diff(np.concatenate([[0], single, [0]]))
             runs, ids = [], []
             for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()):
                 cuts = [a, *words.first[(words.first > a) & (words.first < b)].tolist(), b] if b - a >= 3 else []
                 for x, y in zip(cuts, cuts[1:]):
                     if y - x >= 3:
-                        runs.append(buf[words.start[x:y]])
+                        runs.append(gather(buf, words.start[x:y], words.end[x:y] - words.start[x:y]))
                         ids.append(text[x])
             if runs:
-                live, k = self.of_words(np.concatenate(runs), np.array([len(r) for r in runs]))
-                np.maximum.at(best, np.array(ids, np.int64)[live], k)
+                data, length = np.concatenate(runs), np.array([len(r) for r in runs])
+                for live, k in (self.of_words(data, length), self.of_windows(data, length)):
+                    np.maximum.at(best, np.array(ids, np.int64)[live], k)
         return best @ self.root
 
 

@@ -440,6 +440,27 @@ def test_inserted_characters_are_tolerated(toxic_model):
     assert score("x i d i o t and") > 5 * none and score("the idxiot with") > 5 * none
 
 
+def test_insults_inside_long_phrases(toxic_model):
+    """In spaced and joined phrases, and spaced with accented letters, at any length."""
+    from strata.llm.toxicity import Landmarks
+    _, _, model = toxic_model
+
+    def mapped(text, words=("idiot", "stupid", "crétin")):
+        marks, b = Landmarks.of([w.encode() for w in words]), text.encode()
+        marks.root = np.eye(len(words))
+        return marks.of_texts(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0]
+    for text in ("y o u a r e a n i d i o t", "whatatotalidiotyouare", "x" * 3000 + "idiot" + "y" * 3000):
+        assert mapped(text)[0] > 0.4
+    assert mapped("youareanstupid")[1] > 0.4 and mapped("v o u s c r é t i n")[2] > 0.4
+    assert mapped("c r é t i n")[2] > 0.99
+    assert mapped("passageway classroom international", ("ass",)).max() == 0
+
+    def score(text):
+        b = text.encode()
+        return model.score(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0]
+    assert score("y o u a r e a n i d i o t") > 5 * score("y o u a r e a n")
+
+
 def test_toxicity_edges(spark, edges, empty, labels, documents):
     from strata.llm.toxicity import drop_toxic, fit, toxicity, with_score
     marks = spark.createDataFrame([(4, 1), (5, 0), (None, 1), (6, None)], "doc_id long, toxic int")
