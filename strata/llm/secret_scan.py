@@ -2,13 +2,14 @@
 
 Fixed patterns (``assign``, ``access``, ``hex``) are leftmost and
 non-overlapping per kind; a match that is too short is dropped.  The method adds
-kind ``random``: a run of 16 or more of ``[A-Za-z0-9+/_=-]`` with a letter and a
-digit that the fixed patterns left alone and that a byte-pair vocabulary
-compresses badly (fewer than 2.0 characters a token).  Known digests and
-identifiers are excluded first: hexadecimal of a digest's length, UUIDs, dates
-and numbers with separators, parts of e-mail addresses and web addresses, and
-names whose letters form words (no digit, or digits only behind a separator or
-at the end).
+kind ``random``: 16 or more of ``[A-Za-z0-9+/_=-]`` with a letter that the fixed
+patterns left alone and that a byte-pair vocabulary compresses badly (fewer than
+2.0 characters a token; letters of one case are read in lower case).  A run is
+tested as a whole and, if that finds nothing, without the words at its ends and
+part by part between separators.  Known digests and identifiers are excluded:
+hexadecimal of a digest's length, UUIDs, dates and numbers with separators,
+parts of e-mail addresses, and names with separators whose parts are words that
+the vocabulary compresses well.
 
 Scale: one pass, no shuffle; the vocabulary (under 1 MB, a public file of fixed
 size) is broadcast.
@@ -46,18 +47,62 @@ NUMBER = re.compile(r"[0-9TZ+/_=-]+")
 NAME = re.compile(r"(?:[A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,8})(?:[/_=+-]+(?:[A-Za-z]{2,}[0-9]{0,4}|[A-Za-z]|[0-9]{1,8}))*[/_=+-]*")
 
 
-def is_known(run: str, before: str, after: str) -> bool:
-    """A digest, UUID, number, name, or part of an address."""
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-        return True
-    if before in "@%" and before or after == "@" or "//" in run:
+#: Separators at which a run is parted, coarse to fine.
+SEPARATORS = (re.compile(r"=+"), re.compile(r"/+"), re.compile(r"[_-]+"), re.compile(r"\++"))
+PART = re.compile(r"[A-Za-z0-9]+")
+
+
+def is_dense(run: str, tokens) -> bool:
+    """Fewer characters a token than words have."""
+    n = tokens(run)
+    if run.isupper() and run.isalpha():
+        n = min(n, tokens(run.lower()))
+    return len(run) < MAX_CHARS_PER_TOKEN * n
+
+
+def is_word(part: str, tokens) -> bool:
+    """Short, a number, or letters that compress well before at most four digits."""
+    letters = part.rstrip("0123456789")
+    return not letters or len(letters) < 6 and len(part) < 10 or letters.isalpha() and not is_dense(letters, tokens)
+
+
+def is_known(run: str, tokens) -> bool:
+    """A digest, UUID, number, or name of several words."""
+    if not any(c.isalpha() for c in run):
         return True
     bare = run.strip("=+/_-")
     if DIGEST.fullmatch(bare) and len(bare) in DIGEST_LENGTHS:
         return True
     if UUID.fullmatch(bare) or NUMBER.fullmatch(bare):
         return True
-    return bool(NAME.fullmatch(run)) and not re.search(r"[a-z][A-Z]{1,3}[a-z]{1,2}[A-Z]", run)
+    parts = PART.findall(run)
+    return (len(parts) > 1 and bool(NAME.fullmatch(run)) and not re.search(r"[a-z][A-Z]{1,3}[a-z]{1,2}[A-Z]", run)
+            and all(is_word(p, tokens) for p in parts))
+
+
+def random_parts(run: str, at: int, tokens, level: int = 0) -> list[tuple[int, int]]:
+    """Spans of the random strings of a run that stands at ``at``."""
+    if len(run) < MIN_RUN or is_known(run, tokens):
+        return []
+    if is_dense(run, tokens):
+        return [(at, at + len(run))]
+    out = []
+    if level == 0:  # without the words at its ends
+        parts = list(PART.finditer(run))
+        other = [m for m in parts if not is_word(m[0], tokens)]
+        if other and (other[0] is not parts[0] or other[-1] is not parts[-1]):
+            a, b = other[0].start(), other[-1].end()
+            if b - a >= MIN_RUN and not is_known(run[a:b], tokens) and is_dense(run[a:b], tokens):
+                return [(at + a, at + b)]
+    while level < len(SEPARATORS) and not SEPARATORS[level].search(run):
+        level += 1
+    if level < len(SEPARATORS):
+        a = 0
+        for m in [*SEPARATORS[level].finditer(run), None]:
+            b = m.start() if m else len(run)
+            out += random_parts(run[a:b], at + a, tokens, level + 1)
+            a = m.end() if m else b
+    return out
 
 
 def find(text: str, tokens) -> list[tuple[int, int, str]]:
@@ -72,11 +117,12 @@ def find(text: str, tokens) -> list[tuple[int, int, str]]:
     base = list(out)
     for m in RUN.finditer(text):
         a, b = m.span()
-        if any(x < b and a < y for x, y, _ in base):
+        if text[a - 1:a] in ("@", "%") or text[b:b + 1] == "@":  # part of an address
             continue
-        run = m[0]
-        if not is_known(run, text[a - 1:a], text[b:b + 1]) and len(run) < MAX_CHARS_PER_TOKEN * tokens(run):
-            out.append((a, b, "random"))
+        # What the fixed patterns leave of the run.
+        for x, y in [*sorted((x, y) for x, y, _ in base if x < b and a < y), (b, b)]:
+            out += [(*s, "random") for s in random_parts(text[a:max(a, x)], a, tokens)]
+            a = max(a, y)
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
