@@ -3,14 +3,15 @@
 The neighbour graph starts from stretches of rows that are consecutive along a
 few random projections, and is improved by rounds of NN-descent: every node's
 neighbours (and a sample of those that have it as one) are compared with each
-other, and each keeps its best ``DEGREE``.  A round is a Spark join of edges
+other, and each keeps its best ones, until a round changes hardly any.  A round is a Spark join of edges
 with vectors, a grouping by the middle node, and a merge by node.  A query then
-walks the graph: its ``BEAM`` best nodes are held, the best not yet expanded are
-replaced by their neighbours, until all held nodes are expanded.
+walks the graph: a beam of its best nodes is held, the best not yet expanded are
+replaced by their neighbours, until all held nodes are expanded.  Degree and beam
+grow with the number of nodes.
 
 Scale: equal vectors are one node, with the few smallest ids that an answer can
 name, so a vector that a third of all rows share is one node and one search.
-A middle node compares at most three times ``DEGREE`` members.  Candidates of a
+A middle node compares at most three times the degree's members.  Candidates of a
 search travel as ids; scores are made where the vectors lie, in blocks of
 bounded size, and requests to a block are split when there are many queries.
 Graph, search and answer score the original single-precision vectors in double
@@ -19,6 +20,7 @@ precision: near copies and very small or large vectors keep their order.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -29,13 +31,22 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import keep_table
 
-DEGREE, BEAM, EXPAND = 24, 320, 64
-PROJECTIONS, STRETCH, DESCENTS, MAX_ROUNDS = 4, 64, 5, 30
+#: Least degree and beam (see ``widths``), and the share of a beam that is expanded in a round.
+DEGREE, BEAM, EXPAND = 24, 320, 5
+PROJECTIONS, STRETCH = 4, 64
+#: NN-descent ends when a round changes less than this share of the edges.
+SETTLED = 0.001
 #: Best partners that a node takes from one middle node in a round.
 PER_MIDDLE = 6
 BLOCK_NODES, LEAST_BLOCKS, BLOCK_QUERIES = 50_000, 24, 20_000
 
 
+def widths(n: int) -> tuple[int, int]:
+    """Degree and beam for ``n`` nodes: the degree grows with the logarithm, the
+    beam with the square root."""
+    return DEGREE + max(0, math.ceil(2 * math.log2(max(n, 1) / 2000))), max(BEAM, math.ceil(2 * n ** 0.5))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``(vec_id, vec)`` of the rows that take part: an id, and a vector of the
     commonest length, finite, without null components and not zero.  An id with
@@ -122,42 +133,48 @@ def _middle_groups(t: pa.Table, keep: int):
         yield _edge_batch(found)
 
 
+EDGE = ["a", "c", "s", "new"]
+
+
 def _first_distinct(keep: int):
     """The ``keep`` best distinct ``c`` of each ``a`` by falling s, then c; rows come
     sorted by a.  A pair's scores differ in the last bits between groups, so
-    pairs are told by their ids."""
-    def best(a, c, s):
-        order = np.lexsort((-s, c, a))
-        a, c, s = a[order], c[order], s[order]
+    pairs are told by their ids; a held edge stays when it is found again."""
+    def best(a, c, s, new):
+        order = np.lexsort((new, c, a))
+        a, c, s, new = (x[order] for x in (a, c, s, new))
         fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
-        a, c, s = a[fresh], c[fresh], s[fresh]
+        a, c, s, new = (x[fresh] for x in (a, c, s, new))
         order = np.lexsort((c, -s, a))
-        a, c, s = a[order], c[order], s[order]
+        a, c, s, new = (x[order] for x in (a, c, s, new))
         start = np.concatenate([[True], a[1:] != a[:-1]])
         place = np.arange(len(a)) - np.maximum.accumulate(np.where(start, np.arange(len(a)), 0))
-        return tuple(x[place < keep] for x in (a, c, s))
+        return [x[place < keep] for x in (a, c, s, new)]
 
     def run(batches):
         rest = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(x).to_numpy() for x in ("a", "c", "s")]
+            rows = [batch.column(x).to_numpy(zero_copy_only=False) for x in EDGE]
             if rest is not None:
                 rows = [np.concatenate(x) for x in zip(rest, rows)]
             rows = best(*rows)
             end = int(np.searchsorted(rows[0], rows[0][-1]))
             rest = [x[end:] for x in rows]  # a node's rows so far: at most ``keep``
             if end:
-                yield pa.RecordBatch.from_arrays([pa.array(x[:end]) for x in rows], ["a", "c", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[:end]) for x in rows], EDGE)
         if rest is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rest], ["a", "c", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rest], EDGE)
     return run
 
 
-def _merge(edges: DataFrame, degree: int) -> DataFrame:
+def _merge(found: DataFrame, degree: int, held: DataFrame | None = None) -> DataFrame:
+    edges = found.withColumn("new", F.lit(True))
+    if held is not None:
+        edges = edges.union(held.select("a", "c", "s", F.lit(False).alias("new")))
     rows = edges.repartition("a").sortWithinPartitions("a")
-    return keep_table(rows.mapInArrow(_first_distinct(degree), "a long, c long, s double"), "graph")
+    return keep_table(rows.mapInArrow(_first_distinct(degree), "a long, c long, s double, new boolean"), "graph")
 
 
 def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
@@ -169,8 +186,9 @@ def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
     return graph.select(F.col("a").alias("v"), F.col("c").alias("m")).union(back).distinct()
 
 
-def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, descents: int = DESCENTS) -> DataFrame:
-    """NN-descent over ``nodes(node, vec, raw)``: ``(a, c, s)``."""
+def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SETTLED) -> DataFrame:
+    """NN-descent over ``nodes(node, vec, raw)``: ``(a, c, s, new)``, ``new`` the
+    edges that the last round brought."""
     found = None
     for i in range(PROJECTIONS):
         # A random direction, by component: the hash of its place.
@@ -180,15 +198,16 @@ def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, descents: int = DESC
         one = rows.select("node", "raw").mapInArrow(_stretches(STRETCH, degree), "a long, c long, s double")
         found = one if found is None else found.union(one)
     graph = _merge(found, degree)
-    for i in range(descents):
+    for i in itertools.count():
         least = graph.groupBy("a").agg(F.min("s").alias("least"), F.count("*").alias("n"))
         state = nodes.select(F.col("node").alias("m"), "raw").join(
             least.select(F.col("a").alias("m"), F.when(F.col("n") < degree, F.lit(float("-inf"))).otherwise(
                 F.col("least")).cast("double").alias("least")), "m")
         rows = members(graph, degree, i).join(state, "m").select("v", "m", "raw", "least")
         pairs = rows.repartition("v").sortWithinPartitions("v", "m").mapInArrow(_middles(PER_MIDDLE), "a long, c long, s double")
-        graph = _merge(graph.union(pairs), degree)
-    return graph
+        graph = _merge(pairs, degree, graph)
+        if graph.where("new").count() <= settled * graph.count():
+            return graph
 
 
 def _score_block(requests: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -239,8 +258,7 @@ def _hold(beam: int, expand: int):
     return run
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int = DEGREE, beam: int = BEAM,
-           expand: int = EXPAND) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int = DEGREE, beam: int = BEAM) -> DataFrame:
     """Greedy search from each query node's own place in the graph: ``(query, id, s)``."""
     n, q = nodes.count(), queries.count()
     blocks = max(LEAST_BLOCKS, math.ceil(n / BLOCK_NODES))
@@ -251,7 +269,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int =
     stored = nodes.select(F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), "node", "raw",
                           F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split"))
     state, wanted = None, queries.select("query", F.col("query").alias("id"))
-    for _ in range(MAX_ROUNDS):
+    while True:
         asked = wanted.join(near, F.col("id") == F.col("v")).select("query", F.explode("near").alias("id"))
         if state is None:
             asked = asked.union(wanted)
@@ -264,11 +282,10 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int =
         if state is not None:
             fresh = fresh.union(state.select("query", "id", "s", F.expr("done OR pick")))
         rows = fresh.repartition("query").sortWithinPartitions("query", F.desc("s"), "id", F.desc("done"))
-        state = keep_table(rows.mapInArrow(_hold(beam, expand), "query long, id long, s double, done boolean, pick boolean"), "beam")
+        state = keep_table(rows.mapInArrow(_hold(beam, math.ceil(beam / EXPAND)), "query long, id long, s double, done boolean, pick boolean"), "beam")
         wanted = state.where("pick").select("query", "id")
         if wanted.isEmpty():
-            break
-    return state.select("query", "id", "s")
+            return state.select("query", "id", "s")
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -284,7 +301,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, raw binary"), "nodes")
     asked = keep_table(rows.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id"))
                        .join(first, "key").select("query_id", F.col("node").alias("query")), "queries")
-    found = search(neighbour_graph(nodes), nodes, asked.select("query").distinct())
+    degree, beam = widths(nodes.count())
+    found = search(neighbour_graph(nodes, degree), nodes, asked.select("query").distinct(), degree, beam)
     # Exact scores on the original vectors, then the ids that share them.
     vec = nodes.select("node", "vec")
     pairs = (found.select("query", "id").join(vec.select(F.col("node").alias("id"), F.col("vec").alias("y")), "id")

@@ -244,6 +244,25 @@ def test_recall_of_near_copies_and_odd_norms(spark, documents, n, noise, scale):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_graph_is_built_until_it_settles(spark, documents, monkeypatch):
+    """Rounds end by the share of changed edges; degree and beam grow with the nodes."""
+    from strata.llm import neighbours
+    rounds = []
+
+    def keep(df, name, real=neighbours.keep_table):
+        out = real(df, name)
+        rounds.append(out.where("new").count() / max(1, out.count()))
+        return out
+    x = np.random.default_rng(3).normal(size=(1500, 32)).astype(np.float32)
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "node long, vec array<float>")
+    nodes = rows.mapInArrow(neighbours._pack, "node long, vec array<float>, raw binary").cache()
+    monkeypatch.setattr(neighbours, "keep_table", keep)
+    neighbours.neighbour_graph(nodes)
+    assert rounds[-1] <= neighbours.SETTLED < min(rounds[1:-1])
+    sizes = [neighbours.widths(n) for n in (0, 2_000, 51_282, 10_000_000)]
+    assert sizes[:2] == [(24, 320)] * 2 and sizes[2] < sizes[3] and sizes[2][1] > 320
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_take_effect(spark, documents):
