@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import divergence, quality_rules
 from strata.llm.common import ship_package
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,23 @@ def op9(spark, sf_dir):
     """The 20 nearest others of every 20th row of ``embeddings``."""
     from strata.llm.neighbours import nearest
     return nearest(_read(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@register("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Periodic runs of words of every document, a tenth of them folded at the tail."""
+    from strata.llm.periodic_runs import audit_runs, fold_tail
+    return audit_runs(_read(spark, sf_dir, "documents"), before=fold_tail)
+
+
+@register("op12_source_divergence", divergence.ORACLE)
+def op12(spark, sf_dir):
+    """Divergence of every two sources of a language, and each source's leading terms."""
+    return divergence.source_divergence(_read(spark, sf_dir, "documents"))
+
+
+@register("op13_html_extraction")
+def op13(spark, sf_dir):
+    """Main text of every page."""
+    from strata.llm.main_text import extract
+    return extract(_read(spark, sf_dir, "pages"))
