@@ -161,7 +161,7 @@ def test_divergence_in_small_blocks_and_slices(spark, monkeypatch):
     want = by_sql(docs)
     monkeypatch.setattr(divergence, "BLOCK_CELLS", 64)   # seen by the pickled task through its module
     counts = divergence.partial_counts(docs)
-    assert counts.where("term is null").agg({"n": "sum"}).first()[0] == docs.count()
+    assert counts.where("term is null").agg({"docs": "sum"}).first()[0] == docs.count()
     assert sorted(map(tuple, divergence.source_divergence(docs).collect())) == want
 
 
