@@ -12,6 +12,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POWERS or len(_POWERS["p"]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = n if n > SLICE_BYTES + 1 else 1 << n.bit_length()
         with np.errstate(over="ignore"):
             for k, base in (("p", _P), ("i", _P_INV)):
                 a = np.full(size, base, _U)
@@ -130,6 +131,26 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Within it, jobs hand Python workers at most ``rows`` rows at a time: for rows
+    that carry whole sets.  The session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column starts with it."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name
+
+
 def remainder(doc_id: str, divisor: int):
     """crc32 of the id as text, modulo ``divisor`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor

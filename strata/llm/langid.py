@@ -142,5 +142,5 @@ def language(docs: DataFrame, fold: int = 0, folds: int = 5) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``; documents whose crc32(id) modulo
     ``folds`` is ``fold`` are held out of the training."""
     model = fit(docs.where(remainder("doc_id", folds) != fold))
-    return predict(docs, model).select("doc_id", (remainder("doc_id", folds) == fold).alias("held_out"),
+    return predict(docs, model).select("doc_id", F.coalesce(remainder("doc_id", folds) == fold, F.lit(False)).alias("held_out"),
                                        "lang_pred", "score")

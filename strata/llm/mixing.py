@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep_table, word_array
+from strata.llm.common import free_name, keep_table, word_array
 
 #: Letters whose share of the text is a feature, and symbols counted together.
 LETTERS = "whqzäéñó"
@@ -51,22 +51,22 @@ def _count(text, what):
     return F.length(text) - F.length(F.replace(text, F.lit(what)))
 
 
-def with_bins(docs: DataFrame) -> DataFrame:
-    """All columns, the number of words ``_mix_tokens`` and the feature bins
-    ``_mix_bins`` of ``text``; a null text counts as empty."""
+def with_bins(docs: DataFrame, mix: str = "_mix") -> DataFrame:
+    """All columns, the number of words ``<mix>_tokens`` and the feature bins
+    ``<mix>_bins`` of ``text``; a null text counts as empty."""
     columns = docs.columns
     t = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("*", t.alias("_mix_text"), F.lower(t).alias("_mix_lower"),
-                       F.size(word_array(F.col("text"))).cast("long").alias("_mix_tokens"),
-                       F.filter(F.split(t, "\n"), lambda l: F.trim(l) != "").alias("_mix_lines"))
-    text, lower, n, lines = (F.col(f"_mix_{x}") for x in ("text", "lower", "tokens", "lines"))
+    base = docs.select("*", t.alias(f"{mix}_text"), F.lower(t).alias(f"{mix}_lower"),
+                       F.size(word_array(F.col("text"))).cast("long").alias(f"{mix}_tokens"),
+                       F.filter(F.split(t, "\n"), lambda l: F.trim(l) != "").alias(f"{mix}_lines"))
+    text, lower, n, lines = (F.col(f"{mix}_{x}") for x in ("text", "lower", "tokens", "lines"))
     chars = F.greatest(F.length(text), F.lit(1))
     symbols = sum((_count(text, s) for s in SYMBOLS[1:]), _count(text, SYMBOLS[0]))
     repeated = 1000 * (F.size(lines) - F.size(F.array_distinct(lines))) / F.greatest(F.size(lines), F.lit(1))
     bins = [_bin(F.floor(1000 * _count(lower, x) / chars), SHARE_BINS) for x in LETTERS]
     bins += [_bin(F.floor(1000 * symbols / chars), SHARE_BINS), _bin(n, WORD_BINS),
              _bin(F.floor(10 * chars / F.greatest(n, F.lit(1))), LENGTH_BINS), _bin(repeated, (0, 200, 500))]
-    return base.select(*columns, "_mix_tokens", F.array(*bins).alias("_mix_bins"))
+    return base.select(*columns, f"{mix}_tokens", F.array(*bins).alias(f"{mix}_bins"))
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -163,13 +163,15 @@ def apply_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     of the rate, and once more with the chance of the rest, drawn by a hash of the
     id.  The texts are binned a second time rather than shuffled."""
     rates = fit(keep_table(features(docs), "features"), labelled, targets or TARGETS)
-    rows = with_bins(docs).join(rates.select(F.col("bins").alias("_mix_bins"), F.col("rate").alias("_mix_rate")),
-                                "_mix_bins")
+    name = free_name(docs.columns, "_mix")
+    rate, n = (F.col(f"{name}_{x}") for x in ("rate", "n"))
+    rows = with_bins(docs, name).join(rates.select(F.col("bins").alias(f"{name}_bins"), F.col("rate").alias(f"{name}_rate")),
+                                      f"{name}_bins")
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / (1 << 30)
-    whole = F.floor("_mix_rate")
-    copies = (whole + F.when(draw < F.col("_mix_rate") - whole, 1).otherwise(0)).cast("int")
-    return (rows.withColumn("_mix_n", copies).where("_mix_n > 0")
-            .withColumn("_mix_i", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*docs.columns))
+    whole = F.floor(rate)
+    copies = (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("int")
+    return (rows.withColumn(f"{name}_n", copies).where(n > 0)
+            .withColumn(f"{name}_i", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns))
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:

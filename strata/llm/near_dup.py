@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, keep_table, mix, slices
+from strata.llm.common import Words, free_name, keep_table, mix, slices, small_batches
 from strata.llm.components import components
 
 BUCKETS = 256
@@ -39,6 +39,9 @@ BANDS, BAND_WIDTH = 42, 6
 #: Rows and set bytes of one block of a bucket's residual comparison.
 BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
 
+#: Bytes of text a task turns into sets at once, and pairs of sets it confirms at once.
+SET_BYTES, PAIR_ROWS = 1 << 19, 500
+
 #: Nodes (8 bytes each) up to which the list of candidates is broadcast; beyond, it is shuffled.
 BROADCAST_NODES = 2_000_000
 
@@ -137,7 +140,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _signatures(width: int):
     def run(batches):
         for batch in batches:
-            for rows, buf, offsets in slices(batch, "text"):
+            for rows, buf, offsets in slices(batch, "text", SET_BYTES):
                 sets = shingle_sets(Words(buf, offsets), width)
                 keys = band_keys(registers(sets))
                 yield pa.RecordBatch.from_arrays([
@@ -152,7 +155,7 @@ def _signatures(width: int):
 def _sets(width: int):
     def run(batches):
         for batch in batches:
-            for rows, buf, offsets in slices(batch, "text"):
+            for rows, buf, offsets in slices(batch, "text", SET_BYTES):
                 sets = shingle_sets(Words(buf, offsets), width)
                 regs = registers(sets)
                 yield pa.RecordBatch.from_arrays([
@@ -226,7 +229,8 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     a, b = (sets.select(F.col("node").alias(x), F.col("regs").alias(f"regs_{x}"),
                         F.col("shingles").alias(f"shingles_{x}")) for x in "ab")
     pairs = shared.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    star = keep_table(pairs.join(b, "b").join(a, "a").mapInArrow(_confirm(percent), "a long, b long"), "star")
+    with small_batches(docs.sparkSession, PAIR_ROWS):
+        star = keep_table(pairs.join(b, "b").join(a, "a").mapInArrow(_confirm(percent), "a long, b long"), "star")
     first = components(star)
     labelled = keep_table(shared.join(first, "node", "left").select(
         "key", "node", "n_shingles", F.coalesce("label", "node").alias("label")), "labelled")
@@ -274,7 +278,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, one of each group of near duplicates (that with the
-    smallest id); all columns stay."""
-    seen = near_duplicates(docs, width=width, percent=percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(seen, "doc_id", "left_anti")
+    """The documents, one of each group of near duplicates (that with the smallest
+    id); all columns stay.
+
+    Rows are judged, not ids: of rows with one id and one text a single one stays,
+    and rows with one id but different texts are documents of their own, so that a
+    clean text is not lost with another's copy.  Rows without an id all stay."""
+    name = free_name(docs.columns, "_near")
+    key, several = f"{name}_key", f"{name}_several"
+    ids = docs.select(F.col("doc_id").cast("long").alias(key)).where(F.col(key).isNotNull())
+    repeated = keep_table(ids.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated-ids")
+    n = repeated.count()
+    rows = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if n == 0:
+        rows = rows.withColumn(several, F.lit(False))
+    else:
+        mark = repeated.withColumn(several, F.lit(True))
+        rows = rows.join(F.broadcast(mark) if n <= BROADCAST_NODES else mark, key, "left").withColumn(
+            several, F.coalesce(several, F.lit(False)))
+        # an id of several rows gives way to a negative one of id and text
+        own = -1 - F.pmod(F.xxhash64(key, F.coalesce("text", F.lit(""))), F.lit(1 << 62))
+        rows = rows.withColumn(key, F.when(F.col(several), own).otherwise(F.col(key)))
+    judged = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width=width, percent=percent)
+    if n == 0:
+        seen = judged.where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+        return rows.join(seen, key, "left_anti").select(*docs.columns)
+    of = (judged.where("doc_id IS NOT NULL").select(F.col("doc_id").alias(key), "component_id").distinct()
+          .join(rows.select(key, F.col("doc_id").cast("long").alias("doc_id")).distinct(), key))
+    best = of.groupBy("component_id").agg(F.min(F.struct("doc_id", key)).alias("r")).select(F.col(f"r.{key}").alias(key))
+    left = rows.join(best, key, "left_semi")
+    return (left.where(~F.col(several)).unionByName(left.where(several).dropDuplicates([key]))
+            .unionByName(rows.where(F.col(key).isNull())).select(*docs.columns))

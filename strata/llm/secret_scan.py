@@ -167,9 +167,10 @@ def digests(found: DataFrame) -> DataFrame:
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
+    base = [k for k in KINDS if k != "random"]
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in base],
                         F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
-                        joined("spans").alias("spans"))
+                        joined("spans").alias("spans"), count("random").alias("n_random"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", vocabulary: str = VOCABULARY) -> DataFrame:

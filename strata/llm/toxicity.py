@@ -19,14 +19,13 @@ calibrated with a logistic curve.
 
 Scale: landmarks, machine and curve are fitted on at most ``sample`` labelled
 texts (a documented bound; their ids are broadcast).  Scoring is one pass over
-the texts without a shuffle; the model is a few kilobytes.  A task works on two
-megabytes of text at a time and on each distinct word of them once.
+the texts without a shuffle; the model is a few kilobytes.  A task works on half a
+megabyte of text at a time and on each distinct word of it once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +46,8 @@ WORD_BLOCK = 4_096
 #: and of the pieces that are compared at once.
 WINDOWS = (lambda l: l + 1 if l > 4 else l + 3, lambda l: 2 * l + 1)
 PIECE, PIECE_BLOCK = 512, 16_384
+#: Bytes of words whose norms are taken at once, and of text that a task scores at once.
+NORM_BLOCK, TEXT_BYTES = 16_384, 1 << 19
 
 _U = np.uint64
 _SYMBOL = np.zeros(256, np.int64)
@@ -80,9 +81,31 @@ def word_vector(word: bytes) -> dict[int, float]:
     return out
 
 
-@lru_cache(1 << 16)
-def word_norm(word: bytes) -> float:
-    return sum(v * v for v in word_vector(word).values()) ** 0.5
+def word_norms(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Norm of each word's triple vector; the words stand one after the other in ``data``."""
+    out = np.zeros(len(length))
+    end = np.cumsum(length)
+    cuts = np.unique(np.searchsorted(end, np.arange(0, int(length.sum()) + 1, NORM_BLOCK)))
+    for lo, hi in zip(cuts, [*cuts[1:], len(length)]):
+        if lo == hi:
+            continue
+        size = length[lo:hi]
+        part = data[end[lo] - size[0]:end[hi - 1]]
+        stop = np.cumsum(size)
+        left = np.repeat(stop, size) - np.arange(len(part))
+        first = np.repeat(np.arange(hi - lo), size) * _BASE ** 3
+        keys, weights = [], []
+        for at, code, ok, weight in _triples(_SYMBOL[part], left):
+            keys.append((first[at] + code)[ok])
+            weights.append(np.full(len(keys[-1]), weight))
+        key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        if len(key):
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sums = np.add.reduceat(np.concatenate(weights)[order], heads)
+            out[lo:hi] = np.sqrt(np.bincount(key[heads] // _BASE ** 3, sums * sums, hi - lo))
+    return out
 
 
 def kernel(a: dict[int, float], b: dict[int, float]) -> float:
@@ -162,7 +185,7 @@ class Landmarks:
         live = np.flatnonzero((dots.max(axis=1) >= FLOOR * np.sqrt(square) * 0.999999) & (square > 0))
         if not len(live):
             return none
-        norm = np.array([word_norm(data[end[i] - length[i]:end[i]].tobytes()) for i in live.tolist()])
+        norm = word_norms(gather(data, end[live] - length[live], length[live]), length[live])
         k = dots[live] / norm[:, None]
         return live, np.where(k < FLOOR, 0, k) ** POWER
 
@@ -189,9 +212,11 @@ class Landmarks:
         live = np.flatnonzero(best.any(axis=1))
         return long[live], best[live]
 
-    def _of_pieces(self, data: np.ndarray, size: np.ndarray, whole: np.ndarray, widths: list[np.ndarray]):
+    def _of_pieces(self, data: np.ndarray, size: np.ndarray, whole: np.ndarray, widths: list[np.ndarray],
+                   chosen: bool = False):
         """``(piece, landmark, kernel)`` of the windows that reach FLOOR; ``whole`` is
-        the length of each piece's word."""
+        the length of each piece's word.  A first look passes over the pieces none of
+        whose windows can: a window's products with a landmark are at most the piece's."""
         n, m = len(data), len(self.words)
         end = np.cumsum(size)
         left = np.repeat(end, size) - np.arange(n)
@@ -211,6 +236,30 @@ class Landmarks:
             return out[0]
         at, span, mark, value = (np.concatenate(x) for x in zip(*hits))
         total = np.concatenate([np.zeros((SPAN, 1)), np.cumsum(square, axis=1)], axis=1)
+
+        def starts(w: int) -> tuple[np.ndarray, np.ndarray]:
+            """Where a window of ``w`` bytes starts, and its sum of squares: at most the
+            norm's square, as in _of_block."""
+            s = np.flatnonzero((left >= w) & (whole[piece] > w))
+            bound = sum(total[b, s + w - b] - total[b, s] for b in range(2, min(SPAN, w)))
+            return s, np.maximum(bound, 0) + np.zeros(len(s))
+
+        if not chosen:
+            most = np.bincount(piece[at] * m + mark, value, len(size) * m).reshape(len(size), m)
+            may = np.zeros(len(size), bool)
+            for w in np.unique(np.concatenate(widths)).tolist():
+                s, bound = starts(w)
+                if len(s):
+                    least = np.full(len(size), np.inf)
+                    np.minimum.at(least, piece[s], bound)
+                    of_width = most[:, np.flatnonzero((widths[0] == w) | (widths[1] == w))].max(axis=1)
+                    may |= (of_width >= FLOOR * np.sqrt(least) * 0.999999) & (of_width > 1e-6)
+            left_over = np.flatnonzero(may)
+            if not len(left_over):
+                return out[0]
+            row, marks, k = self._of_pieces(gather(data, (end - size)[left_over], size[left_over]), size[left_over],
+                                            whole[left_over], widths, chosen=True)
+            return left_over[row], marks, k
         for width in widths:
             # A triple is in the windows that start between its end less the width and its start.
             fits = span <= width[mark]
@@ -219,14 +268,16 @@ class Landmarks:
             dots = np.bincount(np.concatenate([lo * m + j, (a + 1) * m + j]), np.concatenate([v, -v]), (n + 1) * m)
             dots = np.cumsum(dots.reshape(n + 1, m), axis=0)
             for w in np.unique(width).tolist():
-                s = np.flatnonzero((left >= w) & (whole[piece] > w))
-                # The sum of squares is at most the norm's square, as in _of_block.
-                bound = sum(total[b, s + w - b] - total[b, s] for b in range(2, min(SPAN, w)))
+                s, bound = starts(w)
                 marks = np.flatnonzero(width == w)
                 d = dots[np.ix_(s, marks)]
-                x, y = np.nonzero((d >= FLOOR * np.sqrt(np.maximum(bound, 0))[:, None] * 0.999999) & (d > 1e-6))
+                x, y = np.nonzero((d >= FLOOR * np.sqrt(bound)[:, None] * 0.999999) & (d > 1e-6))
                 if len(x):
-                    norm = np.array([word_norm(data[i:i + w].tobytes()) for i in s[x].tolist()])
+                    # equal windows have one norm
+                    begins, which = np.unique(x, return_inverse=True)
+                    windows = data[s[begins][:, None] + np.arange(w)]
+                    _, first, same = np.unique(windows.view(f"V{w}").ravel(), return_index=True, return_inverse=True)
+                    norm = word_norms(windows[first].ravel(), np.full(len(first), w))[same][which]
                     k = d[x, y] / norm
                     ok = k >= FLOOR
                     out.append((piece[s[x[ok]]], marks[y[ok]], k[ok] ** POWER))
@@ -282,7 +333,7 @@ class Model:
 def _mapped(landmarks: Landmarks):
     def run(batches):
         for batch in batches:
-            for rows, buf, offsets in slices(batch, "text"):
+            for rows, buf, offsets in slices(batch, "text", TEXT_BYTES):
                 x = landmarks.of_texts(buf, offsets)
                 yield pa.RecordBatch.from_arrays([rows.column("label"), pa.array(list(x), pa.list_(pa.float64()))],
                                                  ["label", "x"])
@@ -382,7 +433,7 @@ def with_score(docs: DataFrame, model: Model, column: str = "toxic_score") -> Da
 
     def run(batches):
         for batch in batches:
-            for rows, buf, offsets in slices(batch, "text"):
+            for rows, buf, offsets in slices(batch, "text", TEXT_BYTES):
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.score(buf, offsets))],
                                                  [*rows.schema.names, column])
     from pyspark.sql.types import DoubleType, StructType
@@ -396,7 +447,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = fit(docs, labels.where(remainder("doc_id", folds) != fold))
     return with_score(docs, model, "score").select(
-        "doc_id", (remainder("doc_id", folds) == fold).alias("held_out"), "score",
+        "doc_id", F.coalesce(remainder("doc_id", folds) == fold, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
