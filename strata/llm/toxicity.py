@@ -20,7 +20,8 @@ calibrated with a logistic curve.
 Scale: landmarks, machine and curve are fitted on at most ``sample`` labelled
 texts (a documented bound; their ids are broadcast).  Scoring is one pass over
 the texts without a shuffle; the model is a few kilobytes.  A task works on half a
-megabyte of text at a time and on each distinct word of it once.
+megabyte of text at a time and on each distinct word once, as long as it
+remembers it.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ WORD_BLOCK = 4_096
 #: and of the pieces that are compared at once.
 WINDOWS = (lambda l: l + 1 if l > 4 else l + 3, lambda l: 2 * l + 1)
 PIECE, PIECE_BLOCK = 512, 16_384
+#: Words whose kernels a task remembers; beyond, it forgets them all and starts anew.
+REMEMBERED = 200_000
 #: Bytes of words whose norms are taken at once, and of text that a task scores at once.
 NORM_BLOCK, TEXT_BYTES = 16_384, 1 << 19
 
@@ -152,15 +155,18 @@ class Landmarks:
         return cls(words, row, first, np.array([e[1] for e in entries], np.int64),
                    np.array([e[2] for e in entries]), root)
 
-    def of_words(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of_words(self, data: np.ndarray, length: np.ndarray, may: np.ndarray | None = None
+                 ) -> tuple[np.ndarray, np.ndarray]:
         """``(word index, kernel with each landmark)`` of the words that reach
-        FLOOR; the words stand one after the other in ``data``."""
+        FLOOR; the words stand one after the other in ``data``.  ``may`` is set to
+        whether a window of the word can reach it."""
         at = np.concatenate([[0], np.cumsum(length)])
-        blocks = [(lo, *self._of_block(data[at[lo]:at[min(lo + WORD_BLOCK, len(length))]], length[lo:lo + WORD_BLOCK]))
+        blocks = [(lo, *self._of_block(data[at[lo]:at[min(lo + WORD_BLOCK, len(length))]], length[lo:lo + WORD_BLOCK],
+                                       None if may is None else may[lo:lo + WORD_BLOCK]))
                   for lo in range(0, max(1, len(length)), WORD_BLOCK)]
         return np.concatenate([lo + live for lo, live, _ in blocks]), np.concatenate([k for _, _, k in blocks])
 
-    def _of_block(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _of_block(self, data: np.ndarray, length: np.ndarray, may: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         n, m = len(length), len(self.words)
         none = np.zeros(0, np.int64), np.zeros((0, m))
         if not n or not m:
@@ -181,6 +187,11 @@ class Landmarks:
             place.append(np.repeat(of, count) * m + self.mark[e])
             value.append(self.weight[e] * weight)
         dots = np.bincount(np.concatenate(place), np.concatenate(value), n * m).reshape(n, m)
+        if may is not None:
+            # A window's products are at most the word's.  Where all bytes match something,
+            # every window of a width has the same sum of squares.
+            plain = np.bincount(word, symbols == 0, n) == 0
+            may[:] = ~plain | (dots >= self._window_floor() * 0.999999).any(axis=1)
         # The sum of squares is at most the norm's square: a bound before the exact norm.
         live = np.flatnonzero((dots.max(axis=1) >= FLOOR * np.sqrt(square) * 0.999999) & (square > 0))
         if not len(live):
@@ -189,6 +200,12 @@ class Landmarks:
         k = dots[live] / norm[:, None]
         return live, np.where(k < FLOOR, 0, k) ** POWER
 
+    def _window_floor(self) -> np.ndarray:
+        """Per landmark FLOOR times the root of the sum of squares of its narrowest window."""
+        widths = [min(size(len(w)) for size in WINDOWS) for w in self.words]
+        return FLOOR * np.array([sum((w - b) * (b - 1) * DECAY ** (2 * b + 2) for b in range(2, min(SPAN, w)))
+                                 for w in widths]) ** 0.5
+
     def of_windows(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``of_words``, by the best window of each word that is longer than the
         window.  Long words are cut into pieces that overlap by a window."""
@@ -283,22 +300,47 @@ class Landmarks:
                     out.append((piece[s[x[ok]]], marks[y[ok]], k[ok] ** POWER))
         return tuple(np.concatenate(x) for x in zip(*out))
 
+    def _kernels(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, length: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """For distinct words (by ascending hash) the place of each one's kernels in the
+        returned rows, -1 for a word far from all landmarks.  Words met before in the
+        same task are not compared again."""
+        seen, live, rows = self.__dict__.get("_met") or (np.zeros(0, _U), np.zeros(0, _U), np.zeros((0, len(self.words))))
+        if len(seen) > REMEMBERED:
+            seen, live, rows = seen[:0], live[:0], rows[:0]
+        to = np.searchsorted(seen, hashes)
+        new = np.flatnonzero((to == len(seen)) | (seen[np.minimum(to, len(seen) - 1)] != hashes) if len(seen)
+                             else np.ones(len(hashes), bool))
+        if len(new):
+            data, size = gather(buf, start[new], length[new]), length[new]
+            fresh = np.zeros((len(new), len(self.words)))
+            may = np.zeros(len(new), bool)
+            at, fresh_rows = self.of_words(data, size, may)
+            fresh[at] = fresh_rows
+            again = np.flatnonzero(may)
+            at, k = self.of_windows(gather(buf, start[new[again]], size[again]), size[again])
+            fresh[again[at]] = np.maximum(fresh[again[at]], k)
+            seen = np.insert(seen, to[new], hashes[new])
+            near = np.flatnonzero(fresh.any(axis=1))
+            to = np.searchsorted(live, hashes[new[near]])
+            live, rows = np.insert(live, to, hashes[new[near]]), np.insert(rows, to, fresh[near], axis=0)
+            self.__dict__["_met"] = seen, live, rows
+        place = np.searchsorted(live, hashes)
+        found = live[np.minimum(place, len(live) - 1)] == hashes if len(live) else np.zeros(len(hashes), bool)
+        return np.where(found, place, -1), rows
+
     def of_texts(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The Nystroem-mapped kernel row of each text of a slice."""
         n = len(offsets) - 1
         best = np.zeros((n, len(self.words)))
         words = Words(buf, offsets)
         if len(words.hash) and self.words:
-            _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-            length = words.end[first] - words.start[first]
-            data = gather(buf, words.start[first], length)
+            hashes, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
             text = np.repeat(np.arange(n), np.diff(words.first))
-            for live, k in (self.of_words(data, length), self.of_windows(data, length)):
-                place = np.full(len(first), -1)
-                place[live] = np.arange(len(live))
-                at = place[inverse]
-                hit = np.flatnonzero(at >= 0)
-                np.maximum.at(best, text[hit], k[at[hit]])
+            place, rows = self._kernels(hashes, buf, words.start[first], words.end[first] - words.start[first])
+            at = place[inverse]
+            hit = np.flatnonzero(at >= 0)
+            np.maximum.at(best, text[hit], rows[at[hit]])
             # Runs of three or more words of one character of a text.
             chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
             single = (chars[words.end] - chars[words.start] == 1).astype(np.int8)

@@ -92,3 +92,25 @@ def test_pieces_passed_over_have_no_window_at_the_floor():
     quick = marks._of_pieces(data, length, length, widths)
     as_set = lambda found: sorted(zip(found[0].tolist(), found[1].tolist(), np.round(found[2], 9).tolist()))
     assert as_set(quick) == as_set(plain) and len(plain[0]) > 50
+
+
+def test_words_without_a_window_at_the_floor_are_told_and_remembered(monkeypatch):
+    from strata.llm import toxicity as t
+    marks = t.Landmarks.of([b"idiot", b"stupid", b"loser"])
+    rng = np.random.default_rng(2)
+    words = [rng.integers(97, 105, int(n), dtype=np.uint8).tobytes() for n in rng.integers(1, 30, 400)]
+    words += [w[:5] + m + w[5:] for w in words[:80] for m in marks.words] + [b"x-" + b"-".join([b"i", b"d", b"i", b"o", b"t"]) + b"-y"]
+    data, length = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    may = np.zeros(len(words), bool)
+    marks.of_words(data, length, may)
+    found = marks.of_windows(data, length)[0]
+    assert may[found].all() and not may.all()
+    text = b" ".join(words) + b" "
+    buf, offsets = np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text)
+    whole = marks.of_texts(buf, offsets)
+    fresh = t.Landmarks.of(marks.words).of_texts(buf, offsets)
+    monkeypatch.setattr(t, "REMEMBERED", 10)
+    forgetful = t.Landmarks.of(marks.words)
+    parts = [forgetful.of_texts(buf[:len(text)], offsets[:2]) for _ in range(3)]
+    assert np.allclose(marks.of_texts(buf, offsets), whole) and np.allclose(whole, fresh)
+    assert all(np.allclose(p[0], whole[0]) for p in parts)
