@@ -1,28 +1,32 @@
 """Lineage graph, pipeline runs and data flows.
 
-The lineage walk is breadth-first with one distributed join per *level*
-(never per node): frontier ⋈ edges, minus the nodes already visited.  Each
-new frontier and the visited set are written to the shared checkpoint
-folder, so plans stay shallow and survive executor loss.  The driver only
-sees one ``isEmpty`` per level.
+The lineage walk is breadth-first with one job per *level* (never per node):
+frontier ⋈ edges, minus the nodes already visited.  The edges are written once as
+a table bucketed by the end the walk starts from (:func:`store_edges`), so no level
+exchanges them; a hub's edges are spread over several buckets.  Each new frontier
+is written to the shared checkpoint folder, and its size is observed on that write.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.scalar import seconds_to_ms
-from strata.session import cut_lineage
+from strata.session import scratch_path
+from strata.sinks.writers import save_table
 
 DEFAULT_MAX_DEPTH = 10
 
+# Column names of the reference's lineage table.
 EDGE_SCHEMA = T.StructType([
     T.StructField("source_table", T.StringType()), T.StructField("target_table", T.StringType()),
     T.StructField("transformation_type", T.StringType()), T.StructField("pipeline_name", T.StringType()),
@@ -44,78 +48,150 @@ def register_transformation(spark: SparkSession, root: str, source: str, target:
 
 # ---------------------------------------------------------------- walk
 
-# A frontier of at most this many node names (tens of bytes each) is
-# broadcast; the count is known exactly because each frontier is checkpointed.
-BROADCAST_FRONTIER_ROWS = 1_000_000
+# Edges of one node above which it is a hub, whose edges are spread over several buckets.
+HUB_EDGES = 1_000_000
+# The directions of the reference's lineage queries.
+UPSTREAM, DOWNSTREAM = "upstream", "downstream"
+_ENDS = {UPSTREAM: ("target_table", "source_table"), DOWNSTREAM: ("source_table", "target_table")}
+_EDGE_COLUMNS = ("source_table", "target_table", "transformation_type", "pipeline_name", "created_at")
+
+
+@dataclass
+class EdgeStore:
+    """Edges written once for any number of walks.  ``edges[direction]`` is bucketed by
+    ``_near``, the end a walk in that direction arrives at, and where there are hubs by
+    ``_part`` too, the part of a hub's edges; ``hubs[direction]`` lists the hubs as
+    (node, parts), None without any."""
+    spark: SparkSession
+    buckets: int
+    edges: dict[str, DataFrame]
+    hubs: dict[str, DataFrame | None]
+
+    def meet(self, nodes: DataFrame, direction: str) -> DataFrame:
+        """The edges at ``nodes(node, ...)``.  Only the nodes move: the edge side is read
+        in its buckets.  A hub goes to every part of its edges."""
+        e, hubs = self.edges[direction], self.hubs[direction]
+        if hubs is None:
+            return e.join(nodes, e["_near"] == nodes["node"])
+        last = F.coalesce(F.col("parts"), F.lit(1)) - 1
+        f = (nodes.join(hubs, "node", "left")
+             .withColumn("_to", F.explode(F.sequence(F.lit(0), last))).drop("parts"))
+        return e.join(f, (e["_near"] == f["node"]) & (e["_part"] == f["_to"])).drop("_to")
+
+
+def _bucketed(df: DataFrame, buckets: int, columns: Sequence[str]) -> DataFrame:
+    """Write ``df`` bucketed by ``columns`` and read it back.  The name in the session
+    catalog is only needed for that and dropped again; the files stay."""
+    spark = df.sparkSession
+    name = f"strata_edges_{uuid.uuid4().hex}"
+    save_table(df.repartition(buckets, *columns), name, bucket_by=(buckets, columns),
+               path=scratch_path(spark, "edges"))
+    out = spark.table(name)
+    out.schema  # resolves the files and buckets before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
-def walk(edges: DataFrame, start: str | Sequence[str], direction: str = "upstream", *,
-         max_depth: int = DEFAULT_MAX_DEPTH, limit: int | None = None) -> DataFrame:
+def store_edges(edges: DataFrame, directions: Sequence[str] = (UPSTREAM, DOWNSTREAM),
+                hub_edges: int = HUB_EDGES) -> EdgeStore:
+    """Write the edges once per direction, bucketed; a node with more than
+    ``hub_edges`` edges at that end gets one part per ``hub_edges`` of them."""
+    spark = edges.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = edges.select(*_EDGE_COLUMNS)
+    ends = F.explode(F.array(*[F.struct(F.lit(d).alias("direction"), F.col(_ENDS[d][0]).alias("node"))
+                               for d in directions])).alias("n")
+    seen = Observation("hubs")
+    folder = scratch_path(spark, "hubs")
+    (e.select(ends).select("n.*").where("node IS NOT NULL").groupBy("direction", "node")
+     .agg(F.ceil(F.count(F.lit(1)) / F.lit(hub_edges)).cast("int").alias("parts")).where("parts > 1")
+     .observe(seen, *[F.count_if(F.col("direction") == d).alias(d) for d in directions])
+     .write.parquet(folder))
+    hubs = spark.read.schema("direction string, node string, parts int").parquet(folder)
+    store = EdgeStore(spark, buckets, {}, {})
+    for d in directions:
+        near = _ENDS[d][0]
+        own = hubs.where(F.col("direction") == d).select("node", "parts") if seen.get[d] else None
+        rows, by = e.withColumn("_near", F.col(near)), ["_near"]
+        if own is not None:
+            by.append("_part")
+            # spread by the whole edge, so that parallel edges of two hubs part too
+            rows = (e.join(own, e[near] == own["node"], "left").withColumn("_near", F.col(near))
+                    .withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*_EDGE_COLUMNS), F.col("parts")), F.lit(0)).cast("int"))
+                    .drop("node", "parts"))
+        store.edges[d], store.hubs[d] = _bucketed(rows, buckets, by), own
+    return store
+
+
+def reach(store: EdgeStore, start: str | Sequence[str] | DataFrame, max_depth: int | None = None,
+          directions: Sequence[str] | None = None) -> DataFrame:
+    """``(node, direction, depth)`` of every node reachable from ``start`` with its
+    smallest depth, both directions in one loop.  Without ``max_depth`` the walk ends
+    when a level brings no new node."""
+    spark = store.spark
+    directions = list(directions or store.edges)
+    root = scratch_path(spark, "walk")
+    found = "node string, direction string, depth int"
+    if isinstance(start, DataFrame):
+        nodes = start.select(F.col(start.columns[0]).cast("string").alias("node")).distinct()
+    else:
+        names = [start] if isinstance(start, str) else sorted(set(start))
+        nodes = spark.createDataFrame([(x,) for x in names], "node string").coalesce(1)
+    both = F.explode(F.array(*[F.lit(d) for d in directions])).alias("direction")
+    nodes.select("node", both).write.parquet(f"{root}/depth=0")
+    depth, live = 0, {d: 1 for d in directions}
+    while any(live.values()) and (max_depth is None or depth < max_depth):
+        seen = spark.read.schema(found).parquet(root)
+        frontier = spark.read.schema("node string, direction string").parquet(f"{root}/depth={depth}")
+        steps = [store.meet(frontier.where(F.col("direction") == d), d)
+                 .select(F.col(_ENDS[d][1]).alias("node"), F.lit(d).alias("direction"))
+                 for d in directions if live[d]]
+        new = reduce(DataFrame.unionByName, steps).where("node IS NOT NULL").distinct()
+        new = new.join(seen.select("node", "direction"), ["node", "direction"], "left_anti")
+        size = Observation("frontier")
+        depth += 1
+        (new.observe(size, *[F.count_if(F.col("direction") == d).alias(d) for d in directions])
+         .write.parquet(f"{root}/depth={depth}"))
+        live = size.get
+    return spark.read.schema(found).parquet(root)
+
+
+def walk(edges: DataFrame | EdgeStore, start: str | Sequence[str] | DataFrame, direction: str = UPSTREAM, *,
+         max_depth: int | None = DEFAULT_MAX_DEPTH, limit: int | None = None) -> DataFrame:
     """Every edge reachable from ``start``, with the BFS depth of the node
     it was reached from (direct edges have depth 0).  ``start`` may be several
-    tables: one walk from the set, depth counted from the nearest of them.
+    tables (names, or the first column of a DataFrame): one walk from the set, depth
+    counted from the nearest of them.
 
     * a node is expanded once, at its smallest depth (cycles terminate);
     * all parallel edges of an expanded node are emitted;
-    * edges of nodes at depth ``0..max_depth`` are emitted;
+    * edges of nodes at depth ``0..max_depth`` are emitted (None: of all nodes);
     * ``limit`` (L4) optionally cuts the result, ordered by depth then newest.
 
-    The edge projection is checkpointed once.  Per level: the level's edges
-    (edges ⋈ frontier) and the next frontier (their far ends minus visited)
-    are checkpointed, and the frontier is counted.  A frontier under
-    ``BROADCAST_FRONTIER_ROWS`` is broadcast (size proven by the count);
-    a larger one is hash-partitioned and joined with the edges, which are
-    then partitioned once on the join key and reused by every later level.
+    Give an :class:`EdgeStore` to walk several times over edges written once.
     """
-    up = direction == "upstream"
-    near, far = ("target_table", "source_table") if up else ("source_table", "target_table")
-    spark = edges.sparkSession
-    e = edges.select("source_table", "target_table", "transformation_type", "pipeline_name",
-                     "created_at")
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The edge list is read once per level: materialise its projection once.
-    e = cut_lineage(e)
-    e_by_near = None
-    starts = [start] if isinstance(start, str) else sorted(set(start))
-    frontier, f_rows = spark.createDataFrame([(x,) for x in starts], "node string"), len(starts)
-    visited = [frontier]
-    levels = []
-    for depth in range(max_depth + 1):
-        if f_rows <= BROADCAST_FRONTIER_ROWS:
-            hits = e.join(F.broadcast(frontier), e[near] == frontier["node"], "left_semi")
-        else:
-            if e_by_near is None:
-                e_by_near = cut_lineage(e.repartition(n_parts, near))
-            fr = frontier.repartition(n_parts, "node")
-            hits = e_by_near.join(fr, e_by_near[near] == fr["node"], "left_semi")
-        hits = cut_lineage(hits.withColumn("depth", F.lit(depth)))
-        levels.append(hits)
-        if depth == max_depth:
-            break
-        seen = reduce(DataFrame.unionByName, visited)
-        nxt = cut_lineage(hits.select(F.col(far).alias("node")).distinct().join(seen, "node", "left_anti"))
-        f_rows = nxt.count()
-        if f_rows == 0:
-            break
-        visited.append(nxt)
-        frontier = nxt
-    out = reduce(DataFrame.unionByName, levels)
+    store = edges if isinstance(edges, EdgeStore) else store_edges(edges, [direction])
+    nodes = reach(store, start, max_depth, [direction])
+    out = store.meet(nodes, direction).select(*_EDGE_COLUMNS, "depth")
     if limit is not None:
-        out = out.orderBy(F.col("depth"), F.col("created_at").desc(), F.col(far)).limit(limit)
+        out = out.orderBy(F.col("depth"), F.col("created_at").desc(), F.col(_ENDS[direction][1])).limit(limit)
     return out
 
 
-def lineage_graph(edges: DataFrame, table: str, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
-    """Both directions, tagged with ``direction``."""
-    up = walk(edges, table, "upstream", max_depth=max_depth).withColumn("direction", F.lit("upstream"))
-    down = walk(edges, table, "downstream", max_depth=max_depth).withColumn("direction", F.lit("downstream"))
-    return up.unionByName(down)
+def lineage_graph(edges: DataFrame | EdgeStore, table: str, max_depth: int | None = DEFAULT_MAX_DEPTH) -> DataFrame:
+    """Both directions, tagged with ``direction``; one loop serves both."""
+    store = edges if isinstance(edges, EdgeStore) else store_edges(edges)
+    nodes = reach(store, table, max_depth)
+    return reduce(DataFrame.unionByName, [
+        store.meet(nodes.where(F.col("direction") == d), d).select(*_EDGE_COLUMNS, "depth", "direction")
+        for d in (UPSTREAM, DOWNSTREAM)])
 
 
-def impact(edges: DataFrame, table: str | Sequence[str], max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+def impact(edges: DataFrame | EdgeStore, table: str | Sequence[str] | DataFrame,
+           max_depth: int | None = None) -> DataFrame:
     """Every table affected by ``table`` (or a set of tables) with its
-    nearest distance."""
-    down = walk(edges, table, "downstream", max_depth=max_depth)
+    nearest distance, however far away."""
+    down = walk(edges, table, DOWNSTREAM, max_depth=max_depth)
     return (down.groupBy(F.col("target_table").alias("affected_table"))
             .agg((F.min("depth") + 1).alias("distance")))
 
@@ -194,6 +270,7 @@ def flow_access_rows(flows: DataFrame, user: str = "system") -> DataFrame:
 
 # ---------------------------------------------------------------- write side
 
+# Column names of the reference's run and flow tables.
 RUN_EVENT_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()), T.StructField("pipeline_name", T.StringType()),
     T.StructField("run_type", T.StringType()), T.StructField("status", T.StringType()),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import as_of_ts, epoch_seconds
-from strata.operators.sequence import next_in_sequence, previous_in_sequence
+from strata.operators.sequence import ROWS_PER_RANGE, next_in_sequence, previous_in_sequence, ranges_of
 
 # Thresholds of the reference's alert rules.
 HIGH_ERROR_RATE_PER_S = 0.1
@@ -108,21 +108,23 @@ def percentile_by(df: DataFrame, labels: Sequence[str], col: str, q: float = 0.9
 
 def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold: float,
                 min_seconds: int, tiebreak: Sequence[str] = (), as_of=None,
-                bucket_unit: str | None = "auto") -> DataFrame:
+                bucket_unit: str | None = "auto", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Periods in which a gauge stayed below ``threshold`` for at least
     ``min_seconds``.
 
     A gauge holds its last sample until the next one.  A bad period starts at
     a sample below the threshold whose previous sample was not, and ends at
     the next sample that changes state (or ``as_of`` while still open).
-    Previous / next samples come from the skew-safe sequence helpers.
+    Previous / next samples come from the skew-safe sequence helpers; the cuts of
+    heavy labels are found once, on the samples, and serve both.
     """
     tiebreak = list(tiebreak)
     s = samples.select(label, ts, *tiebreak, (F.col(value) < threshold).alias("_bad"))
+    ranges = None if bucket_unit is None else ranges_of(s, [label], ts, tiebreak, rows_per_range)
     s = previous_in_sequence(s, [label], ts, tiebreak, value="_bad", out_col="_prev_bad",
-                             bucket=bucket_unit)
+                             bucket=bucket_unit, ranges=ranges)
     trans = s.filter(F.col("_prev_bad").isNull() | (F.col("_prev_bad") != F.col("_bad")))
-    trans = next_in_sequence(trans, [label], ts, tiebreak, out_col="_next_ts", bucket=bucket_unit)
+    trans = next_in_sequence(trans, [label], ts, tiebreak, out_col="_next_ts", bucket=bucket_unit, ranges=ranges)
     end = F.coalesce(F.col("_next_ts"), as_of_ts(as_of))
     dur = epoch_seconds(end) - epoch_seconds(F.col(ts))
     return (trans.filter(F.col("_bad"))

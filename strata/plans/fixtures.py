@@ -321,6 +321,26 @@ EDGES_SQL = f"""edges AS (
   FROM part WHERE p_partkey > 0 AND p_partkey % 5 = 0)"""
 
 
+CHAIN_HUB, CHAIN_LENGTH = "lakehouse.bronze.hub", 20
+
+
+def lineage_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 chains: the hub -> t<n> for every 20th n, t<n-1> -> t<n> for all others, so
+    the tables stand in chains of 20 and the hub has a twentieth of all edges."""
+    p = table(spark, sf_dir, "part")
+    n = F.col("p_partkey")
+    source = F.when(n % CHAIN_LENGTH == 0, F.lit(CHAIN_HUB)).otherwise(_fqn_of(n - 1))
+    return p.select(source.alias("source_table"), _fqn_of(n).alias("target_table"),
+                    F.lit("derive").alias("transformation_type"), F.lit("chains").alias("pipeline_name"),
+                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"))
+
+
+CHAINS_SQL = f"""chains AS (
+  SELECT CASE WHEN p_partkey % {CHAIN_LENGTH} = 0 THEN '{CHAIN_HUB}' ELSE {_fqn_sql('(p_partkey - 1)')} END
+           AS source_table, {_fqn_sql('p_partkey')} AS target_table
+  FROM part)"""
+
+
 # ---------------------------------------------------------------- F6 logs
 
 def _event_table(eid) -> F.Column:

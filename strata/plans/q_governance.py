@@ -171,7 +171,7 @@ def lineage_graph(spark, sf_dir):
 reach(node, depth) AS (
   SELECT '{_DOWN_START}' AS node, 0 AS depth
   UNION
-  SELECT e.target_table, r.depth + 1 FROM reach r JOIN edges e ON e.source_table = r.node WHERE r.depth < 10),
+  SELECT e.target_table, r.depth + 1 FROM reach r JOIN edges e ON e.source_table = r.node),
 nodes AS (SELECT node, min(depth) AS depth FROM reach GROUP BY node)
 SELECT e.target_table AS affected_table, min(n.depth) + 1 AS distance
 FROM nodes n JOIN edges e ON e.source_table = n.node GROUP BY 1""")
@@ -180,6 +180,18 @@ def impact(spark, sf_dir):
     return lineage.impact(fx.lineage_edges(spark, sf_dir), _DOWN_START)
 
 
+@register("impact_chains", "WITH RECURSIVE " + fx.CHAINS_SQL + f""",
+reach(node, depth) AS (
+  SELECT '{fx.CHAIN_HUB}' AS node, 0 AS depth
+  UNION
+  SELECT e.target_table, r.depth + 1 FROM reach r JOIN chains e ON e.source_table = r.node)
+SELECT node AS affected_table, CAST(min(depth) AS INTEGER) AS distance FROM reach WHERE depth > 0 GROUP BY 1""")
+def impact_chains(spark, sf_dir):
+    """G22 + J5: a hub that feeds the heads of chains of 20 tables each: all of them
+    are affected, the last ones 20 steps away."""
+    return lineage.impact(fx.lineage_chains(spark, sf_dir), fx.CHAIN_HUB)
+
+
 # ---------------------------------------------------------------- runs and flows
 
 @register("runs_current", W(fx.RUNS_SQL) + f"""
