@@ -58,6 +58,17 @@ def fqn(layer, table, catalog: str = "lakehouse") -> Column:
     return F.concat_ws(".", F.lit(catalog), _c(layer), _c(table))
 
 
+def json_text(fields: dict[str, Column]) -> Column:
+    """named columns as one JSON object (null fields are left out)."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))
+
+
+def json_fields(c, schema: str) -> Column:
+    """a JSON object column as a struct of ``schema``; text that is not JSON gives
+    nulls."""
+    return F.from_json(_c(c), schema)
+
+
 def ts_text(c, fmt: str = ISO_SECONDS) -> Column:
     """Timestamp as text (used only for export and engine-neutral compares)."""
     return F.date_format(_c(c), fmt)

@@ -181,6 +181,23 @@ def table_card(current: DataFrame, columns_text: Column, upstream_counts: DataFr
     return out
 
 
+def card_edges(edges: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` newest direct edges of each table in both directions, as ordered
+    text lists ``table (transformation)`` (the top-k is cut before the shuffle)."""
+    ends = F.inline(F.array(
+        F.struct(F.col("target_table").alias("table_name"), F.lit("upstream").alias("side"), F.col("source_table").alias("other")),
+        F.struct(F.col("source_table").alias("table_name"), F.lit("downstream").alias("side"), F.col("target_table").alias("other"))))
+    w = Window.partitionBy("table_name", "side").orderBy(F.col("created_at").desc(), "other", "transformation_type")
+    top = (edges.select("transformation_type", "created_at", ends).withColumn("rank", F.row_number().over(w))
+           .filter(F.col("rank") <= n))
+    text = F.concat(F.col("other"), F.lit(" ("), F.col("transformation_type"), F.lit(")")).alias("v")
+
+    def side(name):
+        return F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == name, F.struct("rank", text)))),
+                                        lambda x: x["v"]), ",").alias(f"{name}_tables")
+    return top.groupBy("table_name").agg(side("upstream"), side("downstream"))
+
+
 ACCESS_SCHEMA = T.StructType([
     T.StructField("access_id", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("user", T.StringType()),
     T.StructField("table_name", T.StringType()), T.StructField("access_type", T.StringType()),

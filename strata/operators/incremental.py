@@ -128,20 +128,51 @@ def incremental_model(source: DataFrame, target: DataFrame | None, key: str, ts_
     return merge_upsert(target, fresh, key)
 
 
+def cdc_merge(state: DataFrame | None, changes: DataFrame, key: str | Sequence[str], *,
+              op_col: str = "op", order_col: str = "seq") -> DataFrame:
+    """The change state after a batch of changes: per key the change with the
+    greatest ``order_col``, deletes included as tombstones.
+
+    The state keeps what each row's order was, so a change that arrives late loses to
+    a newer row and does not bring a deleted key back; a batch applied twice changes
+    nothing.  At equal order the incoming change wins.  A state without ``op_col`` or
+    ``order_col`` (a plain table) holds rows older than any change.  Partial
+    aggregation: a hot key costs one row per map task.  Nulls in ``order_col`` stand
+    before all numbers.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = changes.withColumn("_cdc_new", F.lit(1))
+    if state is not None:
+        for c in (op_col, order_col):
+            if c not in state.columns:
+                state = state.withColumn(c, F.lit(None).cast(changes.schema[c].dataType))
+        rows = rows.unionByName(state.withColumn("_cdc_new", F.lit(0)), allowMissingColumns=True)
+    return keep_latest(rows, keys, [order_col, "_cdc_new"]).drop("_cdc_new").select(
+        *[c for c in rows.columns if c != "_cdc_new"])
+
+
+def cdc_rows(state: DataFrame, op_col: str = "op", delete_op: str = "D") -> DataFrame:
+    """The live rows of a change state (no tombstones, no operation column)."""
+    return state.filter(~F.col(op_col).eqNullSafe(F.lit(delete_op))).drop(op_col)
+
+
+def cdc_compact(state: DataFrame, older_than, *, op_col: str = "op", order_col: str = "seq",
+                delete_op: str = "D") -> DataFrame:
+    """Drop tombstones whose order is below ``older_than``: the oldest change that can
+    still arrive.  Live rows stay."""
+    gone = F.col(op_col).eqNullSafe(F.lit(delete_op)) & (F.col(order_col) < F.lit(older_than))
+    return state.filter(~F.coalesce(gone, F.lit(False)))
+
+
 def cdc_apply(target: DataFrame | None, changes: DataFrame, key: str | Sequence[str], *,
               op_col: str = "op", order_col: str = "seq", delete_op: str = "D") -> DataFrame:
-    """Apply a change feed (insert / update / delete).
+    """Apply a change feed (insert / update / delete) to a table and return its rows.
 
-    The latest change per key wins (partial aggregation, so a hot key costs
-    one row per map task); keys whose latest change is a delete disappear.
+    The latest change per key wins, also against the target's own ``order_col`` where
+    it has one; keys whose latest change is a delete disappear.  To apply batch after
+    batch, keep :func:`cdc_merge`'s state, whose tombstones hold late changes off.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    latest = keep_latest(changes, keys, [order_col])
-    upserts = latest.filter(F.col(op_col) != delete_op).drop(op_col)
-    if target is None:
-        return upserts
-    untouched = target.join(latest.select(*keys), keys, "left_anti")
-    return upserts.unionByName(untouched, allowMissingColumns=True)
+    return cdc_rows(cdc_merge(target, changes, key, op_col=op_col, order_col=order_col), op_col, delete_op)
 
 
 # ---------------------------------------------------------------- history
@@ -200,12 +231,15 @@ def erase_in_layers(spark, layers: dict[str, tuple[str, str]], subjects: DataFra
                     gov_root: str, user: str = "system", as_of=None) -> dict[str, int]:
     """I6 over every layer: ``layers`` maps a table name to its versioned folder
     and subject column.  Each is rewritten as a new version without the subjects,
-    and one audit row per layer records the rows left.  Returns those counts."""
+    and its audit row, with the rows left, is written before the next layer is touched,
+    so a failure in between leaves no erasure unrecorded.  A layer without a committed
+    version has nothing to erase and 0 rows left.  Returns those counts."""
     left = {}
     for name, (path, key) in layers.items():
-        _, left[name] = write_version(erase_subjects(read_current(spark, path), subjects, key, subject_key), path)
-    log_actions(spark, gov_root, [action_row(user, "erase_subjects", "table", n, details={"rows_left": c}, as_of=as_of)
-                                  for n, c in left.items()])
+        rows = read_current(spark, path)
+        left[name] = 0 if rows is None else write_version(erase_subjects(rows, subjects, key, subject_key), path)[1]
+        log_actions(spark, gov_root, [action_row(user, "erase_subjects", "table", name,
+                                                 details={"rows_left": left[name]}, as_of=as_of)])
     return left
 
 

@@ -106,6 +106,75 @@ def percentile_by(df: DataFrame, labels: Sequence[str], col: str, q: float = 0.9
     return df.groupBy(*labels).agg(agg.alias(f"p{int(q * 100)}"), F.count(F.lit(1)).alias("samples"))
 
 
+# ---------------------------------------------------------------- sliding windows
+
+def _grid_index(seconds: int) -> Column:
+    return bucket_index("bucket", seconds)
+
+
+def sliding_rate(samples: DataFrame, labels: Sequence[str], ts: str, value: str, tiebreak: Sequence[str] = (), *,
+                 window_s: int = 300, step_s: int = 60, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """The per-second rate of a counter over the last ``window_s`` seconds, on a
+    fixed grid of ``step_s`` seconds: ``(labels, bucket, amount, rate)``, where the
+    window ends with ``bucket``'s step.
+
+    Increases are per sample and survive resets (:func:`counter_increase`); they are
+    summed per step (partial aggregation), steps without samples count 0, and the
+    window runs over the steps, never over samples.
+    """
+    labels = list(labels)
+    inc = counter_increase(samples, labels, ts, value, tiebreak, rows_per_range=rows_per_range)
+    steps = (inc.groupBy(*labels, bucket(ts, step_s).alias("bucket"))
+             .agg(F.coalesce(F.sum("increase"), F.lit(0)).alias("step_amount")))
+    grid = fill_buckets(steps, labels, step_s, fill={"step_amount": 0}).withColumn("_idx", _grid_index(step_s))
+    w = Window.partitionBy(*labels).orderBy("_idx").rangeBetween(1 - window_s // step_s, 0)
+    return (grid.withColumn("amount", F.sum("step_amount").over(w))
+            .withColumn("rate", F.col("amount") / F.lit(float(window_s))).drop("_idx", "step_amount"))
+
+
+def held(summary: DataFrame, labels: Sequence[str], cond: Column, step_s: int, hold_s: int,
+         extra: Sequence[Column] = ()) -> DataFrame:
+    """A rule's ``for:`` on a grid: periods whose evaluations all meet ``cond`` and that
+    last ``hold_s`` seconds from the first to the last of them."""
+    return sustained(summary, labels, cond, step_s, hold_s // step_s + 1, extra)
+
+
+def sketch_per_step(df: DataFrame, labels: Sequence[str], ts: str, col: str, *, step_s: int = 60,
+                    k: int = 400) -> DataFrame:
+    """One mergeable quantile sketch (KLL, a few kilobytes whatever the rows) per
+    label and step; rank errors are about 1.7 / k."""
+    return (df.groupBy(*labels, bucket(ts, step_s).alias("bucket"))
+            .agg(F.kll_sketch_agg_bigint(F.col(col).cast("long"), k).alias("sketch"), F.count(col).alias("samples"))
+            .filter("samples > 0"))
+
+
+def rolled_quantile(sketches: DataFrame, labels: Sequence[str], q: float, *, window_s: int = 300,
+                    step_s: int = 60) -> DataFrame:
+    """The quantile over the last ``window_s`` seconds at every step that has a
+    sample in that window, from step sketches alone: each goes to the windows it is in
+    (``window_s / step_s`` of them) and they are merged there.  No value is read again."""
+    labels = list(labels)
+    n = window_s // step_s
+    ends = F.explode(F.sequence(F.col("bucket"), F.col("bucket") + F.expr(f"INTERVAL {step_s * (n - 1)} SECONDS"),
+                                F.expr(f"INTERVAL {step_s} SECONDS"))).alias("bucket")
+    return (sketches.select(*labels, ends, "sketch", "samples").groupBy(*labels, "bucket")
+            .agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("samples").alias("samples"))
+            .select(*labels, "bucket", "samples",
+                    F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"p{round(q * 100)}")))
+
+
+def stale_periods(df: DataFrame, label: str, ts: str, tiebreak: Sequence[str] = (), *, as_of=None,
+                  max_age_s: int = STALE_AFTER_SECONDS, hold_s: int = 300) -> DataFrame:
+    """R5 over time: when a dataset was stale for ``hold_s`` seconds: ``start`` is the
+    moment its last update got older than ``max_age_s``, ``end`` the next update (null
+    while it is still missing at ``as_of``)."""
+    nxt = next_in_sequence(df.select(label, ts, *tiebreak), [label], ts, tiebreak, out_col="_next")
+    stale_for = epoch_seconds(F.coalesce("_next", as_of_ts(as_of))) - epoch_seconds(F.col(ts)) - max_age_s
+    return (nxt.withColumn("stale_s", stale_for).filter(F.col("stale_s") >= hold_s)
+            .select(label, (F.col(ts) + F.expr(f"INTERVAL {max_age_s} SECONDS")).alias("start"),
+                    F.col("_next").alias("end"), "stale_s"))
+
+
 def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold: float,
                 min_seconds: int, tiebreak: Sequence[str] = (), as_of=None,
                 bucket_unit: str | None = "auto", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -133,13 +202,15 @@ def gauge_below(samples: DataFrame, label: str, ts: str, value: str, threshold:
             .filter(F.col("duration_s") >= min_seconds))
 
 
-def counter_increase(samples: DataFrame, label: str, ts: str, value: str,
-                     tiebreak: Sequence[str] = (), bucket_unit: str | None = "auto") -> DataFrame:
+def counter_increase(samples: DataFrame, label: str | Sequence[str], ts: str, value: str,
+                     tiebreak: Sequence[str] = (), bucket_unit: str | None = "auto",
+                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Per-sample increase of a counter that may reset: a drop means the
     counter restarted from zero, so the increase is the new value itself.
     The first sample of a series has no increase (null)."""
-    s = previous_in_sequence(samples, [label], ts, tiebreak, value=value, out_col="_prev",
-                             bucket=bucket_unit)
+    labels = [label] if isinstance(label, str) else list(label)
+    s = previous_in_sequence(samples, labels, ts, tiebreak, value=value, out_col="_prev",
+                             bucket=bucket_unit, hot_rows=rows_per_range)
     inc = (F.when(F.col("_prev").isNull(), F.lit(None))
            .when(F.col(value) < F.col("_prev"), F.col(value))
            .otherwise(F.col(value) - F.col("_prev")))

@@ -7,6 +7,7 @@ pull a single summary row to the driver to decide whether to raise.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import not_blank, safe_ratio
+from strata.sinks.writers import Fingerprint
 
 # The email pattern and thresholds the reference documents.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -58,6 +60,14 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                        F.round(safe_ratio("null_count", "row_count"), 6).alias("null_rate"))
 
 
+def table_report(df: DataFrame, path: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """Q3: :func:`null_profile` with the size of the table's files in MB, from their
+    listing (file contents are read once, for the nulls)."""
+    from strata.sources.files import list_files
+    size = list_files(df.sparkSession, path).agg(F.round(F.sum("length") / F.lit(1048576.0), 2).alias("size_mb"))
+    return null_profile(df, cols).withColumn("size_mb", size.scalar())
+
+
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None, rsd: float = 0.02) -> DataFrame:
     """Q12: one pass: nulls, min, max (as text) and approximate distinct count
     (HyperLogLog++, bounded memory per column however large the table)."""
@@ -118,47 +128,52 @@ class Check:
     passed: Column
     failed: Column
     on_failure: str = "failed"
+    details: dict | None = None
 
 
-def run_checks(df: DataFrame, table_name: str, checks: Sequence[Check]) -> DataFrame:
+def run_checks(df: DataFrame, table_name: str, checks: Sequence[Check], *, details: bool = False) -> DataFrame:
     """One result row per check, all checks of a table in ONE scan
-    (error rate 0 when nothing was checked)."""
+    (error rate 0 when nothing was checked).  With ``details`` each row says as JSON
+    what its check looked at."""
     aggs = [c.alias(f"_{k}{i}") for i, x in enumerate(checks) for k, c in (("p", x.passed), ("f", x.failed))]
     cells = [v for i, x in enumerate(checks)
-             for v in (F.lit(x.name), F.lit(x.type), F.lit(x.on_failure), F.col(f"_p{i}"), F.col(f"_f{i}"))]
+             for v in (F.lit(x.name), F.lit(x.type), F.lit(x.on_failure), F.col(f"_p{i}"), F.col(f"_f{i}"),
+                       F.lit(json.dumps(x.details) if x.details else None).cast("string"))]
     rows = df.agg(*aggs).select(F.stack(F.lit(len(checks)), *cells).alias(
-        "check_name", "check_type", "on_failure", "p", "f"))
+        "check_name", "check_type", "on_failure", "p", "f", "details"))
     status = F.when(F.col("f") == 0, "passed").otherwise(F.col("on_failure"))
     return rows.select(F.lit(table_name).alias("table_name"), "check_name", "check_type", status.alias("status"),
                        F.col("p").cast("long").alias("passed_count"), F.col("f").cast("long").alias("failed_count"),
-                       F.round(safe_ratio("f", F.col("p") + F.col("f")), 6).alias("error_rate"))
+                       F.round(safe_ratio("f", F.col("p") + F.col("f")), 6).alias("error_rate"),
+                       *(["details"] if details else []))
 
 
-def _row_check(name: str, check_type: str, ok: Column, on_failure: str = "failed") -> Check:
+def _row_check(name: str, check_type: str, ok: Column, on_failure: str = "failed", **details) -> Check:
     ok = F.coalesce(ok, F.lit(False))
-    return Check(name, check_type, F.count_if(ok), F.count_if(~ok), on_failure)
+    return Check(name, check_type, F.count_if(ok), F.count_if(~ok), on_failure, details or None)
 
 
 def completeness(key: str) -> Check:
     """Q1: rows with a usable key pass; any blank key makes it a *warning*."""
-    return _row_check(f"{key}_completeness", "completeness", not_blank(key), "warning")
+    return _row_check(f"{key}_completeness", "completeness", not_blank(key), "warning", column=key)
 
 
 def uniqueness(key: str) -> Check:
     """Q2: always *passed*; failed = duplicates removed by keep-first."""
     ok = not_blank(key)
     keys = F.count_distinct(F.when(ok, F.col(key)))
-    return Check("deduplication", "uniqueness", keys, F.count_if(ok) - keys, "passed")
+    return Check("deduplication", "uniqueness", keys, F.count_if(ok) - keys, "passed", {"column": key, "kept": "first"})
 
 
 def pattern(col: str, regex: str = EMAIL_PATTERN, name: str | None = None) -> Check:
     """Q6: values matching the pattern pass; null or non-matching fail."""
-    return _row_check(name or f"{col}_format", "validity", F.col(col).rlike(regex))
+    return _row_check(name or f"{col}_format", "validity", F.col(col).rlike(regex), column=col, pattern=regex)
 
 
 def accepted_values(col: str, accepted: Sequence[str]) -> Check:
     """Q7: values in the accepted set pass; null and others fail."""
-    return _row_check(f"{col}_accepted_values", "accepted_values", F.col(col).isin(list(accepted)))
+    return _row_check(f"{col}_accepted_values", "accepted_values", F.col(col).isin(list(accepted)), column=col,
+                      accepted=list(accepted))
 
 
 def referential_check(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
@@ -170,7 +185,7 @@ def referential_check(child: DataFrame, parent: DataFrame, child_key: str, paren
     pk = parent.select(F.col(parent_key).alias("_pk")).distinct()
     flagged = child.join(pk, child[child_key] == pk["_pk"], "left")
     return run_checks(flagged, table_name, [_row_check(f"{child_key}_references_{parent_key}", "referential",
-                                                       F.col("_pk").isNotNull())])
+                                                       F.col("_pk").isNotNull(), column=child_key, parent=parent_key)])
 
 
 def orphans_of(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -209,6 +224,16 @@ def one_row(parts: list[DataFrame]) -> DataFrame:
     return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
+def reconcile_writes(spark, checks: Sequence[tuple[str, Fingerprint, Fingerprint]]) -> DataFrame:
+    """Q10 / U3 / U4 from the writes: ``(check_name, source, target)`` fingerprints as
+    check rows.  A lost or doubled row changes the count, a changed row the digest.  The
+    layers themselves are not read."""
+    rows = [(name, "reconciliation", "passed" if a == b else "failed", a.rows, b.rows,
+             "equal" if a == b else "rows differ" if a.rows != b.rows else "contents differ") for name, a, b in checks]
+    return spark.createDataFrame(rows, "check_name string, check_type string, status string, source_rows long, "
+                                       "target_rows long, details string").coalesce(1)
+
+
 def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame, members: DataFrame,
               key: str = "id", count_col: str = "count") -> DataFrame:
     """U3 + U4: one row of layer invariants.

@@ -40,6 +40,7 @@ COLUMNS_SCHEMA = T.StructType([
     T.StructField("full_name", T.StringType()), T.StructField("version", T.IntegerType()),
     T.StructField("column_name", T.StringType()), T.StructField("data_type", T.StringType()),
     T.StructField("nullable", T.BooleanType()), T.StructField("position", T.IntegerType()),
+    T.StructField("description", T.StringType()),
 ])
 
 
@@ -104,7 +105,7 @@ def register_table(spark: SparkSession, root: str, layer: str, table_name: str,
     cols = list(columns or (schema_rows(schema) if schema is not None else []))
     if cols:
         rows = [(fq, version, c["column_name"], c.get("data_type", "string"), c.get("nullable", True),
-                 c.get("position", i)) for i, c in enumerate(cols)]
+                 c.get("position", i), c.get("description")) for i, c in enumerate(cols)]
         spark.createDataFrame(rows, COLUMNS_SCHEMA).write.mode("append").parquet(f"{root}/columns")
     return version
 
@@ -133,11 +134,13 @@ def update_table_stats(spark: SparkSession, root: str, layer: str, table_name: s
 # ---------------------------------------------------------------- read side
 
 def current_tables(versions: DataFrame, key: str = "full_name") -> DataFrame:
-    """G5 current view: newest version per table (partial aggregation)."""
-    rest = [c for c in versions.columns if c != key]
+    """G5 current view: newest version per table (partial aggregation), with the time of
+    its first version as ``created_at``."""
+    rest = [c for c in versions.columns if c not in (key, "created_at")]
+    first = F.min("created_at" if "created_at" in versions.columns else "updated_at")
     picked = versions.groupBy(key).agg(
-        F.max_by(F.struct(*rest), F.struct("version", "updated_at")).alias("_r"))
-    return picked.select(key, *[F.col("_r")[c].alias(c) for c in rest])
+        F.max_by(F.struct(*rest), F.struct("version", "updated_at")).alias("_r"), first.alias("created_at"))
+    return picked.select(key, *[F.col("_r")[c].alias(c) for c in rest], "created_at")
 
 
 def current_columns(current: DataFrame, columns: DataFrame) -> DataFrame:
@@ -165,6 +168,11 @@ def list_catalogs(current: DataFrame) -> DataFrame:
             .orderBy("catalog_name"))
 
 
+def _column_fields(columns: DataFrame) -> list[str]:
+    fields = ["position", "column_name", "data_type", "nullable", "description"]
+    return [c for c in fields if c in columns.columns]
+
+
 def table_info(current: DataFrame, columns: DataFrame) -> DataFrame:
     """G3 + J1 + J2: each table with its ordered column list.
 
@@ -172,8 +180,7 @@ def table_info(current: DataFrame, columns: DataFrame) -> DataFrame:
     per table is safe; the table count is not bounded and stays in rows.
     """
     cols = (current_columns(current, columns).groupBy("full_name")
-            .agg(F.sort_array(F.collect_list(F.struct("position", "column_name", "data_type",
-                                                       "nullable"))).alias("columns")))
+            .agg(F.sort_array(F.collect_list(F.struct(*_column_fields(columns)))).alias("columns")))
     return current.join(cols, "full_name", "left")
 
 
@@ -218,14 +225,22 @@ def export_rows(current: DataFrame, columns: DataFrame) -> DataFrame:
     meta = [c for c in ("schema_name", "table_name", "full_name", "catalog_name", "table_type", "location",
                         "format", "description", "owner", "version", "row_count", "size_bytes",
                         "properties") if c in info.columns]
-    return info.select(*meta, F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"),
-                       "columns")
+    times = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("updated_at", "created_at")
+             if c in info.columns]
+    return info.select(*meta, *times, "columns")
 
 
-def export_catalog(current: DataFrame, columns: DataFrame, path: str) -> int | None:
-    """Write the registry export as JSON Lines partitioned by layer."""
+def export_catalog(current: DataFrame, columns: DataFrame, path: str, *, gov_root: str | None = None,
+                   user: str = "system", as_of: _dt.datetime | None = None) -> int | None:
+    """Write the registry export as JSON Lines partitioned by layer; with
+    ``gov_root`` the export is an ``export_catalog`` row of the audit log."""
+    from strata.operators.audit import log_action
     from strata.sinks.writers import write
-    return write(export_rows(current, columns), path, fmt="json", partition_by=["schema_name"])
+    n = write(export_rows(current, columns), path, fmt="json", partition_by=["schema_name"])
+    if gov_root:
+        log_action(current.sparkSession, gov_root, user, "export_catalog", "catalog", CATALOG,
+                   details={"path": path, "tables": n}, as_of=as_of)
+    return n
 
 
 def restore_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -238,14 +253,15 @@ def restore_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
         T.StructField("owner", T.StringType()), T.StructField("version", T.IntegerType()),
         T.StructField("row_count", T.LongType()), T.StructField("size_bytes", T.LongType()),
         T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("updated_at", T.StringType()),
+        T.StructField("updated_at", T.StringType()), T.StructField("created_at", T.StringType()),
         T.StructField("columns", T.ArrayType(T.StructType([
             T.StructField("position", T.IntegerType()), T.StructField("column_name", T.StringType()),
-            T.StructField("data_type", T.StringType()), T.StructField("nullable", T.BooleanType())]))),
+            T.StructField("data_type", T.StringType()), T.StructField("nullable", T.BooleanType()),
+            T.StructField("description", T.StringType())]))),
         T.StructField("schema_name", T.StringType()),
     ])
     raw = spark.read.schema(schema).json(path)
-    tables = raw.drop("columns").withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    tables = raw.drop("columns").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("updated_at", "created_at")})
     cols = raw.select("full_name", "version", F.inline("columns"))
     return tables, cols
 
@@ -255,20 +271,20 @@ def schema_diff(columns: DataFrame, old_version: int | str = "previous",
     """Per table, columns added, removed or retyped between its two
     newest versions (or the given version numbers)."""
     if old_version == "previous" and new_version == "current":
-        # The greatest two version numbers that have columns: there may be gaps.
-        vs = columns.groupBy("full_name").agg(F.max("version").alias("_new"))
-        new = columns.join(vs, "full_name").filter(F.col("version") == F.col("_new"))
-        before = columns.join(vs, "full_name").filter(F.col("version") < F.col("_new")).drop("_new")
-        last = before.groupBy("full_name").agg(F.max("version").alias("_old"))
-        old = before.join(last, "full_name").filter(F.col("version") == F.col("_old"))
+        # the greatest two version numbers that have columns: there may be gaps
+        newest = F.reverse(F.array_sort(F.collect_set("version")))   # as many as a table has versions
+        vs = columns.groupBy("full_name").agg(newest.alias("_v")).filter(F.size("_v") > 1).select(
+            "full_name", F.get("_v", F.lit(0)).alias("_new"), F.get("_v", F.lit(1)).alias("_old"))
+        x = columns.join(vs, "full_name")
     else:
-        new = columns.filter(F.col("version") == new_version)
-        old = columns.filter(F.col("version") == old_version)
-    o = old.select("full_name", "column_name", F.col("data_type").alias("old_type"))
-    n = new.select("full_name", "column_name", F.col("data_type").alias("new_type"))
-    # only tables that have both versions are compared
-    both = o.select("full_name").distinct().join(n.select("full_name").distinct(), "full_name")
-    j = (o.join(n, ["full_name", "column_name"], "full_outer").join(both, "full_name", "left_semi"))
+        x = columns.withColumns({"_new": F.lit(new_version), "_old": F.lit(old_version)})
+    old, new = F.col("version") == F.col("_old"), F.col("version") == F.col("_new")
+    x = x.filter(old | new).groupBy("full_name", "column_name").agg(
+        F.max(F.when(old, F.col("data_type"))).alias("old_type"), F.max(F.when(new, F.col("data_type"))).alias("new_type"))
+    if old_version != "previous" or new_version != "current":  # only tables that have both versions are compared
+        both = x.groupBy("full_name").agg(F.max("old_type").alias("_o"), F.max("new_type").alias("_n")).filter(
+            "_o IS NOT NULL AND _n IS NOT NULL")
+        x = x.join(both.select("full_name"), "full_name", "left_semi")
     change = (F.when(F.col("old_type").isNull(), "added").when(F.col("new_type").isNull(), "removed")
               .when(F.col("old_type") != F.col("new_type"), "retyped"))
-    return j.withColumn("change", change).filter(F.col("change").isNotNull())
+    return x.withColumn("change", change).filter(F.col("change").isNotNull())

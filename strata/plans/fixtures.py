@@ -423,5 +423,44 @@ QUALITY_SQL = f"""qlog AS (
         FROM events))"""
 
 
+# ---------------------------------------------------------------- F7 dense samples
+
+# Events two seconds apart from here on, so that rules over minutes have samples.
+DENSE_START = "2024-01-01 00:00:00"
+
+
+def _dense_ts() -> F.Column:
+    return F.lit(DENSE_START).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id") * 2)
+
+
+def _dense_layer() -> F.Column:
+    return F.element_at(F.array(*[F.lit(x) for x in LAYERS]), (F.col("event_id") % 3 + 1).cast("int"))
+
+
+def error_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """an error counter per layer that restarts every 1,000 events and grows at one
+    of four speeds in between."""
+    eid = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        eid.alias("sample_id"), _dense_layer().alias("component"), _dense_ts().alias("ts"),
+        F.floor((eid % 1000) * (F.floor(eid / 1000) % 4) / 5).cast("long").alias("errors"))
+
+
+def processing_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """processing seconds per layer, slower in every second stretch of 2,000 events."""
+    eid = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        eid.alias("sample_id"), _dense_layer().alias("layer"), _dense_ts().alias("ts"),
+        ((eid * 7919) % 280 + 100 * (F.floor(eid / 2000) % 2)).cast("long").alias("seconds"))
+
+
+DENSE_SQL = f"""dense AS (
+  SELECT event_id AS sample_id, {_LAYER_SQL.format(n='event_id')} AS layer,
+         TIMESTAMP '{DENSE_START}' + to_seconds(event_id * 2) AS ts,
+         CAST((event_id % 1000) * ((event_id // 1000) % 4) // 5 AS BIGINT) AS errors,
+         CAST((event_id * 7919) % 280 + 100 * ((event_id // 2000) % 2) AS BIGINT) AS seconds
+  FROM events)"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

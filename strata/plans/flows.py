@@ -30,6 +30,7 @@ class FlowResult:
     checks: list = field(default_factory=list)
     schemas: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)  # wall-clock time of each layer's stage
+    metrics: dict = field(default_factory=dict)
 
 
 def _size(spark: SparkSession, path: str) -> int:
@@ -113,7 +114,8 @@ def run_governed(spark: SparkSession, source: str, dataset: str, group_by: str,
             lineage.flow_row(run_id, names[a], names[b], rows[a], rows[b], size[a], size[b],
                              duration_seconds=res.seconds[b], as_of=as_of) for a, b in stages], user)
         bronze = spark.read.schema(res.schemas["bronze"]).format(fmt).load(res.paths["bronze"])
-        checks = quality.run_checks(bronze, fq["silver"], [quality.completeness(key), quality.uniqueness(key)])
+        checks = quality.run_checks(bronze, fq["silver"], [quality.completeness(key), quality.uniqueness(key)],
+                                    details=True)
         res.checks = [r.asDict() for r in checks.collect()]  # two rows
         audit.log_quality(spark.createDataFrame(res.checks, checks.schema), gov_root, as_of=as_of)
         lineage.complete_run(spark, gov_root, run_id, name, "success", as_of=as_of)
@@ -162,7 +164,13 @@ def run_spark_layers(spark: SparkSession, source: str, source_name: str, group_b
     if ordered:
         g = g.orderBy(F.col("count").desc(), F.col(group_by))
     counts["gold"] = write(stamp_time(g, AGGREGATED), p["gold"], fmt=fmt)
-    return FlowResult(paths=p, counts=counts)
+    # M6's last step: the run's metrics, from the counts of the writes
+    metrics = {f"{k}_records": float(v) for k, v in counts.items()}
+    metrics["retention"] = round(n_silver / n_bronze, 6) if n_bronze else 0.0
+    write(spark.createDataFrame([(k, v, source_name) for k, v in sorted(metrics.items())],
+                                "metric string, value double, source string").coalesce(1)
+          .withColumn("collected_at", F.localtimestamp()), f"{root}/metrics", mode="append")
+    return FlowResult(paths=p, counts=counts, metrics=metrics)
 
 
 # ---------------------------------------------------------------- M4

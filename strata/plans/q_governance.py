@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.scalar import ts_text
+from strata.functions.scalar import json_fields, json_text, ts_text
 from strata.operators import audit, lineage, quality, registry
 from strata.plans import fixtures as fx
 from strata.plans.queries import AS_OF, register
@@ -407,3 +407,32 @@ def open_runs(spark, sf_dir):
     """Runs without a completion event after the 60-minute limit."""
     o = lineage.open_runs(lineage.current_runs(fx.run_events(spark, sf_dir)), as_of=AS_OF, max_minutes=60)
     return o.select("run_id", "pipeline_name", ts_text("started_at").alias("started_at"), "age_s")
+
+
+@register("table_card_edges", W(fx.EDGES_SQL) + """,
+b AS (SELECT target_table AS table_name, 'u' AS side, source_table AS other, transformation_type AS kind, created_at FROM edges
+      UNION ALL SELECT source_table, 'd', target_table, transformation_type, created_at FROM edges),
+r AS (SELECT *, row_number() OVER (PARTITION BY table_name, side ORDER BY created_at DESC, other, kind) AS rk FROM b)
+SELECT table_name,
+       coalesce(string_agg(other || ' (' || kind || ')', ',' ORDER BY rk) FILTER (WHERE side = 'u'), '') AS upstream_tables,
+       coalesce(string_agg(other || ' (' || kind || ')', ',' ORDER BY rk) FILTER (WHERE side = 'd'), '') AS downstream_tables
+FROM r WHERE rk <= 5 GROUP BY 1""")
+def table_card_edges(spark, sf_dir):
+    """The lineage part of the table card: each table's newest direct edges."""
+    return audit.card_edges(fx.lineage_edges(spark, sf_dir))
+
+
+@register("access_details", W(fx.ACCESS_SQL) + """
+SELECT table_name, count(*) AS rows, CAST(sum(rows_affected) AS BIGINT) AS rows_affected,
+       CAST(max(duration_ms) AS BIGINT) AS longest_ms, count(*) FILTER (WHERE rows_affected % 5 = 0) AS without_duration
+FROM (SELECT table_name, rows_affected, CASE WHEN rows_affected % 5 <> 0 THEN duration_ms END AS duration_ms FROM access)
+GROUP BY 1""")
+def access_details(spark, sf_dir):
+    """details packed as JSON, null fields left out, and read back into columns."""
+    log = fx.access_log(spark, sf_dir)
+    ms = F.when(F.col("rows_affected") % 5 != 0, F.col("duration_ms"))
+    packed = log.select("table_name", json_text({"rows": F.col("rows_affected"), "ms": ms}).alias("details"))
+    d = packed.select("table_name", json_fields("details", "rows long, ms long").alias("d"))
+    return d.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("d.rows").alias("rows_affected"), F.max("d.ms").alias("longest_ms"),
+        F.count_if(F.col("d.ms").isNull()).alias("without_duration"))

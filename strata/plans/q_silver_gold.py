@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.scalar import ts_text
+from strata.functions.scalar import not_blank, ts_text
 from strata.operators import gold, incremental, quality, silver
 from strata.plans import fixtures as fx
 from strata.plans.queries import AS_OF, F1_SILVER_SQL, f1_layers, register
 from strata.session import scratch_path
-from strata.sinks.writers import read_current, write_version
+from strata.sinks.writers import expire_partitions, read_current, write, write_fingerprinted, write_version
 from strata.sources.tables import table
 
 W = fx.with_ctes
@@ -333,6 +333,36 @@ def layer_reconcile(spark, sf_dir):
     return quality.reconcile(L.bronze, L.silver, L.gold, L.members, key="id")
 
 
+@register("write_reconcile", W(F1_SILVER_SQL) + """,
+n AS (SELECT (SELECT count(*) FROM f1) AS b,
+             (SELECT count(*) FROM f1 WHERE id IS NULL OR NOT regexp_matches(id, '[^[:space:]]')) AS bad)
+SELECT 'split' AS check_name, 'passed' AS status, b AS source_rows, b AS target_rows, 'equal' AS details FROM n
+UNION ALL SELECT 'published', 'passed', b - bad, b - bad, 'equal' FROM n
+UNION ALL SELECT 'lost', 'failed', b - bad, b - bad - 1, 'rows differ' FROM n
+UNION ALL SELECT 'doubled', 'failed', b - bad, b - bad + 1, 'rows differ' FROM n
+UNION ALL SELECT 'changed', 'failed', b - bad, b - bad, 'contents differ' FROM n""")
+def write_reconcile(spark, sf_dir):
+    """U3 + U4 + Q10: layers reconciled by the fingerprints of their writes: a split into
+    clean and quarantined rows, a copy, and copies with one row lost, doubled or changed."""
+    base = scratch_path(spark, "reconcile")
+    bronze = fx.messy_orders(spark, sf_dir)
+    blank = ~not_blank("id")
+
+    def put(df, name):
+        return write_fingerprinted(df, f"{base}/{name}")
+
+    whole, clean, bad = put(bronze, "bronze"), put(bronze.filter(~blank), "clean"), put(bronze.filter(blank), "bad")
+    kept = spark.read.schema(bronze.schema).parquet(f"{base}/clean")
+    first = kept.agg(F.min("ord")).first()[0]
+    one = F.col("ord") == F.lit(first)
+    published = put(kept.repartition(3), "published")
+    lost, doubled = put(kept.filter(~one), "lost"), put(kept.unionByName(kept.filter(one)), "doubled")
+    changed = put(kept.withColumn("price", F.when(one, F.col("price") + 1).otherwise(F.col("price"))), "changed")
+    return quality.reconcile_writes(spark, [
+        ("split", whole, clean + bad), ("published", clean, published), ("lost", clean, lost),
+        ("doubled", clean, doubled), ("changed", clean, changed)]).drop("check_type")
+
+
 # ---------------------------------------------------------------- incremental, history
 
 _EVENTS_WM = "2024-01-20 00:00:00"
@@ -443,6 +473,47 @@ def cdc_apply(spark, sf_dir):
     return incremental.cdc_apply(None, ch, "id", op_col="op", order_col="seq")
 
 
+# A target with an order and tombstones, and two batches: changes of which a third is
+# older than the target's row, then for every second delete an update from before it.
+_CDC_STATE_SQL = W(fx.F1_SQL) + """,
+ok AS (SELECT * FROM f1 WHERE id IS NOT NULL AND regexp_matches(id, '[^[:space:]]')),
+target AS (SELECT ord * 10 AS seq, id, prio, price, CASE WHEN ord % 17 = 0 THEN 'D' ELSE 'I' END AS op
+           FROM ok WHERE ord < 1000000000),
+ch AS (SELECT ord - 1000000000 AS n, id, status, price FROM ok WHERE ord >= 1000000000),
+first AS (SELECT n * 10 + CASE n % 3 WHEN 0 THEN -5 ELSE 5 END AS seq, id, status AS prio, price + 1 AS price,
+                 CASE WHEN n % 2 = 0 THEN 'D' ELSE 'U' END AS op FROM ch),
+late AS (SELECT n * 10 + 1 AS seq, id, 'late' AS prio, price + 2 AS price, 'U' AS op FROM ch WHERE n % 4 = 0),
+moves AS (SELECT * FROM target UNION ALL SELECT * FROM first UNION ALL SELECT * FROM late),
+state AS (SELECT * FROM moves QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+"""
+
+
+def _cdc_state(spark, sf_dir):
+    b = silver.require_keys(fx.messy_orders(spark, sf_dir), "id")
+    o = F.col("ord")
+    target = b.filter(o < 1_000_000_000).select(
+        (o * 10).alias("seq"), "id", "prio", "price", F.when(o % 17 == 0, "D").otherwise("I").alias("op"))
+    ch = b.filter(o >= 1_000_000_000).withColumn("n", o - 1_000_000_000)
+    n = F.col("n")
+    first = ch.select((n * 10 + F.when(n % 3 == 0, -5).otherwise(5)).alias("seq"), "id", F.col("status").alias("prio"),
+                      (F.col("price") + 1).alias("price"), F.when(n % 2 == 0, "D").otherwise("U").alias("op"))
+    late = ch.filter(n % 4 == 0).select((n * 10 + 1).alias("seq"), "id", F.lit("late").alias("prio"),
+                                        (F.col("price") + 2).alias("price"), F.lit("U").alias("op"))
+    return incremental.cdc_merge(incremental.cdc_merge(target, first, "id"), late, "id")
+
+
+@register("cdc_ordered", _CDC_STATE_SQL + "SELECT seq, id, prio, price FROM state WHERE op <> 'D'")
+def cdc_ordered(spark, sf_dir):
+    """Changes applied to a target with newer rows, then updates from before a delete."""
+    return incremental.cdc_rows(_cdc_state(spark, sf_dir)).select("seq", "id", "prio", "price")
+
+
+@register("cdc_state", _CDC_STATE_SQL + "SELECT op, count(*) AS keys, CAST(sum(seq) AS BIGINT) AS seqs FROM state GROUP BY op")
+def cdc_state(spark, sf_dir):
+    """The change state behind it, tombstones included, per operation."""
+    return _cdc_state(spark, sf_dir).groupBy("op").agg(F.count(F.lit(1)).alias("keys"), F.sum("seq").alias("seqs"))
+
+
 @register("snapshot_history", f"""
 SELECT o_custkey, o_orderkey, o_orderstatus, strftime(o_orderdate, {TS}) AS valid_from,
        strftime(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), {TS})
@@ -493,6 +564,21 @@ def retention_keep(spark, sf_dir):
     return kept
 
 
+_CUTOFF = "2024-01-17 09:30:00"
+
+
+@register("retention_partitions", f"""
+SELECT event_id, user_id, event_type, strftime(ts, {TS}) AS ts FROM events WHERE ts >= TIMESTAMP '{_CUTOFF}'""")
+def retention_partitions(spark, sf_dir):
+    """I4: expiry of a date-partitioned log: whole days by their folders, the day of the
+    cutoff rewritten, all later days untouched."""
+    path = scratch_path(spark, "expiring")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    write(ev.withColumn("date", F.to_date("ts")), path, partition_by=["date"], count=False)
+    expire_partitions(spark, path, "date", "ts", _CUTOFF)
+    return spark.read.schema(ev.schema).parquet(path).select("event_id", "user_id", "event_type", ts_text("ts").alias("ts"))
+
+
 @register("retention_archive", f"""
 SELECT *, {_EV_LAYER_SQL} AS layer, CAST(CAST(ts AS DATE) AS VARCHAR) AS archive_date FROM events
 WHERE ts < TIMESTAMP '{AS_OF}' - to_days({_EV_DAYS_SQL})""")

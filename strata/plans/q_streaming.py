@@ -78,7 +78,7 @@ def stream_sessions(spark, sf_dir):
     """T4: per-user sessions (30-minute gap), written once closed."""
     s = st.event_time(_events_stream(spark, sf_dir), "ts")
     out = st.run_available_now(st.sessions(s, "ts", "30 minutes", ["user_id"], DELAY), name="stream-sessions",
-                               state_partitions=_parts(spark, sf_dir))
+                               state_partitions=_parts(spark, sf_dir), conf=st.MERGE_SESSIONS_FIRST)
     r = spark.read.parquet(f"{out}/data")
     return r.select("user_id", ts_text("session_start").alias("session_start"),
                     ts_text("session_end").alias("session_end"), "events")

@@ -47,7 +47,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from strata.plans import q_governance, q_monitoring, q_silver_gold, q_streaming  # noqa: F401
+    from strata.plans import q_alerts, q_governance, q_monitoring, q_silver_gold, q_streaming  # noqa: F401
 
 
 # ---------------------------------------------------------------- shared plans

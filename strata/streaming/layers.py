@@ -68,7 +68,9 @@ def window_counts(stream: DataFrame, ts: str, size: str, labels: Sequence[str],
 
 
 def sessions(stream: DataFrame, ts: str, gap: str, labels: Sequence[str], delay: str) -> DataFrame:
-    """T4: activity sessions (a gap of ``gap`` closes a session)."""
+    """T4: activity sessions (a gap of ``gap`` closes a session).  Run it with
+    ``conf=MERGE_SESSIONS_FIRST``: each task then sends one row per session of its own
+    rows, so a busy user is not one task's input."""
     return (stream.withWatermark(ts, delay)
             .groupBy(F.session_window(ts, gap).alias("s"), *labels)
             .agg(F.count(F.lit(1)).alias("events"))
@@ -76,6 +78,10 @@ def sessions(stream: DataFrame, ts: str, gap: str, labels: Sequence[str], delay:
                     "events"))
 
 
+#: Sessions of a task's rows are merged before the shuffle as well as after it.
+MERGE_SESSIONS_FIRST = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
 # ---------------------------------------------------------------- foreachBatch operators
 
 def merge_into(base: str, key: Sequence[str] | str, order_by: Sequence[str]) -> Callable[[DataFrame, int], None]:
@@ -133,13 +139,13 @@ def state_partitions_for(spark: SparkSession, path: str, glob: str = "*",
 
 def run_available_now(df: DataFrame, *, name: str, sink: str | Callable = "parquet",
                       output_mode: str = "append", path: str | None = None,
-                      state_partitions: int | None = None) -> str:
+                      state_partitions: int | None = None, conf: dict[str, str] | None = None) -> str:
     """Run a stream over everything available now, then stop; returns the
     output folder (under the shared checkpoint folder unless given).
 
     ``state_partitions`` sets the stream's shuffle / state partition count,
-    which a stream fixes at its first start; the session's own setting is
-    restored right after the start.
+    which a stream fixes at its first start; ``conf`` are further settings of the
+    stream alone.  The session's own settings are restored right after the start.
     """
     spark = df.sparkSession
     root = path or scratch_path(spark, name)
@@ -149,13 +155,16 @@ def run_available_now(df: DataFrame, *, name: str, sink: str | Callable = "parqu
         w = w.foreachBatch(sink)
     else:
         w = w.format(sink).option("path", f"{root}/data")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+    wanted = dict(conf or {})
     if state_partitions:
-        spark.conf.set(key, str(state_partitions))
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         q = w.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     return root
