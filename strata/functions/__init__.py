@@ -6,7 +6,8 @@ from strata.functions.scalar import (  # noqa: F401
     digits_only,
     epoch_seconds,
     file_stem,
-    fqn,
+    json_fields,
+    json_text,
     not_blank,
     safe_ratio,
     seconds_to_ms,

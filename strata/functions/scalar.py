@@ -53,11 +53,6 @@ def file_stem(path) -> Column:
     return F.regexp_extract(_c(path), r"([^/]+?)(\.[^./]*)?$", 1)
 
 
-def fqn(layer, table, catalog: str = "lakehouse") -> Column:
-    """Fully qualified name ``<catalog>.<layer>.<table>``."""
-    return F.concat_ws(".", F.lit(catalog), _c(layer), _c(table))
-
-
 def json_text(fields: dict[str, Column]) -> Column:
     """named columns as one JSON object (null fields are left out)."""
     return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))

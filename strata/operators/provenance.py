@@ -32,12 +32,3 @@ def stamp_source_system(df: DataFrame, name: str, col: str = SOURCE_SYSTEM) -> D
 def stamp_time(df: DataFrame, col: str = PROCESSED, *, as_of=None) -> DataFrame:
     """Processed / aggregated / computed time (one value per query)."""
     return df.withColumn(col, as_of_ts(as_of))
-
-
-def provenance_columns(df: DataFrame) -> list[str]:
-    """Columns added by this package (``_`` prefix)."""
-    return [c for c in df.columns if c.startswith("_")]
-
-
-def data_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if not c.startswith("_")]

@@ -40,13 +40,6 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def filter_since(df: DataFrame, ts_col: str, watermark, inclusive: bool = False) -> DataFrame:
-    """P10: rows newer than a watermark (``>``, or ``>=`` when inclusive)."""
-    wm = watermark if isinstance(watermark, Column) else F.lit(watermark).cast("timestamp_ntz")
-    c = F.col(ts_col)
-    return df.filter(c >= wm if inclusive else c > wm)
-
-
 # ---------------------------------------------------------------- dedup
 
 

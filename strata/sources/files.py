@@ -72,12 +72,6 @@ def read_json(spark: SparkSession, path: str, *, schema: T.StructType | str | No
     return r.json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet (column pruning and filter pushdown reach the scan)."""
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A table by catalog name, or a dataset folder in format ``fmt``."""
     if "/" in name_or_path or ":" in name_or_path:

@@ -12,9 +12,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a lazy DataFrame."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temporary view of the same name."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)

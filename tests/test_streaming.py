@@ -98,3 +98,30 @@ def test_merge_over_many_batches_equals_batch(spark, tmp):
     got = sorted(map(tuple, read_current(spark, f"{base}/silver").select(*ev.columns).collect()))
     want = sorted(map(tuple, silver.keep_latest(ev, "user_id", ["ts", "event_id"]).collect()))
     assert got == want
+
+
+def test_sessions_are_merged_before_the_shuffle(spark, tmp):
+    """One busy user: each task sends its own sessions, not its rows, and the rows out are the same."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(1, start + dt.timedelta(seconds=7 * i)) for i in range(600)]
+    rows += [(u, start + dt.timedelta(minutes=50 * u)) for u in range(2, 5)]
+    df = spark.createDataFrame(rows, "user_id int, ts timestamp")
+    df.repartition(4).write.parquet(f"{tmp}/in")
+    found = {}
+    for name, conf in (("plain", {}), ("first", st.MERGE_SESSIONS_FIRST)):
+        before = {k: spark.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            s = st.sessions(st.read_files(spark, f"{tmp}/in", df.schema), "ts", "30 minutes", ["user_id"], "1 hour")
+            q = (s.writeStream.format("memory").queryName(f"sessions_{name}").outputMode("append")
+                 .option("checkpointLocation", f"{tmp}/cp_{name}").trigger(availableNow=True).start())
+            q.awaitTermination()
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        plan = q._jsq.explainInternal(False)
+        below = plan[plan.index("Exchange hashpartitioning"):]
+        found[name] = ("MergingSessions" in below, sorted(map(str, spark.table(f"sessions_{name}").collect())))
+    assert (found["plain"][0], found["first"][0]) == (False, True)
+    assert found["plain"][1] == found["first"][1] != []
