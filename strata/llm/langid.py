@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import remainder, slices
-from strata.llm.lattice import TILT, VOCABULARY, Segments, Vocabulary, forward, piece_matrix
+from strata.llm.lattice import (TILT, VOCABULARY, LongBackward, Segments, Vocabulary, forward, long_forward,
+                                long_likelihood, panel_pieces, panel_weight, panels, piece_matrix)
 
 PER_LANGUAGE = 3_000
 SMOOTHING = 2_000.0
@@ -52,6 +53,19 @@ def expected_counts(vocabulary: Vocabulary, weight: np.ndarray, buf: np.ndarray,
             share = alpha[at[0], at[1]] * weight[p] * TILT ** l * beta[at[0], at[1] + l]
             for k in range(labels):
                 counts[k] += np.bincount(p, share * scale[at[0], k], len(weight))
+    for of, matrix, length in segments.long_groups():
+        alpha = long_forward(vocabulary, matrix, length, weight, TILT)
+        whole, of_label = alpha[np.arange(len(of)), length], label[segments.text[of]]
+        back = LongBackward(length, vocabulary.longest)
+        for lo, hi in reversed(panels(*matrix.shape)):
+            pieces = panel_pieces(vocabulary, matrix, length, lo, hi)
+            w = panel_weight(pieces, weight, TILT)
+            beta = back.step(w, lo)
+            r, i, l = np.nonzero(pieces >= 0)
+            share = w[r, i, l] * np.exp(alpha[r, lo + i] + beta[r, i + l + 1] - whole[r])
+            for k in range(labels):
+                of_k = of_label[r] == k
+                counts[k] += np.bincount(pieces[r, i, l][of_k], share[of_k], len(weight))
     return counts
 
 
@@ -64,6 +78,8 @@ def log_likelihood(vocabulary: Vocabulary, weights: list[np.ndarray], buf: np.nd
         text = segments.text[of]
         for k, w in enumerate(weights):
             out[:, k] += np.bincount(text, forward(pieces, w, TILT)[1][row], len(out))
+    for of, matrix, length in segments.long_groups():
+        np.add.at(out, segments.text[of], long_likelihood(vocabulary, matrix, length, weights, TILT))
     return out
 
 

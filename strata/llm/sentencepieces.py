@@ -19,11 +19,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import mix, slices
-from strata.llm.lattice import TILT, VOCABULARY, Segments, Vocabulary, forward, piece_matrix
+from strata.llm.lattice import (TILT, VOCABULARY, Segments, Vocabulary, forward, long_forward, panel_pieces,
+                                panel_weight, panels, piece_matrix)
 
 _U = np.uint64
 
 
+def _draws(key: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each text's key and byte position."""
+    return (mix(key + at.astype(_U) * _U(0x9E3779B97F4A7C15)) >> _U(11)).astype(np.float64) * 2.0 ** -53
+
+
+def _sample_long(vocabulary, weight, matrix, length, key, first):
+    """For long segments that begin at byte ``first`` of texts seeded by ``key``:
+    rows, positions and pieces of a sampled segmentation.  The length that would end
+    at each position is drawn for all positions of a panel, then the drawn lengths
+    are followed back from the end."""
+    alpha = long_forward(vocabulary, matrix, length, weight, TILT)
+    wide, at_end = vocabulary.longest, length.tolist()
+    for lo, hi in reversed(panels(len(matrix), matrix.shape[1] - 1)):  # ends lo + 1 to hi
+        left = max(0, lo + 1 - wide)
+        pieces = panel_pieces(vocabulary, matrix, length, left, hi)
+        share = panel_weight(pieces, weight, TILT)
+        end = np.arange(lo + 1, hi + 1)
+        begin = end[:, None] - np.arange(1, wide + 1)
+        l_index = np.arange(wide)
+        ids = np.where(begin >= 0, pieces[:, begin - left, l_index], -1)
+        inside = end <= length[:, None]
+        with np.errstate(invalid="ignore"):
+            part = share[:, begin - left, l_index] * np.exp(alpha[:, np.maximum(begin, 0)] - alpha[:, end][:, :, None])
+        cum = np.cumsum(np.where((ids >= 0) & inside[:, :, None], part, 0), axis=2)
+        u = _draws(key[:, None], first[:, None] + end) * cum[:, :, -1]
+        chosen = (cum[:, :, :-1] <= u[:, :, None]).sum(axis=2)
+        picked = np.take_along_axis(ids, chosen[:, :, None], axis=2)[:, :, 0]
+        while (inside & (picked < 0)).any():  # rounding only: step back to a length that has a piece
+            chosen = np.where(inside & (picked < 0), chosen - 1, chosen)
+            picked = np.take_along_axis(ids, chosen[:, :, None], axis=2)[:, :, 0]
+        rows, places = [], []
+        for r, steps in enumerate((chosen + 1).tolist()):
+            e = at_end[r]
+            while e > lo:
+                rows.append(r)
+                places.append(e)
+                e -= steps[e - lo - 1]
+            at_end[r] = e
+        rows, places = np.array(rows, np.int64), np.array(places, np.int64)
+        yield rows, places - chosen[rows, places - lo - 1] - 1, picked[rows, places - lo - 1]
+
+
 def sample_pieces(vocabulary: Vocabulary, weight: np.ndarray, buf: np.ndarray, offsets: np.ndarray,
                   keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(pieces, first)``: the pieces of all texts of a slice and where each text's
@@ -49,8 +92,7 @@ def sample_pieces(vocabulary: Vocabulary, weight: np.ndarray, buf: np.ndarray, o
             if not len(here):
                 continue
             r = row[here]
-            draw = mix(keys[text[here]] + (start[here] + e - offsets[text[here]]).astype(_U) * _U(0x9E3779B97F4A7C15))
-            u = (draw >> _U(11)).astype(np.float64) * 2.0 ** -53
+            u = _draws(keys[text[here]], start[here] + e - offsets[text[here]])
             c = cum[e - 1]
             l = (c[r, :-1] <= u[:, None]).sum(axis=1) + 1 if c.shape[1] > 1 else np.ones(len(here), np.int64)
             ids = choice[e - 1][r, l - 1]
@@ -59,6 +101,10 @@ def sample_pieces(vocabulary: Vocabulary, weight: np.ndarray, buf: np.ndarray, o
                 ids = choice[e - 1][r, l - 1]
             pos[here] = e - l
             at_byte[start[here] + e - l] = ids
+    for of, matrix, length in segments.long_groups():
+        start, text = segments.start[of], segments.text[of]
+        for r, at, ids in _sample_long(vocabulary, weight, matrix, length, keys[text], start - offsets[text]):
+            at_byte[start[r] + at] = ids
     filled = np.flatnonzero(at_byte >= 0)
     return at_byte[filled], np.searchsorted(filled, offsets)
 

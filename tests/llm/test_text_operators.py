@@ -263,6 +263,76 @@ def test_forward_sums_all_segmentations(vocabulary):
         assert got == pytest.approx(math.log(brute_weight(vocabulary, table, text)), rel=1e-9)
 
 
+def log_brute(table, text):
+    """Log of the summed weight of all segmentations, in log space over every start."""
+    log_alpha = [0.0]
+    for e in range(1, len(text) + 1):
+        terms = [log_alpha[e - l] + math.log(table[text[e - l:e]])
+                 for l in range(1, min(e, 40) + 1) if text[e - l:e] in table]
+        top = max(terms)
+        log_alpha.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return log_alpha[-1]
+
+
+UNSPACED = ["日本語の文章には空白がありません。" * 40, "x" * 33, "ÿ" * 400, "the\n" * 300,
+            "internationalisation/of/addresses" * 2000, "แมวนอนหลับอยู่บนเก้าอี้"]
+
+
+def test_long_segments_run_whole(vocabulary):
+    from strata.llm.langid import log_likelihood
+    w = [vocabulary.zipf(), vocabulary.zipf(0.7)]
+    texts = [t.encode() for t in UNSPACED]
+    offsets = np.cumsum([0, *map(len, texts)])
+    got = log_likelihood(vocabulary, w, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for k in range(2):
+        table = weights_by_piece(vocabulary, w[k])
+        for i, text in enumerate(texts):
+            assert got[i, k] == pytest.approx(log_brute(table, text), rel=1e-9)
+
+
+def test_pieces_of_a_long_segment_equal_enumeration(vocabulary):
+    """Counts and samples of 39 bytes of three-byte characters, against all segmentations."""
+    from strata.llm.langid import expected_counts
+    from strata.llm.sentencepieces import sample_pieces
+    w = vocabulary.zipf(0.5)
+    table = weights_by_piece(vocabulary, w)
+    text, n = "日本語の本日の本語日の本日".encode(), 4_000
+    assert len(text) > 32
+    ways = {0: [((), 1.0)]}
+    for e in range(1, len(text) + 1):
+        ways[e] = [((*parts, text[e - l:e]), p * table[text[e - l:e]]) for l in range(1, min(e, 25) + 1)
+                   if text[e - l:e] in table for parts, p in ways[e - l]]
+    total = sum(p for _, p in ways[len(text)])
+    want = Counter()
+    for parts, p in ways[len(text)]:
+        for x in parts:
+            want[x] += p / total
+    buf, one = np.frombuffer(text * n, np.uint8), np.array([0, len(text)])
+    got = expected_counts(vocabulary, w, buf[:len(text)], one, np.array([0]), 1)[0]
+    assert {vocabulary.pieces[i] for i in np.flatnonzero(got > 1e-12)} <= set(want)
+    for i in np.flatnonzero(got > 1e-12).tolist():
+        assert got[i] == pytest.approx(want[vocabulary.pieces[i]], rel=1e-6)
+    offsets = np.arange(n + 1) * len(text)
+    ids, first = sample_pieces(vocabulary, w, buf, offsets, np.arange(n, dtype=np.uint64) * np.uint64(7919))
+    assert all(b"".join(vocabulary.pieces[i] for i in ids[a:b]) == text for a, b in zip(first[:-1], first[1:]))
+    drawn = Counter(vocabulary.pieces[i] for i in ids.tolist())
+    for x, p in want.items():
+        assert abs(drawn[x] / n - p) < 6 * (len(text) * max(p, 1e-3) / n) ** 0.5
+
+
+def test_long_segments_are_sampled_alike_in_any_slice(vocabulary):
+    from strata.llm.sentencepieces import sample_pieces
+    w = vocabulary.zipf(0.7)
+    texts = [t.encode() for t in UNSPACED]
+    keys = np.arange(len(texts), dtype=np.uint64) * np.uint64(31)
+    ids, first = sample_pieces(vocabulary, w, np.frombuffer(b"".join(texts), np.uint8),
+                               np.cumsum([0, *map(len, texts)]), keys)
+    for i, text in enumerate(texts):
+        alone, _ = sample_pieces(vocabulary, w, np.frombuffer(text, np.uint8), np.array([0, len(text)]), keys[i:i + 1])
+        assert alone.tolist() == ids[first[i]:first[i + 1]].tolist()
+        assert vocabulary.decode(alone).tobytes() == text
+
+
 def test_expected_counts_equal_enumeration(vocabulary):
     from strata.llm.langid import expected_counts
     w = vocabulary.zipf()
