@@ -14,7 +14,7 @@ counts (a fixed number) are broadcast and cover most tokens; the rest of a
 text's words meet the table in a shuffle join on the word, so the whole
 vocabulary is used.  Every Baum-Welch round is one pass over the class
 sequences (two bytes a token); its counts are summed in Spark and are as many
-as states times classes.  A task runs the recursions of a few million tokens in
+as states times classes.  A task runs the recursions of about a million tokens in
 step, sorted by length.
 """
 
@@ -35,7 +35,7 @@ LISTED, ROUNDS = 100_000, 4
 STAY, SPREAD = 0.99, 2.0
 CLASSES = OWN + SHARED + 1
 END_CLASS = CLASSES - 1
-STEP_TOKENS = 2 << 20
+STEP_TOKENS = 1 << 20
 MERGE_ROWS = 1 << 20
 
 _U = np.uint64
@@ -195,8 +195,7 @@ class Steps:
 
     def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scaled forward variables, the scales, and each sequence's log10 likelihood."""
-        seen = m.emit[self.cls]
-        alpha, scale = seen.copy(), np.empty(len(self.cls))
+        alpha, scale = m.emit[self.cls], np.empty(len(self.cls))
         before = np.broadcast_to(m.start, (self.live[0], len(m.start)))
         for t, n in enumerate(self.live.tolist()):
             a = alpha[self.base[t]:self.base[t] + n]
@@ -212,7 +211,8 @@ class Steps:
     def expected(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, moves and emissions (forward-backward)."""
         alpha, scale, _ = self.forward(m)
-        seen = m.emit[self.cls] / scale[:, None]
+        seen = m.emit[self.cls]
+        seen /= scale[:, None]
         moves = np.zeros_like(m.move)
         ahead = None
         for t in range(len(self.live) - 1, -1, -1):
@@ -230,7 +230,7 @@ class Steps:
 
 
 def _chunks(batches):
-    """Rows and their sequences, a few million tokens at a time."""
+    """Rows and their sequences, about a million tokens at a time."""
     held, size = [], 0
     for batch in batches:
         for row in range(batch.num_rows):
