@@ -1,21 +1,27 @@
 """A hidden Markov language model, trained by Baum-Welch over all training texts.
 
-Hidden states move by a transition matrix and emit word classes: the commonest
-training words and the end mark have a class of their own, all other words
-(unknown ones too) share classes by hash.  Within a shared class a word has the
+Hidden states move by a transition matrix and emit word classes: the end mark and
+every training word seen ``OWN_COUNT`` times or more have a class of their own (of
+more than ``LISTED`` such words the commonest), all other words (unknown ones too)
+share classes by hash.  Within a shared class a word has the
 chance ``(c + 1) / (N + V + 1)`` of its training count, the class's tokens and
 its distinct words, one of the ``V + 1`` being for unknown words.  The
 probability of a text is thus that of its class sequence, exact by the scaled
 forward recursion, times those of its words within their classes.
 
+Training stops once a round adds less than ``GAIN`` to the training texts' mean
+log10 probability of a token, after ``ROUNDS`` rounds at the latest.
+
 Scale: counts are summed map-side by task, then over the cluster, into a table
 that grows with the vocabulary.  The ``LISTED`` commonest words with their
 counts (a fixed number) are broadcast and cover most tokens; the rest of a
 text's words meet the table in a shuffle join on the word, so the whole
 vocabulary is used.  Every Baum-Welch round is one pass over the class
-sequences (two bytes a token); its counts are summed in Spark and are as many
-as states times classes.  A task runs the recursions of about a million tokens in
-step, sorted by length.
+sequences (four bytes a token); its counts are summed in Spark and are at most as
+many as states times classes.  A task runs the recursions of about a million tokens
+in step, sorted by length.  A text of ``LONG`` tokens is cut into pieces that run in
+step too: a piece's product of moves and emissions, from every state, carries the
+forward and backward variables over it, so nothing changes but the order of sums.
 """
 
 from __future__ import annotations
@@ -29,13 +35,16 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import Words, keep_table, mix, remainder, slices
 
-STATES, OWN, SHARED = 8, 2047, 2048
-LISTED, ROUNDS = 100_000, 4
+STATES, OWN_COUNT, SHARED = 8, 5, 2048
+LISTED, ROUNDS, GAIN = 100_000, 12, 0.005
+#: A state's emissions are smoothed by the class frequencies, as many tokens of them as
+#: this share of a state's mean tokens (and one).
+SMOOTH = 0.02
 #: Start of the training: the chance to stay in a state, and the spread of the states' emissions.
 STAY, SPREAD = 0.99, 2.0
-CLASSES = OWN + SHARED + 1
-END_CLASS = CLASSES - 1
+CLASSES = LISTED + SHARED + 1  # at most
 STEP_TOKENS = 1 << 20
+LONG, PIECE = 1 << 14, 1 << 10
 MERGE_ROWS = 1 << 20
 
 _U = np.uint64
@@ -83,6 +92,13 @@ class Counts:
     shared: np.ndarray
     class_count: np.ndarray
 
+    @property
+    def own_words(self) -> int:
+        return len(self.class_count) - SHARED - 1
+
+    def shared_class(self, words: np.ndarray) -> np.ndarray:
+        return self.own_words + (words.view(_U) % _U(SHARED)).astype(np.int64)
+
     def find(self, words: np.ndarray) -> np.ndarray:
         """Row of each word in the list, or -1."""
         if not len(self.word):
@@ -91,10 +107,6 @@ class Counts:
         return np.where(self.word[at] == words, at, -1)
 
 
-def shared_class(words):
-    return OWN + (words.view(_U) % _U(SHARED)).astype(np.int64)
-
-
 def count_words(docs: DataFrame) -> tuple[DataFrame, Counts]:
     """The table ``(word, c)`` of the training texts, and its head."""
     table = keep_table(docs.select("text").mapInArrow(_count, "word long, c long")
@@ -110,22 +122,19 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, Counts]:
     least = int(fit.min()) if len(fit) else int(bins["least"].max() if len(bins) else 0) * 2 + 1
     head = (table.where((F.col("c") >= least) & (F.col("word") != int(END))).toPandas()
             .sort_values(["c", "word"], ascending=[False, True], ignore_index=True))
+    n_own = int((head["c"] >= OWN_COUNT).sum())
     own = np.full(len(head), -1, np.int64)
-    own[:OWN] = np.arange(min(OWN, len(head)))
-    rest = table.where(F.col("word") != int(END))
-    if len(head):
-        last = head.iloc[min(OWN, len(head)) - 1]
-        c, w = int(last["c"]), int(last["word"])
-        rest = rest.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > w)))
+    own[:n_own] = np.arange(n_own)
+    rest = table.where((F.col("word") != int(END)) & (F.col("c") < max(least, OWN_COUNT)))
     # As unsigned, to match the tasks' arithmetic: SHARED is a power of two, so the low bits decide.
     by_class = (rest.groupBy(F.col("word").bitwiseAND(SHARED - 1).alias("k"))
                 .agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas())
     shared = np.ones(SHARED)
     shared[by_class["k"].to_numpy(np.int64)] += (by_class["n"] + by_class["v"]).to_numpy(float)
-    per_class = np.zeros(CLASSES)
-    per_class[:min(OWN, len(head))] = head["c"].to_numpy()[:OWN]
-    per_class[OWN + by_class["k"].to_numpy(np.int64)] = by_class["n"].to_numpy(float)
-    per_class[END_CLASS] = total["ends"]
+    per_class = np.zeros(n_own + SHARED + 1)
+    per_class[:n_own] = head["c"].to_numpy()[:n_own]
+    per_class[n_own + by_class["k"].to_numpy(np.int64)] = by_class["n"].to_numpy(float)
+    per_class[-1] = total["ends"]
     order = np.argsort(head["word"].to_numpy(np.int64))
     return table, Counts(int(total["n"]), int(total["v"]), head["word"].to_numpy(np.int64)[order],
                          head["c"].to_numpy(np.int64)[order], own[order], shared, per_class)
@@ -141,14 +150,14 @@ def _tokens(shared):
                 at = c.find(key)
                 listed = at >= 0
                 own = np.where(listed, c.own[at], -1) if len(c.word) else at
-                cls = np.where(own >= 0, own, shared_class(key))
+                cls = np.where(own >= 0, own, c.shared_class(key))
                 n = rows.num_rows
                 log_c = np.where(listed, np.log10(c.count[at] + 1.0), 0) if len(c.word) else np.zeros(len(key))
                 whole = np.bincount(text, log_c, n)
                 inside = np.bincount(text, np.where(own >= 0, 0, log_c), n)
-                inside -= np.bincount(text, np.where(own >= 0, 0, np.log10(c.shared[np.where(own >= 0, 0, cls - OWN)])), n)
+                inside -= np.bincount(text, np.where(own >= 0, 0, np.log10(c.shared[np.where(own >= 0, 0, cls - c.own_words)])), n)
                 # Class sequences with the end mark.
-                seq = np.full(len(key) + n, END_CLASS, np.uint16)
+                seq = np.full(len(key) + n, len(c.class_count) - 1, np.int32)
                 first = words.first + np.arange(n + 1)
                 seq[np.arange(len(key)) + text] = cls
                 lists = [seq[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
@@ -176,10 +185,20 @@ class Model:
     emit: np.ndarray  # classes x states
 
 
+@dataclass
+class Borders:
+    """What the pieces of a long text take from their neighbours, a row each: the chances
+    of the states before the first token, the forward variables at the previous piece's
+    end (zero for the first piece) and the backward variables at the piece's own end."""
+    enter: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+
+
 class Steps:
     """Class sequences laid out by time step, longest first, for recursions in step."""
 
-    def __init__(self, sequences: list[np.ndarray]):
+    def __init__(self, sequences: list[np.ndarray], borders: Borders | None = None):
         length = np.array([len(s) for s in sequences])
         self.order = np.argsort(-length, kind="stable")
         sorted_length = length[self.order]
@@ -192,11 +211,12 @@ class Steps:
         at = self.base[t] + doc
         self.cls[at] = np.concatenate([sequences[i] for i in self.order.tolist()])
         self.doc[at] = doc
+        self.borders = borders and Borders(*(x[self.order] for x in (borders.enter, borders.before, borders.after)))
 
     def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scaled forward variables, the scales, and each sequence's log10 likelihood."""
         alpha, scale = m.emit[self.cls], np.empty(len(self.cls))
-        before = np.broadcast_to(m.start, (self.live[0], len(m.start)))
+        before = self.borders.enter if self.borders else np.broadcast_to(m.start, (self.live[0], len(m.start)))
         for t, n in enumerate(self.live.tolist()):
             a = alpha[self.base[t]:self.base[t] + n]
             a *= before[:n] if t == 0 else before[:n] @ m.move
@@ -209,8 +229,10 @@ class Steps:
         return alpha, scale, like
 
     def expected(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions (forward-backward)."""
-        alpha, scale, _ = self.forward(m)
+        """Expected starts, moves and emissions (forward-backward); ``like`` is set to the
+        sequences' log10 likelihood."""
+        alpha, scale, like = self.forward(m)
+        self.like = float(like.sum())
         seen = m.emit[self.cls]
         seen /= scale[:, None]
         moves = np.zeros_like(m.move)
@@ -218,39 +240,120 @@ class Steps:
         for t in range(len(self.live) - 1, -1, -1):
             lo, n = self.base[t], self.live[t]
             a = alpha[lo:lo + n]
+            k = 0 if ahead is None else len(ahead)
             beta = np.ones((n, len(m.start)))
-            if ahead is not None:
-                k = len(ahead)
+            if self.borders:
+                beta[k:] = self.borders.after[k:n]
+                beta[k:] /= (a[k:] * beta[k:]).sum(axis=1, keepdims=True)
+            if k:
                 moves += a[:k].T @ ahead
                 beta[:k] = ahead @ m.move.T
             ahead = seen[lo:lo + n] * beta
             a *= beta
-        emits = np.stack([np.bincount(self.cls, alpha[:, k], CLASSES) for k in range(len(m.start))], axis=1)
-        return alpha[:self.live[0]].sum(axis=0), moves * m.move, emits
+        starts = alpha[:self.live[0]]
+        if self.borders:
+            moves += self.borders.before.T @ ahead
+            starts = starts[~self.borders.before.any(axis=1)]
+        emits = np.stack([np.bincount(self.cls, alpha[:, k], len(m.emit)) for k in range(len(m.start))], axis=1)
+        return starts.sum(axis=0), moves * m.move, emits
+
+
+def _transfer(block: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Of equally long pieces (a row each): the scaled forward variables at their ends from
+    each state before their first token, and the logarithms of the scales."""
+    k, n = len(block), len(m.start)
+    a, log = np.tile(np.eye(n), (k, 1)), np.zeros(k * n)
+    for t in range(block.shape[1]):
+        if t:
+            a = a @ m.move
+        a *= np.repeat(m.emit[block[:, t]], n, axis=0)
+        scale = a.sum(axis=1)
+        # A state that cannot lead here at all keeps a row of zeros.
+        a /= np.where(scale > 0, scale, 1)[:, None]
+        with np.errstate(divide="ignore"):
+            log += np.log(scale)
+    return a.reshape(k, n, n), log.reshape(k, n)
+
+
+def cut(sequence: np.ndarray, m: Model) -> tuple[list[np.ndarray], Borders, float]:
+    """A long sequence in pieces, their borders and the whole's log10 likelihood."""
+    pieces = [sequence[i:i + PIECE] for i in range(0, len(sequence), PIECE)]
+    whole, n = len(sequence) // PIECE, len(m.start)
+    block = sequence[:whole * PIECE].reshape(whole, PIECE)
+    width = max(1, STEP_TOKENS // (PIECE * n))
+    got = [_transfer(block[i:i + width], m) for i in range(0, whole, width)]
+    if len(pieces) > whole:
+        got.append(_transfer(pieces[-1][None], m))
+    ends, logs = np.concatenate([a for a, _ in got]), np.concatenate([b for _, b in got])
+    top = logs.max(axis=1)
+    through = np.exp(logs - top[:, None])[:, :, None] * ends  # state before a piece x state at its end
+    enter, before, after = (np.zeros((len(pieces), n)) for _ in range(3))
+    enter[0], like = m.start, 0.0
+    for i in range(len(pieces)):
+        end = enter[i] @ through[i]
+        like += (np.log(end.sum()) + top[i]) / np.log(10)
+        end /= end.sum()
+        if i + 1 < len(pieces):
+            before[i + 1], enter[i + 1] = end, end @ m.move
+    after[-1] = 1
+    for i in range(len(pieces) - 1, 0, -1):
+        back = m.move @ (through[i] @ after[i])
+        after[i - 1] = back / back.sum()
+    return pieces, Borders(enter, before, after), float(like)
+
+
+def _sequences(column: pa.Array) -> list[np.ndarray]:
+    """The class sequences of a binary column, as views of its buffer."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[:ends[-1]].view(np.int32)
+    return [data[a:b] for a, b in zip((ends[:-1] // 4).tolist(), (ends[1:] // 4).tolist())]
 
 
 def _chunks(batches):
-    """Rows and their sequences, about a million tokens at a time."""
-    held, size = [], 0
+    """Row numbers and class sequences: about a million tokens at a time, or one text of
+    ``LONG`` tokens or more."""
+    rows, held, size = [], [], 0
     for batch in batches:
-        for row in range(batch.num_rows):
-            s = np.frombuffer(batch.column("classes")[row].as_py(), np.uint16)
-            held.append((batch, row, s))
+        if not batch.num_rows:
+            continue
+        for row, s in zip(batch.column("row").to_pylist(), _sequences(batch.column("classes").cast(pa.binary()))):
+            if len(s) >= LONG:
+                yield [row], [s]
+                continue
+            rows.append(row)
+            held.append(s)
             size += len(s)
             if size >= STEP_TOKENS:
-                yield held
-                held, size = [], 0
+                yield rows, held
+                rows, held, size = [], [], 0
     if held:
-        yield held
+        yield rows, held
+
 
+def _steps(held: list[np.ndarray], m: Model):
+    """The recursions' portions of a chunk: the chunk itself, or a long text's pieces."""
+    if len(held[0]) < LONG:
+        yield Steps(held)
+        return
+    pieces, b, _ = cut(held[0], m)
+    width = STEP_TOKENS // PIECE
+    for i in range(0, len(pieces), width):
+        to = i + width
+        yield Steps(pieces[i:to], Borders(b.enter[i:to], b.before[i:to], b.after[i:to]))
 
-def _expect(model: Model):
+
+def _expect(shared):
     def run(batches):
-        start, move, emit = np.zeros_like(model.start), np.zeros_like(model.move), np.zeros_like(model.emit)
-        for held in _chunks(batches):
-            a, b, c = Steps([s for _, _, s in held]).expected(model)
-            start, move, emit = start + a, move + b, emit + c
-        every = np.concatenate([start, move.ravel(), emit.ravel()])
+        model: Model = shared.value
+        start, move, emit, like = np.zeros_like(model.start), np.zeros_like(model.move), np.zeros_like(model.emit), 0.0
+        for _, held in _chunks(batches):
+            for steps in _steps(held, model):
+                a, b, c = steps.expected(model)
+                start += a
+                move += b
+                emit += c
+                like += steps.like
+        every = np.concatenate([start, move.ravel(), [like], emit.ravel()])
         at = np.flatnonzero(every)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(every[at])], ["at", "n"])
     return run
@@ -262,35 +365,45 @@ def first_model(counts: Counts, states: int) -> Model:
     states part (by language and subject) within a few rounds.  From a start
     near one common distribution they hardly do."""
     share = (counts.class_count + 1) / (counts.class_count + 1).sum()
-    draw = mix(np.arange(CLASSES * states, dtype=_U) + _U(1)).astype(float).reshape(CLASSES, states) / 2.0 ** 64
+    n = len(share)
+    draw = mix(np.arange(n * states, dtype=_U) + _U(1)).astype(float).reshape(n, states) / 2.0 ** 64
     emit = share[:, None] * np.exp(SPREAD * (draw - 0.5))
     move = np.full((states, states), (1 - STAY) / max(1, states - 1))
     np.fill_diagonal(move, STAY if states > 1 else 1.0)
     return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def baum_welch(sequences: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Train on all ``classes`` of the table ``sequences``; counts are smoothed by one
-    token of the class frequencies per state, so every class can be emitted."""
+def baum_welch(sequences: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS,
+               gain: float = GAIN) -> Model:
+    """Train on all ``classes`` of the table ``sequences`` until a round's model is less than
+    ``gain`` better than the one before; counts are smoothed by the class frequencies (see
+    ``SMOOTH``), so every class can be emitted and a word seen in few states is not ruled
+    out in the others."""
     model = first_model(counts, states)
-    prior = (counts.class_count + 1) / (counts.class_count + 1).sum()
+    share = (counts.class_count + 1) / (counts.class_count + 1).sum()
+    prior = (1 + SMOOTH * counts.tokens / states) * share[:, None]
+    sc, last = sequences.sparkSession.sparkContext, -np.inf
     for _ in range(rounds):
-        got = (sequences.select("classes").mapInArrow(_expect(model), "at int, n double")
+        got = (sequences.select("row", "classes").mapInArrow(_expect(sc.broadcast(model)), "at int, n double")
                .groupBy("at").agg(F.sum("n").alias("n")).toPandas())
-        every = np.zeros(states + states * states + CLASSES * states)
+        every = np.zeros(states + states * states + 1 + len(share) * states)
         every[got["at"].to_numpy(np.int64)] = got["n"].to_numpy()
-        start, move, emit = np.split(every, [states, states + states * states])
-        start, move, emit = start + 1, move.reshape(states, states) + 1, emit.reshape(CLASSES, states) + prior[:, None]
+        start, move, like, emit = np.split(every, np.cumsum([states, states * states, 1]))
+        start, move, emit = start + 1, move.reshape(states, states) + 1, emit.reshape(-1, states) + prior
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        now = like[0] / max(1, counts.tokens)
+        if now - last < gain:
+            break
+        last = now
     return model
 
 
-def _score(model: Model):
+def _score(shared):
     def run(batches):
-        for held in _chunks(batches):
-            like = Steps([s for _, _, s in held]).forward(model)[2]
-            yield pa.RecordBatch.from_arrays([pa.array([b.column("row")[i].as_py() for b, i, _ in held], pa.int64()),
-                                              pa.array(like)], ["row", "like"])
+        model: Model = shared.value
+        for rows, held in _chunks(batches):
+            like = Steps(held).forward(model)[2] if len(held[0]) < LONG else np.array([cut(held[0], model)[2]])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(like)], ["row", "like"])
     return run
 
 
@@ -312,8 +425,9 @@ def language_model(docs: DataFrame, fold: int = 2, folds: int = 7, states: int =
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     met = rare.join(table, "word").groupBy("row").agg(
         F.sum("times").alias("met"), F.sum(F.col("times") * F.log10(F.col("c") + F.lit(1.0))).alias("log_c"))
+    model = docs.sparkSession.sparkContext.broadcast(model)
     like = rows.select("row", "classes").mapInArrow(_score(model), "row long, like double")
-    n, v, ends = counts.tokens, counts.distinct, int(counts.class_count[END_CLASS])
+    n, v, ends = counts.tokens, counts.distinct, int(counts.class_count[-1])
     unit = float(np.log10(n + 1.0 * (v + 1)))
     end = float(np.log10(ends + 1.0))
     out = (rows.drop("classes", "rare", "times").join(like, "row").join(met, "row", "left")

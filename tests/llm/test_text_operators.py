@@ -440,6 +440,50 @@ def test_forward_equals_enumeration_of_states():
     assert np.allclose(move, want_move) and np.allclose(emits, want_emit) and start.sum() == pytest.approx(4)
 
 
+def test_a_long_sequence_in_pieces_equals_the_whole(monkeypatch):
+    from strata.llm import lm
+    monkeypatch.setattr(lm, "PIECE", 16)
+    monkeypatch.setattr(lm, "LONG", 40)
+    r = np.random.default_rng(4)
+    # Some class is as good as impossible in a state, so scales differ between the states.
+    emit = r.random((50, 3)) ** 20 + 1e-12
+    m = lm.Model(np.array([0.5, 0.3, 0.2]), r.dirichlet(np.ones(3) / 4, 3) + 1e-9, emit / emit.sum(axis=0))
+    for length in (40, 48, 333):
+        s = r.integers(0, 50, length).astype(np.int32)
+        whole = lm.Steps([s])
+        want, want_like = whole.expected(m), whole.like
+        for tokens in (16, 64, 1 << 20):   # portions of one piece, of four and of all
+            monkeypatch.setattr(lm, "STEP_TOKENS", tokens)
+            got = [(steps.expected(m), steps.like) for steps in lm._steps([s], m)]
+            for i in range(3):
+                assert np.allclose(sum(g[0][i] for g in got), want[i], rtol=1e-8, atol=1e-10)
+            assert sum(g[1] for g in got) == pytest.approx(want_like)
+            assert lm.cut(s, m)[2] == pytest.approx(want_like)
+
+
+def test_words_over_the_threshold_have_classes_of_their_own(spark):
+    from strata.llm.lm import OWN_COUNT, SHARED, count_words
+    often, seldom = [f"often{i}" for i in range(3000)], [f"seldom{i}" for i in range(500)]
+    docs = spark.createDataFrame([(" ".join(often),)] * OWN_COUNT + [(" ".join(seldom),)] * (OWN_COUNT - 1), "text string")
+    _, counts = count_words(docs)
+    assert counts.own_words == 3000 and (counts.own >= 0).sum() == 3000 and len(counts.word) == 3500
+    assert counts.class_count[:3000].tolist() == [OWN_COUNT] * 3000
+    assert counts.class_count[3000:3000 + SHARED].sum() == 500 * (OWN_COUNT - 1) and counts.class_count[-1] == 2 * OWN_COUNT - 1
+
+
+def test_training_stops_when_a_round_gains_little(documents):
+    from strata.llm import lm
+    lm_rows = documents.where("doc_id % 2 = 0")
+    table, c = lm.count_words(lm_rows)
+    shared = documents.sparkSession.sparkContext.broadcast(c)
+    seqs = (lm_rows.select("doc_id", F.lit(False).alias("held_out"), F.lit(True).alias("learnt"), "text")
+            .mapInArrow(lm._tokens(shared), "doc_id long, held_out boolean, learnt boolean, n_tokens long, known long, whole double, "
+                        "inside double, classes binary, rare array<long>, times array<int>").withColumn("row", F.col("doc_id")))
+    one, stopped = lm.baum_welch(seqs, c, rounds=1), lm.baum_welch(seqs, c, rounds=9, gain=np.inf)
+    two = lm.baum_welch(seqs, c, rounds=2, gain=0)
+    assert np.allclose(two.emit, stopped.emit) and not np.allclose(one.emit, stopped.emit)
+
+
 def test_base_score_and_normalisation(spark, documents, edges, empty):
     from strata.llm.lm import language_model
     docs = documents.select("doc_id", "text").union(edges.select("doc_id", "text"))
