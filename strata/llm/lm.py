@@ -120,7 +120,7 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, Counts]:
             .toPandas().sort_values("least", ascending=False))
     fit = bins["least"][bins["n"].cumsum() <= LISTED]
     least = int(fit.min()) if len(fit) else int(bins["least"].max() if len(bins) else 0) * 2 + 1
-    head = (table.where((F.col("c") >= least) & (F.col("word") != int(END))).toPandas()
+    head = (table.where((F.col("c") >= least) & (F.col("word") != int(END))).toArrow().to_pandas()
             .sort_values(["c", "word"], ascending=[False, True], ignore_index=True))
     n_own = int((head["c"] >= OWN_COUNT).sum())
     own = np.full(len(head), -1, np.int64)
@@ -353,12 +353,19 @@ def _expect(shared):
                 move += b
                 emit += c
                 like += steps.like
-        every = np.concatenate([start, move.ravel(), [like], emit.ravel()])
-        at = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(every[at])], ["at", "n"])
+        likes = np.zeros_like(start)
+        likes[0] = like
+        every = np.vstack([likes, start, move, emit])
+        at = np.flatnonzero(every.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x) for x in every[at].T)],
+                                         ["at", *_states(len(start))])
     return run
 
 
+def _states(n: int) -> list[str]:
+    return [f"n{k}" for k in range(n)]
+
+
 def first_model(counts: Counts, states: int) -> Model:
     """A start that stays in its state, with the class frequencies disturbed by a
     fixed draw per state: a text's words together then favour one state, so the
@@ -382,16 +389,17 @@ def baum_welch(sequences: DataFrame, counts: Counts, states: int = STATES, round
     model = first_model(counts, states)
     share = (counts.class_count + 1) / (counts.class_count + 1).sum()
     prior = (1 + SMOOTH * counts.tokens / states) * share[:, None]
-    sc, last = sequences.sparkSession.sparkContext, -np.inf
+    sc, last, sums = sequences.sparkSession.sparkContext, -np.inf, _states(states)
     for _ in range(rounds):
-        got = (sequences.select("row", "classes").mapInArrow(_expect(sc.broadcast(model)), "at int, n double")
-               .groupBy("at").agg(F.sum("n").alias("n")).toPandas())
-        every = np.zeros(states + states * states + 1 + len(share) * states)
-        every[got["at"].to_numpy(np.int64)] = got["n"].to_numpy()
-        start, move, like, emit = np.split(every, np.cumsum([states, states * states, 1]))
-        start, move, emit = start + 1, move.reshape(states, states) + 1, emit.reshape(-1, states) + prior
+        # A row of sums over the states for the likelihood, the starts, each state's moves and each class.
+        got = (sequences.select("row", "classes")
+               .mapInArrow(_expect(sc.broadcast(model)), ", ".join(["at int", *(f"{k} double" for k in sums)]))
+               .groupBy("at").agg(*(F.sum(k).alias(k) for k in sums)).toArrow())
+        every = np.zeros((2 + states + len(share), states))
+        every[got["at"].to_numpy()] = np.stack([got[k].to_numpy() for k in sums], axis=1)
+        start, move, emit = every[1] + 1, every[2:2 + states] + 1, every[2 + states:] + prior
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-        now = like[0] / max(1, counts.tokens)
+        now = every[0, 0] / max(1, counts.tokens)
         if now - last < gain:
             break
         last = now
