@@ -357,7 +357,8 @@ def _expect(shared):
         likes[0] = like
         every = np.vstack([likes, start, move, emit])
         at = np.flatnonzero(every.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x) for x in every[at].T)],
+        # A task's counts travel in single precision; the cluster's are summed in double.
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x) for x in every[at].T.astype(np.float32))],
                                          ["at", *_states(len(start))])
     return run
 
@@ -393,7 +394,7 @@ def baum_welch(sequences: DataFrame, counts: Counts, states: int = STATES, round
     for _ in range(rounds):
         # A row of sums over the states for the likelihood, the starts, each state's moves and each class.
         got = (sequences.select("row", "classes")
-               .mapInArrow(_expect(sc.broadcast(model)), ", ".join(["at int", *(f"{k} double" for k in sums)]))
+               .mapInArrow(_expect(sc.broadcast(model)), ", ".join(["at int", *(f"{k} float" for k in sums)]))
                .groupBy("at").agg(*(F.sum(k).alias(k) for k in sums)).toArrow())
         every = np.zeros((2 + states + len(share), states))
         every[got["at"].to_numpy()] = np.stack([got[k].to_numpy() for k in sums], axis=1)
