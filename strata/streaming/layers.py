@@ -51,9 +51,46 @@ def bronze(stream: DataFrame, source_system: str | None = None) -> DataFrame:
     return out.withColumn("source_system", F.lit(source_system)) if source_system else out
 
 
+#: Rows of distinct keys a task holds before it sends them on.
+HELD_KEYS = 1 << 18
+
+
+def newest_per_task(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Of each key's rows in a task of a micro-batch the newest, so a hot key sends a row
+    a task to the state instead of all its repeats.  The newest, because a row later than
+    the watermark must not stand in for one that is not.  Rows without a time all stay,
+    and a task with over ``HELD_KEYS`` keys sends what it holds and starts anew.  Keys are
+    plain values; Spark has no such step of its own, so it runs on Arrow batches."""
+    column = {c.lower(): c for c in stream.columns}
+    names, time, held_keys = [column[k.lower()] for k in keys], column[ts.lower()], HELD_KEYS
+
+    def newest(rows):
+        import pyarrow as pa
+        rows = rows.sort_by(time)
+        at = rows.append_column("", pa.array(range(rows.num_rows), pa.int64())).group_by(names).aggregate([("", "max")])
+        return rows.take(at["_max"])
+
+    def run(batches):
+        import pyarrow as pa
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            timed = rows[time].is_valid()
+            yield from rows.filter(rows[time].is_null()).to_batches()
+            rows = rows.filter(timed)
+            held = newest(rows if held is None else pa.concat_tables([held, rows]))
+            if held.num_rows > held_keys:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+    return stream.mapInArrow(run, stream.schema)
+
+
 def dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Drop repeats of a key seen within ``delay`` of event time;
     state per key expires once the watermark passes it."""
+    stream = newest_per_task(stream, keys, ts)
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

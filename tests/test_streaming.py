@@ -38,6 +38,49 @@ def test_late_rows_are_dropped(spark, tmp):
     assert sorted(got) == [(10, 1), (13, 2)]
 
 
+def test_a_hot_key_sends_one_row_a_task(spark, monkeypatch):
+    t = "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)"
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id AS event_id", f"CASE WHEN id % 10 = 3 THEN NULL ELSE {t} END AS ts", "CASE WHEN id % 10 < 9 THEN 7 ELSE id END AS user_id",
+        "CASE WHEN id % 1000 = 0 THEN NULL ELSE 'view' END AS event_type", "map('a', id) AS extra")
+    got = st.newest_per_task(rows, ["USER_ID", "event_type"], "ts")
+    assert got.schema == rows.schema
+    timed = got.where("user_id = 7 AND ts IS NOT NULL AND event_type IS NOT NULL").orderBy("event_id").collect()
+    assert [r.event_id for r in timed] == [9_998, 19_998, 29_998, 39_998]     # the newest of each task
+    assert all(r.extra == {"a": r.event_id} for r in timed)
+    assert got.where("user_id = 7 AND event_type IS NULL").count() == 4
+    assert got.where("ts IS NULL").count() == 4_000                           # no time: all stay
+    assert got.where("user_id <> 7").count() == 4_000                         # other keys: none lost
+    monkeypatch.setattr(st, "HELD_KEYS", 10)
+    assert st.newest_per_task(rows, ["user_id", "event_type"], "ts").where("user_id <> 7").count() == 4_000
+
+
+def test_dedup_forgets_a_key_after_its_delay(spark, tmp):
+    """A micro-batch per file, a delay of one hour.  Repeats in a file and within the hour
+    go; after the watermark has passed the first row by an hour the key counts as new."""
+    src, t = os.path.join(tmp, "in"), dt.datetime(2024, 1, 1)
+
+    def at(hours):
+        return t + dt.timedelta(hours=hours)
+    files = [[(1, at(0), 1, "view"), (2, at(0), 1, "view"), (3, at(0.2), 2, "view")],
+             [(4, at(0.5), 1, "view"), (5, at(6), 3, "view")],
+             [(6, at(6.2), 4, "view")],
+             # Spark drops late rows by the watermark of the batch before (5:00): user 9's row and
+             # user 5's first one, which must not stand in for the second.
+             [(8, at(6.5), 1, "view"), (9, at(6.6), 3, "view"), (10, at(6.5), 1, "view"),
+              (7, at(0.1), 9, "view"), (11, at(0.1), 5, "view"), (12, at(6.7), 5, "view")]]
+    for i, rows in enumerate(files):
+        _file(spark, src, f"f{i}", rows)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    s = st.read_files(spark, src, schema, max_files_per_trigger=1, recursive=True)
+    out = st.run_available_now(st.dedup(st.event_time(s, "ts"), ["user_id"], "ts", "1 hour"), name="expiry",
+                               path=os.path.join(tmp, "expiry"))
+    spark.read.parquet(f"{out}/data").createOrReplaceTempView("kept_rows")
+    got = spark.sql("SELECT user_id, count(*) AS n, max(event_id) AS newest FROM kept_rows GROUP BY user_id").collect()
+    assert {r.user_id: r.n for r in got} == {1: 2, 2: 1, 3: 1, 4: 1, 5: 1}
+    assert {r.user_id: r.newest for r in got if r.user_id != 1} == {2: 3, 3: 5, 4: 6, 5: 12}
+
+
 def test_merge_into_replay_is_skipped(spark, tmp):
     base = os.path.join(tmp, "silver")
     apply = st.merge_into(base, "user_id", ["ts", "event_id"])
