@@ -75,6 +75,8 @@ class Vocabulary:
         self.table = np.zeros((2, 1 << _SLOTS), np.int32)
         self.key = np.zeros(len(self.pieces), _U)
         self.key[ids] = keys
+        self.taken = np.zeros(1 << _SLOTS, bool)
+        self.taken[(keys >> _U(64 - _SLOTS)).astype(np.int64)] = True
         for i, k in zip(ids.tolist(), keys.tolist()):
             first = k >> (64 - _SLOTS)
             second = k & ((1 << _SLOTS) - 1)
@@ -93,10 +95,15 @@ class Vocabulary:
 
     def lookup(self, key: np.ndarray) -> np.ndarray:
         """The piece of each hash, or -1."""
-        one = self.table[0, (key >> _U(64 - _SLOTS)).astype(np.int64)]
-        out = np.where(self.key[one] == key, one, -1)
-        two = self.table[1, (key & _U((1 << _SLOTS) - 1)).astype(np.int64)]
-        return np.where((out < 0) & (self.key[two] == key), two, out)
+        flat = key.ravel()
+        first = (flat >> _U(64 - _SLOTS)).astype(np.int64)
+        out = np.full(len(flat), -1, np.int32)
+        # A piece is in the second table only if another has its slot in the first.
+        at = np.flatnonzero(self.taken[first])
+        key_at, one = flat[at], self.table[0, first[at]]
+        two = self.table[1, (key_at & _U((1 << _SLOTS) - 1)).astype(np.int64)]
+        out[at] = np.where(self.key[one] == key_at, one, np.where(self.key[two] == key_at, two, -1))
+        return out.reshape(key.shape)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         length = self.length[ids]
@@ -166,15 +173,16 @@ def piece_matrix(vocabulary: Vocabulary, matrix: np.ndarray) -> list[np.ndarray]
     """``out[l - 1][:, i]``: the piece of length l at byte i (-1: none); for
     length 1, where no plain piece stands, the byte's own piece."""
     n, size = matrix.shape
-    table = _TABLES[False][matrix]
+    columns = np.ascontiguousarray(matrix.T)  # a column of ``out`` lies together
+    table = _TABLES[False][columns]
     out = []
-    key = np.zeros((n, size), _U)
+    key = np.zeros((size, n), _U)
     for l in range(1, min(size, vocabulary.longest) + 1):
-        key = key[:, :size - l + 1] + table[:, l - 1:] * vocabulary.powers[l - 1]
+        key = key[:size - l + 1] + table[l - 1:] * vocabulary.powers[l - 1]
         found = vocabulary.lookup(mix(key + _U(l)))
         if l == 1:
-            found = np.where(found < 0, vocabulary.byte_id[matrix], found)
-        out.append(found)
+            found = np.where(found < 0, vocabulary.byte_id[columns], found)
+        out.append(found.T)
     return out
 
 
@@ -183,16 +191,33 @@ def forward(pieces: list[np.ndarray], weight: np.ndarray, tilt: float) -> tuple[
     under ``weight * tilt ** length`` scaled per byte, and the log scale per row.
     (Scaling keeps 32 bytes of rare pieces within floating-point range.)"""
     n, size = pieces[0].shape
-    alpha = np.zeros((n, size + 1))
+    alpha = np.zeros((size + 1, n)).T
     alpha[:, 0] = 1
+    weight = np.append(weight, 0.0)  # no piece (-1) has no weight
     for e in range(1, size + 1):
         total = alpha[:, e]
         for l in range(1, min(e, len(pieces)) + 1):
-            p = pieces[l - 1][:, e - l]
-            total += np.where(p >= 0, weight[p], 0) * tilt ** l * alpha[:, e - l]
+            total += weight[pieces[l - 1][:, e - l]] * tilt ** l * alpha[:, e - l]
     return alpha, np.log(alpha[:, size]) - size * np.log(tilt)
 
 
+def forward_parts(pieces: list[np.ndarray], tilted: np.ndarray) -> list[np.ndarray]:
+    """The sums of ``forward`` by the length of the last piece: ``out[e - 1][l - 1]`` is
+    the weight of all segmentations of the first e bytes that end in a piece of up to
+    l bytes.  ``tilted``: a weight per piece, tilted by its length, and 0 for none (-1)."""
+    n, size = pieces[0].shape
+    share, alpha, out = [tilted[p.T] for p in pieces], [np.ones(n)], []
+    for e in range(1, size + 1):
+        part = np.empty((min(e, len(pieces)), n))
+        for l in range(1, len(part) + 1):
+            np.multiply(share[l - 1][e - l], alpha[e - l], out=part[l - 1])
+            if l > 1:
+                part[l - 1] += part[l - 2]
+        out.append(part)
+        alpha.append(part[-1])
+    return out
+
+
 TILT = 64.0
 
 

@@ -19,15 +19,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import mix, slices
-from strata.llm.lattice import (TILT, VOCABULARY, Segments, Vocabulary, forward, long_forward, panel_pieces,
-                                panel_weight, panels, piece_matrix)
+from strata.llm.lattice import (TILT, VOCABULARY, Segments, Vocabulary, forward_parts, long_forward,
+                                panel_pieces, panel_weight, panels, piece_matrix)
 
 _U = np.uint64
 
 
+def _seeds(key: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The keys moved on by ``at`` bytes."""
+    return key + at.astype(_U) * _U(0x9E3779B97F4A7C15)
+
+
+def _uniform(seed: np.ndarray) -> np.ndarray:
+    return (mix(seed) >> _U(11)).astype(np.float64) * 2.0 ** -53
+
+
 def _draws(key: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A number from 0 to 1 for each text's key and byte position."""
-    return (mix(key + at.astype(_U) * _U(0x9E3779B97F4A7C15)) >> _U(11)).astype(np.float64) * 2.0 ** -53
+    return _uniform(_seeds(key, at))
 
 
 def _sample_long(vocabulary, weight, matrix, length, key, first):
@@ -73,32 +82,30 @@ def sample_pieces(vocabulary: Vocabulary, weight: np.ndarray, buf: np.ndarray, o
     begin; ``keys`` seeds each text."""
     at_byte = np.full(len(buf), -1, np.int32)
     segments = Segments(buf, offsets)
+    tilted = np.append(weight * TILT ** vocabulary.length, 0.0)
     for of, matrix, row in segments.groups():
-        size = matrix.shape[1]
+        rows, size = matrix.shape
         pieces = piece_matrix(vocabulary, matrix)
-        alpha, _ = forward(pieces, weight, TILT)
-        # Cumulated chances of each piece length by end position; the last is 1.
-        cum, choice = [], []
-        for e in range(1, size + 1):
-            ids = np.stack([pieces[l - 1][:, e - l] for l in range(1, min(e, len(pieces)) + 1)], axis=1)
-            share = np.stack([np.where(ids[:, l - 1] >= 0, weight[ids[:, l - 1]], 0) * TILT ** l * alpha[:, e - l]
-                              for l in range(1, ids.shape[1] + 1)], axis=1)
-            cum.append(np.cumsum(share, axis=1) / share.sum(axis=1, keepdims=True))
-            choice.append(ids)
+        parts = forward_parts(pieces, tilted)
+        # All pieces in one array: of length l at byte i of row r at ``base[l - 1] + i * rows + r``.
+        base = np.cumsum([0, *(p.size for p in pieces)])
+        ids_of = np.concatenate([p.T.ravel() for p in pieces])
         start, text = segments.start[of], segments.text[of]
-        pos = np.full(len(of), size)
+        seed = _seeds(keys[text], start - offsets[text])
+        pos = np.full(len(of), size, np.int8)
         for e in range(size, 0, -1):
             here = np.flatnonzero(pos == e)
             if not len(here):
                 continue
-            r = row[here]
-            u = _draws(keys[text[here]], start[here] + e - offsets[text[here]])
-            c = cum[e - 1]
-            l = (c[r, :-1] <= u[:, None]).sum(axis=1) + 1 if c.shape[1] > 1 else np.ones(len(here), np.int64)
-            ids = choice[e - 1][r, l - 1]
+            r, part = row[here], parts[e - 1]
+            u = _uniform(_seeds(seed[here], np.array([e]))) * part[-1][r]
+            l = np.ones(len(here), np.int8)
+            for shorter in part[:-1]:
+                l += shorter[r] <= u
+            ids = ids_of[base[l - 1] + (e - l.astype(np.int64)) * rows + r]
             while (ids < 0).any():  # rounding only: step back to a length that has a piece
                 l = np.where(ids < 0, l - 1, l)
-                ids = choice[e - 1][r, l - 1]
+                ids = ids_of[base[l - 1] + (e - l.astype(np.int64)) * rows + r]
             pos[here] = e - l
             at_byte[start[here] + e - l] = ids
     for of, matrix, length in segments.long_groups():

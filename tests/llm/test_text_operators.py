@@ -366,6 +366,49 @@ def test_sampled_pieces_are_lossless_and_reproducible(spark, documents, edges, e
     assert round_trip(empty).count() == 0
 
 
+def test_few_stretches_are_compared_with_pieces(vocabulary):
+    """Most stretches of a text are no piece, and a table of taken slots tells so: of all of
+    them few reach the piece keys, and those found are the ones a dictionary finds."""
+    from dataclasses import replace
+
+    from strata.llm.lattice import piece_matrix
+
+    class Counted(np.ndarray):
+        compared = 0
+
+        def __getitem__(self, at):
+            Counted.compared += np.size(at)
+            return np.asarray(self)[at]
+
+    v = replace(vocabulary)
+    v.key = v.key.view(Counted)
+    matrix = np.random.default_rng(3).integers(97, 123, (200, 20)).astype(np.uint8)
+    matrix[0] = np.frombuffer(b" internationalisatio", np.uint8)
+    pieces, stretches = piece_matrix(v, matrix), 0
+    ids = {vocabulary.pieces[i]: i for i in np.flatnonzero(vocabulary.usable).tolist()}
+    for l, found in enumerate(pieces, 1):
+        stretches += found.size
+        for (r, i), got in np.ndenumerate(found):
+            piece = matrix[r, i:i + l].tobytes()
+            assert got == ids.get(piece, vocabulary.byte_id[matrix[r, i]] if l == 1 else -1)
+    assert 0 < Counted.compared < 0.7 * stretches
+
+
+def test_parts_of_the_forward_sums(vocabulary):
+    from strata.llm.lattice import TILT, forward, forward_parts, piece_matrix
+    w = vocabulary.zipf(0.7)
+    matrix = np.stack([np.frombuffer(x, np.uint8) for x in (b" questions", b" the there", b"zqxjkv\x00\xff..")])
+    pieces = piece_matrix(vocabulary, matrix)
+    alpha, _ = forward(pieces, w, TILT)
+    parts = forward_parts(pieces, np.append(w * TILT ** vocabulary.length, 0.0))
+    for e, part in enumerate(parts, 1):
+        assert np.array_equal(part[-1], alpha[:, e])
+        for l, upto in enumerate(part, 1):
+            p = pieces[l - 1][:, e - l]
+            own = np.where(p >= 0, w[p], 0) * TILT ** l * alpha[:, e - l]
+            assert np.allclose(upto - (part[l - 2] if l > 1 else 0), own, rtol=1e-9, atol=1e-12 * alpha[:, e].max())
+
+
 def test_samples_follow_the_lattice(vocabulary):
     from strata.llm.sentencepieces import sample_pieces
     w = vocabulary.zipf(0.5)
