@@ -19,7 +19,8 @@ text's words meet the table in a shuffle join on the word, so the whole
 vocabulary is used.  Every Baum-Welch round is one pass over the class
 sequences (four bytes a token); its counts are summed in Spark and are at most as
 many as states times classes.  A task runs the recursions of about a million tokens
-in step, sorted by length.  A text of ``LONG`` tokens is cut into pieces that run in
+in step, sorted by length, rescaled every few tokens; scoring keeps no variables
+of past tokens.  A text of ``LONG`` tokens is cut into pieces that run in
 step too: a piece's product of moves and emissions, from every state, carries the
 forward and backward variables over it, so nothing changes but the order of sums.
 """
@@ -46,6 +47,8 @@ CLASSES = LISTED + SHARED + 1  # at most
 STEP_TOKENS = 1 << 20
 LONG, PIECE = 1 << 14, 1 << 10
 MERGE_ROWS = 1 << 20
+#: Steps between rescalings of the recursions: a step's chances of 1e-30 stay within range.
+RESCALE = 8
 
 _U = np.uint64
 END = np.int64(0x454E44)  # the end mark's key in the count table
@@ -207,48 +210,56 @@ class Steps:
         self.live = np.bincount(t)
         self.base = np.concatenate([[0], np.cumsum(self.live)])
         self.cls = np.zeros(len(doc), np.int64)
-        self.doc = np.zeros(len(doc), np.int64)
-        at = self.base[t] + doc
-        self.cls[at] = np.concatenate([sequences[i] for i in self.order.tolist()])
-        self.doc[at] = doc
+        doc += self.base[t]
+        self.cls[doc] = np.concatenate([sequences[i] for i in self.order.tolist()])
         self.borders = borders and Borders(*(x[self.order] for x in (borders.enter, borders.before, borders.after)))
 
-    def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scaled forward variables, the scales, and each sequence's log10 likelihood."""
-        alpha, scale = m.emit[self.cls], np.empty(len(self.cls))
-        before = self.borders.enter if self.borders else np.broadcast_to(m.start, (self.live[0], len(m.start)))
-        for t, n in enumerate(self.live.tolist()):
-            a = alpha[self.base[t]:self.base[t] + n]
-            a *= before[:n] if t == 0 else before[:n] @ m.move
-            s = a.sum(axis=1)
-            a /= s[:, None]
-            scale[self.base[t]:self.base[t] + n] = s
+    def forward(self, m: Model, keep: bool = False) -> tuple[np.ndarray | None, list[np.ndarray], np.ndarray]:
+        """Forward variables (if ``keep``, else none are held beyond a step), the scales of
+        every ``RESCALE``th step, and each sequence's log10 likelihood."""
+        live, states = self.live.tolist(), len(m.start)
+        alpha = np.empty((len(self.cls), states)) if keep else None
+        spare = [np.empty((live[0], states)) for _ in range(1 if keep else 3)]
+        like, scales, one = np.zeros(len(self.order)), [], np.ones(states)
+        before = self.borders.enter if self.borders else np.broadcast_to(m.start, (live[0], states))
+        for t, (n, after) in enumerate(zip(live, [*live[1:], 0])):
+            lo = self.base[t]
+            a = alpha[lo:lo + n] if keep else spare[1 + t % 2][:n]
+            np.take(m.emit, self.cls[lo:lo + n], axis=0, out=a, mode="clip")
+            a *= before[:n] if t == 0 else np.matmul(before[:n], m.move, out=spare[0][:n])
+            if t % RESCALE == RESCALE - 1:
+                scales.append(a @ one)
+                a /= scales[-1][:, None]
+                like[:n] += np.log10(scales[-1])
+            if after < n:
+                like[after:n] += np.log10(a[after:] @ one)
             before = a
-        like = np.zeros(len(self.order))
-        like[self.order] = np.bincount(self.doc, np.log10(scale), len(self.order))
-        return alpha, scale, like
+        out = np.empty(len(like))
+        out[self.order] = like
+        return alpha, scales, out
 
     def expected(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, moves and emissions (forward-backward); ``like`` is set to the
         sequences' log10 likelihood."""
-        alpha, scale, like = self.forward(m)
+        alpha, scales, like = self.forward(m, keep=True)
         self.like = float(like.sum())
-        seen = m.emit[self.cls]
-        seen /= scale[:, None]
-        moves = np.zeros_like(m.move)
-        ahead = None
+        moves, back, ahead = np.zeros_like(m.move), np.ascontiguousarray(m.move.T), None
+        held, *spare = (np.empty((self.live[0], len(m.start))) for _ in range(3))
         for t in range(len(self.live) - 1, -1, -1):
             lo, n = self.base[t], self.live[t]
-            a = alpha[lo:lo + n]
+            a, beta = alpha[lo:lo + n], held[:n]
             k = 0 if ahead is None else len(ahead)
-            beta = np.ones((n, len(m.start)))
-            if self.borders:
-                beta[k:] = self.borders.after[k:n]
+            if k < n:
+                beta[k:] = self.borders.after[k:n] if self.borders else 1
                 beta[k:] /= (a[k:] * beta[k:]).sum(axis=1, keepdims=True)
             if k:
                 moves += a[:k].T @ ahead
-                beta[:k] = ahead @ m.move.T
-            ahead = seen[lo:lo + n] * beta
+                np.matmul(ahead, back, out=beta[:k])
+            ahead = spare[t % 2][:n]
+            np.take(m.emit, self.cls[lo:lo + n], axis=0, out=ahead, mode="clip")
+            ahead *= beta
+            if t % RESCALE == RESCALE - 1:
+                ahead /= scales[t // RESCALE][:, None]
             a *= beta
         starts = alpha[:self.live[0]]
         if self.borders:

@@ -483,6 +483,41 @@ def test_forward_equals_enumeration_of_states():
     assert np.allclose(move, want_move) and np.allclose(emits, want_emit) and start.sum() == pytest.approx(4)
 
 
+def test_recursions_rescaled_every_few_steps_equal_those_of_every_step(monkeypatch):
+    """On rare classes as well (chances of 1e-13), and without variables of all tokens more than once."""
+    import tracemalloc
+
+    from strata.llm import lm
+    r = np.random.default_rng(6)
+    emit = r.random((50, 4)) * np.where(np.arange(50) % 2, 1, 1e-13)[:, None]
+    m = lm.Model(r.dirichlet(np.ones(4)), r.dirichlet(np.ones(4) / 4, 4) + 1e-9, emit / emit.sum(axis=0))
+    sequences = [r.integers(0, 50, n).astype(np.int32) for n in (*range(1, 40), *[700] * 300)]
+    tokens = sum(map(len, sequences))
+    like = []
+    for s in sequences:
+        a, log = m.start * m.emit[s[0]], 0.0
+        for x in s[1:]:
+            log += math.log10(a.sum())
+            a = a / a.sum() @ m.move * m.emit[x]
+        like.append(log + math.log10(a.sum()))
+    monkeypatch.setattr(lm, "RESCALE", 1)
+    want = lm.Steps(sequences).expected(m)
+    for every in (3, 8):
+        monkeypatch.setattr(lm, "RESCALE", every)
+        steps = lm.Steps(sequences)
+        tracemalloc.start()
+        got = steps.forward(m)[2]
+        scoring = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        counts = steps.expected(m)
+        training = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.allclose(got, like, rtol=1e-11, atol=0) and steps.like == pytest.approx(sum(like))
+        assert all(np.allclose(a, b, rtol=1e-8, atol=1e-9) for a, b in zip(counts, want))
+        assert counts[2].sum() == pytest.approx(tokens) and counts[1].sum() == pytest.approx(tokens - len(sequences))
+        assert scoring < 8 * tokens and training < 100 * tokens
+
+
 def test_a_long_sequence_in_pieces_equals_the_whole(monkeypatch):
     from strata.llm import lm
     monkeypatch.setattr(lm, "PIECE", 16)
