@@ -1,21 +1,26 @@
-"""Approximate nearest neighbours by inner product: an NN-descent graph and greedy search.
+"""Approximate nearest neighbours by inner product: NN-descent graphs and greedy search.
 
-The neighbour graph starts from stretches of rows that are consecutive along a
+The nodes are dealt by the hash of their id into parts that a task can hold.  A
+part's neighbour graph starts from stretches of rows that are consecutive along a
 few random projections, and is improved by rounds of NN-descent: every node's
 neighbours (and a sample of those that have it as one) are compared with each
-other, and each keeps its best ones, until a round changes hardly any.  A round is a Spark join of edges
-with vectors, a grouping by the middle node, and a merge by node.  A query then
-walks the graph: a beam of its best nodes is held, the best not yet expanded are
-replaced by their neighbours, until all held nodes are expanded.  Degree and beam
-grow with the number of nodes.
+other, and each keeps its best ones, until a round changes hardly any.  A query
+walks the graph of every part: a beam of its best nodes is held, the best not yet
+expanded are replaced by their neighbours, until all held nodes are expanded.  Its
+walk starts from its own place, where the part has it, and from nodes spread over
+the part.  Degree and beam grow with the number of nodes of a part.
 
 Scale: equal vectors are one node, with the few smallest ids that an answer can
 name, so a vector that a third of all rows share is one node and one search.
-A middle node compares at most three times the degree's members.  Candidates of a
-search travel as ids; scores are made where the vectors lie, in blocks of
-bounded size, and requests to a block are split when there are many queries.
-Graph, search and answer score the original single-precision vectors in double
-precision: near copies and very small or large vectors keep their order.
+A middle node compares at most three times the degree's members, and only pairs
+that a new edge brings together.  Vectors travel once for each pass over the
+parts (a pass makes several rounds), queries once for each part; candidates never
+leave their task.  A part has a bounded number of bytes, so there are more
+parts, not larger ones, when vectors are many.
+Graph and beam score in double precision unless the rounding of single precision
+is a small share of how scores differ, and the answer always scores the original
+single-precision vectors in double: near copies and very small or large vectors
+keep their order.
 """
 
 from __future__ import annotations
@@ -24,8 +29,8 @@ import itertools
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,11 +39,17 @@ from strata.llm.common import keep_table
 #: Least degree and beam (see ``widths``), and the share of a beam that is expanded in a round.
 DEGREE, BEAM, EXPAND = 24, 320, 5
 PROJECTIONS, STRETCH = 4, 64
-#: NN-descent ends when a round changes less than this share of the edges.
+#: NN-descent ends when a round changes the neighbours of less than this share of the nodes.
 SETTLED = 0.001
 #: Best partners that a node takes from one middle node in a round.
 PER_MIDDLE = 6
-BLOCK_NODES, LEAST_BLOCKS, BLOCK_QUERIES = 50_000, 24, 20_000
+#: A part's bytes of vectors (of 64 components at least); so many parts, if each has PART_LEAST nodes.
+PART_BYTES, LEAST_PARTS, PART_LEAST = 25_600_000, 12, 4096
+BLOCK_QUERIES = 20_000
+#: Single precision serves where its rounding is less than this share of the scores' spread.
+FINE = 0.001
+#: Numbers that a step of the pairs, and edges that a step of the merge, hold at once.
+PAIRS, MERGED = 3_000_000, 2_000_000
 
 
 def widths(n: int) -> tuple[int, int]:
@@ -69,223 +80,341 @@ def _pack(batches):
                                              ["node", "vec", "raw"])
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1).astype(np.float64)
-
-
-def _best_pairs(ids: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int):
-    """For each row its ``keep`` best partners in the group that beat ``least``."""
-    s = x @ x.T
-    np.fill_diagonal(s, -np.inf)
-    s[s <= least[:, None]] = -np.inf
-    keep = min(keep, len(ids) - 1)
-    best = np.argpartition(-s, keep - 1, axis=1)[:, :keep]
-    row = np.repeat(np.arange(len(ids)), keep)
-    best = best.ravel()
-    ok = np.isfinite(s[row, best])
-    return ids[row[ok]], ids[best[ok]], s[row[ok], best[ok]]
-
-
-def _edge_batch(found):
-    a, c, s = (np.concatenate(x) for x in zip(*found))
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(s)], ["a", "c", "s"])
-
-
-def _stretches(size: int, keep: int):
+class Space:
+    """The vectors of one part: rows by rising node id.  Scores are made in single
+    precision where its rounding is a small share of how scores differ, else in double."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        order = np.argsort(ids)
+        self.ids, self.raw = ids[order], x[order]
+        n, d = self.raw.shape
+        wide = self.raw.astype(np.float64)
+        norm = np.sqrt((wide * wide).sum(axis=1))
+        some = np.unique(np.linspace(0, n - 1, min(n, 256)).astype(np.int64))
+        with np.errstate(all="ignore"):  # what is not a number means double
+            low, high = np.percentile(wide[some] / norm[some, None] @ wide[some].T, [25, 75])
+            rounding = d * 1.2e-7 * norm.max() + d * 1e-37 / norm.min()
+            self.x = self.raw if rounding < FINE * (high - low) and norm.max() < 1e18 else wide
+
+    def lookup(self, nodes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ids, nodes)
+
+    def exact(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Inner products in double precision, summed component by component."""
+        return np.cumsum(self.raw[at].astype(np.float64) * query.astype(np.float64), axis=1)[:, -1]
+
+
+class Graph:
+    """The ``degree`` best neighbours known of each row of a space: ``near`` (rows by
+    falling score ``s``; ``n`` where there are fewer) and ``fresh``, the edges whose
+    pairs have not been compared yet."""
+
+    def __init__(self, space: Space, degree: int):
+        n = len(space.ids)
+        self.space, self.degree = space, degree
+        self.near = np.full((n, degree), n, np.int32)
+        self.s = np.full((n, degree), -np.inf, space.x.dtype)
+        self.fresh = np.zeros((n, degree), bool)
+
+    @property
+    def held(self) -> np.ndarray:
+        return self.near < len(self.near)
+
+    def fill(self, a: np.ndarray, c: np.ndarray, fresh: np.ndarray) -> None:
+        """The edges of a graph that was written; at most ``degree`` a row."""
+        x, s = self.space.x, np.empty(len(a), self.s.dtype)
+        for at in range(0, len(a), 1 << 17):
+            part = slice(at, at + (1 << 17))
+            s[part] = np.einsum("ij,ij->i", x[a[part]], x[c[part]])
+        order = np.lexsort((c, -s, a))
+        a, c, s, fresh = (z[order] for z in (a, c, s, fresh))
+        count = np.bincount(a, minlength=len(self.near))
+        place = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        self.near[a, place], self.s[a, place], self.fresh[a, place] = c, s, fresh
+
+    def add(self, a: np.ndarray, c: np.ndarray, s: np.ndarray) -> None:
+        """Merge found edges: each row keeps its best distinct ones; a held edge stays
+        as it is when it is found again."""
+        n, degree = self.near.shape
+        for at in range(0, len(a), MERGED):  # bounds the memory of the merge
+            part = slice(at, at + MERGED)
+            ok = (s[part] > self.s[a[part], -1])
+            b, d, t = a[part][ok], c[part][ok], s[part][ok]
+            known = (self.near[b] == d[:, None]).any(axis=1)
+            pair = b[~known].astype(np.int64) * n + d[~known]
+            pair, first = np.unique(pair, return_index=True)
+            if not len(pair):
+                continue
+            b, d, t = pair // n, (pair % n).astype(np.int32), t[~known][first]
+            start = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+            order = np.lexsort((d, -t, b))
+            d, t = d[order], t[order]  # b is as before
+            count = np.diff(np.append(start, len(b)))
+            place = np.arange(len(b)) - np.repeat(start, count)
+            best = place < degree
+            row, rows = np.repeat(np.arange(len(start)), count)[best], b[start]
+            width = degree + min(degree, int(count.max()))
+            near = np.full((len(rows), width), n, np.int32)
+            score = np.full((len(rows), width), -np.inf, self.s.dtype)
+            fresh = np.zeros((len(rows), width), bool)
+            near[:, :degree], score[:, :degree], fresh[:, :degree] = self.near[rows], self.s[rows], self.fresh[rows]
+            to = degree + place[best]
+            near[row, to], score[row, to], fresh[row, to] = d[best], t[best], True
+            keep = np.argsort(-score, axis=1, kind="stable")[:, :degree]
+            self.near[rows], self.s[rows], self.fresh[rows] = (np.take_along_axis(x, keep, 1) for x in (near, score, fresh))
+
+    def members(self, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each row its neighbours and a sample of up to twice the degree of those it is
+        a neighbour of: members by row, those by a fresh edge first, ``n`` behind them;
+        how many there are, and how many of them by a fresh edge."""
+        n, degree = self.near.shape
+        a = np.repeat(np.arange(n, dtype=np.int32), degree)
+        c, fresh = self.near.ravel(), self.fresh.ravel()
+        mixed = np.random.default_rng(salt + 1).permutation(len(a)).astype(np.int32)
+        mixed = mixed[c[mixed] < n]
+        mixed = mixed[np.argsort(c[mixed], kind="stable")]
+        count = np.bincount(c[mixed], minlength=n)
+        place = np.arange(len(mixed)) - np.repeat(np.cumsum(count) - count, count)
+        mixed, place = mixed[place < 2 * degree], place[place < 2 * degree]
+        key = np.full((n, degree + min(2 * degree, int(count.max(initial=0)))), 2 * n + 1, np.int32)
+        key[:, :degree] = np.where(self.held, self.near * 2 + ~self.fresh, 2 * n + 1)
+        key[c[mixed], degree + place] = a[mixed] * 2 + ~fresh[mixed]
+        key.sort(axis=1)  # a member by a fresh edge comes before itself by another
+        key[:, 1:][key[:, 1:] >> 1 == key[:, :-1] >> 1] = 2 * n + 1
+        found = key < 2 * n
+        key = np.where(found, (key >> 1) + np.where(key & 1, n + 1, 0), 2 * n + 1).astype(np.int32)
+        key.sort(axis=1)
+        total, first = found.sum(axis=1), (key < n).sum(axis=1)
+        key = np.where(key > n, key - (n + 1), key)
+        return np.ascontiguousarray(key[:, :max(1, total.max(initial=0))]), total, first
+
+
+def _start(graph: Graph) -> None:
+    """Stretches of rows that are consecutive along a few random directions."""
+    space, (n, d) = graph.space, graph.space.raw.shape
+    for i in range(PROJECTIONS):
+        order = np.argsort(space.x @ np.random.default_rng(i).normal(size=d).astype(space.x.dtype), kind="stable")
+        at = np.arange(0, max(1, n - STRETCH // 2), STRETCH // 2)  # half overlapping
+        rows = np.append(order, np.full(STRETCH, n)).astype(np.int32)[at[:, None] + np.arange(STRETCH)]
+        step = max(1, PAIRS // (STRETCH * max(STRETCH, d)))
+        for some in (rows[j:j + step] for j in range(0, len(rows), step)):
+            total = (some < n).sum(axis=1)
+            graph.add(*_pairs(graph, some, total, total, graph.degree))
+
+
+def _pairs(graph: Graph, members: np.ndarray, total: np.ndarray, first: np.ndarray, keep: int):
+    """Pairs of the members of each group, one of them among its ``first``, that beat what
+    a member holds: for each member its ``keep`` best partners."""
+    n, x = len(graph.near), graph.space.x
+    most, lead = int(total.max()), int(first.max())
+    ids = members[:, :most]
+    safe = np.minimum(ids, n - 1)
+    y = x[safe]
+    s = y[:, :lead] @ y.transpose(0, 2, 1)
+    least = np.where(ids < n, graph.s[safe, -1], np.inf)
+    one = np.arange(lead) < first[:, None]
+    s[~one] = -np.inf
+    s[np.broadcast_to((np.arange(most) >= total[:, None])[:, None, :], s.shape)] = -np.inf
+    s[:, np.arange(lead), np.arange(lead)] = -np.inf
+    found = []
+    for t, mine, other, mark in ((s, ids[:, :lead], ids, least[:, :lead]), (s.transpose(0, 2, 1), ids, ids[:, :lead], least)):
+        hit = t > mark[:, :, None]
+        if t is not s:
+            hit[:, :lead][one] = False  # both among the first: found above
+        count = np.count_nonzero(hit)
+        if count > hit.shape[0] * hit.shape[1] * keep // 2 and keep < hit.shape[2]:
+            t = np.where(hit, t, -np.inf)
+            best = np.argpartition(t, hit.shape[2] - keep, axis=2)[:, :, -keep:]
+            g, i, j = np.nonzero(np.take_along_axis(hit, best, 2))
+            j = best[g, i, j]
+        else:
+            g, i, j = np.nonzero(hit)
+        found.append((mine[g, i], other[g, j], t[g, i, j]))
+    return [np.concatenate(z) for z in zip(*found)]
+
+
+def _descend(graph: Graph, rounds: int, settled: float, salt: int) -> None:
+    """Rounds of NN-descent, until one changes at most a share ``settled`` of the rows.
+    Pairs of which neither came since they were members together are not compared again."""
+    d = graph.space.raw.shape[1]
+    for i in range(rounds):
+        members, total, first = graph.members(salt + i)
+        graph.fresh[:] = False
+        order = np.lexsort((total, first))
+        order = order[(first > 0)[order] & (total > 1)[order]]
+        at = 0
+        while at < len(order):
+            most = int(total[order[at:at + 1024]].max())
+            some = order[at:at + max(16, min(1024, PAIRS // (most * max(most, d))))]
+            at += len(some)
+            graph.add(*_pairs(graph, members[some], total[some], first[some], PER_MIDDLE))
+        if np.count_nonzero(graph.fresh.any(axis=1)) <= settled * len(graph.near):
+            return
+
+
+def _walk(space: Space, near: np.ndarray, starts: np.ndarray, query: np.ndarray, beam: int, expand: int):
+    """Greedy search: the ``beam`` best rows found, once all of them are expanded."""
+    n = len(space.ids)
+    q = query.astype(space.x.dtype)
+    seen = np.zeros(n + 1, bool)
+    ids, s, done = np.zeros(0, np.int64), np.zeros(0, q.dtype), np.zeros(0, bool)
+    fresh = np.zeros(n + 1, bool)
+    fresh[starts] = True
+    while True:
+        fresh[n] = False
+        fresh &= ~seen
+        seen |= fresh
+        new = np.flatnonzero(fresh)
+        t = space.x.take(new, axis=0) @ q
+        if len(ids) == beam:
+            better = t >= s[-1]
+            new, t = new[better], t[better]
+        ids, s, done = np.concatenate([ids, new]), np.concatenate([s, t]), np.concatenate([done, np.zeros(len(new), bool)])
+        if len(ids) > 2 * beam:
+            top = np.argpartition(s, len(s) - beam)[len(s) - beam:]
+            top = np.flatnonzero(s >= s[top].min())
+            ids, s, done = ids[top], s[top], done[top]
+        order = np.argsort(-s)
+        if (s[order[1:]] == s[order[:-1]]).any():  # ties to the smaller id
+            order = np.lexsort((ids, -s))
+        order = order[:beam]
+        ids, s, done = ids[order], s[order], done[order]
+        pick = np.flatnonzero(~done)[:expand]
+        if not len(pick):
+            return ids
+        done[pick] = True
+        fresh = np.zeros(n + 1, bool)
+        fresh[near[ids[pick]]] = True
+
+
+def _vectors(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1)
+
+
+def _by_kind(batches) -> list[pa.Table]:
+    """The rows of a part: its nodes, edges and queries."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return []
+    rows = pa.Table.from_batches(batches)
+    return [rows.filter(pc.equal(rows.column("kind"), kind)).combine_chunks() for kind in (NODE, EDGES, QUERY)]
+
+
+def _read(nodes: pa.Table, edges: pa.Table, degree: int) -> Graph:
+    space = Space(nodes.column("node").to_numpy(), _vectors(nodes.column("raw")))
+    graph = Graph(space, degree)
+    if edges.num_rows:
+        near = edges.column("near").combine_chunks()
+        size = pc.list_value_length(near).to_numpy()
+        graph.fill(np.repeat(space.lookup(edges.column("node").to_numpy()), size),
+                   space.lookup(near.flatten().to_numpy()),
+                   np.repeat(edges.column("new").to_numpy(), size))
+    return graph
+
+
+def _rows(graph: Graph):
+    """``(a, near, new)``: of each node the old edges and the new ones, by falling score."""
+    ids = graph.space.ids
+    for new in (False, True):
+        for at in range(0, len(ids), OUT_ROWS):
+            rows = slice(at, at + OUT_ROWS)
+            held = graph.held[rows] & (graph.fresh[rows] == new)
+            size = held.sum(axis=1)
+            some = size > 0
+            if some.any():
+                cuts = np.concatenate([[0], np.cumsum(size[some])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[rows][some]), pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids[graph.near[rows][held]])),
+                     pa.array(np.full(int(some.sum()), new))], ["a", "near", "new"])
+
+
+def _improve(degree: int, rounds: int, settled: float, salt: int):
     def run(batches):
-        for batch in batches:
-            ids, x = batch.column("node").to_numpy(), _matrix(batch.column("raw")) if batch.num_rows else None
-            found = []
-            for at in range(0, len(ids), size // 2):  # half overlapping
-                part = slice(at, at + size)
-                if len(ids[part]) > 1:
-                    found.append(_best_pairs(ids[part], x[part], np.full(len(ids[part]), -np.inf), keep))
-            if found:
-                yield _edge_batch(found)
+        tables = _by_kind(batches)
+        if tables:
+            graph = _read(tables[0], tables[1], degree)
+            if not tables[1].num_rows:
+                _start(graph)
+            _descend(graph, rounds, settled, salt)
+            yield from _rows(graph)
     return run
 
 
-def _middles(keep: int):
-    """Pairs among the members of each middle node; rows come sorted by it."""
+def _answer(degree: int, beam: int, keep: int):
     def run(batches):
-        rest = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            middle = t.column("v").to_numpy()
-            cuts = np.flatnonzero(np.diff(middle)) + 1
-            end = int(cuts[-1]) if len(cuts) else 0
-            yield from _middle_groups(t.slice(0, end), keep)
-            rest = t.slice(end)
-        if rest is not None and rest.num_rows:
-            yield from _middle_groups(rest, keep)
+        tables = _by_kind(batches)
+        if not tables or not tables[0].num_rows or not tables[2].num_rows:
+            return
+        graph = _read(tables[0], tables[1], degree)
+        space, near = graph.space, graph.members(-1)[0]
+        n = len(space.ids)
+        starts = np.unique(np.linspace(0, n - 1, min(n, beam)).astype(np.int64))
+        for batch in tables[2].to_batches(max_chunksize=1024):
+            out = []
+            for query, vec in zip(batch.column("node").to_numpy(), _vectors(batch.column("raw"))):
+                own = int(space.lookup(query))
+                at = np.append(starts, own) if own < n and space.ids[own] == query else starts
+                found = _walk(space, near, at, vec, beam, math.ceil(beam / EXPAND))
+                score = space.exact(found, vec)
+                best = np.lexsort((found, -score))[:keep]
+                out.append((np.full(len(best), query), space.ids[found[best]], score[best]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query", "id", "score"])
     return run
 
 
-def _middle_groups(t: pa.Table, keep: int):
-    if not t.num_rows:
-        return
-    t = t.combine_chunks()
-    middle, ids = t.column("v").to_numpy(), t.column("m").to_numpy()
-    least, x = t.column("least").to_numpy(), _matrix(t.column("raw"))
-    cuts = [0, *(np.flatnonzero(np.diff(middle)) + 1).tolist(), len(middle)]
-    found = [_best_pairs(ids[a:b], x[a:b], least[a:b], keep) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
-    if found:
-        yield _edge_batch(found)
+#: Kinds of rows that meet in a part, and rows of a graph that leave it at once.
+NODE, EDGES, QUERY, OUT_ROWS = 0, 1, 2, 4096
 
 
-EDGE = ["a", "c", "s", "new"]
+def parts_of(nodes: DataFrame) -> tuple[int, int]:
+    """How many nodes there are, and how many parts they are dealt into."""
+    row = nodes.agg(F.count("*").alias("n"), F.max(F.octet_length("raw")).alias("bytes")).first()
+    return row["n"], max(1, min(LEAST_PARTS, math.ceil(row["n"] / PART_LEAST)),
+                         math.ceil(row["n"] * max(256, row["bytes"] or 0) / PART_BYTES))
 
 
-def _first_distinct(keep: int):
-    """The ``keep`` best distinct ``c`` of each ``a`` by falling s, then c; rows come
-    sorted by a.  A pair's scores differ in the last bits between groups, so
-    pairs are told by their ids; a held edge stays when it is found again."""
-    def best(a, c, s, new):
-        order = np.lexsort((new, c, a))
-        a, c, s, new = (x[order] for x in (a, c, s, new))
-        fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
-        a, c, s, new = (x[fresh] for x in (a, c, s, new))
-        order = np.lexsort((c, -s, a))
-        a, c, s, new = (x[order] for x in (a, c, s, new))
-        start = np.concatenate([[True], a[1:] != a[:-1]])
-        place = np.arange(len(a)) - np.maximum.accumulate(np.where(start, np.arange(len(a)), 0))
-        return [x[place < keep] for x in (a, c, s, new)]
+def _dealt(rows: DataFrame, parts: int, kind: int, **columns) -> DataFrame:
+    """``rows`` with their part and the columns of all kinds."""
+    null = {"raw": "binary", "near": "array<long>", "new": "boolean"}
+    part = columns.pop("part", F.pmod(F.xxhash64(columns["node"]), F.lit(parts)).cast("int"))
+    return rows.select(part.alias("part"), F.lit(kind).alias("kind"), columns["node"].alias("node"),
+                       *(columns.get(c, F.lit(None).cast(t)).alias(c) for c, t in null.items()))
 
-    def run(batches):
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [batch.column(x).to_numpy(zero_copy_only=False) for x in EDGE]
-            if rest is not None:
-                rows = [np.concatenate(x) for x in zip(rest, rows)]
-            rows = best(*rows)
-            end = int(np.searchsorted(rows[0], rows[0][-1]))
-            rest = [x[end:] for x in rows]  # a node's rows so far: at most ``keep``
-            if end:
-                yield pa.RecordBatch.from_arrays([pa.array(x[:end]) for x in rows], EDGE)
-        if rest is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rest], EDGE)
-    return run
-
-
-def _merge(found: DataFrame, degree: int, held: DataFrame | None = None) -> DataFrame:
-    edges = found.withColumn("new", F.lit(True))
-    if held is not None:
-        edges = edges.union(held.select("a", "c", "s", F.lit(False).alias("new")))
-    rows = edges.repartition("a").sortWithinPartitions("a")
-    return keep_table(rows.mapInArrow(_first_distinct(degree), "a long, c long, s double, new boolean"), "graph")
 
+def _node_rows(nodes: DataFrame, graph: DataFrame | None, parts: int) -> DataFrame:
+    rows = _dealt(nodes, parts, NODE, node=F.col("node"), raw=F.col("raw"))
+    if graph is None:
+        return rows
+    return rows.union(_dealt(graph, parts, EDGES, node=F.col("a"), near=F.col("near"), new=F.col("new")))
 
-def members(graph: DataFrame, degree: int, salt: int) -> DataFrame:
-    """``(v, m)``: each node's neighbours and a sample of up to twice
-    ``degree`` of those it is a neighbour of."""
-    order = Window.partitionBy("c").orderBy(F.xxhash64("a", "c", F.lit(salt)))
-    back = (graph.withColumn("r", F.row_number().over(order)).where(F.col("r") <= 2 * degree)
-            .select(F.col("c").alias("v"), F.col("a").alias("m")))
-    return graph.select(F.col("a").alias("v"), F.col("c").alias("m")).union(back).distinct()
 
-
-def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SETTLED) -> DataFrame:
-    """NN-descent over ``nodes(node, vec, raw)``: ``(a, c, s, new)``, ``new`` the
-    edges that the last round brought."""
-    found = None
-    for i in range(PROJECTIONS):
-        # A random direction, by component: the hash of its place.
-        line = F.aggregate(F.transform("vec", lambda x, k: x * (F.pmod(F.xxhash64(k, F.lit(i)), F.lit(2001)) - 1000)),
-                           F.lit(0.0), lambda a, b: a + b)
-        rows = nodes.select("node", "raw", line.alias("line")).repartitionByRange("line").sortWithinPartitions("line")
-        one = rows.select("node", "raw").mapInArrow(_stretches(STRETCH, degree), "a long, c long, s double")
-        found = one if found is None else found.union(one)
-    graph = _merge(found, degree)
-    for i in itertools.count():
-        least = graph.groupBy("a").agg(F.min("s").alias("least"), F.count("*").alias("n"))
-        state = nodes.select(F.col("node").alias("m"), "raw").join(
-            least.select(F.col("a").alias("m"), F.when(F.col("n") < degree, F.lit(float("-inf"))).otherwise(
-                F.col("least")).cast("double").alias("least")), "m")
-        rows = members(graph, degree, i).join(state, "m").select("v", "m", "raw", "least")
-        pairs = rows.repartition("v").sortWithinPartitions("v", "m").mapInArrow(_middles(PER_MIDDLE), "a long, c long, s double")
-        graph = _merge(pairs, degree, graph)
+def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SETTLED, parts: int | None = None) -> DataFrame:
+    """NN-descent over ``nodes(node, raw)``, each part on its own: ``(a, near, new)``, a row for
+    a node's old edges and one for those that the last round brought."""
+    parts = parts or parts_of(nodes)[1]
+    graph = None
+    for i in itertools.count():  # the first passes are short: the start is far from settled
+        rows = _node_rows(nodes, graph, parts).repartitionById(parts, F.col("part"))
+        graph = keep_table(rows.mapInArrow(_improve(degree, 1 << i, settled, i << 20), "a long, near array<long>, new boolean"), "graph")
         if graph.where("new").count() <= settled * graph.count():
             return graph
 
 
-def _score_block(requests: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-    """Scores of requested candidates where their vectors lie."""
-    if not len(requests) or not len(block):
-        return pd.DataFrame({"query": [], "id": [], "s": []}).astype({"query": "int64", "id": "int64", "s": "float64"})
-    order = np.argsort(block["node"].to_numpy())
-    ids = block["node"].to_numpy()[order]
-    x = np.frombuffer(b"".join(block["raw"]), np.float32).reshape(len(ids), -1)[order]
-    out = []
-    for query, raw, wanted in zip(requests["query"], requests["raw"], requests["ids"]):
-        q = np.frombuffer(raw, np.float32).astype(np.float64)
-        at = np.searchsorted(ids, wanted)
-        out.append((np.full(len(at), query), ids[at], (x[at] * q).sum(axis=1)))
-    query, found, s = (np.concatenate(c) for c in zip(*out))
-    return pd.DataFrame({"query": query, "id": found, "s": s})
-
-
-def _hold(beam: int, expand: int):
-    """The ``beam`` best distinct nodes per query, and which to expand next; rows
-    come sorted by query, falling score, id, and expanded first.  A query holds
-    at most its beam and one round's candidates."""
-    def of_query(ids, s, done):
-        _, first = np.unique(ids, return_index=True)
-        keep = np.sort(first)[:beam]
-        done = done[keep]
-        pick = np.zeros(len(keep), bool)
-        pick[np.flatnonzero(~done)[:expand]] = True
-        return ids[keep], s[keep], done, pick
-
-    def run(batches):
-        rest = None
-        for batch in [*batches, None]:
-            t = rest if batch is None else (pa.Table.from_batches([batch]) if rest is None else
-                                            pa.concat_tables([rest, pa.Table.from_batches([batch])]))
-            if t is None or not t.num_rows:
-                continue
-            query = t.column("query").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(query)) + 1).tolist()]
-            if batch is None:
-                cuts.append(len(query))
-            ids, s, done = (t.column(c).to_numpy() for c in ("id", "s", "done"))
-            out = [(np.full(beam, query[a]), *of_query(ids[a:b], s[a:b], done[a:b])) for a, b in zip(cuts, cuts[1:])]
-            rest = t.slice(cuts[-1])
-            if out:
-                cols = [np.concatenate([o[0][:len(o[1])] for o in out]), *(np.concatenate(c) for c in list(zip(*out))[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["query", "id", "s", "done", "pick"])
-    return run
-
-
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, degree: int = DEGREE, beam: int = BEAM) -> DataFrame:
-    """Greedy search from each query node's own place in the graph: ``(query, id, s)``."""
-    n, q = nodes.count(), queries.count()
-    blocks = max(LEAST_BLOCKS, math.ceil(n / BLOCK_NODES))
-    splits = max(1, math.ceil(q / BLOCK_QUERIES))
-    near = keep_table(members(graph, degree, -1).groupBy("v").agg(F.collect_list("m").alias("near")), "adjacency")
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, keep: int, degree: int = DEGREE, beam: int = BEAM,
+           parts: int | None = None) -> DataFrame:
+    """Greedy search of each query node in the graph of every part: ``(query, id, score)``,
+    the ``keep`` best of each part."""
+    parts = parts or parts_of(nodes)[1]
+    splits = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
+    split = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
+    held = (_node_rows(nodes, graph, parts).withColumn("split", split)
+            .withColumn("part", F.col("part") * splits + F.col("split")).drop("split"))
     own = nodes.select(F.col("node").alias("query"), "raw").join(queries, "query")
-    own = keep_table(own, "query-vectors")
-    stored = nodes.select(F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), "node", "raw",
-                          F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split"))
-    state, wanted = None, queries.select("query", F.col("query").alias("id"))
-    while True:
-        asked = wanted.join(near, F.col("id") == F.col("v")).select("query", F.explode("near").alias("id"))
-        if state is None:
-            asked = asked.union(wanted)
-        packed = (asked.distinct().groupBy("query", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-                  .agg(F.sort_array(F.collect_list("id")).alias("ids")).join(own, "query")
-                  .withColumn("split", F.pmod(F.xxhash64("query"), F.lit(splits)).cast("int")))
-        fresh = (packed.groupBy("block", "split").cogroup(stored.groupBy("block", "split"))
-                 .applyInPandas(_score_block, "query long, id long, s double")
-                 .withColumn("done", F.lit(False)))
-        if state is not None:
-            fresh = fresh.union(state.select("query", "id", "s", F.expr("done OR pick")))
-        rows = fresh.repartition("query").sortWithinPartitions("query", F.desc("s"), "id", F.desc("done"))
-        state = keep_table(rows.mapInArrow(_hold(beam, math.ceil(beam / EXPAND)), "query long, id long, s double, done boolean, pick boolean"), "beam")
-        wanted = state.where("pick").select("query", "id")
-        if wanted.isEmpty():
-            return state.select("query", "id", "s")
+    asked = own.select("query", "raw", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"))
+    asked = _dealt(asked, parts, QUERY, node=F.col("query"), raw=F.col("raw"),
+                   part=F.col("p") * splits + F.pmod(F.xxhash64("query", F.lit(1)), F.lit(splits)).cast("int"))
+    rows = held.union(asked).repartitionById(parts * splits, F.col("part"))
+    return keep_table(rows.mapInArrow(_answer(degree, beam, keep), "query long, id long, score double"), "found")
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -298,17 +427,16 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     first = alike.where("r = 1").select("key", F.col("vec_id").alias("node"))
     alike = keep_table(alike.select("key", "vec_id").join(first, "key").select("node", "vec_id"), "alike")
     nodes = rows.join(first.select("node"), F.col("vec_id") == F.col("node"), "left_semi").select(F.col("vec_id").alias("node"), "vec")
-    nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, raw binary"), "nodes")
+    nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, raw binary").select("node", "raw"), "nodes")
     asked = keep_table(rows.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id"))
                        .join(first, "key").select("query_id", F.col("node").alias("query")), "queries")
-    degree, beam = widths(nodes.count())
-    found = search(neighbour_graph(nodes, degree), nodes, asked.select("query").distinct(), degree, beam)
-    # Exact scores on the original vectors, then the ids that share them.
-    vec = nodes.select("node", "vec")
-    pairs = (found.select("query", "id").join(vec.select(F.col("node").alias("id"), F.col("vec").alias("y")), "id")
-             .join(vec.select(F.col("node").alias("query"), F.col("vec").alias("x")), "query"))
-    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, b: a + b)
-    scored = pairs.select("query", "id", dot.alias("score")).join(alike, F.col("id") == F.col("node")).select("query", "vec_id", "score")
+    n, parts = parts_of(nodes)
+    degree, beam = widths(math.ceil(n / parts))
+    found = search(neighbour_graph(nodes, degree, parts=parts), nodes, asked.select("query").distinct(), k + 1, degree, beam, parts)
+    # The best nodes, then the ids that share their vectors.
+    few = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    scored = (found.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1)
+              .join(alike, F.col("id") == F.col("node")).select("query", "vec_id", "score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     short = scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
     answer = asked.join(short, "query").where("vec_id <> query_id")

@@ -263,6 +263,41 @@ def test_graph_is_built_until_it_settles(spark, documents, monkeypatch):
     assert sizes[:2] == [(24, 320)] * 2 and sizes[2] < sizes[3] and sizes[2][1] > 320
 
 
+def test_edges_and_candidates_do_not_travel_one_by_one(spark, documents, monkeypatch):
+    """What is written between the steps is a few rows a node and a query, in every round."""
+    from strata.llm import neighbours
+    kept = []
+
+    def keep(df, name, real=neighbours.keep_table):
+        out = real(df, name)
+        kept.append(out.count())
+        return out
+    monkeypatch.setattr(neighbours, "keep_table", keep)
+    x = np.random.default_rng(5).normal(size=(2000, 16)).astype(np.float32)
+    got = neighbours.nearest(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>"))
+    assert got.count() == 100 * 20
+    assert max(kept) <= 2 * 2000 + 100 * 21
+
+
+def test_recall_over_many_parts_and_portions(spark, documents, monkeypatch):
+    """Every part is searched for every query, whatever portion the query is in."""
+    from strata.llm import neighbours
+    monkeypatch.setattr(neighbours, "PART_LEAST", 150)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 40)
+    monkeypatch.setattr(neighbours, "BEAM", 40)
+    x = np.random.default_rng(9).normal(size=(1600, 24)).astype(np.float32)
+    rows = list(enumerate(x.tolist()))
+    want = brute_nearest(rows, 20, 20)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert neighbours.parts_of(df.select(F.col("vec_id").alias("node"), F.lit(b"0" * 96).alias("raw"))) == (1600, 11)
+    got = {}
+    for r in neighbours.nearest(df).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert got.keys() == want.keys()
+    assert all(np.isclose(got[q][i], s) for q in want for i, s in want[q] if i in got[q])
+    assert sum(len(got[q].keys() & {i for i, _ in want[q]}) for q in want) / (20 * len(want)) >= 0.9
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_take_effect(spark, documents):
