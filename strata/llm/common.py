@@ -128,7 +128,31 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_path = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete what ``keep_table`` wrote for ``df``, which nothing reads any more."""
+    path = vars(df).get("_kept_path")
+    if path is not None:
+        sc = df.sparkSession.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Within it, a job's shuffle files go as soon as it ends: for jobs whose results are
+    kept as tables.  The session's own setting is put back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 @contextmanager

@@ -7,8 +7,10 @@ neighbours (and a sample of those that have it as one) are compared with each
 other, and each keeps its best ones, until a round changes hardly any.  A query
 walks the graph of every part: a beam of its best nodes is held, the best not yet
 expanded are replaced by their neighbours, until all held nodes are expanded.  Its
-walk starts from its own place, where the part has it, and from nodes spread over
-the part.  Degree and beam grow with the number of nodes of a part.
+walk starts from its own place, where the part has it, and from the best of some
+nodes spread over the part.  The degree grows with the number of nodes of a part;
+the beams of all parts together are at least what ``widths`` says for all nodes,
+and each is at least ``BEAM``.
 
 Scale: equal vectors are one node, with the few smallest ids that an answer can
 name, so a vector that a third of all rows share is one node and one search.
@@ -34,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep_table
+from strata.llm.common import drop_table, freed_shuffles, keep_table
 
 #: Least degree and beam (see ``widths``), and the share of a beam that is expanded in a round.
 DEGREE, BEAM, EXPAND = 24, 320, 5
@@ -45,7 +47,10 @@ SETTLED = 0.001
 PER_MIDDLE = 6
 #: A part's bytes of vectors (of 64 components at least); so many parts, if each has PART_LEAST nodes.
 PART_BYTES, LEAST_PARTS, PART_LEAST = 25_600_000, 12, 4096
-BLOCK_QUERIES = 20_000
+#: A search task's queries at most.
+BLOCK_QUERIES = 100_000
+#: A walk starts from the best of so many times the beam's nodes.
+STARTS = 8
 #: Single precision serves where its rounding is less than this share of the scores' spread.
 FINE = 0.001
 #: Numbers that a step of the pairs, and edges that a step of the merge, hold at once.
@@ -93,15 +98,24 @@ class Space:
         some = np.unique(np.linspace(0, n - 1, min(n, 256)).astype(np.int64))
         with np.errstate(all="ignore"):  # what is not a number means double
             low, high = np.percentile(wide[some] / norm[some, None] @ wide[some].T, [25, 75])
-            rounding = d * 1.2e-7 * norm.max() + d * 1e-37 / norm.min()
-            self.x = self.raw if rounding < FINE * (high - low) and norm.max() < 1e18 else wide
+            #: What a score is off by at most, as a share of the other vector's length.
+            self.rounding = d * 1.2e-7 * norm.max() + d * 1e-37 / norm.min()
+            self.x = self.raw if self.rounding < FINE * (high - low) and norm.max() < 1e18 else wide
+            if self.x is wide:
+                self.rounding = d * 2.3e-16 * norm.max()
 
     def lookup(self, nodes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ids, nodes)
 
-    def exact(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Inner products in double precision, summed component by component."""
-        return np.cumsum(self.raw[at].astype(np.float64) * query.astype(np.float64), axis=1)[:, -1]
+    def best(self, at: np.ndarray, s: np.ndarray, query: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``keep`` best of the rows ``at``, which come by falling score ``s``, with their inner
+        products in double precision, summed component by component; ties to the smaller id."""
+        query = query.astype(np.float64)
+        if len(at) > keep:
+            at = at[s >= s[keep - 1] - 2 * self.rounding * np.sqrt(query @ query)]
+        score = np.cumsum(self.raw[at].astype(np.float64) * query, axis=1)[:, -1]
+        order = np.lexsort((at, -score))[:keep]
+        return at[order], score[order]
 
 
 class Graph:
@@ -126,7 +140,7 @@ class Graph:
         for at in range(0, len(a), 1 << 17):
             part = slice(at, at + (1 << 17))
             s[part] = np.einsum("ij,ij->i", x[a[part]], x[c[part]])
-        order = np.lexsort((c, -s, a))
+        order = _by_score(a, s)
         a, c, s, fresh = (z[order] for z in (a, c, s, fresh))
         count = np.bincount(a, minlength=len(self.near))
         place = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
@@ -138,20 +152,22 @@ class Graph:
         n, degree = self.near.shape
         for at in range(0, len(a), MERGED):  # bounds the memory of the merge
             part = slice(at, at + MERGED)
-            ok = (s[part] > self.s[a[part], -1])
+            ok = np.flatnonzero(s[part] > self.s[a[part], -1])
             b, d, t = a[part][ok], c[part][ok], s[part][ok]
-            known = (self.near[b] == d[:, None]).any(axis=1)
-            pair = b[~known].astype(np.int64) * n + d[~known]
-            pair, first = np.unique(pair, return_index=True)
-            if not len(pair):
+            ok = np.flatnonzero(~(self.near[b] == d[:, None]).any(axis=1))
+            if not len(ok):
                 continue
-            b, d, t = pair // n, (pair % n).astype(np.int32), t[~known][first]
-            start = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
-            order = np.lexsort((d, -t, b))
+            b, d, t = b[ok].astype(np.int64), d[ok], t[ok]
+            order = np.argsort(b * n + d)
+            b, d, t = b[order], d[order], t[order]
+            ok = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (d[1:] != d[:-1])]))
+            b, d, t = b[ok], d[ok], t[ok]
+            order = _by_score(b, t)
             d, t = d[order], t[order]  # b is as before
+            start = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
             count = np.diff(np.append(start, len(b)))
             place = np.arange(len(b)) - np.repeat(start, count)
-            best = place < degree
+            best = np.flatnonzero(place < degree)
             row, rows = np.repeat(np.arange(len(start)), count)[best], b[start]
             width = degree + min(degree, int(count.max()))
             near = np.full((len(rows), width), n, np.int32)
@@ -160,25 +176,35 @@ class Graph:
             near[:, :degree], score[:, :degree], fresh[:, :degree] = self.near[rows], self.s[rows], self.fresh[rows]
             to = degree + place[best]
             near[row, to], score[row, to], fresh[row, to] = d[best], t[best], True
-            keep = np.argsort(-score, axis=1, kind="stable")[:, :degree]
-            self.near[rows], self.s[rows], self.fresh[rows] = (np.take_along_axis(x, keep, 1) for x in (near, score, fresh))
-
-    def members(self, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each row its neighbours and a sample of up to twice the degree of those it is
-        a neighbour of: members by row, those by a fresh edge first, ``n`` behind them;
-        how many there are, and how many of them by a fresh edge."""
+            keep = np.argsort(-score, axis=1)[:, :degree] + np.arange(0, score.size, width)[:, None]
+            self.near[rows], self.s[rows], self.fresh[rows] = (x.ravel()[keep] for x in (near, score, fresh))
+
+    def stirred(self) -> np.ndarray:
+        """The rows that a fresh edge leaves or reaches."""
+        mark = self.fresh.any(axis=1)
+        mark[self.near[self.fresh]] = True
+        return np.flatnonzero(mark)
+
+    def members(self, salt: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each of ``rows`` its neighbours and a sample of up to twice the degree of those
+        it is a neighbour of: members by row, those by a fresh edge first, ``n`` behind
+        them; how many there are, and how many of them by a fresh edge."""
         n, degree = self.near.shape
-        a = np.repeat(np.arange(n, dtype=np.int32), degree)
-        c, fresh = self.near.ravel(), self.fresh.ravel()
-        mixed = np.random.default_rng(salt + 1).permutation(len(a)).astype(np.int32)
-        mixed = mixed[c[mixed] < n]
-        mixed = mixed[np.argsort(c[mixed], kind="stable")]
-        count = np.bincount(c[mixed], minlength=n)
-        place = np.arange(len(mixed)) - np.repeat(np.cumsum(count) - count, count)
-        mixed, place = mixed[place < 2 * degree], place[place < 2 * degree]
-        key = np.full((n, degree + min(2 * degree, int(count.max(initial=0)))), 2 * n + 1, np.int32)
-        key[:, :degree] = np.where(self.held, self.near * 2 + ~self.fresh, 2 * n + 1)
-        key[c[mixed], degree + place] = a[mixed] * 2 + ~fresh[mixed]
+        at = np.full(n + 1, -1, np.int32)
+        at[rows] = np.arange(len(rows), dtype=np.int32)
+        edge = np.flatnonzero(at[self.near.ravel()] >= 0)
+        edge = edge[np.random.default_rng(salt + 1).permutation(len(edge))]
+        c = at[self.near.ravel()[edge]]
+        order = np.argsort(c, kind="stable")
+        c, edge = c[order], edge[order]
+        count = np.bincount(c, minlength=len(rows))
+        place = np.arange(len(c)) - np.repeat(np.cumsum(count) - count, count)
+        some = np.flatnonzero(place < 2 * degree)
+        c, edge, place = c[some], edge[some], place[some]
+        key = np.full((len(rows), degree + min(2 * degree, int(count.max(initial=0)))), 2 * n + 1, np.int32)
+        near, fresh = self.near[rows], self.fresh[rows]
+        key[:, :degree] = np.where(near < n, near * 2 + ~fresh, 2 * n + 1)
+        key[c, degree + place] = edge // degree * 2 + ~self.fresh.ravel()[edge]
         key.sort(axis=1)  # a member by a fresh edge comes before itself by another
         key[:, 1:][key[:, 1:] >> 1 == key[:, :-1] >> 1] = 2 * n + 1
         found = key < 2 * n
@@ -189,6 +215,15 @@ class Graph:
         return np.ascontiguousarray(key[:, :max(1, total.max(initial=0))]), total, first
 
 
+def _by_score(a: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Order by rising ``a``, then falling ``s``."""
+    if s.dtype != np.float32:
+        return np.lexsort((-s, a))
+    bits = (s + np.float32(0)).view(np.int32)  # one zero; integers that rise with s
+    bits = bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))
+    return np.argsort((a << 32) + (0x7FFFFFFF - bits.astype(np.int64)))
+
+
 def _start(graph: Graph) -> None:
     """Stretches of rows that are consecutive along a few random directions."""
     space, (n, d) = graph.space, graph.space.raw.shape
@@ -238,7 +273,7 @@ def _descend(graph: Graph, rounds: int, settled: float, salt: int) -> None:
     Pairs of which neither came since they were members together are not compared again."""
     d = graph.space.raw.shape[1]
     for i in range(rounds):
-        members, total, first = graph.members(salt + i)
+        members, total, first = graph.members(salt + i, graph.stirred())
         graph.fresh[:] = False
         order = np.lexsort((total, first))
         order = order[(first > 0)[order] & (total > 1)[order]]
@@ -252,39 +287,60 @@ def _descend(graph: Graph, rounds: int, settled: float, salt: int) -> None:
             return
 
 
-def _walk(space: Space, near: np.ndarray, starts: np.ndarray, query: np.ndarray, beam: int, expand: int):
-    """Greedy search: the ``beam`` best rows found, once all of them are expanded."""
-    n = len(space.ids)
-    q = query.astype(space.x.dtype)
-    seen = np.zeros(n + 1, bool)
-    ids, s, done = np.zeros(0, np.int64), np.zeros(0, q.dtype), np.zeros(0, bool)
-    fresh = np.zeros(n + 1, bool)
-    fresh[starts] = True
-    while True:
-        fresh[n] = False
-        fresh &= ~seen
-        seen |= fresh
-        new = np.flatnonzero(fresh)
-        t = space.x.take(new, axis=0) @ q
-        if len(ids) == beam:
-            better = t >= s[-1]
-            new, t = new[better], t[better]
-        ids, s, done = np.concatenate([ids, new]), np.concatenate([s, t]), np.concatenate([done, np.zeros(len(new), bool)])
-        if len(ids) > 2 * beam:
-            top = np.argpartition(s, len(s) - beam)[len(s) - beam:]
-            top = np.flatnonzero(s >= s[top].min())
-            ids, s, done = ids[top], s[top], done[top]
-        order = np.argsort(-s)
-        if (s[order[1:]] == s[order[:-1]]).any():  # ties to the smaller id
-            order = np.lexsort((ids, -s))
-        order = order[:beam]
-        ids, s, done = ids[order], s[order], done[order]
-        pick = np.flatnonzero(~done)[:expand]
-        if not len(pick):
-            return ids
-        done[pick] = True
-        fresh = np.zeros(n + 1, bool)
-        fresh[near[ids[pick]]] = True
+class Walker:
+    """Greedy search in the graph of one part."""
+
+    def __init__(self, graph: Graph, beam: int):
+        self.space, self.beam, self.expand = graph.space, beam, math.ceil(beam / EXPAND)
+        n = len(graph.near)
+        near, count, _ = graph.members(-1, np.arange(n))
+        width = int(np.percentile(count, 75))  # few rows have more members
+        self.near, self.more, self.longer = near[:, :width].copy(), near[:, width:].copy(), count > width
+        #: Nodes spread over the part: a walk starts from the best of them, and its own place.
+        self.spread = np.unique(np.linspace(0, n - 1, min(n, STARTS * beam)).astype(np.int32))
+        self.stamp, self.place = np.zeros(n + 1, np.int32), np.arange(self.expand * near.shape[1], dtype=np.int32)
+
+    def walks(self, nodes: np.ndarray, queries: np.ndarray):
+        """For each query the rows of its beam and their scores, once all of them are expanded."""
+        queries = queries.astype(self.space.x.dtype)
+        own = np.minimum(self.space.lookup(nodes), len(self.space.ids) - 1)
+        score = queries @ self.space.x[self.spread].T
+        for node, at, q, s in zip(nodes, own, queries, score):
+            top = np.arange(len(s)) if len(s) <= self.beam else np.argpartition(s, len(s) - self.beam)[-self.beam:]
+            ids, s = self.spread[top], s[top]
+            if self.space.ids[at] == node and at not in ids:
+                ids, s = np.append(ids, np.int32(at)), np.append(s, self.space.x[at] @ q)
+            yield self.walk(ids, s, q)
+
+    def walk(self, ids: np.ndarray, s: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, beam = len(self.space.ids), self.beam
+        seen, done = np.zeros(n + 1, bool), np.zeros(len(ids), bool)
+        seen[n] = seen[ids] = True
+        while True:
+            if len(ids) > 2 * beam:
+                top = np.flatnonzero(s >= np.partition(s, len(s) - beam)[len(s) - beam])
+                ids, s, done = ids[top], s[top], done[top]
+            order = np.argsort(-s)
+            if (s[order[1:]] == s[order[:-1]]).any():  # ties to the smaller id
+                order = np.lexsort((ids, -s))
+            order = order[:beam]
+            ids, s, done = ids[order], s[order], done[order]
+            pick = np.flatnonzero(~done)[:self.expand]
+            if not len(pick):
+                return ids, s
+            done[pick] = True
+            at = ids[pick]
+            new = np.concatenate([self.near.take(at, axis=0).ravel(), self.more.take(at[self.longer[at]], axis=0).ravel()])
+            new = new[~seen[new]]
+            place = self.place[:len(new)]
+            self.stamp[new] = place
+            new = new[self.stamp[new] == place]  # once each
+            seen[new] = True
+            t = self.space.x.take(new, axis=0) @ q
+            if len(ids) == beam:
+                better = t >= s[-1]
+                new, t = new[better], t[better]
+            ids, s, done = np.concatenate([ids, new]), np.concatenate([s, t]), np.concatenate([done, np.zeros(len(new), bool)])
 
 
 def _vectors(column) -> np.ndarray:
@@ -346,18 +402,12 @@ def _answer(degree: int, beam: int, keep: int):
         if not tables or not tables[0].num_rows or not tables[2].num_rows:
             return
         graph = _read(tables[0], tables[1], degree)
-        space, near = graph.space, graph.members(-1)[0]
-        n = len(space.ids)
-        starts = np.unique(np.linspace(0, n - 1, min(n, beam)).astype(np.int64))
-        for batch in tables[2].to_batches(max_chunksize=1024):
-            out = []
-            for query, vec in zip(batch.column("node").to_numpy(), _vectors(batch.column("raw"))):
-                own = int(space.lookup(query))
-                at = np.append(starts, own) if own < n and space.ids[own] == query else starts
-                found = _walk(space, near, at, vec, beam, math.ceil(beam / EXPAND))
-                score = space.exact(found, vec)
-                best = np.lexsort((found, -score))[:keep]
-                out.append((np.full(len(best), query), space.ids[found[best]], score[best]))
+        space, walker = graph.space, Walker(graph, beam)
+        for batch in tables[2].to_batches(max_chunksize=256):
+            nodes, queries, out = batch.column("node").to_numpy(), _vectors(batch.column("raw")), []
+            for query, vec, (found, s) in zip(nodes, queries, walker.walks(nodes, queries)):
+                found, score = space.best(found, s, vec, keep)
+                out.append((np.full(len(found), query), space.ids[found], score))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query", "id", "score"])
     return run
 
@@ -392,10 +442,12 @@ def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, settled: float = SET
     """NN-descent over ``nodes(node, raw)``, each part on its own: ``(a, near, new)``, a row for
     a node's old edges and one for those that the last round brought."""
     parts = parts or parts_of(nodes)[1]
-    graph = None
+    graph = last = None
     for i in itertools.count():  # the first passes are short: the start is far from settled
         rows = _node_rows(nodes, graph, parts).repartitionById(parts, F.col("part"))
-        graph = keep_table(rows.mapInArrow(_improve(degree, 1 << i, settled, i << 20), "a long, near array<long>, new boolean"), "graph")
+        last, graph = graph, keep_table(rows.mapInArrow(_improve(degree, 1 << i, settled, i << 20), "a long, near array<long>, new boolean"), "graph")
+        if last is not None:
+            drop_table(last)
         if graph.where("new").count() <= settled * graph.count():
             return graph
 
@@ -406,9 +458,10 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, keep: int, de
     the ``keep`` best of each part."""
     parts = parts or parts_of(nodes)[1]
     splits = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
-    split = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
-    held = (_node_rows(nodes, graph, parts).withColumn("split", split)
-            .withColumn("part", F.col("part") * splits + F.col("split")).drop("split"))
+    held = _node_rows(nodes, graph, parts)
+    if splits > 1:
+        held = (held.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+                .withColumn("part", F.col("part") * splits + F.col("split")).drop("split"))
     own = nodes.select(F.col("node").alias("query"), "raw").join(queries, "query")
     asked = own.select("query", "raw", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"))
     asked = _dealt(asked, parts, QUERY, node=F.col("query"), raw=F.col("raw"),
@@ -417,10 +470,9 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, keep: int, de
     return keep_table(rows.mapInArrow(_answer(degree, beam, keep), "query long, id long, score double"), "found")
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by
-    ``every`` its ``k`` nearest others found, by inner product, ties to the smaller
-    id.  With fewer candidates all are returned; without usable rows, none."""
+def _found(vectors: DataFrame, k: int, every: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Kept tables: each asked id with its node, the ids of each node that an answer can
+    name, and each asked node's best nodes."""
     rows = keep_table(usable(vectors).withColumn("key", F.struct(F.xxhash64("vec"), F.xxhash64(F.lit(1), "vec"))), "vectors")
     order = Window.partitionBy("key").orderBy("vec_id")
     alike = rows.select("key", "vec_id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
@@ -430,13 +482,27 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     nodes = keep_table(nodes.mapInArrow(_pack, "node long, vec array<float>, raw binary").select("node", "raw"), "nodes")
     asked = keep_table(rows.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id"))
                        .join(first, "key").select("query_id", F.col("node").alias("query")), "queries")
+    drop_table(rows)
     n, parts = parts_of(nodes)
-    degree, beam = widths(math.ceil(n / parts))
-    found = search(neighbour_graph(nodes, degree, parts=parts), nodes, asked.select("query").distinct(), k + 1, degree, beam, parts)
-    # The best nodes, then the ids that share their vectors.
+    degree, beam = widths(math.ceil(n / parts))[0], max(BEAM, math.ceil(widths(n)[1] / parts))
+    graph = neighbour_graph(nodes, degree, parts=parts)
+    found = search(graph, nodes, asked.select("query").distinct(), k + 1, degree, beam, parts)
+    drop_table(graph)
+    drop_table(nodes)
     few = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    scored = (found.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1)
-              .join(alike, F.col("id") == F.col("node")).select("query", "vec_id", "score"))
+    best = keep_table(found.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1).drop("r"), "best")
+    drop_table(found)
+    return asked, alike, best
+
+
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by
+    ``every`` its ``k`` nearest others found, by inner product, ties to the smaller
+    id.  With fewer candidates all are returned; without usable rows, none."""
+    with freed_shuffles(vectors.sparkSession):
+        asked, alike, found = _found(vectors, k, every)
+    # The ids that share the vectors of the best nodes.
+    scored = found.join(alike, F.col("id") == F.col("node")).select("query", "vec_id", "score")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     short = scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
     answer = asked.join(short, "query").where("vec_id <> query_id")

@@ -279,6 +279,28 @@ def test_edges_and_candidates_do_not_travel_one_by_one(spark, documents, monkeyp
     assert max(kept) <= 2 * 2000 + 100 * 21
 
 
+def test_tables_that_nothing_reads_any_more_go(spark, documents, monkeypatch):
+    """Of the kept tables those stay that the answer reads; the session's settings are as before."""
+    from urllib.parse import urlparse
+
+    from strata.llm import neighbours
+    kept = {}
+
+    def keep(df, name, real=neighbours.keep_table):
+        out = real(df, name)
+        kept.setdefault(name, []).append(urlparse(out.inputFiles()[0]).path.rsplit("/", 1)[0])
+        return out
+    monkeypatch.setattr(neighbours, "keep_table", keep)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    x = np.random.default_rng(6).normal(size=(300, 8)).astype(np.float32)
+    got = neighbours.nearest(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>"))
+    assert spark.conf.get(key) == before
+    there = {name for name, paths in kept.items() if any(os.path.exists(p) for p in paths)}
+    assert there == {"queries", "alike", "best"} and len(kept["graph"]) > 1
+    assert got.count() == 15 * 20
+
+
 def test_recall_over_many_parts_and_portions(spark, documents, monkeypatch):
     """Every part is searched for every query, whatever portion the query is in."""
     from strata.llm import neighbours
